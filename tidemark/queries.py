@@ -319,3 +319,166 @@ def win_apply_udf_batched(spark, sf_dir):
         "id string, window_start bigint, window_end bigint, n_rows bigint, spread double, first_event bigint",
         per_window=False,
     )
+
+
+# ---------------------------------------------------------------- M3: routing, union, zip join, TTL
+from tidemark.operators import zipjoin as Z  # noqa: E402
+from tidemark.plans.watermark import running_max  # noqa: E402
+
+LOG_DELAY_MS = 3 * HOUR_MS
+IDLE_TTL_MS = 24 * HOUR_MS
+WRITE_TTL_MS = 24 * HOUR_MS
+STEPS = E.STEPS
+
+LOG_CTE = f"""log AS (SELECT event_id,
+  CASE WHEN event_type IN ('click', 'purchase') THEN 2 ELSE 1 END AS station,
+  CAST(user_id AS VARCHAR) AS workpiece, {MS_SQL} AS time_stamp,
+  CASE event_type WHEN 'view' THEN 'step1' WHEN 'click' THEN 'step2' WHEN 'signup' THEN 'step3'
+    WHEN 'purchase' THEN 'step4' ELSE 'error' END AS content, {SEQ_SQL} AS seq FROM events)"""
+STEPS_CTE = "steps(step) AS (VALUES ('step1'), ('step2'), ('step3'), ('step4'))"
+ROUTED_CTE = "routed AS (SELECT log.*, steps.step FROM log JOIN steps ON contains(log.content, steps.step))"
+CLOCK_CTE = (
+    "clocked AS (SELECT *, max(time_stamp) OVER (ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) "
+    "AS clock_ms FROM log)"
+)
+
+
+def _zip_sql(src: str, parts: str) -> str:
+    """Oracle of the FIFO zip over ``src`` (routed rows) per ``parts``."""
+    cols = ",\n  ".join(
+        f"max(CASE WHEN step = '{s}' THEN time_stamp END) AS {s}_ts, max(CASE WHEN step = '{s}' THEN event_id END) AS {s}_event, "
+        f"max(CASE WHEN step = '{s}' THEN seq END) AS {s}_seq"
+        for s in STEPS
+    )
+    seqs = ", ".join(f"{s}_seq" for s in STEPS)
+    pick = lambda f: "CASE " + " ".join(f"WHEN {s}_seq = trigger_seq THEN {s}_{f}" for s in STEPS) + " END"
+    return f"""numbered AS (SELECT *, row_number() OVER (PARTITION BY {parts}, step ORDER BY seq) AS n_tuple FROM {src}),
+tuples AS (SELECT {parts}, n_tuple, count(DISTINCT step) AS n_steps,
+  {cols}
+  FROM numbered GROUP BY {parts}, n_tuple),
+zipped AS (SELECT *, greatest({seqs}) AS trigger_seq FROM tuples WHERE n_steps = {len(STEPS)}),
+final AS (SELECT {parts}, n_tuple, {", ".join(f"{s}_ts" for s in STEPS)}, {", ".join(f"{s}_event" for s in STEPS)},
+  trigger_seq, {pick("ts")} AS trigger_ts, {pick("event")} AS trigger_event FROM zipped)"""
+
+
+def _log(spark, sf_dir) -> DataFrame:
+    return E.log_events(spark, sf_dir).drop("id")
+
+
+def _routed(spark, sf_dir) -> DataFrame:
+    return Z.route_steps(_log(spark, sf_dir), Z.contains_routes(STEPS))
+
+
+@query(
+    "step_route_contains",
+    _with(LOG_CTE, STEPS_CTE, ROUTED_CTE) + "SELECT event_id, workpiece, step FROM routed",
+)
+def step_route_contains(spark, sf_dir):
+    return _routed(spark, sf_dir).select("event_id", "workpiece", "step")
+
+
+@query(
+    "union_streams",
+    _with(
+        LOG_CTE,
+        f"""pm AS (SELECT *,
+  max(CASE WHEN station = 1 THEN time_stamp END) OVER w AS pm1,
+  max(CASE WHEN station = 2 THEN time_stamp END) OVER w AS pm2
+  FROM log WINDOW w AS (ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))""",
+    )
+    + f"""SELECT event_id, station, workpiece, time_stamp,
+  CASE WHEN pm1 IS NULL OR pm2 IS NULL THEN NULL ELSE least(pm1, pm2) - {LOG_DELAY_MS + 1} END AS wm_ms FROM pm""",
+)
+def union_streams(spark, sf_dir):
+    log = _log(spark, sf_dir)
+    s1, s2 = log.where(F.col("station") == 1), log.where(F.col("station") == 2)
+    both = s1.unionByName(s2)
+    stamped = stamp_watermark(
+        both, bounded_out_of_orderness(LOG_DELAY_MS), ts="time_stamp", stream="station", streams=[1, 2]
+    )
+    return stamped.select("event_id", "station", "workpiece", "time_stamp", "wm_ms")
+
+
+ZIP_COLS = (
+    ["workpiece", "n_tuple"]
+    + [f"{s}_ts" for s in STEPS]
+    + [f"{s}_event" for s in STEPS]
+    + ["trigger_seq", "trigger_ts", "trigger_event"]
+)
+
+
+@query(
+    "zip_join_steps",
+    _with(LOG_CTE, STEPS_CTE, ROUTED_CTE, _zip_sql("routed", "workpiece")) + "SELECT * FROM final",
+)
+def zip_join_steps(spark, sf_dir):
+    return Z.zip_join(_routed(spark, sf_dir), "workpiece", STEPS).select(*ZIP_COLS)
+
+
+@query(
+    "zip_emit_rows",
+    _with(LOG_CTE, STEPS_CTE, ROUTED_CTE, _zip_sql("routed", "workpiece"))
+    + " UNION ALL ".join(
+        f"SELECT workpiece, n_tuple, {i + 1} AS pos, '{s}' AS step, {s}_ts AS time_stamp, {s}_event AS event_id, "
+        "trigger_seq, trigger_ts, trigger_event FROM final "
+        for i, s in enumerate(STEPS)
+    ),
+)
+def zip_emit_rows(spark, sf_dir):
+    tuples = Z.zip_join(_routed(spark, sf_dir), "workpiece", STEPS)
+    return Z.emit_rows(tuples, "workpiece", STEPS)
+
+
+@query(
+    "zip_pending_sizes",
+    _with(
+        LOG_CTE,
+        """c AS (SELECT *, """
+        + ", ".join(
+            f"sum(CASE WHEN contains(content, '{s}') THEN 1 ELSE 0 END) OVER w AS c{i}, "
+            f"CASE WHEN contains(content, '{s}') THEN 1 ELSE 0 END AS f{i}"
+            for i, s in enumerate(STEPS)
+        )
+        + """ FROM log WINDOW w AS (PARTITION BY workpiece ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))""",
+    )
+    + "SELECT event_id, workpiece, content, "
+    + ", ".join(
+        f"c{i} - least({', '.join(f'c{j} - f{j}' for j in range(len(STEPS)))}) AS n{i + 1}" for i in range(len(STEPS))
+    )
+    + " FROM c",
+)
+def zip_pending_sizes(spark, sf_dir):
+    sizes = Z.pending_sizes(_log(spark, sf_dir), "workpiece", Z.contains_routes(STEPS))
+    return sizes.select("event_id", "workpiece", "content", *[f"n{i + 1}" for i in range(len(STEPS))])
+
+
+def _sessions(spark, sf_dir, ttl_ms: int) -> DataFrame:
+    clocked = running_max(_log(spark, sf_dir), ts="time_stamp", out="clock_ms")
+    return Z.gap_sessions(clocked, "workpiece", ttl_ms)
+
+
+@query(
+    "zip_join_idle_ttl",
+    _with(
+        LOG_CTE,
+        CLOCK_CTE,
+        f"""g AS (SELECT *, CASE WHEN lag(clock_ms) OVER (PARTITION BY workpiece ORDER BY seq) IS NULL
+  OR clock_ms - lag(clock_ms) OVER (PARTITION BY workpiece ORDER BY seq) >= {IDLE_TTL_MS} THEN 1 ELSE 0 END AS new_session FROM clocked)""",
+        """s AS (SELECT *, sum(new_session) OVER (PARTITION BY workpiece ORDER BY seq
+  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS session FROM g)""",
+        STEPS_CTE,
+        "routed AS (SELECT s.*, steps.step FROM s JOIN steps ON contains(s.content, steps.step))",
+        _zip_sql("routed", "workpiece, session"),
+    )
+    + "SELECT * FROM final",
+)
+def zip_join_idle_ttl(spark, sf_dir):
+    routed = Z.route_steps(_sessions(spark, sf_dir, IDLE_TTL_MS), Z.contains_routes(STEPS))
+    out = Z.zip_join(routed, "workpiece", STEPS, group=["session"])
+    return out.select("workpiece", F.col("session").cast("bigint").alias("session"), *ZIP_COLS[1:])
+
+
+@query("zip_join_write_ttl")
+def zip_join_write_ttl(spark, sf_dir):
+    clocked = running_max(_log(spark, sf_dir), ts="time_stamp", out="clock_ms")
+    return Z.zip_join_write_ttl(clocked, "workpiece", Z.contains_routes(STEPS), WRITE_TTL_MS)
