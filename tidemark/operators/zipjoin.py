@@ -70,15 +70,19 @@ def zip_join(
     ts: str = "time_stamp",
     row_id: str = "event_id",
     group: Sequence[str] = (),
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """The i-th element of every step list per key (and ``group``, e.g. session).
 
     Output: ``key, *group, n_tuple, <s>_ts, <s>_event`` per step,
-    ``trigger_seq, trigger_ts, trigger_event`` (the arrival that completed it).
+    ``trigger_seq, trigger_ts, trigger_event`` (the arrival that completed it)
+    and ``trigger_<c>`` for every column in ``carry``.
     """
     parts = [key, *group]
     numbered = row_number(routed, "n_tuple", [order], partition_by=[*parts, step])
-    item = F.struct(F.col(order).alias("seq"), F.col(ts).alias("ts"), F.col(row_id).alias("id"))
+    item = F.struct(
+        F.col(order).alias("seq"), F.col(ts).alias("ts"), F.col(row_id).alias("id"), *[F.col(c).alias(c) for c in carry]
+    )
     per_step = [F.max(F.when(F.col(step) == F.lit(s), item)).alias(s) for s in steps]
     tuples = numbered.groupBy(*parts, "n_tuple").agg(*per_step)
     complete = F.lit(True)
@@ -93,6 +97,7 @@ def zip_join(
         trig["seq"].alias("trigger_seq"),
         trig["ts"].alias("trigger_ts"),
         trig["id"].alias("trigger_event"),
+        *[trig[c].alias(f"trigger_{c}") for c in carry],
     )
 
 
@@ -119,7 +124,9 @@ def pending_sizes(
     return out.drop(*flags, *[f"__c{i}" for i in range(len(names))])
 
 
-def emit_rows(tuples: DataFrame, key: str, steps: Sequence[str], group: Sequence[str] = ()) -> DataFrame:
+def emit_rows(
+    tuples: DataFrame, key: str, steps: Sequence[str], group: Sequence[str] = (), carry: Sequence[str] = ()
+) -> DataFrame:
     """Four output rows per tuple, in step order, stamped with the trigger."""
     items = F.array(
         *[
@@ -127,11 +134,10 @@ def emit_rows(tuples: DataFrame, key: str, steps: Sequence[str], group: Sequence
             for s in steps
         ]
     )
-    return tuples.select(
-        key, *group, "n_tuple", "trigger_seq", "trigger_ts", "trigger_event", F.posexplode(items).alias("pos", "item")
-    ).select(
+    trig = ["trigger_seq", "trigger_ts", "trigger_event", *carry]
+    return tuples.select(key, *group, "n_tuple", *trig, F.posexplode(items).alias("pos", "item")).select(
         key, *group, "n_tuple", (F.col("pos") + 1).alias("pos"), "item.step", "item.time_stamp", "item.event_id",
-        "trigger_seq", "trigger_ts", "trigger_event",
+        *trig,
     )
 
 

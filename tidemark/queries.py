@@ -482,3 +482,136 @@ def zip_join_idle_ttl(spark, sf_dir):
 def zip_join_write_ttl(spark, sf_dir):
     clocked = running_max(_log(spark, sf_dir), ts="time_stamp", out="clock_ms")
     return Z.zip_join_write_ttl(clocked, "workpiece", Z.contains_routes(STEPS), WRITE_TTL_MS)
+
+
+# ---------------------------------------------------------------- M4: sequence pattern
+from tidemark.operators import sequence as C  # noqa: E402
+
+
+def step_pattern(content: str = "content") -> C.SequencePattern:
+    """The reference's pattern: step1, then step2, step3, step4, by content prefix."""
+    p = C.SequencePattern.begin(STEPS[0], F.col(content).startswith(STEPS[0]))
+    for s in STEPS[1:]:
+        p = p.followed_by(s, F.col(content).startswith(s))
+    return p
+
+
+def _chain_sql(src: str, part: str, order: str, payload: list[str], pred: str = "content") -> str:
+    """Oracle of relaxed-contiguity matching: first matching row after, chained backwards."""
+    over = f"OVER ({part} ORDER BY {order} ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING)"
+    pl = ", ".join(f"{p} := {p}" for p in payload)
+    ctes, prev, cur = [], src, None
+    for k in range(len(STEPS) - 1, 0, -1):
+        inner = f"struct_pack({pl}{', nx := ' + cur if cur else ''})"
+        name = f"x{k}"
+        ctes.append(
+            f"c{k} AS (SELECT *, first_value(CASE WHEN starts_with({pred}, '{STEPS[k]}') THEN {inner} END IGNORE NULLS) "
+            f"{over} AS {name} FROM {prev})"
+        )
+        prev, cur = f"c{k}", name
+    node, conds, cols = "x1", [], []
+    for k in range(1, len(STEPS)):
+        conds.append(f"{node} IS NOT NULL")
+        cols += [f"{node}.{p} AS {STEPS[k]}_{p}" for p in payload]
+        node = f"{node}.nx"
+    first = [f"{p} AS {STEPS[0]}_{p}" for p in payload]
+    sel = ", ".join(first + cols)
+    where = " AND ".join([f"starts_with({pred}, '{STEPS[0]}')"] + conds)
+    return ",\n".join(ctes), f"SELECT {sel} FROM {prev} WHERE {where}"
+
+
+def _match_sql(keyed: bool, src: str = "log", extra_ctes: tuple[str, ...] = ()) -> str:
+    part = "PARTITION BY workpiece" if keyed else ""
+    ctes, sel = _chain_sql(src, part, "time_stamp, seq", ["time_stamp", "event_id"])
+    if keyed:
+        sel = sel.replace("SELECT ", "SELECT workpiece, ", 1)
+    return _with(LOG_CTE, *extra_ctes, ctes) + sel
+
+
+@query("seq_match_keyed", _match_sql(True))
+def seq_match_keyed(spark, sf_dir):
+    return C.match_sequence(_log(spark, sf_dir), step_pattern(), partition_by=["workpiece"])
+
+
+@query("seq_match_global", _match_sql(False))
+def seq_match_global(spark, sf_dir):
+    return C.match_sequence(_log(spark, sf_dir), step_pattern(), partition_by=None)
+
+
+def _select_sql(inner: str) -> str:
+    cols = ", ".join(f"'{s}' AS {s}_name, {s}_time_stamp AS {s}_ts" for s in STEPS)
+    return f"SELECT workpiece, {cols}, {len(STEPS)} AS n_events FROM ({inner}) m"
+
+
+@query("seq_match_select", _select_sql(_match_sql(True)))
+def seq_match_select(spark, sf_dir):
+    m = C.match_sequence(_log(spark, sf_dir), step_pattern(), partition_by=["workpiece"])
+    return C.select_process_data(m, STEPS, keys=["workpiece"])
+
+
+_UNION_WM_CTE = f"""pm AS (SELECT *,
+  max(CASE WHEN station = 1 THEN time_stamp END) OVER w AS pm1,
+  max(CASE WHEN station = 2 THEN time_stamp END) OVER w AS pm2
+  FROM log WINDOW w AS (ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+stamped_log AS (SELECT * EXCLUDE (pm1, pm2),
+  CASE WHEN pm1 IS NULL OR pm2 IS NULL THEN NULL ELSE least(pm1, pm2) - {LOG_DELAY_MS + 1} END AS wm_ms FROM pm)"""
+
+
+def _stamped_log(spark, sf_dir) -> DataFrame:
+    return stamp_watermark(
+        _log(spark, sf_dir), bounded_out_of_orderness(LOG_DELAY_MS), ts="time_stamp", stream="station", streams=[1, 2]
+    )
+
+
+@query(
+    "seq_match_late_dropped",
+    _match_sql(
+        True,
+        src="on_time_log",
+        extra_ctes=(_UNION_WM_CTE, "on_time_log AS (SELECT * FROM stamped_log WHERE wm_ms IS NULL OR time_stamp > wm_ms)"),
+    ),
+)
+def seq_match_late_dropped(spark, sf_dir):
+    kept = C.drop_late(_stamped_log(spark, sf_dir))
+    return C.match_sequence(kept, step_pattern(), partition_by=["workpiece"])
+
+
+@query(
+    "process_tracking",
+    _with(
+        LOG_CTE,
+        _UNION_WM_CTE,
+        """clocked AS (SELECT *, max(time_stamp) OVER (ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+  AS clock_ms FROM stamped_log)""",
+        f"""g AS (SELECT *, CASE WHEN lag(clock_ms) OVER (PARTITION BY workpiece ORDER BY seq) IS NULL
+  OR clock_ms - lag(clock_ms) OVER (PARTITION BY workpiece ORDER BY seq) >= {IDLE_TTL_MS} THEN 1 ELSE 0 END AS new_session FROM clocked)""",
+        """s AS (SELECT *, sum(new_session) OVER (PARTITION BY workpiece ORDER BY seq
+  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS session FROM g)""",
+        STEPS_CTE,
+        "routed AS (SELECT s.*, steps.step FROM s JOIN steps ON contains(s.content, steps.step))",
+        _zip_sql("routed", "workpiece, session"),
+    )
+    + "SELECT f.workpiece, "
+    + ", ".join(f"'{s}' AS {s}_name, f.{s}_ts AS {s}_ts" for s in STEPS)
+    + f", {len(STEPS)} AS n_events FROM final f JOIN stamped_log t ON t.event_id = f.trigger_event "
+    "WHERE t.wm_ms IS NULL OR f.trigger_ts > t.wm_ms",
+)
+def process_tracking(spark, sf_dir):
+    """Union of two stations -> keyed zip with idle TTL -> non-keyed pattern -> select."""
+    clocked = running_max(_stamped_log(spark, sf_dir), ts="time_stamp", out="clock_ms")
+    sessions = Z.gap_sessions(clocked, "workpiece", IDLE_TTL_MS)
+    routed = Z.route_steps(sessions, Z.contains_routes(STEPS))
+    tuples = Z.zip_join(routed, "workpiece", STEPS, group=["session"], carry=["wm_ms"])
+    rows = Z.emit_rows(tuples, "workpiece", STEPS, group=["session"], carry=["trigger_wm_ms"])
+    # the emitted rows carry the trigger's event time; the pattern drops late ones
+    timed = rows.withColumns({"row_ts": F.col("time_stamp"), "time_stamp": F.col("trigger_ts")})
+    kept = C.drop_late(timed, ts="time_stamp", wm="trigger_wm_ms")
+    m = C.match_sequence(
+        kept, step_pattern("step"), order=["trigger_ts", "trigger_seq", "pos"], partition_by=None,
+        payload=["row_ts", "workpiece"],
+    )
+    return m.select(
+        F.col(f"{STEPS[0]}_workpiece").alias("workpiece"),
+        *[x for s in STEPS for x in (F.lit(s).alias(f"{s}_name"), F.col(f"{s}_row_ts").alias(f"{s}_ts"))],
+        F.lit(len(STEPS)).cast("bigint").alias("n_events"),
+    )
