@@ -615,3 +615,142 @@ def process_tracking(spark, sf_dir):
         *[x for s in STEPS for x in (F.lit(s).alias(f"{s}_name"), F.col(f"{s}_row_ts").alias(f"{s}_ts"))],
         F.lit(len(STEPS)).cast("bigint").alias("n_events"),
     )
+
+
+# ---------------------------------------------------------------- M6: sources, sinks, rendering, batch ops
+from tidemark.functions import render as R  # noqa: E402
+from tidemark.operators import batch as B  # noqa: E402
+from tidemark.session import scratch_path  # noqa: E402
+from tidemark.sources import lines as S  # noqa: E402
+from tidemark.streaming import sinks as K  # noqa: E402
+
+
+@query("src_collection", "SELECT c_name AS _1 FROM customer")
+def src_collection(spark, sf_dir):
+    cust = E.table(spark, sf_dir, "customer")
+    pairs = cust.select(F.col("c_name").alias("_1"), F.col("c_nationkey").cast("int").alias("_2"))
+    return S.first_field(pairs)
+
+
+@query(
+    "src_text_file",
+    "SELECT CAST(user_id AS VARCHAR) AS id, " + MS_SQL + " AS time_stamp, value AS temperature FROM events",
+)
+def src_text_file(spark, sf_dir):
+    """Sensor lines written as a text table, scanned back and parsed."""
+    path = scratch_path(spark, "sensor-lines")
+    E.sensor_lines(spark, sf_dir).select("value").write.text(path)
+    rows, _ = parse_sensor_lines(S.text_file(spark, path), mode=FAILFAST, keep=[])
+    return rows
+
+
+@query(
+    "sink_bucket_counts",
+    "SELECT strftime(ts, '%Y-%m-%d--%H') AS bucket, count(*) AS n_rows FROM events GROUP BY 1",
+)
+def sink_bucket_counts(spark, sf_dir):
+    """Lines written into hourly bucket directories with size rolling, counted back (K3, K4, K6)."""
+    ev = E.table(spark, sf_dir, "events")
+    lines = E.sensor_lines(spark, sf_dir).join(ev.select("event_id", "ts"), "event_id")
+    lines = K.with_bucket(lines, F.col("ts"))
+    path = scratch_path(spark, "buckets")
+    K.write_text_buckets(lines, path, "bucket", max_records=K.records_per_file(lines), tiebreak="event_id")
+    back = spark.read.schema("value string, bucket string").text(path)
+    return back.groupBy("bucket").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def _render_sql() -> str:
+    sensor = (
+        "SELECT 'sensor' AS kind, event_id AS ref_id, 'SensorReading{id=''' || id || ''', timeStamp=' || "
+        "CAST(time_stamp AS VARCHAR) || ', temperature=' || CAST(temperature AS VARCHAR) || '}' AS line FROM sensor"
+    )
+    log = (
+        "SELECT 'log' AS kind, event_id AS ref_id, 'LogEvent{id=''' || CASE WHEN station = 2 THEN 'workStation_2' "
+        "ELSE 'workStation_1' END || ''', workpiece=''' || workpiece || ''', timeStamp=' || CAST(time_stamp AS VARCHAR) "
+        "|| ', content=''' || content || '''}' AS line FROM log"
+    )
+    steps = " || ', ' || ".join(f"'{s}=({s},' || CAST({s}_time_stamp AS VARCHAR) || ')'" for s in STEPS)
+    ctes, sel = _chain_sql("log", "PARTITION BY workpiece", "time_stamp, seq", ["time_stamp", "event_id"])
+    proc = f"SELECT 'process' AS kind, {STEPS[0]}_event_id AS ref_id, 'ProcessData{{' || {steps} || '}}' AS line FROM m"
+    return _with(SENSOR_CTE, LOG_CTE, ctes, f"m AS ({sel})") + f"{sensor} UNION ALL {log} UNION ALL {proc}"
+
+
+@query("render_rows", _render_sql())
+def render_rows(spark, sf_dir):
+    sensor = _sensor(spark, sf_dir).select(
+        F.lit("sensor").alias("kind"), F.col("event_id").alias("ref_id"), R.render_sensor().alias("line")
+    )
+    log = E.log_events(spark, sf_dir).select(
+        F.lit("log").alias("kind"), F.col("event_id").alias("ref_id"), R.render_log_event().alias("line")
+    )
+    m = C.match_sequence(_log(spark, sf_dir), step_pattern(), partition_by=["workpiece"])
+    proc = C.select_process_data(m.withColumnRenamed(f"{STEPS[0]}_event_id", "ref_id"), STEPS, keys=["ref_id"])
+    proc = proc.select(F.lit("process").alias("kind"), "ref_id", R.render_process_data(STEPS).alias("line"))
+    return sensor.unionByName(log).unionByName(proc)
+
+
+@query(
+    "sink_labelled_rows",
+    _with(*_LATE_CTES)
+    + """SELECT event_id, CASE WHEN label = 'too_late' THEN 'later data' ELSE 'main' END AS stream,
+  CASE WHEN label = 'too_late' THEN 'later data> ' ELSE '' END || 'SensorReading{id=''' || id || ''', timeStamp=' ||
+  CAST(time_stamp AS VARCHAR) || ', temperature=' || CAST(temperature AS VARCHAR) || '}' AS line FROM labelled""",
+)
+def sink_labelled_rows(spark, sf_dir):
+    """Main output printed bare, late side output printed with its label (K1, K2)."""
+    lab = _late_labelled(spark, sf_dir)
+    main = W.emitted_rows(lab).select(
+        "event_id", F.lit("main").alias("stream"), R.labelled(R.render_sensor(), None).alias("line")
+    )
+    late = W.late_side_output(lab).select(
+        "event_id", F.lit("later data").alias("stream"), R.labelled(R.render_sensor(), "later data").alias("line")
+    )
+    return main.unionByName(late)
+
+
+@query(
+    "batch_filter",
+    _with(SENSOR_CTE) + "SELECT event_id, id, temperature FROM sensor WHERE temperature > 100",
+)
+def batch_filter(spark, sf_dir):
+    return _sensor(spark, sf_dir).where(F.col("temperature") > 100).select("event_id", "id", "temperature")
+
+
+@query(
+    "batch_flat_map",
+    r"""SELECT word, count(*) AS n FROM (SELECT unnest(regexp_split_to_array(text, '[ \t\n\r]+')) AS word
+FROM documents) WHERE word <> '' GROUP BY word""",
+)
+def batch_flat_map(spark, sf_dir):
+    return B.word_counts(E.table(spark, sf_dir, "documents"))
+
+
+@query(
+    "batch_join",
+    """SELECT o.o_orderkey, o.o_custkey, c.c_name, c.c_mktsegment, o.o_totalprice
+FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey""",
+)
+def batch_join(spark, sf_dir):
+    o = E.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    c = E.table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    return o.join(c, o.o_custkey == c.c_custkey, "inner").select(
+        "o_orderkey", "o_custkey", "c_name", "c_mktsegment", "o_totalprice"
+    )
+
+
+@query(
+    "batch_cogroup",
+    """WITH o AS (SELECT o_orderkey AS key, count(*) AS n_orders, round(sum(o_totalprice), 6) AS total_price
+  FROM orders GROUP BY 1),
+l AS (SELECT l_orderkey AS key, count(*) AS n_lines, round(sum(l_quantity), 6) AS sum_qty FROM lineitem GROUP BY 1)
+SELECT coalesce(o.key, l.key) AS key, n_orders, total_price, n_lines, sum_qty FROM o FULL OUTER JOIN l ON o.key = l.key""",
+)
+def batch_cogroup(spark, sf_dir):
+    o = E.table(spark, sf_dir, "orders")
+    li = E.table(spark, sf_dir, "lineitem")
+    out = B.cogroup_aggregate(
+        o, li, "o_orderkey", "l_orderkey",
+        {"n_orders": F.count(F.lit(1)), "total_price": F.sum("o_totalprice")},
+        {"n_lines": F.count(F.lit(1)), "sum_qty": F.sum("l_quantity")},
+    )
+    return out.withColumns({"total_price": F.round("total_price", 6), "sum_qty": F.round("sum_qty", 6)})
