@@ -485,15 +485,13 @@ def zip_join_write_ttl(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- M4: sequence pattern
+from tidemark import jobs as J  # noqa: E402
 from tidemark.operators import sequence as C  # noqa: E402
 
 
 def step_pattern(content: str = "content") -> C.SequencePattern:
     """The reference's pattern: step1, then step2, step3, step4, by content prefix."""
-    p = C.SequencePattern.begin(STEPS[0], F.col(content).startswith(STEPS[0]))
-    for s in STEPS[1:]:
-        p = p.followed_by(s, F.col(content).startswith(s))
-    return p
+    return J.step_pattern(STEPS, content)
 
 
 def _chain_sql(src: str, part: str, order: str, payload: list[str], pred: str = "content") -> str:
@@ -598,23 +596,7 @@ def seq_match_late_dropped(spark, sf_dir):
 )
 def process_tracking(spark, sf_dir):
     """Union of two stations -> keyed zip with idle TTL -> non-keyed pattern -> select."""
-    clocked = running_max(_stamped_log(spark, sf_dir), ts="time_stamp", out="clock_ms")
-    sessions = Z.gap_sessions(clocked, "workpiece", IDLE_TTL_MS)
-    routed = Z.route_steps(sessions, Z.contains_routes(STEPS))
-    tuples = Z.zip_join(routed, "workpiece", STEPS, group=["session"], carry=["wm_ms"])
-    rows = Z.emit_rows(tuples, "workpiece", STEPS, group=["session"], carry=["trigger_wm_ms"])
-    # the emitted rows carry the trigger's event time; the pattern drops late ones
-    timed = rows.withColumns({"row_ts": F.col("time_stamp"), "time_stamp": F.col("trigger_ts")})
-    kept = C.drop_late(timed, ts="time_stamp", wm="trigger_wm_ms")
-    m = C.match_sequence(
-        kept, step_pattern("step"), order=["trigger_ts", "trigger_seq", "pos"], partition_by=None,
-        payload=["row_ts", "workpiece"],
-    )
-    return m.select(
-        F.col(f"{STEPS[0]}_workpiece").alias("workpiece"),
-        *[x for s in STEPS for x in (F.lit(s).alias(f"{s}_name"), F.col(f"{s}_row_ts").alias(f"{s}_ts"))],
-        F.lit(len(STEPS)).cast("bigint").alias("n_events"),
-    )
+    return J.track_process(_log(spark, sf_dir), bounded_out_of_orderness(LOG_DELAY_MS), STEPS, IDLE_TTL_MS)
 
 
 # ---------------------------------------------------------------- M6: sources, sinks, rendering, batch ops
