@@ -53,14 +53,6 @@ def order_stats(df: DataFrame, col: str) -> OrderStats:
     return OrderStats(int(row["lo"]), int(row["hi"]), int(row["n"]))
 
 
-def _combine(fn: str, a: Column, b: Column) -> Column:
-    if fn == "max":
-        return F.greatest(a, b)
-    if fn == "min":
-        return F.least(a, b)
-    return F.coalesce(a, F.lit(0)) + F.coalesce(b, F.lit(0))
-
-
 def scan(
     df: DataFrame,
     order_by: Sequence[str],
@@ -83,6 +75,7 @@ def scan(
     """
     order_by = list(order_by)
     keys = list(partition_by)
+    bucket_rows = max(2, bucket_rows)  # every recursion level shrinks the input at least twofold
     if stats is None:
         stats = order_stats(df, order_by[0])
     cols = list(df.columns)
@@ -110,6 +103,7 @@ def _scan_staged(
     inclusive: bool,
     bucket_rows: int,
     stats: OrderStats,
+    depth: int = 0,
 ) -> DataFrame:
     """Scan on pre-staged input columns ``vin``; outputs ``__out_<vin>``."""
     end = Window.currentRow if inclusive else -1
@@ -126,7 +120,7 @@ def _scan_staged(
 
     span = stats.hi - stats.lo + 1
     width = max(1, -(-span * bucket_rows // stats.n))
-    level = f"__b{len([c for c in df.columns if c.startswith('__b')])}"
+    level = f"__b{depth}"
     bucketed = df.withColumn(level, F.expr(f"(`{order_by[0]}` - {stats.lo}) div {width}"))
 
     # Phase 1: per-(key, bucket) aggregate; partial aggregation keeps it cheap.
@@ -142,6 +136,7 @@ def _scan_staged(
         False,
         bucket_rows,
         OrderStats(0, n_buckets - 1, n_buckets),
+        depth + 1,
     )
     # Phase 2: the carry of each bucket enters as a head row of that bucket.
     mark = "__head"
