@@ -14,7 +14,9 @@ from pyspark.sql import functions as F
 from tidemark.operators import sequence as C
 from tidemark.operators import windows as W
 from tidemark.operators import zipjoin as Z
-from tidemark.plans.watermark import WatermarkSpec, running_max, stamp_watermark
+from tidemark.plans.lineage import cut
+from tidemark.plans.scan import OrderStats, order_stats_multi
+from tidemark.plans.watermark import WatermarkSpec, stamp_watermark
 
 
 def step_pattern(steps: Sequence[str], content: str = "content") -> C.SequencePattern:
@@ -25,11 +27,17 @@ def step_pattern(steps: Sequence[str], content: str = "content") -> C.SequencePa
     return p
 
 
+def base_stats(df: DataFrame, cols=("seq", "time_stamp")) -> dict[str, OrderStats]:
+    """Order bounds of a job's input, computed once (one aggregate job)."""
+    return order_stats_multi(df, list(cols))
+
+
 def window_job(
-    readings: DataFrame, spec: WatermarkSpec, size_ms: int, lateness_ms: int = 0, ts: str = "time_stamp"
+    readings: DataFrame, spec: WatermarkSpec, size_ms: int, lateness_ms: int = 0, ts: str = "time_stamp",
+    stats: OrderStats | None = None,
 ) -> DataFrame:
     """Watermark stamp -> tumbling window -> lateness label, per reading."""
-    return W.label_lateness(stamp_watermark(readings, spec, ts=ts), size_ms, lateness_ms, ts=ts)
+    return W.label_lateness(stamp_watermark(readings, spec, ts=ts, stats=stats), size_ms, lateness_ms, ts=ts)
 
 
 def track_process(
@@ -41,6 +49,7 @@ def track_process(
     stream: str = "station",
     streams: Sequence[object] = (1, 2),
     keyed_match: bool = False,
+    stats: dict[str, OrderStats] | None = None,
 ) -> DataFrame:
     """Union of stations -> keyed FIFO zip (idle TTL) -> pattern -> select.
 
@@ -48,20 +57,23 @@ def track_process(
     runs over them in (trigger time, trigger arrival, step) order, non-keyed
     like the reference unless ``keyed_match``.
     """
-    stamped = stamp_watermark(log, spec, ts="time_stamp", stream=stream, streams=streams)
+    st = stats or base_stats(log)
+    seq_st = st["seq"]
+    stamped = stamp_watermark(
+        log, spec, ts="time_stamp", stream=stream, streams=streams, stats=seq_st, clock="clock_ms"
+    )
     group: list[str] = []
     if idle_ttl_ms is not None:
-        clocked = running_max(stamped, ts="time_stamp", out="clock_ms")
-        stamped = Z.gap_sessions(clocked, key, idle_ttl_ms)
+        stamped = cut(Z.gap_sessions(stamped, key, idle_ttl_ms, stats=seq_st))
         group = ["session"]
     routed = Z.route_steps(stamped, Z.contains_routes(steps))
-    tuples = Z.zip_join(routed, key, steps, group=group, carry=["wm_ms"])
+    tuples = cut(Z.zip_join(routed, key, steps, group=group, carry=["wm_ms"], stats=seq_st))
     rows = Z.emit_rows(tuples, key, steps, group=group, carry=["trigger_wm_ms"])
     timed = rows.withColumns({"row_ts": F.col("time_stamp"), "time_stamp": F.col("trigger_ts")})
     kept = C.drop_late(timed, ts="time_stamp", wm="trigger_wm_ms")
     m = C.match_sequence(
         kept, step_pattern(steps, "step"), order=["trigger_ts", "trigger_seq", "pos"],
-        partition_by=[key] if keyed_match else None, payload=["row_ts", key],
+        partition_by=[key] if keyed_match else None, payload=["row_ts", key], stats=st["time_stamp"],
     )
     return m.select(
         F.col(f"{steps[0]}_{key}").alias(key),

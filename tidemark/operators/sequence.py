@@ -22,7 +22,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.plans.scan import order_stats, scan
+from tidemark.plans.scan import OrderStats, order_stats, scan
 
 
 @dataclass(frozen=True)
@@ -62,6 +62,7 @@ def match_sequence(
     order: Sequence[str] = ("time_stamp", "seq"),
     partition_by: Sequence[str] | None = None,
     payload: Sequence[str] = ("time_stamp", "event_id"),
+    stats: OrderStats | None = None,
 ) -> DataFrame:
     """One row per completed match: ``*partition_by, <step>_<payload>...``.
 
@@ -74,7 +75,8 @@ def match_sequence(
     if len(steps) < 2:
         raise ValueError("a sequence pattern needs at least two steps")
     fields = list(dict.fromkeys(order + list(payload)))
-    stats = order_stats(df, order[0])
+    if stats is None:
+        stats = order_stats(df, order[0])
 
     def item(extra: Column | None) -> Column:
         cols = [F.col(c).alias(c) for c in fields]

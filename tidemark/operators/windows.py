@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.plans.scan import row_number, scan
+from tidemark.plans.scan import OrderStats, row_number, scan
 
 ON_TIME = "on_time"
 ALLOWED_LATE = "allowed_late"
@@ -71,7 +71,8 @@ def window_aggregate(
 
 
 def refire_panes(
-    labelled: DataFrame, key: str, value: str, order: str = "seq", label: str = "label", row_id: str = "event_id"
+    labelled: DataFrame, key: str, value: str, order: str = "seq", label: str = "label", row_id: str = "event_id",
+    stats: OrderStats | None = None,
 ) -> DataFrame:
     """One row per firing of each (key, window) (L2).
 
@@ -100,6 +101,7 @@ def refire_panes(
         },
         partition_by=wkeys,
         inclusive=True,
+        stats=stats,
     )
     fired = late.join(on_time, wkeys, "left").select(
         *wkeys,
@@ -123,7 +125,8 @@ def refire_panes(
 
 
 def sorted_window_rows(
-    df: DataFrame, key: str, ts: str = "ts_ms", order: str = "seq", out: str = "pos"
+    df: DataFrame, key: str, ts: str = "ts_ms", order: str = "seq", out: str = "pos",
+    stats: OrderStats | None = None,
 ) -> DataFrame:
     """Rows of each (key, window) with their position by event time.
 
@@ -131,7 +134,7 @@ def sorted_window_rows(
     ``(ts, seq)`` order.  The position is a skew-safe running count, so a hot
     window is split across tasks instead of being collected.
     """
-    return row_number(df, out, [ts, order], partition_by=[key, "window_start"])
+    return row_number(df, out, [ts, order], partition_by=[key, "window_start"], stats=stats)
 
 
 def apply_window_function(

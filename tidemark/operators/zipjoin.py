@@ -71,6 +71,7 @@ def zip_join(
     row_id: str = "event_id",
     group: Sequence[str] = (),
     carry: Sequence[str] = (),
+    stats: OrderStats | None = None,
 ) -> DataFrame:
     """The i-th element of every step list per key (and ``group``, e.g. session).
 
@@ -79,7 +80,7 @@ def zip_join(
     and ``trigger_<c>`` for every column in ``carry``.
     """
     parts = [key, *group]
-    numbered = row_number(routed, "n_tuple", [order], partition_by=[*parts, step])
+    numbered = row_number(routed, "n_tuple", [order], partition_by=[*parts, step], stats=stats)
     item = F.struct(
         F.col(order).alias("seq"), F.col(ts).alias("ts"), F.col(row_id).alias("id"), *[F.col(c).alias(c) for c in carry]
     )
@@ -102,7 +103,8 @@ def zip_join(
 
 
 def pending_sizes(
-    df: DataFrame, key: str, routes: Mapping[str, Column], order: str = "seq", prefix: str = "n"
+    df: DataFrame, key: str, routes: Mapping[str, Column], order: str = "seq", prefix: str = "n",
+    stats: OrderStats | None = None,
 ) -> DataFrame:
     """List sizes after each event's add and before its pop (Z3, no expiry).
 
@@ -115,7 +117,7 @@ def pending_sizes(
     staged = df.withColumns(flags)
     counts = scan(
         staged, [order], {f"__c{i}": ("sum", F.col(f"__f{i}")) for i in range(len(names))},
-        partition_by=[key], inclusive=True,
+        partition_by=[key], inclusive=True, stats=stats,
     )
     before = F.least(*[F.col(f"__c{i}") - F.col(f"__f{i}") for i in range(len(names))])
     out = counts.withColumns(
@@ -180,6 +182,7 @@ def zip_join_write_ttl(
     order: str = "seq",
     ts: str = "time_stamp",
     row_id: str = "event_id",
+    stats: OrderStats | None = None,
 ) -> DataFrame:
     """Zip with a write-refreshed TTL (ST3): sequential fold per (key, gap session).
 
@@ -190,7 +193,7 @@ def zip_join_write_ttl(
     steps = list(routes)
     nf = len(steps)
     flagged = df.withColumns({f"__f{i}": c.cast("boolean") for i, c in enumerate(routes.values())})
-    sess = gap_sessions(flagged, key, ttl_ms, clock=clock, order=order)
+    sess = gap_sessions(flagged, key, ttl_ms, clock=clock, order=order, stats=stats)
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     cols = [key, "session", order, clock, ts, row_id] + [f"__f{i}" for i in range(nf)]
     part = sess.select(*cols).repartition(n, key, "session").sortWithinPartitions(key, "session", order)

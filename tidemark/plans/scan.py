@@ -30,15 +30,22 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Target number of rows per bucket; each bucket is one bounded window partition.
+# Upper bound of rows per bucket; each bucket is one bounded window partition.
 DEFAULT_BUCKET_ROWS = 1 << 15
+# Lower bound, so that small inputs do not pay for many tiny buckets.
+MIN_BUCKET_ROWS = 1 << 10
 
 _AGG = {"min": F.min, "max": F.max, "sum": F.sum}
 
 
 @dataclass(frozen=True)
 class OrderStats:
-    """Range of the leading order column and an upper bound of rows per key."""
+    """Bounds of the leading order column and an upper bound of rows per key.
+
+    Bounds computed on a superset stay valid for any subset (or for rows
+    derived from it that keep the column), which lets a pipeline compute them
+    once on its base table instead of re-running its lineage before each scan.
+    """
 
     lo: int
     hi: int
@@ -47,10 +54,28 @@ class OrderStats:
 
 def order_stats(df: DataFrame, col: str) -> OrderStats:
     """One small aggregate job: min/max/count of the leading order column."""
-    row = df.agg(F.min(col).alias("lo"), F.max(col).alias("hi"), F.count(col).alias("n")).first()
-    if row is None or row["n"] == 0:
-        return OrderStats(0, 0, 0)
-    return OrderStats(int(row["lo"]), int(row["hi"]), int(row["n"]))
+    return order_stats_multi(df, [col])[col]
+
+
+def order_stats_multi(df: DataFrame, cols: Sequence[str]) -> dict[str, OrderStats]:
+    """Bounds of several order columns in one aggregate job."""
+    aggs = [F.count(F.lit(1)).alias("__n")]
+    for i, c in enumerate(cols):
+        aggs += [F.min(c).alias(f"__lo{i}"), F.max(c).alias(f"__hi{i}")]
+    row = df.agg(*aggs).first()
+    out = {}
+    for i, c in enumerate(cols):
+        if row is None or row["__n"] == 0 or row[f"__lo{i}"] is None:
+            out[c] = OrderStats(0, 0, 0)
+        else:
+            out[c] = OrderStats(int(row[f"__lo{i}"]), int(row[f"__hi{i}"]), int(row["__n"]))
+    return out
+
+
+def auto_bucket_rows(df: DataFrame, n: int) -> int:
+    """Rows per bucket: about four buckets per core, within [MIN, DEFAULT]."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return int(min(DEFAULT_BUCKET_ROWS, max(MIN_BUCKET_ROWS, n // max(1, 4 * cores))))
 
 
 def scan(
@@ -60,7 +85,7 @@ def scan(
     partition_by: Sequence[str] = (),
     following: bool = False,
     inclusive: bool = False,
-    bucket_rows: int = DEFAULT_BUCKET_ROWS,
+    bucket_rows: int | None = None,
     stats: OrderStats | None = None,
 ) -> DataFrame:
     """Add one column per ``aggs`` entry: ``name -> (fn, expr)``.
@@ -71,20 +96,26 @@ def scan(
     is ``fn(expr)`` over the rows of the same ``partition_by`` key that come
     before the row (``following=False``) or after it (``following=True``),
     including the row itself when ``inclusive``.  Empty frames give NULL for
-    min/max and 0 for sum.
+    min/max and 0 for sum.  ``stats`` may be bounds computed on a superset;
+    ``bucket_rows`` defaults to ``auto_bucket_rows``.
     """
     order_by = list(order_by)
     keys = list(partition_by)
-    bucket_rows = max(2, bucket_rows)  # every recursion level shrinks the input at least twofold
     if stats is None:
         stats = order_stats(df, order_by[0])
+    # Inputs of at most DEFAULT_BUCKET_ROWS rows need no buckets: any window
+    # partition is already that small, whatever the skew.
+    direct_rows = DEFAULT_BUCKET_ROWS if bucket_rows is None else 0
+    if bucket_rows is None:
+        bucket_rows = auto_bucket_rows(df, stats.n)
+    bucket_rows = max(2, bucket_rows)  # every recursion level shrinks the input at least twofold
     cols = list(df.columns)
     vin = {name: f"__in_{i}" for i, name in enumerate(aggs)}
     staged = df.withColumns(
         {vin[name]: (F.col(e) if isinstance(e, str) else e) for name, (_, e) in aggs.items()}
     )
     fns = {name: fn for name, (fn, _) in aggs.items()}
-    out = _scan_staged(staged, order_by, vin, fns, keys, following, inclusive, bucket_rows, stats)
+    out = _scan_staged(staged, order_by, vin, fns, keys, following, inclusive, bucket_rows, stats, 0, direct_rows)
     result = out.select(*cols, *[F.col(f"__out_{vin[n]}").alias(n) for n in aggs])
     return result
 
@@ -104,11 +135,12 @@ def _scan_staged(
     bucket_rows: int,
     stats: OrderStats,
     depth: int = 0,
+    direct_rows: int = 0,
 ) -> DataFrame:
     """Scan on pre-staged input columns ``vin``; outputs ``__out_<vin>``."""
     end = Window.currentRow if inclusive else -1
-    if stats.n <= bucket_rows:
-        # Every key holds at most bucket_rows rows: one bounded window per key.
+    if stats.n <= max(bucket_rows, direct_rows):
+        # Every key holds at most that many rows: one bounded window per key.
         w = (
             Window.partitionBy(*keys)
             .orderBy(*_direction(order_by, following))

@@ -82,14 +82,19 @@ def stamp_watermark(
     stream: str | None = None,
     streams: Sequence[object] = (),
     stats: OrderStats | None = None,
+    clock: str | None = None,
 ) -> DataFrame:
     """Add ``out``: the watermark in force when each row arrived.
 
     With ``stream``/``streams`` the input is a union of several sources and the
-    watermark is the minimum over the sources' own watermarks.
+    watermark is the minimum over the sources' own watermarks.  ``clock`` also
+    adds the inclusive running max of event time over all sources (a monotone
+    arrival clock) from the same scan.
     """
     if stream is None:
         stamped = scan(df, [order], {"__pm": ("max", F.col(ts))}, stats=stats)
+        if clock:
+            stamped = stamped.withColumn(clock, F.greatest(F.col("__pm"), F.col(ts)))
         return stamped.withColumn(out, F.col("__pm") - F.lit(spec.lag_ms)).drop("__pm")
     names = [f"__pm{i}" for i in range(len(streams))]
     aggs = {
@@ -100,6 +105,8 @@ def stamp_watermark(
     for n in names:
         any_missing = any_missing | F.col(n).isNull()
     wm = F.when(any_missing, F.lit(None)).otherwise(F.least(*[F.col(n) for n in names]))
+    if clock:
+        stamped = stamped.withColumn(clock, F.greatest(*[F.col(n) for n in names], F.col(ts)))
     return stamped.withColumn(out, wm - F.lit(spec.lag_ms)).drop(*names)
 
 

@@ -22,6 +22,7 @@ from tidemark.plans.watermark import (
     periodic_generator,
     stamp_watermark,
 )
+from tidemark.jobs import base_stats
 from tidemark.sources import events as E
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -85,8 +86,15 @@ def _sensor(spark: SparkSession, sf_dir: str) -> DataFrame:
     return E.sensor_readings(spark, sf_dir)
 
 
-def _labelled(spark: SparkSession, sf_dir: str, spec: WatermarkSpec, size_ms: int, lateness_ms: int) -> DataFrame:
-    stamped = stamp_watermark(_sensor(spark, sf_dir), spec, ts="time_stamp")
+def _stats(spark: SparkSession, sf_dir: str):
+    """Bounds of ``seq`` and ``time_stamp`` of the events adapters: one small job per query."""
+    return base_stats(_sensor(spark, sf_dir))
+
+
+def _labelled(spark: SparkSession, sf_dir: str, spec: WatermarkSpec, size_ms: int, lateness_ms: int,
+              st=None) -> DataFrame:
+    st = st or _stats(spark, sf_dir)
+    stamped = stamp_watermark(_sensor(spark, sf_dir), spec, ts="time_stamp", stats=st["seq"])
     return W.label_lateness(stamped, size_ms, lateness_ms, ts="time_stamp")
 
 
@@ -244,7 +252,9 @@ SELECT l.id, l.window_start, l.window_end, l.pane, l.event_id AS fired_by, coale
 FROM late l LEFT JOIN base b USING (id, window_start, window_end)""",
 )
 def win_refire_panes(spark, sf_dir):
-    panes = W.refire_panes(_late_labelled(spark, sf_dir), "id", "temperature")
+    st = _stats(spark, sf_dir)
+    lab = _labelled(spark, sf_dir, bounded_out_of_orderness(DELAY_MS), SIZE_MS, LATENESS_MS, st)
+    panes = W.refire_panes(lab, "id", "temperature", stats=st["seq"])
     return panes.withColumn("sum_value", F.round("sum_value", 6))
 
 
@@ -257,10 +267,11 @@ def win_refire_panes(spark, sf_dir):
 FROM labelled WHERE label <> 'too_late'""",
 )
 def win_sorted_rows(spark, sf_dir):
+    st = _stats(spark, sf_dir)
     rows = W.emitted_rows(
-        _labelled(spark, sf_dir, bounded_out_of_orderness(SORTED_DELAY_MS), SORTED_SIZE_MS, 0)
+        _labelled(spark, sf_dir, bounded_out_of_orderness(SORTED_DELAY_MS), SORTED_SIZE_MS, 0, st)
     )
-    out = W.sorted_window_rows(rows, "id", ts="time_stamp")
+    out = W.sorted_window_rows(rows, "id", ts="time_stamp", stats=st["time_stamp"])
     return out.select("id", "window_start", "window_end", F.col("pos").cast("bigint").alias("pos"),
                       "event_id", "time_stamp", "temperature")
 
@@ -323,6 +334,7 @@ def win_apply_udf_batched(spark, sf_dir):
 
 # ---------------------------------------------------------------- M3: routing, union, zip join, TTL
 from tidemark.operators import zipjoin as Z  # noqa: E402
+from tidemark.plans.lineage import cut  # noqa: E402
 from tidemark.plans.watermark import running_max  # noqa: E402
 
 LOG_DELAY_MS = 3 * HOUR_MS
@@ -412,7 +424,8 @@ ZIP_COLS = (
     _with(LOG_CTE, STEPS_CTE, ROUTED_CTE, _zip_sql("routed", "workpiece")) + "SELECT * FROM final",
 )
 def zip_join_steps(spark, sf_dir):
-    return Z.zip_join(_routed(spark, sf_dir), "workpiece", STEPS).select(*ZIP_COLS)
+    st = _stats(spark, sf_dir)
+    return Z.zip_join(_routed(spark, sf_dir), "workpiece", STEPS, stats=st["seq"]).select(*ZIP_COLS)
 
 
 @query(
@@ -425,7 +438,8 @@ def zip_join_steps(spark, sf_dir):
     ),
 )
 def zip_emit_rows(spark, sf_dir):
-    tuples = Z.zip_join(_routed(spark, sf_dir), "workpiece", STEPS)
+    st = _stats(spark, sf_dir)
+    tuples = Z.zip_join(_routed(spark, sf_dir), "workpiece", STEPS, stats=st["seq"])
     return Z.emit_rows(tuples, "workpiece", STEPS)
 
 
@@ -448,13 +462,14 @@ def zip_emit_rows(spark, sf_dir):
     + " FROM c",
 )
 def zip_pending_sizes(spark, sf_dir):
-    sizes = Z.pending_sizes(_log(spark, sf_dir), "workpiece", Z.contains_routes(STEPS))
+    st = _stats(spark, sf_dir)
+    sizes = Z.pending_sizes(_log(spark, sf_dir), "workpiece", Z.contains_routes(STEPS), stats=st["seq"])
     return sizes.select("event_id", "workpiece", "content", *[f"n{i + 1}" for i in range(len(STEPS))])
 
 
-def _sessions(spark, sf_dir, ttl_ms: int) -> DataFrame:
-    clocked = running_max(_log(spark, sf_dir), ts="time_stamp", out="clock_ms")
-    return Z.gap_sessions(clocked, "workpiece", ttl_ms)
+def _sessions(spark, sf_dir, ttl_ms: int, st) -> DataFrame:
+    clocked = running_max(_log(spark, sf_dir), ts="time_stamp", out="clock_ms", stats=st["seq"])
+    return cut(Z.gap_sessions(clocked, "workpiece", ttl_ms, stats=st["seq"]), "sessions")
 
 
 @query(
@@ -473,15 +488,17 @@ def _sessions(spark, sf_dir, ttl_ms: int) -> DataFrame:
     + "SELECT * FROM final",
 )
 def zip_join_idle_ttl(spark, sf_dir):
-    routed = Z.route_steps(_sessions(spark, sf_dir, IDLE_TTL_MS), Z.contains_routes(STEPS))
-    out = Z.zip_join(routed, "workpiece", STEPS, group=["session"])
+    st = _stats(spark, sf_dir)
+    routed = Z.route_steps(_sessions(spark, sf_dir, IDLE_TTL_MS, st), Z.contains_routes(STEPS))
+    out = Z.zip_join(routed, "workpiece", STEPS, group=["session"], stats=st["seq"])
     return out.select("workpiece", F.col("session").cast("bigint").alias("session"), *ZIP_COLS[1:])
 
 
 @query("zip_join_write_ttl")
 def zip_join_write_ttl(spark, sf_dir):
-    clocked = running_max(_log(spark, sf_dir), ts="time_stamp", out="clock_ms")
-    return Z.zip_join_write_ttl(clocked, "workpiece", Z.contains_routes(STEPS), WRITE_TTL_MS)
+    st = _stats(spark, sf_dir)
+    clocked = running_max(_log(spark, sf_dir), ts="time_stamp", out="clock_ms", stats=st["seq"])
+    return Z.zip_join_write_ttl(clocked, "workpiece", Z.contains_routes(STEPS), WRITE_TTL_MS, stats=st["seq"])
 
 
 # ---------------------------------------------------------------- M4: sequence pattern
@@ -528,12 +545,14 @@ def _match_sql(keyed: bool, src: str = "log", extra_ctes: tuple[str, ...] = ())
 
 @query("seq_match_keyed", _match_sql(True))
 def seq_match_keyed(spark, sf_dir):
-    return C.match_sequence(_log(spark, sf_dir), step_pattern(), partition_by=["workpiece"])
+    st = _stats(spark, sf_dir)
+    return C.match_sequence(_log(spark, sf_dir), step_pattern(), partition_by=["workpiece"], stats=st["time_stamp"])
 
 
 @query("seq_match_global", _match_sql(False))
 def seq_match_global(spark, sf_dir):
-    return C.match_sequence(_log(spark, sf_dir), step_pattern(), partition_by=None)
+    st = _stats(spark, sf_dir)
+    return C.match_sequence(_log(spark, sf_dir), step_pattern(), partition_by=None, stats=st["time_stamp"])
 
 
 def _select_sql(inner: str) -> str:
@@ -543,7 +562,8 @@ def _select_sql(inner: str) -> str:
 
 @query("seq_match_select", _select_sql(_match_sql(True)))
 def seq_match_select(spark, sf_dir):
-    m = C.match_sequence(_log(spark, sf_dir), step_pattern(), partition_by=["workpiece"])
+    st = _stats(spark, sf_dir)
+    m = C.match_sequence(_log(spark, sf_dir), step_pattern(), partition_by=["workpiece"], stats=st["time_stamp"])
     return C.select_process_data(m, STEPS, keys=["workpiece"])
 
 
@@ -555,9 +575,10 @@ stamped_log AS (SELECT * EXCLUDE (pm1, pm2),
   CASE WHEN pm1 IS NULL OR pm2 IS NULL THEN NULL ELSE least(pm1, pm2) - {LOG_DELAY_MS + 1} END AS wm_ms FROM pm)"""
 
 
-def _stamped_log(spark, sf_dir) -> DataFrame:
+def _stamped_log(spark, sf_dir, st) -> DataFrame:
     return stamp_watermark(
-        _log(spark, sf_dir), bounded_out_of_orderness(LOG_DELAY_MS), ts="time_stamp", stream="station", streams=[1, 2]
+        _log(spark, sf_dir), bounded_out_of_orderness(LOG_DELAY_MS), ts="time_stamp", stream="station", streams=[1, 2],
+        stats=st["seq"],
     )
 
 
@@ -570,8 +591,9 @@ def _stamped_log(spark, sf_dir) -> DataFrame:
     ),
 )
 def seq_match_late_dropped(spark, sf_dir):
-    kept = C.drop_late(_stamped_log(spark, sf_dir))
-    return C.match_sequence(kept, step_pattern(), partition_by=["workpiece"])
+    st = _stats(spark, sf_dir)
+    kept = C.drop_late(_stamped_log(spark, sf_dir, st))
+    return C.match_sequence(kept, step_pattern(), partition_by=["workpiece"], stats=st["time_stamp"])
 
 
 @query(
@@ -596,7 +618,9 @@ def seq_match_late_dropped(spark, sf_dir):
 )
 def process_tracking(spark, sf_dir):
     """Union of two stations -> keyed zip with idle TTL -> non-keyed pattern -> select."""
-    return J.track_process(_log(spark, sf_dir), bounded_out_of_orderness(LOG_DELAY_MS), STEPS, IDLE_TTL_MS)
+    return J.track_process(
+        _log(spark, sf_dir), bounded_out_of_orderness(LOG_DELAY_MS), STEPS, IDLE_TTL_MS, stats=_stats(spark, sf_dir)
+    )
 
 
 # ---------------------------------------------------------------- M6: sources, sinks, rendering, batch ops
@@ -665,7 +689,8 @@ def render_rows(spark, sf_dir):
     log = E.log_events(spark, sf_dir).select(
         F.lit("log").alias("kind"), F.col("event_id").alias("ref_id"), R.render_log_event().alias("line")
     )
-    m = C.match_sequence(_log(spark, sf_dir), step_pattern(), partition_by=["workpiece"])
+    st = _stats(spark, sf_dir)
+    m = C.match_sequence(_log(spark, sf_dir), step_pattern(), partition_by=["workpiece"], stats=st["time_stamp"])
     proc = C.select_process_data(m.withColumnRenamed(f"{STEPS[0]}_event_id", "ref_id"), STEPS, keys=["ref_id"])
     proc = proc.select(F.lit("process").alias("kind"), "ref_id", R.render_process_data(STEPS).alias("line"))
     return sensor.unionByName(log).unionByName(proc)
