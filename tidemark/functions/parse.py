@@ -22,7 +22,7 @@ FAILFAST = "FAILFAST"
 QUARANTINE = "QUARANTINE"
 
 # Java's String.trim() strips every char <= U+0020 at both ends.
-_JAVA_TRIM = r"^[\x00-\x20]+|[\x00-\x20]+$"
+_JAVA_TRIM_CHARS = "".join(chr(i) for i in range(0x21))
 # Long.parseLong accepts an optional sign and decimal digits only.
 _LONG_TEXT = r"^[+-]?[0-9]+$"
 
@@ -31,7 +31,7 @@ LOG_FIELDS = (("id", "string"), ("workpiece", "string"), ("time_stamp", "bigint"
 
 
 def java_trim(c: Column) -> Column:
-    return F.regexp_replace(c, _JAVA_TRIM, "")
+    return F.trim(c, F.lit(_JAVA_TRIM_CHARS))
 
 
 def _typed(text: Column, typ: str) -> tuple[Column, Column]:
@@ -68,16 +68,16 @@ def parse_fields(
     good = F.lit(True)
     for ok in oks:
         good = good & F.coalesce(ok, F.lit(False))
-    staged = lines.select(*keep, F.col(value), *typed, good.alias("__ok"))
     names = [n for n, _ in fields]
     if mode == FAILFAST:
-        checked = staged.withColumn(
-            "__ok",
-            F.when(F.col("__ok"), F.lit(True)).otherwise(
-                F.raise_error(F.concat(F.lit("malformed line: "), F.coalesce(F.col(value), F.lit("NULL"))))
-            ),
-        )
-        return checked.where(F.col("__ok")).select(*keep, *names), None
+        # The check lives inside every projected field rather than in a Filter:
+        # a Filter would be pushed below the projection with all parse
+        # expressions inlined into it, while inside one projection the shared
+        # sub-expressions (split, trim, the check) are computed once per row.
+        fail = F.raise_error(F.concat(F.lit("malformed line: "), F.coalesce(F.col(value), F.lit("NULL"))))
+        checked = [F.when(good, v).otherwise(fail.cast(typ)).alias(n) for v, (n, typ) in zip(typed, fields)]
+        return lines.select(*keep, *checked), None
+    staged = lines.select(*keep, F.col(value), *typed, good.alias("__ok"))
     rows = staged.where(F.col("__ok")).select(*keep, *names)
     bad = staged.where(~F.col("__ok")).select(
         *keep, F.col(value), F.lit(f"expected {len(fields)} fields: {', '.join(names)}").alias("reason")

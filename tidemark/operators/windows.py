@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -140,7 +141,7 @@ def sorted_window_rows(
 def apply_window_function(
     df: DataFrame,
     key: str,
-    fn: Callable[[pd.DataFrame], pd.DataFrame],
+    fn: Callable[[pd.DataFrame], pd.DataFrame | dict | list],
     schema: str,
     per_window: bool = True,
 ) -> DataFrame:
@@ -152,7 +153,10 @@ def apply_window_function(
     carrying only the trailing, still incomplete window into the next batch.
     With ``per_window`` the function is called once per window (the
     reference's ``WindowFunction.apply`` contract); otherwise it receives
-    batches of complete windows and may vectorise across them.
+    batches of complete windows and may vectorise across them.  A per-window
+    function may return a DataFrame, one record (a dict) or a list of records;
+    records are assembled into one frame per Arrow batch, which avoids building
+    a pandas frame per window.
     """
     gkeys = [key, "window_start"]
     # An explicit partition count: AQE must not fold Python work into one task.
@@ -162,7 +166,22 @@ def apply_window_function(
     def call(pdf: pd.DataFrame) -> pd.DataFrame:
         if not per_window:
             return fn(pdf)
-        return pd.concat([fn(g) for _, g in pdf.groupby(gkeys, sort=False)], ignore_index=True)
+        # rows arrive sorted by (key, window): cut at the change points
+        k, w = pdf[key].to_numpy(), pdf["window_start"].to_numpy()
+        cuts = np.flatnonzero((k[1:] != k[:-1]) | (w[1:] != w[:-1])) + 1
+        bounds = np.concatenate(([0], cuts, [len(pdf)]))
+        frames, records = [], []
+        for a, b in zip(bounds[:-1], bounds[1:]):
+            res = fn(pdf.iloc[a:b])
+            if isinstance(res, pd.DataFrame):
+                frames.append(res)
+            elif isinstance(res, dict):
+                records.append(res)
+            elif res is not None:
+                records.extend(res)
+        if records:
+            frames.append(pd.DataFrame.from_records(records))
+        return pd.concat(frames, ignore_index=True) if len(frames) != 1 else frames[0]
 
     def run(batches):
         carry = None

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -276,19 +277,18 @@ def win_sorted_rows(spark, sf_dir):
                       "event_id", "time_stamp", "temperature")
 
 
-def _spread_fn(pdf: pd.DataFrame) -> pd.DataFrame:
+def _spread_fn(pdf: pd.DataFrame) -> dict:
     """Example user window function: size, temperature spread, earliest row."""
-    first = pdf.sort_values(["time_stamp", "seq"], kind="stable").iloc[0]
-    return pd.DataFrame(
-        {
-            "id": [pdf["id"].iloc[0]],
-            "window_start": [int(pdf["window_start"].iloc[0])],
-            "window_end": [int(pdf["window_end"].iloc[0])],
-            "n_rows": [len(pdf)],
-            "spread": [round(float(pdf["temperature"].max() - pdf["temperature"].min()), 6)],
-            "first_event": [int(first["event_id"])],
-        }
-    )
+    temp = pdf["temperature"].to_numpy()
+    first = np.lexsort((pdf["seq"].to_numpy(), pdf["time_stamp"].to_numpy()))[0]
+    return {
+        "id": pdf["id"].iat[0],
+        "window_start": int(pdf["window_start"].iat[0]),
+        "window_end": int(pdf["window_end"].iat[0]),
+        "n_rows": len(pdf),
+        "spread": round(float(temp.max() - temp.min()), 6),
+        "first_event": int(pdf["event_id"].iat[first]),
+    }
 
 
 @query(
