@@ -15,7 +15,7 @@ from tidemark.operators import sequence as C
 from tidemark.operators import windows as W
 from tidemark.operators import zipjoin as Z
 from tidemark.plans.lineage import cut
-from tidemark.plans.scan import OrderStats, order_stats_multi
+from tidemark.plans.scan import OrderStats, keyed_order_stats
 from tidemark.plans.watermark import WatermarkSpec, stamp_watermark
 
 
@@ -27,9 +27,23 @@ def step_pattern(steps: Sequence[str], content: str = "content") -> C.SequencePa
     return p
 
 
-def base_stats(df: DataFrame, cols=("seq", "time_stamp")) -> dict[str, OrderStats]:
-    """Order bounds of a job's input, computed once (one aggregate job)."""
-    return order_stats_multi(df, list(cols))
+class BaseStats:
+    """Order bounds of a job's base rows, from one aggregate job.
+
+    ``glob[c]`` bounds global scans over column ``c``; ``keyed[c]`` bounds
+    scans partitioned by (a superset of) ``key``: its row bound is the largest
+    key's row count, so keyed scans skip bucketing unless some key is hot.
+    """
+
+    def __init__(self, df: DataFrame, cols=("seq", "time_stamp"), key=("workpiece",)):
+        self.glob, self.keyed = keyed_order_stats(df, list(cols), list(key))
+
+    def __getitem__(self, col: str) -> OrderStats:
+        return self.glob[col]
+
+
+def base_stats(df: DataFrame, cols=("seq", "time_stamp"), key=("workpiece",)) -> BaseStats:
+    return BaseStats(df, cols, key)
 
 
 def window_job(
@@ -49,7 +63,7 @@ def track_process(
     stream: str = "station",
     streams: Sequence[object] = (1, 2),
     keyed_match: bool = False,
-    stats: dict[str, OrderStats] | None = None,
+    stats: BaseStats | None = None,
 ) -> DataFrame:
     """Union of stations -> keyed FIFO zip (idle TTL) -> pattern -> select.
 
@@ -57,23 +71,24 @@ def track_process(
     runs over them in (trigger time, trigger arrival, step) order, non-keyed
     like the reference unless ``keyed_match``.
     """
-    st = stats or base_stats(log)
-    seq_st = st["seq"]
+    st = stats or base_stats(log, key=[key])
+    seq_st, key_st = st["seq"], st.keyed["seq"]
     stamped = stamp_watermark(
         log, spec, ts="time_stamp", stream=stream, streams=streams, stats=seq_st, clock="clock_ms"
     )
     group: list[str] = []
     if idle_ttl_ms is not None:
-        stamped = cut(Z.gap_sessions(stamped, key, idle_ttl_ms, stats=seq_st))
+        stamped = cut(Z.gap_sessions(stamped, key, idle_ttl_ms, stats=key_st))
         group = ["session"]
     routed = Z.route_steps(stamped, Z.contains_routes(steps))
-    tuples = cut(Z.zip_join(routed, key, steps, group=group, carry=["wm_ms"], stats=seq_st))
+    tuples = cut(Z.zip_join(routed, key, steps, group=group, carry=["wm_ms"], stats=key_st))
     rows = Z.emit_rows(tuples, key, steps, group=group, carry=["trigger_wm_ms"])
     timed = rows.withColumns({"row_ts": F.col("time_stamp"), "time_stamp": F.col("trigger_ts")})
     kept = C.drop_late(timed, ts="time_stamp", wm="trigger_wm_ms")
     m = C.match_sequence(
         kept, step_pattern(steps, "step"), order=["trigger_ts", "trigger_seq", "pos"],
-        partition_by=[key] if keyed_match else None, payload=["row_ts", key], stats=st["time_stamp"],
+        partition_by=[key] if keyed_match else None, payload=["row_ts", key],
+        stats=st.keyed["time_stamp"] if keyed_match else st["time_stamp"],
     )
     return m.select(
         F.col(f"{steps[0]}_{key}").alias(key),

@@ -63,12 +63,36 @@ def order_stats_multi(df: DataFrame, cols: Sequence[str]) -> dict[str, OrderStat
     for i, c in enumerate(cols):
         aggs += [F.min(c).alias(f"__lo{i}"), F.max(c).alias(f"__hi{i}")]
     row = df.agg(*aggs).first()
+    return _unpack(row, cols, row["__n"] if row is not None else 0)
+
+
+def keyed_order_stats(df: DataFrame, cols: Sequence[str], key: Sequence[str]) -> tuple[dict, dict]:
+    """``(global, per_key)`` bounds in one job; ``per_key`` uses the largest key's row count.
+
+    The per-key bound stays valid for any scan partitioned by a superset of
+    ``key`` on these rows or a subset of them, so a job decides once whether
+    some key is hot (needs buckets) or every key fits one bounded window.
+    """
+    per = df.groupBy(*key).agg(
+        F.count(F.lit(1)).alias("__c"),
+        *[x for i, c in enumerate(cols) for x in (F.min(c).alias(f"__lo{i}"), F.max(c).alias(f"__hi{i}"))],
+    )
+    aggs = [F.sum("__c").alias("__n"), F.max("__c").alias("__k")]
+    for i in range(len(cols)):
+        aggs += [F.min(f"__lo{i}").alias(f"__lo{i}"), F.max(f"__hi{i}").alias(f"__hi{i}")]
+    row = per.agg(*aggs).first()
+    n = row["__n"] if row is not None and row["__n"] is not None else 0
+    k = row["__k"] if row is not None and row["__k"] is not None else 0
+    return _unpack(row, cols, n), _unpack(row, cols, k)
+
+
+def _unpack(row, cols: Sequence[str], n: int) -> dict[str, OrderStats]:
     out = {}
     for i, c in enumerate(cols):
-        if row is None or row["__n"] == 0 or row[f"__lo{i}"] is None:
+        if row is None or not n or row[f"__lo{i}"] is None:
             out[c] = OrderStats(0, 0, 0)
         else:
-            out[c] = OrderStats(int(row[f"__lo{i}"]), int(row[f"__hi{i}"]), int(row["__n"]))
+            out[c] = OrderStats(int(row[f"__lo{i}"]), int(row[f"__hi{i}"]), int(n))
     return out
 
 

@@ -89,7 +89,7 @@ def _sensor(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _stats(spark: SparkSession, sf_dir: str):
     """Bounds of ``seq`` and ``time_stamp`` of the events adapters: one small job per query."""
-    return base_stats(_sensor(spark, sf_dir))
+    return base_stats(_sensor(spark, sf_dir), key=["id"])
 
 
 def _labelled(spark: SparkSession, sf_dir: str, spec: WatermarkSpec, size_ms: int, lateness_ms: int,
@@ -255,7 +255,7 @@ FROM late l LEFT JOIN base b USING (id, window_start, window_end)""",
 def win_refire_panes(spark, sf_dir):
     st = _stats(spark, sf_dir)
     lab = _labelled(spark, sf_dir, bounded_out_of_orderness(DELAY_MS), SIZE_MS, LATENESS_MS, st)
-    panes = W.refire_panes(lab, "id", "temperature", stats=st["seq"])
+    panes = W.refire_panes(lab, "id", "temperature", stats=st.keyed["seq"])
     return panes.withColumn("sum_value", F.round("sum_value", 6))
 
 
@@ -272,7 +272,7 @@ def win_sorted_rows(spark, sf_dir):
     rows = W.emitted_rows(
         _labelled(spark, sf_dir, bounded_out_of_orderness(SORTED_DELAY_MS), SORTED_SIZE_MS, 0, st)
     )
-    out = W.sorted_window_rows(rows, "id", ts="time_stamp", stats=st["time_stamp"])
+    out = W.sorted_window_rows(rows, "id", ts="time_stamp", stats=st.keyed["time_stamp"])
     return out.select("id", "window_start", "window_end", F.col("pos").cast("bigint").alias("pos"),
                       "event_id", "time_stamp", "temperature")
 
@@ -425,7 +425,7 @@ ZIP_COLS = (
 )
 def zip_join_steps(spark, sf_dir):
     st = _stats(spark, sf_dir)
-    return Z.zip_join(_routed(spark, sf_dir), "workpiece", STEPS, stats=st["seq"]).select(*ZIP_COLS)
+    return Z.zip_join(_routed(spark, sf_dir), "workpiece", STEPS, stats=st.keyed["seq"]).select(*ZIP_COLS)
 
 
 @query(
@@ -439,7 +439,7 @@ def zip_join_steps(spark, sf_dir):
 )
 def zip_emit_rows(spark, sf_dir):
     st = _stats(spark, sf_dir)
-    tuples = Z.zip_join(_routed(spark, sf_dir), "workpiece", STEPS, stats=st["seq"])
+    tuples = Z.zip_join(_routed(spark, sf_dir), "workpiece", STEPS, stats=st.keyed["seq"])
     return Z.emit_rows(tuples, "workpiece", STEPS)
 
 
@@ -463,13 +463,13 @@ def zip_emit_rows(spark, sf_dir):
 )
 def zip_pending_sizes(spark, sf_dir):
     st = _stats(spark, sf_dir)
-    sizes = Z.pending_sizes(_log(spark, sf_dir), "workpiece", Z.contains_routes(STEPS), stats=st["seq"])
+    sizes = Z.pending_sizes(_log(spark, sf_dir), "workpiece", Z.contains_routes(STEPS), stats=st.keyed["seq"])
     return sizes.select("event_id", "workpiece", "content", *[f"n{i + 1}" for i in range(len(STEPS))])
 
 
 def _sessions(spark, sf_dir, ttl_ms: int, st) -> DataFrame:
     clocked = running_max(_log(spark, sf_dir), ts="time_stamp", out="clock_ms", stats=st["seq"])
-    return cut(Z.gap_sessions(clocked, "workpiece", ttl_ms, stats=st["seq"]), "sessions")
+    return cut(Z.gap_sessions(clocked, "workpiece", ttl_ms, stats=st.keyed["seq"]), "sessions")
 
 
 @query(
@@ -490,7 +490,7 @@ def _sessions(spark, sf_dir, ttl_ms: int, st) -> DataFrame:
 def zip_join_idle_ttl(spark, sf_dir):
     st = _stats(spark, sf_dir)
     routed = Z.route_steps(_sessions(spark, sf_dir, IDLE_TTL_MS, st), Z.contains_routes(STEPS))
-    out = Z.zip_join(routed, "workpiece", STEPS, group=["session"], stats=st["seq"])
+    out = Z.zip_join(routed, "workpiece", STEPS, group=["session"], stats=st.keyed["seq"])
     return out.select("workpiece", F.col("session").cast("bigint").alias("session"), *ZIP_COLS[1:])
 
 
@@ -498,7 +498,7 @@ def zip_join_idle_ttl(spark, sf_dir):
 def zip_join_write_ttl(spark, sf_dir):
     st = _stats(spark, sf_dir)
     clocked = running_max(_log(spark, sf_dir), ts="time_stamp", out="clock_ms", stats=st["seq"])
-    return Z.zip_join_write_ttl(clocked, "workpiece", Z.contains_routes(STEPS), WRITE_TTL_MS, stats=st["seq"])
+    return Z.zip_join_write_ttl(clocked, "workpiece", Z.contains_routes(STEPS), WRITE_TTL_MS, stats=st.keyed["seq"])
 
 
 # ---------------------------------------------------------------- M4: sequence pattern
@@ -546,7 +546,7 @@ def _match_sql(keyed: bool, src: str = "log", extra_ctes: tuple[str, ...] = ())
 @query("seq_match_keyed", _match_sql(True))
 def seq_match_keyed(spark, sf_dir):
     st = _stats(spark, sf_dir)
-    return C.match_sequence(_log(spark, sf_dir), step_pattern(), partition_by=["workpiece"], stats=st["time_stamp"])
+    return C.match_sequence(_log(spark, sf_dir), step_pattern(), partition_by=["workpiece"], stats=st.keyed["time_stamp"])
 
 
 @query("seq_match_global", _match_sql(False))
@@ -563,7 +563,7 @@ def _select_sql(inner: str) -> str:
 @query("seq_match_select", _select_sql(_match_sql(True)))
 def seq_match_select(spark, sf_dir):
     st = _stats(spark, sf_dir)
-    m = C.match_sequence(_log(spark, sf_dir), step_pattern(), partition_by=["workpiece"], stats=st["time_stamp"])
+    m = C.match_sequence(_log(spark, sf_dir), step_pattern(), partition_by=["workpiece"], stats=st.keyed["time_stamp"])
     return C.select_process_data(m, STEPS, keys=["workpiece"])
 
 
@@ -593,7 +593,7 @@ def _stamped_log(spark, sf_dir, st) -> DataFrame:
 def seq_match_late_dropped(spark, sf_dir):
     st = _stats(spark, sf_dir)
     kept = C.drop_late(_stamped_log(spark, sf_dir, st))
-    return C.match_sequence(kept, step_pattern(), partition_by=["workpiece"], stats=st["time_stamp"])
+    return C.match_sequence(kept, step_pattern(), partition_by=["workpiece"], stats=st.keyed["time_stamp"])
 
 
 @query(
@@ -690,7 +690,7 @@ def render_rows(spark, sf_dir):
         F.lit("log").alias("kind"), F.col("event_id").alias("ref_id"), R.render_log_event().alias("line")
     )
     st = _stats(spark, sf_dir)
-    m = C.match_sequence(_log(spark, sf_dir), step_pattern(), partition_by=["workpiece"], stats=st["time_stamp"])
+    m = C.match_sequence(_log(spark, sf_dir), step_pattern(), partition_by=["workpiece"], stats=st.keyed["time_stamp"])
     proc = C.select_process_data(m.withColumnRenamed(f"{STEPS[0]}_event_id", "ref_id"), STEPS, keys=["ref_id"])
     proc = proc.select(F.lit("process").alias("kind"), "ref_id", R.render_process_data(STEPS).alias("line"))
     return sensor.unionByName(log).unionByName(proc)
