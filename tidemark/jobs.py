@@ -85,10 +85,12 @@ def track_process(
     rows = Z.emit_rows(tuples, key, steps, group=group, carry=["trigger_wm_ms"])
     timed = rows.withColumns({"row_ts": F.col("time_stamp"), "time_stamp": F.col("trigger_ts")})
     kept = C.drop_late(timed, ts="time_stamp", wm="trigger_wm_ms")
+    # The zipped rows are read back from the cut, so their own bounds cost one
+    # cheap scan and are tighter than the base table's.
+    match_st = keyed_order_stats(kept, ["trigger_ts"], [key])[1 if keyed_match else 0]["trigger_ts"]
     m = C.match_sequence(
         kept, step_pattern(steps, "step"), order=["trigger_ts", "trigger_seq", "pos"],
-        partition_by=[key] if keyed_match else None, payload=["row_ts", key],
-        stats=st.keyed["time_stamp"] if keyed_match else st["time_stamp"],
+        partition_by=[key] if keyed_match else None, payload=["row_ts", key], stats=match_st,
     )
     return m.select(
         F.col(f"{steps[0]}_{key}").alias(key),
