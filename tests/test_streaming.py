@@ -140,3 +140,24 @@ def test_interval_join_of_two_streams(spark):
 def test_emitted_rows_of_exact_path_feed_pane_aggregates(spark):
     lab = J.window_job(sensor_block(spark, B1), bounded_out_of_orderness(5000), 5000, 1000)
     assert W.refire_panes(lab, "id", "temperature").count() == 7
+
+
+def test_pattern_stream_in_event_time_order(spark):
+    from tidemark.streaming import pattern as SP
+
+    spec = bounded_out_of_orderness(5000)
+    # arrival out of time order: step2@1000 arrives after step3@3000
+    rows = [("s", "wp1", 0, "step1"), ("s", "wp1", 3000, "step3"), ("s", "wp1", 1000, "step2"),
+            ("s", "wp1", 4000, "step4"), ("s", "wp1", 5000, "step1"), ("s", "wp1", 6000, "step2"),
+            ("s", "wp1", 7000, "step3"), ("s", "wp1", 8000, "step4"), ("s", "wp1", 60_000, "error")]
+    d = _write_files([f"{a}, {b}, {BASE + t}, {c}" for a, b, t, c in rows])
+    raw = _stream(spark, d, 2).withColumn("event_id", F.col("seq"))
+    events, _ = parse_log_lines(raw, keep=["seq", "event_id"])
+    got = []
+    _run(
+        SP.match_stream(events, J.step_pattern(STEPS), "workpiece", spec)
+        .writeStream.outputMode("append")
+        .foreachBatch(lambda b, i: got.extend(b.collect()))
+        .option("checkpointLocation", tempfile.mkdtemp(prefix="tm-ck-"))
+    )
+    assert sorted(tuple(r[f"{s}_ts"] - BASE for s in STEPS) for r in got) == [(0, 1000, 3000, 4000), (5000, 6000, 7000, 8000)]
