@@ -7,11 +7,19 @@ from pyspark.sql import functions as F
 from tidemark import jobs as J
 from tidemark.operators import sequence as C
 from tidemark.operators import zipjoin as Z
-from tidemark.plans.scan import DEFAULT_BUCKET_ROWS
+import pytest
+
+from tidemark.plans import scan as scan_mod
 
 STEPS = ("step1", "step2", "step3", "step4")
 
 
+@pytest.fixture(autouse=True)
+def small_direct_bound(monkeypatch):
+    """Shrink the plain-window bound so that these inputs take the bucketed path."""
+    monkeypatch.setattr(scan_mod, "DIRECT_MAX_ROWS", 4096)
+
+
 def _events(spark, n=50_000, seed=11):
     rng = random.Random(seed)
     rows = []
@@ -38,7 +46,7 @@ def _brute_zip(rows):
 def test_zip_with_hot_key_is_bucketed_and_exact(spark):
     rows, df = _events(spark)
     st = J.base_stats(df)
-    assert st.keyed["seq"].n > DEFAULT_BUCKET_ROWS  # forces buckets for keyed scans
+    assert st.keyed["seq"].n > scan_mod.DIRECT_MAX_ROWS  # forces buckets for keyed scans
     out = Z.zip_join(Z.route_steps(df, Z.contains_routes(STEPS)), "workpiece", STEPS, stats=st.keyed["seq"])
     got = {(r["workpiece"], r["n_tuple"], *[r[f"{s}_event"] for s in STEPS], r["trigger_event"]) for r in out.collect()}
     assert got == _brute_zip(rows)

@@ -32,3 +32,18 @@ def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.count() > 0
     assert df.columns == entry.entry(spark).columns
+
+
+@pytest.mark.parametrize("name", NAMES)
+def test_query_matches_oracle_on_bucketed_scans(spark, con, name, monkeypatch):
+    """Same check with tiny scan bounds, so every scan takes the two-phase path."""
+    from tidemark.plans import scan as scan_mod
+
+    monkeypatch.setattr(scan_mod, "DIRECT_MAX_ROWS", 8)
+    monkeypatch.setattr(scan_mod, "MIN_BUCKET_ROWS", 16)
+    sql = entry.oracle_sql().get(name)
+    if sql is None:
+        return
+    got = entry.queries()[name](spark, SF).toPandas()
+    ok, why = frames_match(got, con.sql(sql).df())
+    assert ok, why

@@ -15,7 +15,7 @@ from tidemark.operators import sequence as C
 from tidemark.operators import windows as W
 from tidemark.operators import zipjoin as Z
 from tidemark.plans.lineage import cut
-from tidemark.plans.scan import OrderStats, keyed_order_stats
+from tidemark.plans.scan import OrderStats, keyed_order_stats, order_stats_multi
 from tidemark.plans.watermark import WatermarkSpec, stamp_watermark
 
 
@@ -35,15 +35,18 @@ class BaseStats:
     key's row count, so keyed scans skip bucketing unless some key is hot.
     """
 
-    def __init__(self, df: DataFrame, cols=("seq", "time_stamp"), key=("workpiece",)):
-        self.glob, self.keyed = keyed_order_stats(df, list(cols), list(key))
+    def __init__(self, df: DataFrame, cols=("seq", "time_stamp"), key=("workpiece",), keyed: bool = True):
+        if keyed:
+            self.glob, self.keyed = keyed_order_stats(df, list(cols), list(key))
+        else:  # global scans only: a plain aggregate, no shuffle
+            self.glob, self.keyed = order_stats_multi(df, list(cols)), None
 
     def __getitem__(self, col: str) -> OrderStats:
         return self.glob[col]
 
 
-def base_stats(df: DataFrame, cols=("seq", "time_stamp"), key=("workpiece",)) -> BaseStats:
-    return BaseStats(df, cols, key)
+def base_stats(df: DataFrame, cols=("seq", "time_stamp"), key=("workpiece",), keyed: bool = True) -> BaseStats:
+    return BaseStats(df, cols, key, keyed)
 
 
 def window_job(

@@ -32,6 +32,11 @@ from pyspark.sql import functions as F
 
 # Upper bound of rows per bucket; each bucket is one bounded window partition.
 DEFAULT_BUCKET_ROWS = 1 << 15
+# Inputs whose partitions provably hold at most this many rows (about one
+# ordinary task of data) are scanned with one plain window: fewer stages, and
+# no partition can exceed a normal task whatever the skew.  Larger inputs, or a
+# key above this bound, are bucketed.
+DIRECT_MAX_ROWS = 1 << 20
 # Lower bound, so that small inputs do not pay for many tiny buckets.
 MIN_BUCKET_ROWS = 1 << 10
 
@@ -127,9 +132,8 @@ def scan(
     keys = list(partition_by)
     if stats is None:
         stats = order_stats(df, order_by[0])
-    # Inputs of at most DEFAULT_BUCKET_ROWS rows need no buckets: any window
-    # partition is already that small, whatever the skew.
-    direct_rows = DEFAULT_BUCKET_ROWS if bucket_rows is None else 0
+    # Small inputs need no buckets: any window partition is already bounded.
+    direct_rows = DIRECT_MAX_ROWS if bucket_rows is None else 0
     if bucket_rows is None:
         bucket_rows = auto_bucket_rows(df, stats.n)
     bucket_rows = max(2, bucket_rows)  # every recursion level shrinks the input at least twofold

@@ -87,14 +87,18 @@ def _sensor(spark: SparkSession, sf_dir: str) -> DataFrame:
     return E.sensor_readings(spark, sf_dir)
 
 
-def _stats(spark: SparkSession, sf_dir: str):
-    """Bounds of ``seq`` and ``time_stamp`` of the events adapters: one small job per query."""
-    return base_stats(_sensor(spark, sf_dir), key=["id"])
+def _stats(spark: SparkSession, sf_dir: str, keyed: bool = True):
+    """Bounds of ``seq`` and ``time_stamp`` of the events adapters: one small job per query.
+
+    ``keyed`` adds the largest per-user row count (one more shuffle of a tiny
+    partial aggregate); queries without keyed scans skip it.
+    """
+    return base_stats(_sensor(spark, sf_dir), key=["id"], keyed=keyed)
 
 
 def _labelled(spark: SparkSession, sf_dir: str, spec: WatermarkSpec, size_ms: int, lateness_ms: int,
               st=None) -> DataFrame:
-    st = st or _stats(spark, sf_dir)
+    st = st or _stats(spark, sf_dir, keyed=False)
     stamped = stamp_watermark(_sensor(spark, sf_dir), spec, ts="time_stamp", stats=st["seq"])
     return W.label_lateness(stamped, size_ms, lateness_ms, ts="time_stamp")
 
@@ -551,7 +555,7 @@ def seq_match_keyed(spark, sf_dir):
 
 @query("seq_match_global", _match_sql(False))
 def seq_match_global(spark, sf_dir):
-    st = _stats(spark, sf_dir)
+    st = _stats(spark, sf_dir, keyed=False)
     return C.match_sequence(_log(spark, sf_dir), step_pattern(), partition_by=None, stats=st["time_stamp"])
 
 
