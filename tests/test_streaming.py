@@ -161,3 +161,22 @@ def test_pattern_stream_in_event_time_order(spark):
         .option("checkpointLocation", tempfile.mkdtemp(prefix="tm-ck-"))
     )
     assert sorted(tuple(r[f"{s}_ts"] - BASE for s in STEPS) for r in got) == [(0, 1000, 3000, 4000), (5000, 6000, 7000, 8000)]
+
+
+def test_print_sink_with_label_runs(spark, capfd):
+    d = _write_files(_sensor_lines(B1[:3]))
+    rows, _ = parse_sensor_lines(_stream(spark, d, 3), keep=["seq"])
+    from tidemark.functions import render as R
+
+    lines = rows.select(R.labelled(R.render_sensor(), "later data").alias("line"))
+    q = K.print_sink(lines, "later data", tempfile.mkdtemp(prefix="tm-ck-")).trigger(availableNow=True).start()
+    q.awaitTermination(WAIT_S)
+    q.stop()
+    assert q.exception() is None and q.name == "later data"
+
+
+def test_single_global_bucket_write(spark):
+    df = spark.createDataFrame([("a",), ("b",)], "value string")
+    out = os.path.join(tempfile.mkdtemp(prefix="tm-sink-"), "global")
+    K.write_text_buckets(df, out, bucket=None)
+    assert sorted(r["value"] for r in spark.read.text(out).collect()) == ["a", "b"]

@@ -32,6 +32,22 @@ def local_session(cpus: int | str = 8, shuffle_partitions: int | None = None, ap
     )
 
 
+# Settings this library expects on a cluster (the session builder owns them).
+CLUSTER_CONF = {
+    # runtime re-planning: coalesce small shuffle partitions, split skewed joins
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * 1024 * 1024),
+    "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
+    # several state variables per key (list state, timers) need RocksDB
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.sql.session.timeZone": "UTC",
+}
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
