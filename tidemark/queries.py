@@ -660,9 +660,7 @@ def src_text_file(spark, sf_dir):
 )
 def sink_bucket_counts(spark, sf_dir):
     """Lines written into hourly bucket directories with size rolling, counted back (K3, K4, K6)."""
-    ev = E.table(spark, sf_dir, "events")
-    lines = E.sensor_lines(spark, sf_dir).join(ev.select("event_id", "ts"), "event_id")
-    lines = K.with_bucket(lines, F.col("ts"))
+    lines = K.with_bucket(E.sensor_lines(spark, sf_dir, keep_ts=True), F.col("ts"))
     path = scratch_path(spark, "buckets")
     K.write_text_buckets(lines, path, "bucket", max_records=K.records_per_file(lines), tiebreak="event_id")
     back = spark.read.schema("value string, bucket string").text(path)

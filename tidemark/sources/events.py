@@ -58,12 +58,24 @@ def sensor_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def sensor_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw CSV lines ``id,time_stamp,temperature`` as a socket would deliver them."""
-    r = sensor_readings(spark, sf_dir)
+def sensor_lines(spark: SparkSession, sf_dir: str, keep_ts: bool = False) -> DataFrame:
+    """Raw CSV lines ``id,time_stamp,temperature`` as a socket would deliver them.
+
+    ``keep_ts`` also keeps the source ``ts`` column (e.g. for time buckets).
+    """
+    ev = table(spark, sf_dir, "events")
+    r = ev.select(
+        F.col("event_id"),
+        F.col("ts"),
+        F.col("user_id").cast("string").alias("id"),
+        epoch_ms("ts").alias("time_stamp"),
+        F.col("value").alias("temperature"),
+        arrival_seq().alias("seq"),
+    )
     return r.select(
         "event_id",
         "seq",
+        *(["ts"] if keep_ts else []),
         F.concat_ws(",", "id", F.col("time_stamp").cast("string"), F.col("temperature").cast("string")).alias(
             "value"
         ),
