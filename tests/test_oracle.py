@@ -47,3 +47,17 @@ def test_query_matches_oracle_on_bucketed_scans(spark, con, name, monkeypatch):
     got = entry.queries()[name](spark, SF).toPandas()
     ok, why = frames_match(got, con.sql(sql).df())
     assert ok, why
+
+
+@pytest.mark.parametrize("name", ["parse_sensor_lines", "win_bounded_agg", "sink_bucket_counts", "process_tracking"])
+def test_results_do_not_depend_on_session_zone_or_partitions(spark, con, name):
+    old = {k: spark.conf.get(k) for k in ("spark.sql.session.timeZone", "spark.sql.shuffle.partitions")}
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    spark.conf.set("spark.sql.shuffle.partitions", "13")
+    try:
+        got = entry.queries()[name](spark, SF).toPandas()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    ok, why = frames_match(got, con.sql(entry.oracle_sql()[name]).df())
+    assert ok, why
