@@ -47,6 +47,18 @@ def _run(writer):
     assert q.exception() is None
 
 
+def _run_until(writer, done, timeout_s=WAIT_S):
+    """Processing-time queries may not end by themselves: poll, then stop."""
+    q = writer.trigger(availableNow=True).start()
+    try:
+        deadline = time.time() + timeout_s
+        while time.time() < deadline and q.isActive and not done():
+            time.sleep(0.5)
+    finally:
+        q.stop()
+    assert q.exception() is None
+
+
 def _sensor_lines(block):
     return [f"sensor1,{BASE + s * 1000},{t}" for s, t in block]
 
@@ -97,11 +109,12 @@ def _log_stream(spark, rows, per_trigger):
 def test_stateful_zip_stream(spark, ttl):
     events = _log_stream(spark, L1 + L2, 2)
     got = []
-    _run(
+    _run_until(
         ST.zip_stream(events, "workpiece", STEPS, ttl)
         .writeStream.outputMode("append")
         .foreachBatch(lambda b, i: got.extend(b.collect()))
-        .option("checkpointLocation", tempfile.mkdtemp(prefix="tm-ck-"))
+        .option("checkpointLocation", tempfile.mkdtemp(prefix="tm-ck-")),
+        lambda: len(got) >= 2,
     )
     tuples = sorted(tuple(r[f"{s}_ts"] - BASE for s in STEPS) for r in got)
     assert tuples == [(0, 1000, 3000, 4000), (5000, 6000, 7000, 8000)]

@@ -79,6 +79,7 @@ def zip_stream(events: DataFrame, key: str, steps: Sequence[str], ttl_ms: int |
         + ", trigger_ts long, trigger_event long"
     )
     mode = "ProcessingTime" if ttl_ms else "None"
+    events = events.withColumn(key, events[key].cast("string"))
     return events.groupBy(key).transformWithStateInPandas(
         FifoZipProcessor(steps, ttl_ms), outputStructType=schema, outputMode="Append", timeMode=mode
     )
