@@ -78,3 +78,50 @@ def test_global_match_over_many_buckets(spark):
     got = {tuple(r[f"{s}_event_id"] for s in STEPS) for r in m.collect()}
     assert got == expect
     assert m.where(F.col("step1_event_id").isNull()).count() == 0
+
+
+def test_hot_timestamp_is_split_by_dense_ordinal(spark):
+    """A third of the rows share one event time; composite (ts, seq) scans still bucket exactly."""
+    from tidemark.operators import windows as W
+    from tidemark.plans.ordinal import with_ordinal
+
+    rng = random.Random(9)
+    rows = []
+    for i in range(6000):
+        ts = 5_000 if i % 3 == 0 else rng.randrange(0, 10_000)
+        rows.append((i, rng.randrange(10**6), ts, f"wp{rng.randrange(3)}", rng.choice(STEPS)))
+    # unique seq per row
+    rows = [(eid, eid * 7 + 3, ts, wp, c) for eid, _, ts, wp, c in rows]
+    df = spark.createDataFrame(rows, "event_id long, seq long, time_stamp long, workpiece string, content string")
+
+    ords = {r["event_id"]: r["__ord"] for r in with_ordinal(df, ["time_stamp", "seq"]).collect()}
+    expect = {r[0]: i for i, r in enumerate(sorted(rows, key=lambda r: (r[2], r[1])))}
+    assert ords == expect
+
+    pos = W.sorted_window_rows(
+        df.withColumns({"window_start": F.lit(0)}), "workpiece", ts="time_stamp", order="seq"
+    ).collect()
+    want = {}
+    for wp in {r[3] for r in rows}:
+        for i, r in enumerate(sorted((r for r in rows if r[3] == wp), key=lambda r: (r[2], r[1]))):
+            want[r[0]] = i + 1
+    assert {r["event_id"]: r["pos"] for r in pos} == want
+
+    m = C.match_sequence(df, J.step_pattern(STEPS), partition_by=["workpiece"])
+    order = {}
+    for wp in {r[3] for r in rows}:
+        order[wp] = sorted((r for r in rows if r[3] == wp), key=lambda r: (r[2], r[1]))
+    expect_m = set()
+    for wp, seq in order.items():
+        for i, r in enumerate(seq):
+            if not r[4].startswith(STEPS[0]):
+                continue
+            chain, j = [r[0]], i
+            for s in STEPS[1:]:
+                j = next((k for k in range(j + 1, len(seq)) if seq[k][4].startswith(s)), None)
+                if j is None:
+                    break
+                chain.append(seq[j][0])
+            if len(chain) == len(STEPS):
+                expect_m.add(tuple(chain))
+    assert {tuple(r[f"{s}_event_id"] for s in STEPS) for r in m.collect()} == expect_m

@@ -22,7 +22,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.plans.scan import OrderStats, order_stats, scan
+from tidemark.plans.ordinal import with_ordinal
+from tidemark.plans.scan import OrderStats, needs_buckets, order_stats, scan
 
 
 @dataclass(frozen=True)
@@ -77,6 +78,11 @@ def match_sequence(
     fields = list(dict.fromkeys(order + list(payload)))
     if stats is None:
         stats = order_stats(df, order[0])
+    if len(order) > 1 and needs_buckets(stats):
+        # rank once for all steps: buckets need a unique leading order column
+        ranked = with_ordinal(df, order, "__ord")
+        m = match_sequence(ranked, pattern, ["__ord"], partition_by, payload, order_stats(ranked, "__ord"))
+        return m
 
     def item(extra: Column | None) -> Column:
         cols = [F.col(c).alias(c) for c in fields]

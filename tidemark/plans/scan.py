@@ -132,6 +132,13 @@ def scan(
     keys = list(partition_by)
     if stats is None:
         stats = order_stats(df, order_by[0])
+    if len(order_by) > 1 and needs_buckets(stats, bucket_rows):
+        # a composite order is bucketed on its dense ordinal (unique lead)
+        from tidemark.plans.ordinal import with_ordinal
+
+        ranked = with_ordinal(df, order_by, "__ord")
+        out = scan(ranked, ["__ord"], aggs, partition_by, following, inclusive, bucket_rows)
+        return out.drop("__ord")
     # Small inputs need no buckets: any window partition is already bounded.
     direct_rows = DIRECT_MAX_ROWS if bucket_rows is None else 0
     if bucket_rows is None:
@@ -148,6 +155,13 @@ def scan(
     return result
 
 
+def needs_buckets(stats: OrderStats, bucket_rows: int | None = None) -> bool:
+    """Whether ``scan`` would take the two-phase path for inputs within ``stats``."""
+    if bucket_rows is None:
+        return stats.n > DIRECT_MAX_ROWS
+    return stats.n > max(2, bucket_rows)
+
+
 def _direction(cols: Sequence[str], following: bool) -> list[Column]:
     return [F.col(c).desc_nulls_last() if following else F.col(c).asc_nulls_first() for c in cols]
 
