@@ -78,6 +78,10 @@ def test_exact_lateness_stream_equals_batch(spark, per_trigger):
     want = sorted((r["seq"], r["label"]) for r in batch.collect())
     assert got == want
     assert [(r["time_stamp"] - BASE) // 1000 for r in late.collect()] == [4]
+    key = lambda r: (r["window_start"], r["pane"], r["n_rows"], r["sum_value"])
+    assert sorted(map(key, fn.panes(spark, "id", "temperature", row_id="seq").collect())) == sorted(
+        map(key, W.refire_panes(batch, "id", "temperature").collect())
+    )
 
 
 def test_plain_watermark_window_aggregate_with_sentinel_flush(spark):

@@ -91,3 +91,14 @@ class ExactLateness:
             )
         finally:
             labelled.unpersist()
+
+    def main_rows(self, spark) -> DataFrame:
+        return spark.read.parquet(f"{self.out}/main")
+
+    def late_rows(self, spark) -> DataFrame:
+        return spark.read.parquet(f"{self.out}/late")
+
+    def panes(self, spark, key: str, value: str, row_id: str = "event_id") -> DataFrame:
+        """Re-fire panes (L2) of everything written so far: the batch operator
+        over the exactly labelled main output."""
+        return W.refire_panes(self.main_rows(spark).drop("batch_id"), key, value, order=self.order, row_id=row_id)
