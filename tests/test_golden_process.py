@@ -146,3 +146,17 @@ def test_late_rows_are_dropped_before_matching(spark):
     # step2@11000 arrives after 20000 was seen (wm 14999): dropped, so step2@21000 is used
     assert [tuple(r[f"{s}_time_stamp"] - BASE for s in STEPS) for r in m.collect()] == [(10_000, 21_000, 22_000, 23_000)]
     assert ev.count() == 6
+
+
+def test_pending_sizes_with_write_ttl(spark):
+    # station 1 alone, 1 s write TTL, arrivals 0, 3000, 5000, 7000: every element
+    # has expired by the next arrival, so each event sees only itself
+    ev = running_max(log_events(spark, L2), ts="time_stamp", out="clock_ms")
+    sizes = Z.pending_sizes_write_ttl(ev, "workpiece", Z.contains_routes(STEPS), 1_000).collect()
+    got = [(r["n1"], r["n2"], r["n3"], r["n4"]) for r in sorted(sizes, key=lambda r: r["event_id"])]
+    assert got == [(1, 0, 0, 0), (0, 0, 1, 0), (1, 0, 0, 0), (0, 0, 1, 0)]
+    # without expiry the fold equals the closed form
+    big = Z.pending_sizes_write_ttl(ev, "workpiece", Z.contains_routes(STEPS), 10**12).collect()
+    closed = Z.pending_sizes(ev, "workpiece", Z.contains_routes(STEPS)).collect()
+    key = lambda r: (r["event_id"], r["n1"], r["n2"], r["n3"], r["n4"])
+    assert sorted(map(key, big)) == sorted(map(key, closed))

@@ -165,6 +165,8 @@ class WriteTtlZip:
         for lst in self.lists:
             while lst and max(lst[0][0], self.renewed) + self.ttl <= now:
                 lst.popleft()
+        # what a read sees now: sizes after the add and expiry, before any pop
+        self.sizes = tuple(len(lst) for lst in self.lists)
         if not all(self.lists):
             return None
         heads = [lst.popleft() for lst in self.lists]
@@ -173,6 +175,31 @@ class WriteTtlZip:
         return self.n_out, [(h[1], h[2]) for h in heads], trigger
 
 
+def _write_ttl_input(df, key, routes, ttl_ms, clock, order, ts, row_id, stats):
+    """Rows with step flags, partitioned by (key, gap session) and sorted by arrival."""
+    nf = len(routes)
+    flagged = df.withColumns({f"__f{i}": c.cast("boolean") for i, c in enumerate(routes.values())})
+    sess = gap_sessions(flagged, key, ttl_ms, clock=clock, order=order, stats=stats)
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cols = [key, "session", order, clock, ts, row_id] + [f"__f{i}" for i in range(nf)]
+    return sess.select(*cols).repartition(n, key, "session").sortWithinPartitions(key, "session", order)
+
+
+def _fold(batches, key, order, clock, ts, row_id, nf, ttl_ms, emit):
+    """Stream sorted batches through one ``WriteTtlZip`` per (key, session)."""
+    group, fold = None, None
+    for b in batches:
+        rows = []
+        flags = b[[f"__f{i}" for i in range(nf)]].fillna(False).to_numpy()
+        for j, (k, s, q, c, t, e) in enumerate(zip(b[key], b["session"], b[order], b[clock], b[ts], b[row_id])):
+            if group != (k, s):
+                group, fold = (k, s), WriteTtlZip(nf, ttl_ms)
+            hit = fold.push(int(c), int(t), int(e), flags[j], (int(q), int(t), int(e)))
+            emit(rows, fold, hit, k, int(s), int(e))
+        if rows:
+            yield rows
+
+
 def zip_join_write_ttl(
     df: DataFrame,
     key: str,
@@ -192,11 +219,7 @@ def zip_join_write_ttl(
     """
     steps = list(routes)
     nf = len(steps)
-    flagged = df.withColumns({f"__f{i}": c.cast("boolean") for i, c in enumerate(routes.values())})
-    sess = gap_sessions(flagged, key, ttl_ms, clock=clock, order=order, stats=stats)
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    cols = [key, "session", order, clock, ts, row_id] + [f"__f{i}" for i in range(nf)]
-    part = sess.select(*cols).repartition(n, key, "session").sortWithinPartitions(key, "session", order)
+    part = _write_ttl_input(df, key, routes, ttl_ms, clock, order, ts, row_id, stats)
     key_type = df.schema[key].dataType.simpleString()
     fields = [f"{s}_{x}" for s in steps for x in ("ts", "event")]
     out_cols = [key, "session", "n_tuple", *fields, "trigger_seq", "trigger_ts", "trigger_event"]
@@ -206,21 +229,43 @@ def zip_join_write_ttl(
         + ", trigger_seq bigint, trigger_ts bigint, trigger_event bigint"
     )
 
+    def emit(rows, fold, hit, k, s, e):
+        if hit is not None:
+            n_t, items, trig = hit
+            rows.append((k, s, n_t, *[v for it in items for v in it], *trig))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in _fold(batches, key, order, clock, ts, row_id, nf, ttl_ms, emit):
+            yield pd.DataFrame(rows, columns=out_cols)
+
+    return part.mapInPandas(run, schema)
+
+
+def pending_sizes_write_ttl(
+    df: DataFrame,
+    key: str,
+    routes: Mapping[str, Column],
+    ttl_ms: int,
+    clock: str = "clock_ms",
+    order: str = "seq",
+    ts: str = "time_stamp",
+    row_id: str = "event_id",
+    prefix: str = "n",
+    stats: OrderStats | None = None,
+) -> DataFrame:
+    """List sizes per event under the write TTL (Z3 with ST3): after the event's
+    add, with expired elements invisible, before its pop."""
+    nf = len(routes)
+    part = _write_ttl_input(df, key, routes, ttl_ms, clock, order, ts, row_id, stats)
+    key_type = df.schema[key].dataType.simpleString()
+    names = [f"{prefix}{i + 1}" for i in range(nf)]
+    schema = f"{key} {key_type}, session bigint, {row_id} bigint, " + ", ".join(f"{n} bigint" for n in names)
+
+    def emit(rows, fold, hit, k, s, e):
+        rows.append((k, s, e, *fold.sizes))
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        group, fold = None, None
-        for b in batches:
-            rows = []
-            flags = b[[f"__f{i}" for i in range(nf)]].fillna(False).to_numpy()
-            for j, (k, s, q, c, t, e) in enumerate(
-                zip(b[key], b["session"], b[order], b[clock], b[ts], b[row_id])
-            ):
-                if group != (k, s):
-                    group, fold = (k, s), WriteTtlZip(nf, ttl_ms)
-                hit = fold.push(int(c), int(t), int(e), flags[j], (int(q), int(t), int(e)))
-                if hit is not None:
-                    n_t, items, trig = hit
-                    rows.append((k, int(s), n_t, *[v for it in items for v in it], *trig))
-            if rows:
-                yield pd.DataFrame(rows, columns=out_cols)
+        for rows in _fold(batches, key, order, clock, ts, row_id, nf, ttl_ms, emit):
+            yield pd.DataFrame(rows, columns=[key, "session", row_id, *names])
 
     return part.mapInPandas(run, schema)

@@ -505,6 +505,16 @@ def zip_join_write_ttl(spark, sf_dir):
     return Z.zip_join_write_ttl(clocked, "workpiece", Z.contains_routes(STEPS), WRITE_TTL_MS, stats=st.keyed["seq"])
 
 
+@query("zip_pending_sizes_write_ttl")
+def zip_pending_sizes_write_ttl(spark, sf_dir):
+    """List sizes per event as the TTL job prints them (write TTL, expired elements invisible)."""
+    st = _stats(spark, sf_dir)
+    clocked = running_max(_log(spark, sf_dir), ts="time_stamp", out="clock_ms", stats=st["seq"])
+    return Z.pending_sizes_write_ttl(
+        clocked, "workpiece", Z.contains_routes(STEPS), WRITE_TTL_MS, stats=st.keyed["seq"]
+    ).drop("session")
+
+
 # ---------------------------------------------------------------- M4: sequence pattern
 from tidemark import jobs as J  # noqa: E402
 from tidemark.operators import sequence as C  # noqa: E402
