@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -70,9 +69,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/tidemark-{name}-{uuid.uuid4().hex[:12]}"
 
-
-def local_path(uri: str) -> str:
-    return uri[len("file:") :] if uri.startswith("file:") else uri
-
-
-__all__ = ["checkpoint_dir", "local_session", "scratch_path", "local_path", "os"]
