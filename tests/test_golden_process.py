@@ -160,3 +160,13 @@ def test_pending_sizes_with_write_ttl(spark):
     closed = Z.pending_sizes(ev, "workpiece", Z.contains_routes(STEPS)).collect()
     key = lambda r: (r["event_id"], r["n1"], r["n2"], r["n3"], r["n4"])
     assert sorted(map(key, big)) == sorted(map(key, closed))
+
+
+def test_event_in_two_lists_is_matched_by_its_content(spark):
+    """Routing uses 'contains', the pattern 'startswith' on the event's own content."""
+    rows = [("s", "wp1", 0, "step1+step2"), ("s", "wp1", 1000, "step3"), ("s", "wp1", 2000, "step4")]
+    ev = log_events(spark, rows)
+    tuples = Z.zip_join(Z.route_steps(ev, Z.contains_routes(STEPS)), "workpiece", STEPS)
+    assert _tuples(tuples) == [(0, 0, 1000, 2000, 2000)]
+    out = J.track_process(ev, bounded_out_of_orderness(5000), STEPS, idle_ttl_ms=None, streams=(1,))
+    assert out.count() == 0  # the second zipped row does not start with 'step2'

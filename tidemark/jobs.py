@@ -70,9 +70,10 @@ def track_process(
 ) -> DataFrame:
     """Union of stations -> keyed FIFO zip (idle TTL) -> pattern -> select.
 
-    The zipped rows carry the trigger's event time and watermark; the pattern
-    runs over them in (trigger time, trigger arrival, step) order, non-keyed
-    like the reference unless ``keyed_match``.
+    The zipped rows are the original events (with their content) stamped with
+    the trigger's event time and watermark; the pattern runs over them in
+    (trigger time, trigger arrival, step) order, non-keyed like the reference
+    unless ``keyed_match``.
     """
     st = stats or base_stats(log, key=[key])
     seq_st, key_st = st["seq"], st.keyed["seq"]
@@ -84,15 +85,15 @@ def track_process(
         stamped = cut(Z.gap_sessions(stamped, key, idle_ttl_ms, stats=key_st))
         group = ["session"]
     routed = Z.route_steps(stamped, Z.contains_routes(steps))
-    tuples = cut(Z.zip_join(routed, key, steps, group=group, carry=["wm_ms"], stats=key_st))
-    rows = Z.emit_rows(tuples, key, steps, group=group, carry=["trigger_wm_ms"])
+    tuples = cut(Z.zip_join(routed, key, steps, group=group, carry=["wm_ms"], stats=key_st, item_cols=["content"]))
+    rows = Z.emit_rows(tuples, key, steps, group=group, carry=["trigger_wm_ms"], item_cols=["content"])
     timed = rows.withColumns({"row_ts": F.col("time_stamp"), "time_stamp": F.col("trigger_ts")})
     kept = C.drop_late(timed, ts="time_stamp", wm="trigger_wm_ms")
     # The zipped rows are read back from the cut, so their own bounds cost one
     # cheap scan and are tighter than the base table's.
     match_st = keyed_order_stats(kept, ["trigger_ts"], [key])[1 if keyed_match else 0]["trigger_ts"]
     m = C.match_sequence(
-        kept, step_pattern(steps, "step"), order=["trigger_ts", "trigger_seq", "pos"],
+        kept, step_pattern(steps, "content"), order=["trigger_ts", "trigger_seq", "pos"],
         partition_by=[key] if keyed_match else None, payload=["row_ts", key], stats=match_st,
     )
     return m.select(

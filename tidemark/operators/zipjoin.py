@@ -72,17 +72,20 @@ def zip_join(
     group: Sequence[str] = (),
     carry: Sequence[str] = (),
     stats: OrderStats | None = None,
+    item_cols: Sequence[str] = (),
 ) -> DataFrame:
     """The i-th element of every step list per key (and ``group``, e.g. session).
 
-    Output: ``key, *group, n_tuple, <s>_ts, <s>_event`` per step,
-    ``trigger_seq, trigger_ts, trigger_event`` (the arrival that completed it)
-    and ``trigger_<c>`` for every column in ``carry``.
+    Output: ``key, *group, n_tuple, <s>_ts, <s>_event`` per step (plus
+    ``<s>_<c>`` for every column in ``item_cols``), ``trigger_seq, trigger_ts,
+    trigger_event`` (the arrival that completed it) and ``trigger_<c>`` for
+    every column in ``carry``.
     """
     parts = [key, *group]
     numbered = row_number(routed, "n_tuple", [order], partition_by=[*parts, step], stats=stats)
+    extra = list(dict.fromkeys([*carry, *item_cols]))
     item = F.struct(
-        F.col(order).alias("seq"), F.col(ts).alias("ts"), F.col(row_id).alias("id"), *[F.col(c).alias(c) for c in carry]
+        F.col(order).alias("seq"), F.col(ts).alias("ts"), F.col(row_id).alias("id"), *[F.col(c).alias(c) for c in extra]
     )
     per_step = [F.max(F.when(F.col(step) == F.lit(s), item)).alias(s) for s in steps]
     tuples = numbered.groupBy(*parts, "n_tuple").agg(*per_step)
@@ -95,6 +98,7 @@ def zip_join(
         F.col("n_tuple").cast("bigint").alias("n_tuple"),
         *[F.col(f"{s}.ts").alias(f"{s}_ts") for s in steps],
         *[F.col(f"{s}.id").alias(f"{s}_event") for s in steps],
+        *[F.col(f"{s}.{c}").alias(f"{s}_{c}") for c in item_cols for s in steps],
         trig["seq"].alias("trigger_seq"),
         trig["ts"].alias("trigger_ts"),
         trig["id"].alias("trigger_event"),
@@ -127,19 +131,26 @@ def pending_sizes(
 
 
 def emit_rows(
-    tuples: DataFrame, key: str, steps: Sequence[str], group: Sequence[str] = (), carry: Sequence[str] = ()
+    tuples: DataFrame, key: str, steps: Sequence[str], group: Sequence[str] = (), carry: Sequence[str] = (),
+    item_cols: Sequence[str] = (),
 ) -> DataFrame:
-    """Four output rows per tuple, in step order, stamped with the trigger."""
+    """Four output rows per tuple, in step order, stamped with the trigger.
+
+    ``item_cols`` are per-element columns kept by ``zip_join(item_cols=...)``.
+    """
     items = F.array(
         *[
-            F.struct(F.lit(s).alias("step"), F.col(f"{s}_ts").alias("time_stamp"), F.col(f"{s}_event").alias("event_id"))
+            F.struct(
+                F.lit(s).alias("step"), F.col(f"{s}_ts").alias("time_stamp"), F.col(f"{s}_event").alias("event_id"),
+                *[F.col(f"{s}_{c}").alias(c) for c in item_cols],
+            )
             for s in steps
         ]
     )
     trig = ["trigger_seq", "trigger_ts", "trigger_event", *carry]
     return tuples.select(key, *group, "n_tuple", *trig, F.posexplode(items).alias("pos", "item")).select(
         key, *group, "n_tuple", (F.col("pos") + 1).alias("pos"), "item.step", "item.time_stamp", "item.event_id",
-        *trig,
+        *[f"item.{c}" for c in item_cols], *trig,
     )
 
 

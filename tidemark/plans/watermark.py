@@ -104,7 +104,8 @@ def stamp_watermark(
     any_missing = F.lit(False)
     for n in names:
         any_missing = any_missing | F.col(n).isNull()
-    wm = F.when(any_missing, F.lit(None)).otherwise(F.least(*[F.col(n) for n in names]))
+    lowest = F.least(*[F.col(n) for n in names]) if len(names) > 1 else F.col(names[0])
+    wm = F.when(any_missing, F.lit(None)).otherwise(lowest)
     if clock:
         stamped = stamped.withColumn(clock, F.greatest(*[F.col(n) for n in names], F.col(ts)))
     return stamped.withColumn(out, wm - F.lit(spec.lag_ms)).drop(*names)
