@@ -197,3 +197,32 @@ def test_single_global_bucket_write(spark):
     out = os.path.join(tempfile.mkdtemp(prefix="tm-sink-"), "global")
     K.write_text_buckets(df, out, bucket=None)
     assert sorted(r["value"] for r in spark.read.text(out).collect()) == ["a", "b"]
+
+
+def test_exact_lateness_on_a_union_of_sources(spark):
+    """Two stations in one stream: watermark = min of the stations' own, per row."""
+    from tidemark.plans.watermark import stamp_watermark
+
+    rows = [("workStation_1", "wp1", 0, "step1"), ("workStation_1", "wp1", 9000, "step3"),
+            ("workStation_2", "wp1", 1000, "step2"), ("workStation_1", "wp1", 12000, "step1"),
+            ("workStation_2", "wp1", 2000, "step4"), ("workStation_2", "wp1", 20000, "step2"),
+            ("workStation_1", "wp1", 3000, "step3")]
+    d = _write_files([f"{a}, {b}, {BASE + t}, {c}" for a, b, t, c in rows])
+    raw = _stream(spark, d, 2)
+    events, _ = parse_log_lines(raw, keep=["seq"])
+    events = events.withColumn("station", F.when(F.col("id") == "workStation_2", 2).otherwise(1))
+    out = tempfile.mkdtemp(prefix="tm-stream-out-")
+    spec = bounded_out_of_orderness(5000)
+    fn = SW.ExactLateness(out, spec, 5000, 0, stream="station", streams=[1, 2])
+    _run(events.writeStream.foreachBatch(fn).option("checkpointLocation", tempfile.mkdtemp(prefix="tm-ck-")))
+    got = {r["seq"]: (r["wm_ms"], r["label"]) for r in fn.main_rows(spark).unionByName(fn.late_rows(spark)).collect()}
+    lines = spark.createDataFrame([(i + 1, f"{a}, {b}, {BASE + t}, {c}") for i, (a, b, t, c) in enumerate(rows)],
+                                  "seq long, value string")
+    parsed, _ = parse_log_lines(lines, keep=["seq"])
+    parsed = parsed.withColumn("station", F.when(F.col("id") == "workStation_2", 2).otherwise(1))
+    batch = W.label_lateness(
+        stamp_watermark(parsed, spec, ts="time_stamp", stream="station", streams=[1, 2]), 5000, ts="time_stamp"
+    )
+    want = {r["seq"]: (r["wm_ms"], r["label"]) for r in batch.collect()}
+    assert got == want
+    assert want[7][1] == "too_late"  # station 1 at 3 s after both stations passed 9 s / 20 s

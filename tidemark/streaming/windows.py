@@ -16,7 +16,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
@@ -51,42 +51,62 @@ class ExactLateness:
 
     Writes ``<out>/main/batch_id=N`` (on-time and allowed-late rows, labelled),
     ``<out>/late/batch_id=N`` (side output) and ``<out>/_max/batch_id=N`` (the
-    running max event time after batch N, the carry of batch N+1).
+    running max event time of every source after batch N, the carry of batch
+    N+1).  With ``stream``/``streams`` the input is a union of sources and the
+    watermark is the minimum of the sources' own, NULL until each has a row.
     """
 
     def __init__(self, out: str, spec: WatermarkSpec, size_ms: int, lateness_ms: int = 0,
-                 ts: str = "time_stamp", order: str = "seq"):
+                 ts: str = "time_stamp", order: str = "seq", stream: str | None = None, streams=()):
         self.out, self.spec, self.size_ms, self.lateness_ms = out.rstrip("/"), spec, size_ms, lateness_ms
-        self.ts, self.order = ts, order
+        self.ts, self.order, self.stream = ts, order, stream
+        self.streams = list(streams) if stream is not None else [None]
 
-    def _carry(self, spark, batch_id: int):
-        """Running max after the previous batch (each batch stores the cumulative max)."""
+    def _value(self, s) -> Column:
+        return F.col(self.ts) if s is None else F.when(F.col(self.stream) == F.lit(s), F.col(self.ts))
+
+    def _carry(self, spark, batch_id: int) -> list:
+        """Running maxima after the previous batch (each batch stores cumulative maxima)."""
+        names = [f"max{i}" for i in range(len(self.streams))]
         try:  # batch ids are consecutive: one tiny file to read
             row = spark.read.parquet(f"{self.out}/_max/batch_id={batch_id - 1}").first()
-            return None if row is None else row["max_ts"]
+            return [None] * len(names) if row is None else [row[n] for n in names]
         except AnalysisException:
             pass
         try:  # first batch, or a gap after a restart
             prev = spark.read.parquet(f"{self.out}/_max")
         except AnalysisException:
-            return None
-        row = prev.where(F.col("batch_id") < batch_id).agg(F.max("max_ts").alias("m")).first()
-        return None if row is None else row["m"]
+            return [None] * len(names)
+        row = prev.where(F.col("batch_id") < batch_id).agg(*[F.max(n).alias(n) for n in names]).first()
+        return [None] * len(names) if row is None else [row[n] for n in names]
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         carry = self._carry(spark, batch_id)
-        within = scan(batch, [self.order], {"__pm": ("max", F.col(self.ts))})
-        pm = F.greatest(F.lit(carry).cast("bigint"), F.col("__pm")) if carry is not None else F.col("__pm")
-        stamped = within.withColumn("wm_ms", pm - F.lit(self.spec.lag_ms)).drop("__pm")
+        aggs = {f"__pm{i}": ("max", self._value(s)) for i, s in enumerate(self.streams)}
+        within = scan(batch, [self.order], aggs)
+        seen = []
+        for i, c in enumerate(carry):
+            pm = F.col(f"__pm{i}")
+            seen.append(F.greatest(F.lit(c).cast("bigint"), pm) if c is not None else pm)
+        missing = F.lit(False)
+        for c in seen:
+            missing = missing | c.isNull()
+        lowest = F.least(*seen) if len(seen) > 1 else seen[0]
+        wm = F.when(missing, F.lit(None)).otherwise(lowest) - F.lit(self.spec.lag_ms)
+        stamped = within.withColumn("wm_ms", wm).drop(*aggs)
         labelled = W.label_lateness(stamped, self.size_ms, self.lateness_ms, ts=self.ts)
         labelled.persist()
         try:
             W.emitted_rows(labelled).write.mode("overwrite").parquet(f"{self.out}/main/batch_id={batch_id}")
             W.late_side_output(labelled).write.mode("overwrite").parquet(f"{self.out}/late/batch_id={batch_id}")
-            new_max = labelled.agg(F.max(self.ts).alias("m")).first()["m"]
-            best = max(v for v in (carry, new_max) if v is not None) if (carry is not None or new_max is not None) else None
-            spark.createDataFrame([(best,)], "max_ts bigint").write.mode("overwrite").parquet(
+            row = labelled.agg(*[F.max(self._value(s)).alias(f"m{i}") for i, s in enumerate(self.streams)]).first()
+            best = []
+            for i, c in enumerate(carry):
+                vals = [v for v in (c, row[f"m{i}"]) if v is not None]
+                best.append(max(vals) if vals else None)
+            schema = ", ".join(f"max{i} bigint" for i in range(len(best)))
+            spark.createDataFrame([tuple(best)], schema).write.mode("overwrite").parquet(
                 f"{self.out}/_max/batch_id={batch_id}"
             )
         finally:
