@@ -80,8 +80,9 @@ def test_global_match_over_many_buckets(spark):
     assert m.where(F.col("step1_event_id").isNull()).count() == 0
 
 
-def test_hot_timestamp_is_split_by_dense_ordinal(spark):
+def test_hot_timestamp_is_split_by_dense_ordinal(spark, monkeypatch):
     """A third of the rows share one event time; composite (ts, seq) scans still bucket exactly."""
+    monkeypatch.setattr(scan_mod, "DIRECT_MAX_ROWS", 256)  # ~670 rows per key share the hot timestamp
     from tidemark.operators import windows as W
     from tidemark.plans.ordinal import with_ordinal
 
@@ -94,6 +95,9 @@ def test_hot_timestamp_is_split_by_dense_ordinal(spark):
     rows = [(eid, eid * 7 + 3, ts, wp, c) for eid, _, ts, wp, c in rows]
     df = spark.createDataFrame(rows, "event_id long, seq long, time_stamp long, workpiece string, content string")
 
+    stats = scan_mod.order_stats(df, "time_stamp")
+    assert not scan_mod.lead_is_balanced(df, "time_stamp", ["workpiece"], stats)  # ordinal path taken
+
     ords = {r["event_id"]: r["__ord"] for r in with_ordinal(df, ["time_stamp", "seq"]).collect()}
     expect = {r[0]: i for i, r in enumerate(sorted(rows, key=lambda r: (r[2], r[1])))}
     assert ords == expect

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.plans.ordinal import with_ordinal
-from tidemark.plans.scan import OrderStats, needs_buckets, order_stats, scan
+from tidemark.plans.scan import OrderStats, lead_is_balanced, needs_buckets, order_stats, scan
 
 
 @dataclass(frozen=True)
@@ -78,11 +78,13 @@ def match_sequence(
     fields = list(dict.fromkeys(order + list(payload)))
     if stats is None:
         stats = order_stats(df, order[0])
-    if len(order) > 1 and needs_buckets(stats):
-        # rank once for all steps: buckets need a unique leading order column
-        ranked = with_ordinal(df, order, "__ord")
-        m = match_sequence(ranked, pattern, ["__ord"], partition_by, payload, order_stats(ranked, "__ord"))
-        return m
+    balanced = None
+    if len(order) > 1 and needs_buckets(stats, keyed=bool(keys), df=df):
+        # check the lead once for all steps; rank only if a value is hot
+        balanced = lead_is_balanced(df, order[0], keys, stats)
+        if not balanced:
+            ranked = with_ordinal(df, order, "__ord")
+            return match_sequence(ranked, pattern, ["__ord"], partition_by, payload, order_stats(ranked, "__ord"))
 
     def item(extra: Column | None) -> Column:
         cols = [F.col(c).alias(c) for c in fields]
@@ -95,7 +97,7 @@ def match_sequence(
     for k in range(len(steps) - 1, 0, -1):
         c_k = F.when(steps[k].condition, item(F.col(nxt) if nxt else None))
         name = f"__next{k}"
-        cur = scan(cur, order, {name: ("min", c_k)}, partition_by=keys, following=True, stats=stats)
+        cur = scan(cur, order, {name: ("min", c_k)}, partition_by=keys, following=True, stats=stats, balanced=balanced)
         if nxt:
             cur = cur.drop(nxt)
         nxt = name

@@ -32,10 +32,10 @@ from pyspark.sql import functions as F
 
 # Upper bound of rows per bucket; each bucket is one bounded window partition.
 DEFAULT_BUCKET_ROWS = 1 << 15
-# Inputs whose partitions provably hold at most this many rows (about one
-# ordinary task of data) are scanned with one plain window: fewer stages, and
-# no partition can exceed a normal task whatever the skew.  Larger inputs, or a
-# key above this bound, are bucketed.
+# Keyed inputs whose largest key provably holds at most this many rows (about
+# one ordinary task of data) are scanned with one plain window per key: fewer
+# stages, and no partition can exceed a normal task whatever the skew.  A key
+# above this bound, and any global order, is bucketed.
 DIRECT_MAX_ROWS = 1 << 20
 # Lower bound, so that small inputs do not pay for many tiny buckets.
 MIN_BUCKET_ROWS = 1 << 10
@@ -116,6 +116,7 @@ def scan(
     inclusive: bool = False,
     bucket_rows: int | None = None,
     stats: OrderStats | None = None,
+    balanced: bool | None = None,
 ) -> DataFrame:
     """Add one column per ``aggs`` entry: ``name -> (fn, expr)``.
 
@@ -126,21 +127,32 @@ def scan(
     before the row (``following=False``) or after it (``following=True``),
     including the row itself when ``inclusive``.  Empty frames give NULL for
     min/max and 0 for sum.  ``stats`` may be bounds computed on a superset;
-    ``bucket_rows`` defaults to ``auto_bucket_rows``.
+    ``bucket_rows`` defaults to ``auto_bucket_rows``.  For a composite order
+    whose lead is not unique, ``balanced=True`` skips the hot-bucket check
+    (the caller already ran ``lead_is_balanced``).
     """
     order_by = list(order_by)
     keys = list(partition_by)
     if stats is None:
         stats = order_stats(df, order_by[0])
-    if len(order_by) > 1 and needs_buckets(stats, bucket_rows):
-        # a composite order is bucketed on its dense ordinal (unique lead)
+    if (
+        len(order_by) > 1
+        and balanced is not True
+        and needs_buckets(stats, bucket_rows, keyed=bool(keys), df=df)
+        and not lead_is_balanced(df, order_by[0], keys, stats, bucket_rows)
+    ):
+        # some value of the (non-unique) lead fills more than a task: bucket
+        # the composite order on its dense ordinal instead
         from tidemark.plans.ordinal import with_ordinal
 
         ranked = with_ordinal(df, order_by, "__ord")
         out = scan(ranked, ["__ord"], aggs, partition_by, following, inclusive, bucket_rows)
         return out.drop("__ord")
-    # Small inputs need no buckets: any window partition is already bounded.
-    direct_rows = DIRECT_MAX_ROWS if bucket_rows is None else 0
+    # Keyed inputs whose largest key is small need no buckets: the rows are
+    # already spread by key and every window partition is bounded.  A global
+    # order always uses buckets beyond one bucket's worth of rows, so the
+    # whole input never funnels through one task.
+    direct_rows = DIRECT_MAX_ROWS if (bucket_rows is None and keys) else 0
     if bucket_rows is None:
         bucket_rows = auto_bucket_rows(df, stats.n)
     bucket_rows = max(2, bucket_rows)  # every recursion level shrinks the input at least twofold
@@ -155,13 +167,35 @@ def scan(
     return result
 
 
-def needs_buckets(stats: OrderStats, bucket_rows: int | None = None) -> bool:
+def needs_buckets(
+    stats: OrderStats, bucket_rows: int | None = None, keyed: bool = False, df: DataFrame | None = None
+) -> bool:
     """Whether ``scan`` would take the two-phase path for inputs within ``stats``."""
     if bucket_rows is None:
-        return stats.n > DIRECT_MAX_ROWS
+        if keyed:
+            return stats.n > DIRECT_MAX_ROWS
+        bucket_rows = auto_bucket_rows(df, stats.n) if df is not None else MIN_BUCKET_ROWS
     return stats.n > max(2, bucket_rows)
 
 
+def lead_is_balanced(
+    df: DataFrame, lead: str, keys: Sequence[str], stats: OrderStats, bucket_rows: int | None = None
+) -> bool:
+    """One small job: does every (key, bucket of ``lead``) stay within one task?
+
+    Buckets of a non-unique lead column are bounded only by how many rows
+    share a value; this measures them with the same width ``scan`` uses.
+    """
+    if bucket_rows is None:
+        bucket_rows = auto_bucket_rows(df, stats.n)
+    bucket_rows = max(2, bucket_rows)
+    span = stats.hi - stats.lo + 1
+    width = max(1, -(-span * bucket_rows // max(1, stats.n)))
+    b = F.expr(f"(`{lead}` - {stats.lo}) div {width}")
+    row = df.groupBy(*keys, b.alias("__b")).agg(F.count(F.lit(1)).alias("__c")).agg(F.max("__c").alias("m")).first()
+    return row is None or row["m"] is None or row["m"] <= DIRECT_MAX_ROWS
+
+
 def _direction(cols: Sequence[str], following: bool) -> list[Column]:
     return [F.col(c).desc_nulls_last() if following else F.col(c).asc_nulls_first() for c in cols]
 
