@@ -91,7 +91,10 @@ def track_process(
     kept = C.drop_late(timed, ts="time_stamp", wm="trigger_wm_ms")
     # The zipped rows are read back from the cut, so their own bounds cost one
     # cheap scan and are tighter than the base table's.
-    match_st = keyed_order_stats(kept, ["trigger_ts"], [key])[1 if keyed_match else 0]["trigger_ts"]
+    if keyed_match:
+        match_st = keyed_order_stats(kept, ["trigger_ts"], [key])[1]["trigger_ts"]
+    else:
+        match_st = order_stats_multi(kept, ["trigger_ts"])["trigger_ts"]
     m = C.match_sequence(
         kept, step_pattern(steps, "content"), order=["trigger_ts", "trigger_seq", "pos"],
         partition_by=[key] if keyed_match else None, payload=["row_ts", key], stats=match_st,
