@@ -73,3 +73,20 @@ def test_scan_is_independent_of_partitioning(spark):
     a = scan(df, ["seq"], {"o": ("max", F.col("v"))}, partition_by=["k"], bucket_rows=8)
     b = scan(df.repartition(13), ["seq"], {"o": ("max", F.col("v"))}, partition_by=["k"], bucket_rows=1000)
     assert sorted(a.collect()) == sorted(b.collect())
+
+
+@pytest.mark.parametrize("following", [False, True])
+@pytest.mark.parametrize("inclusive", [False, True])
+@pytest.mark.parametrize("fn", ["min", "max", "sum"])
+def test_chained_global_scans_sharing_a_bucket_column(spark, following, inclusive, fn):
+    rows = _data(n=2000, seed=13)
+    df = spark.createDataFrame(rows, "k string, seq long, v long")
+    a = scan(df, ["seq"], {"o1": (fn, F.col("v"))}, following=following, inclusive=inclusive,
+             bucket_rows=16, bucket="__sb")
+    assert "__sb" in a.columns
+    b = scan(a, ["seq"], {"o2": (fn, F.col("v") * 2)}, following=following, inclusive=inclusive,
+             bucket_rows=16, bucket="__sb")
+    res = {r["seq"]: (r["o1"], r["o2"]) for r in b.collect()}
+    brute = _brute(rows, False, following, inclusive, fn)
+    brute2 = _brute([(k, s, 2 * v) for k, s, v in rows], False, following, inclusive, fn)
+    assert res == {s: (brute[s], brute2[s]) for s in brute}

@@ -94,10 +94,13 @@ def match_sequence(
 
     cur = df
     nxt: str | None = None
+    # a global chain keeps one bucket column so only its first scan shuffles the rows
+    share = "__mb" if not keys and needs_buckets(stats, keyed=False, df=df) else None
     for k in range(len(steps) - 1, 0, -1):
         c_k = F.when(steps[k].condition, item(F.col(nxt) if nxt else None))
         name = f"__next{k}"
-        cur = scan(cur, order, {name: ("min", c_k)}, partition_by=keys, following=True, stats=stats, balanced=balanced)
+        cur = scan(cur, order, {name: ("min", c_k)}, partition_by=keys, following=True, stats=stats, balanced=balanced,
+                   bucket=share)
         if nxt:
             cur = cur.drop(nxt)
         nxt = name

@@ -37,6 +37,8 @@ DEFAULT_BUCKET_ROWS = 1 << 15
 # stages, and no partition can exceed a normal task whatever the skew.  A key
 # above this bound, and any global order, is bucketed.
 DIRECT_MAX_ROWS = 1 << 20
+# Largest carry table (one row per bucket) that is broadcast to the rows.
+BROADCAST_MAX_ROWS = 1 << 18
 # Lower bound, so that small inputs do not pay for many tiny buckets.
 MIN_BUCKET_ROWS = 1 << 10
 
@@ -117,6 +119,7 @@ def scan(
     bucket_rows: int | None = None,
     stats: OrderStats | None = None,
     balanced: bool | None = None,
+    bucket: str | None = None,
 ) -> DataFrame:
     """Add one column per ``aggs`` entry: ``name -> (fn, expr)``.
 
@@ -130,6 +133,11 @@ def scan(
     ``bucket_rows`` defaults to ``auto_bucket_rows``.  For a composite order
     whose lead is not unique, ``balanced=True`` skips the hot-bucket check
     (the caller already ran ``lead_is_balanced``).
+
+    ``bucket`` (global orders only) names a bucket column that is kept in the
+    output and reused when already present: chained scans over the same order
+    then share one partitioning of the rows, and carries arrive by a join on
+    the bucket (the small carry table is shuffled, the rows are not).
     """
     order_by = list(order_by)
     keys = list(partition_by)
@@ -157,12 +165,17 @@ def scan(
         bucket_rows = auto_bucket_rows(df, stats.n)
     bucket_rows = max(2, bucket_rows)  # every recursion level shrinks the input at least twofold
     cols = list(df.columns)
+    if bucket is not None and bucket not in cols:
+        cols.append(bucket)
     vin = {name: f"__in_{i}" for i, name in enumerate(aggs)}
     staged = df.withColumns(
         {vin[name]: (F.col(e) if isinstance(e, str) else e) for name, (_, e) in aggs.items()}
     )
     fns = {name: fn for name, (fn, _) in aggs.items()}
-    out = _scan_staged(staged, order_by, vin, fns, keys, following, inclusive, bucket_rows, stats, 0, direct_rows)
+    if bucket is not None and not keys:
+        out = _scan_joined(staged, order_by, vin, fns, following, inclusive, bucket_rows, stats, bucket)
+    else:
+        out = _scan_staged(staged, order_by, vin, fns, keys, following, inclusive, bucket_rows, stats, 0, direct_rows)
     result = out.select(*cols, *[F.col(f"__out_{vin[n]}").alias(n) for n in aggs])
     return result
 
@@ -270,6 +283,55 @@ def _scan_staged(
     )
 
 
+def _scan_joined(
+    df: DataFrame,
+    order_by: list[str],
+    vin: Mapping[str, str],
+    fns: Mapping[str, str],
+    following: bool,
+    inclusive: bool,
+    bucket_rows: int,
+    stats: OrderStats,
+    bucket: str,
+) -> DataFrame:
+    """Global scan whose bucket column is kept: carries arrive by a join.
+
+    A NULL order value goes to bucket -1, which sorts first ascending and last
+    descending, like NULLs in the window order.
+    """
+    span = stats.hi - stats.lo + 1
+    width = max(1, -(-span * bucket_rows // max(1, stats.n)))
+    if bucket not in df.columns:
+        df = df.withColumn(bucket, F.coalesce(F.expr(f"(`{order_by[0]}` - {stats.lo}) div {width}"), F.lit(-1)))
+    table = df.groupBy(bucket).agg(*[_AGG[fns[n]](v).alias(v) for n, v in vin.items()])
+    n_buckets = (stats.hi - stats.lo) // width + 2
+    carried = _scan_staged(table, [bucket], vin, fns, [], following, False, bucket_rows,
+                           OrderStats(-1, n_buckets - 2, n_buckets), 1)
+    carry = carried.select(bucket, *[F.col(f"__out_{v}").alias(f"__carry_{v}") for v in vin.values()])
+    end = Window.currentRow if inclusive else -1
+    w = Window.partitionBy(bucket).orderBy(*_direction(order_by, following)).rowsBetween(Window.unboundedPreceding, end)
+    # the carry table has at most n_buckets rows: broadcast it only under that
+    # proven bound; above it, the join shuffles the carry table to the rows'
+    # existing bucket partitioning
+    if n_buckets <= BROADCAST_MAX_ROWS:
+        carry = F.broadcast(carry)
+    joined = df.join(carry, bucket, "left")
+    return joined.withColumns(
+        {
+            f"__out_{v}": _finish(fns[n], _combine(fns[n], _AGG[fns[n]](v).over(w), F.col(f"__carry_{v}")))
+            for n, v in vin.items()
+        }
+    ).drop(*[f"__carry_{v}" for v in vin.values()])
+
+
+def _combine(fn: str, a: Column, b: Column) -> Column:
+    if fn == "max":
+        return F.greatest(a, b)
+    if fn == "min":
+        return F.least(a, b)
+    return F.coalesce(a, F.lit(0)) + F.coalesce(b, F.lit(0))
+
+
 def _finish(fn: str, c: Column) -> Column:
     return F.coalesce(c, F.lit(0)) if fn == "sum" else c
 
