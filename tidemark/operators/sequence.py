@@ -26,6 +26,10 @@ from tidemark.plans.ordinal import with_ordinal
 from tidemark.plans.scan import OrderStats, lead_is_balanced, needs_buckets, order_stats, scan
 
 
+# Global chains keep one bucket column across their scans (one shuffle of the rows).
+SHARE_BUCKETS = True
+
+
 @dataclass(frozen=True)
 class Step:
     name: str
@@ -95,7 +99,7 @@ def match_sequence(
     cur = df
     nxt: str | None = None
     # a global chain keeps one bucket column so only its first scan shuffles the rows
-    share = "__mb" if not keys and needs_buckets(stats, keyed=False, df=df) else None
+    share = "__mb" if SHARE_BUCKETS and not keys and needs_buckets(stats, keyed=False, df=df) else None
     for k in range(len(steps) - 1, 0, -1):
         c_k = F.when(steps[k].condition, item(F.col(nxt) if nxt else None))
         name = f"__next{k}"
