@@ -2,56 +2,58 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.plans.lineage import cut
 
 __all__ = ["cut", "keyed_ordinal", "read_table", "drop_ids"]
 
-#: Rows that one (key, bucket) cell of ``keyed_ordinal`` should hold.
-CELL_ROWS = 4096
+#: Rows that one (key, cell) of ``keyed_ordinal`` should hold, and cells of one prefix-sum window.
+CELL_ROWS = 512
+CELL_STEP = 1024
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def keyed_ordinal(df: DataFrame, key: str, order: list[Column], out: str, n_rows: int) -> DataFrame:
+def keyed_ordinal(df: DataFrame, key: str, order: list[str], out: str) -> DataFrame:
     """Add ``out``: a dense position from 0 of each row within its ``key``.
 
-    Rows of a key are dealt into cells by a hash of their order columns and
-    numbered inside the cell; a cell starts where the previous ones end.  The
-    order is a fixed pseudo-random one (cell, hash, order columns).  A key that
-    holds most rows is spread over ``n_rows / CELL_ROWS`` cells, so no window
-    sees more than about ``CELL_ROWS`` rows; the cell counts come from a
-    map-side aggregate and their prefix sum runs over one row per cell.
-    Null keys count as one key.  ``df`` is read twice: cut it first.
+    A key's rows are dealt into cells by a hash of the ``order`` columns, about
+    ``CELL_ROWS`` rows each, and numbered inside their cell; a cell starts where the
+    previous ones end.  The order is a fixed pseudo-random one (cell, hash, order
+    columns).  So a key that holds most rows is spread over many windows; counts come
+    from map-side aggregates, their prefix sums run over one row per cell, in two
+    levels.  Null keys count as one key.  ``df`` is read three times: cut it first.
     """
-    cells = max(1, -(-n_rows // CELL_ROWS))
+    sizes = cut(df.groupBy(F.col(key).alias("__k")).agg(F.count("*").alias("__n")), "key-sizes")
     h = F.xxhash64(*order)
-    df = df.withColumns({"__h": h, "__cell": F.pmod(h, F.lit(cells)).cast("int")})
-    counts = df.groupBy(F.col(key).alias("__k"), "__cell").agg(F.count("*").alias("__n"))
-    # prefix sums over the cells: a second level keeps each window at sqrt(cells) rows
-    step = max(1, int(cells**0.5))
-    counts = counts.withColumn("__group", (F.col("__cell") / step).cast("int"))
-    groups = counts.groupBy("__k", "__group").agg(F.sum("__n").alias("__gn"))
-    wg = Window.partitionBy("__k").orderBy("__group").rowsBetween(Window.unboundedPreceding, -1)
-    wc = Window.partitionBy("__k", "__group").orderBy("__cell").rowsBetween(Window.unboundedPreceding, -1)
-    groups = groups.withColumn("__gbase", F.coalesce(F.sum("__gn").over(wg), F.lit(0))).select(
-        F.col("__k").alias("__gk"), F.col("__group").alias("__gg"), "__gbase"
+    dealt = df.join(sizes, F.col(key).eqNullSafe(F.col("__k"))).withColumns(
+        {"__h": h, "__cell": F.pmod(h, F.ceil(F.col("__n") / CELL_ROWS).cast("long"))}
     )
-    base = (
-        counts.withColumn("__cbase", F.coalesce(F.sum("__n").over(wc), F.lit(0)))
+    counts = dealt.groupBy("__k", "__cell").agg(F.count("*").alias("__m"))
+    counts = counts.withColumn("__group", F.floor(F.col("__cell") / CELL_STEP))
+    groups = counts.groupBy("__k", "__group").agg(F.sum("__m").alias("__gm"))
+    before = lambda *by: Window.partitionBy(*by).rowsBetween(Window.unboundedPreceding, -1)
+    groups = groups.select(
+        F.col("__k").alias("__gk"),
+        F.col("__group").alias("__gg"),
+        F.coalesce(F.sum("__gm").over(before("__k").orderBy("__group")), F.lit(0)).alias("__gbase"),
+    )
+    base = cut(
+        counts.withColumn("__cbase", F.coalesce(F.sum("__m").over(before("__k", "__group").orderBy("__cell")), F.lit(0)))
         .join(groups, F.col("__k").eqNullSafe(F.col("__gk")) & (F.col("__group") == F.col("__gg")))
-        .select("__k", F.col("__cell").alias("__c"), (F.col("__gbase") + F.col("__cbase")).alias("__base"))
+        .select(F.col("__k").alias("__bk"), F.col("__cell").alias("__bc"), (F.col("__gbase") + F.col("__cbase")).alias("__base")),
+        "cell-bases",
     )
-    wr = Window.partitionBy(key, "__cell").orderBy("__h", *order)
-    ranked = df.withColumn("__rn", F.row_number().over(wr))
+    inside = Window.partitionBy("__k", "__cell").orderBy("__h", *order)
     return (
-        ranked.join(base, F.col(key).eqNullSafe(F.col("__k")) & (F.col("__cell") == F.col("__c")))
+        dealt.withColumn("__rn", F.row_number().over(inside))
+        .join(base, F.col("__k").eqNullSafe(F.col("__bk")) & (F.col("__cell") == F.col("__bc")))
         .withColumn(out, (F.col("__base") + F.col("__rn") - 1).cast("long"))
-        .drop("__h", "__cell", "__k", "__c", "__base", "__rn")
+        .drop("__h", "__cell", "__k", "__n", "__bk", "__bc", "__base", "__rn")
     )
 
 

@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import exact_dedup
+from tidemark.llm import bitplane, exact_dedup, packing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_packing": packing.op3_packing,
+    "op4_bitplane_ids": bitplane.op4_bitplane_ids,
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
 }
 ORACLE: dict[str, str] = {
