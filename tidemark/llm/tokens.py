@@ -8,36 +8,57 @@ the text at once; ``tests/llm`` holds that on random texts.
 
 from __future__ import annotations
 
+import itertools
 import re
 from collections.abc import Iterator
 
-#: Cached words of a task, at most; then the cache starts anew.
-CACHE_WORDS = 300_000
+#: Words of one generation of a task's cache; two generations are kept.
+CACHE_WORDS = 400_000
 #: Characters of a text that are cut into words at a time.
-PIECE_CHARS = 1 << 20
+PIECE_CHARS = 1 << 21
 
 #: White space of Unicode.
 _SPACES = [c for c in map(chr, range(0x3001)) if c.isspace()]
 
 
-class _Words(dict):
-    """word -> its ids as little-endian unsigned 32-bit bytes; ``lead`` goes before each word."""
+class _Words:
+    """word -> its ids as little-endian unsigned 32-bit bytes; ``lead`` goes before each word.
+
+    New words are encoded many at a time, joined by one of the tokenizer's special
+    tokens: it always cuts there, and its id marks where the next word's ids begin.
+    """
 
     def __init__(self, tokenizer, lead: str) -> None:
-        super().__init__()
         self.tokenizer, self.lead = tokenizer, lead
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        special = tokenizer.get_added_tokens_decoder()
+        self.contents = [t.content for t in special.values()]
+        self.mark_id, self.mark = next(((i, t.content) for i, t in special.items()), (-1, ""))
 
     def add(self, words: set[str]) -> None:
         import numpy as np
 
-        if len(self) > CACHE_WORDS:
-            self.clear()
-        new = [w for w in words if w not in self]
-        encode = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
+        if len(self.young) > CACHE_WORDS:
+            self.old, self.young = self.young, {}
+        young, new = self.young, words - self.young.keys()
+        known = new & self.old.keys()
+        young.update(zip(known, map(self.old.__getitem__, known)))
+        new = list(new - known)
+        if not self.mark or any(c in text for text in [" ".join(new)] for c in self.contents):
+            alone = [w for w in new if not self.mark or any(c in w for c in self.contents)]
+            for w in alone:
+                ids = self.tokenizer.encode(self.lead + w, add_special_tokens=False).ids
+                young[w] = np.asarray(ids, dtype="<u4").tobytes()
+            new = [w for w in new if w not in young]
         for at in range(0, len(new), 4096):
             part = new[at : at + 4096]
-            for w, e in zip(part, encode([self.lead + w for w in part], add_special_tokens=False)):
-                self[w] = np.asarray(e.ids, dtype="<u4").tobytes()
+            text = self.mark.join([self.lead + w for w in part])
+            ids = np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
+            data, start = ids.tobytes(), 0
+            for w, end in zip(part, [*np.flatnonzero(ids == self.mark_id).tolist(), len(ids)], strict=True):
+                young[w] = data[4 * start : 4 * end]
+                start = end + 1
 
 
 class Encoder:
@@ -92,19 +113,18 @@ class Encoder:
             return
         cut = [list(self._pieces(t)) for t in texts]
         self.first.add({p[0][0] for p in cut})
-        self.rest.add({w for p in cut for k, words in enumerate(p) for w in (words[1:] if k == 0 else words)})
+        self.rest.add(set().union(*itertools.chain.from_iterable(cut)))
         for p in cut:
-            yield b"".join([self.first[p[0][0]], *map(self.rest.__getitem__, p[0][1:])]) + b"".join(
-                self.rest[w] for words in p[1:] for w in words
-            )
+            rest = itertools.chain(p[0][1:], *p[1:])
+            yield b"".join([self.first.young[p[0][0]], *map(self.rest.young.__getitem__, rest)])
 
     def _one(self, pieces: Iterator[list[str]]) -> bytes:
         out = []
         for k, words in enumerate(pieces):
             if k == 0:
                 self.first.add({words[0]})
-                out.append(self.first[words[0]])
+                out.append(self.first.young[words[0]])
                 words = words[1:]
             self.rest.add(set(words))
-            out.append(b"".join(map(self.rest.__getitem__, words)))
+            out.append(b"".join(map(self.rest.young.__getitem__, words)))
         return b"".join(out)
