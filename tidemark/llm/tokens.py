@@ -30,6 +30,7 @@ class _Words:
 
     def __init__(self, tokenizer, lead: str) -> None:
         self.tokenizer, self.lead = tokenizer, lead
+        self.encode = getattr(tokenizer, "encode_batch_fast", tokenizer.encode_batch)  # ids without offsets
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
         special = tokenizer.get_added_tokens_decoder()
@@ -51,14 +52,15 @@ class _Words:
                 ids = self.tokenizer.encode(self.lead + w, add_special_tokens=False).ids
                 young[w] = np.asarray(ids, dtype="<u4").tobytes()
             new = [w for w in new if w not in young]
-        for at in range(0, len(new), 4096):
-            part = new[at : at + 4096]
-            text = self.mark.join([self.lead + w for w in part])
-            ids = np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
-            data, start = ids.tobytes(), 0
-            for w, end in zip(part, [*np.flatnonzero(ids == self.mark_id).tolist(), len(ids)], strict=True):
-                young[w] = data[4 * start : 4 * end]
-                start = end + 1
+        parts = [new[at : at + 64] for at in range(0, len(new), 64)]
+        for at in range(0, len(parts), 256):
+            texts = [self.mark.join([self.lead + w for w in part]) for part in parts[at : at + 256]]
+            for part, e in zip(parts[at : at + 256], self.encode(texts, add_special_tokens=False)):
+                ids = np.asarray(e.ids, dtype="<u4")
+                data, start = ids.tobytes(), 0
+                for w, end in zip(part, [*np.flatnonzero(ids == self.mark_id).tolist(), len(ids)], strict=True):
+                    young[w] = data[4 * start : 4 * end]
+                    start = end + 1
 
 
 class Encoder:
