@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bitplane, exact_dedup, packing
+from tidemark.llm import bitplane, exact_dedup, near_dedup, packing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_minhash": near_dedup.op2_minhash,
     "op3_packing": packing.op3_packing,
     "op4_bitplane_ids": bitplane.op4_bitplane_ids,
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
