@@ -8,19 +8,18 @@
 2. Documents with one fingerprint are one class, represented by the smallest doc_id.
 3. Registers are read in bands of ``ROWS``; the number of bands follows from the
    similarity so that a pair at the threshold shares no band with a probability of at
-   most ``MISS``.  In every bucket of a band each class is paired with the bucket's
-   smallest one: a star, not all pairs.
+   most ``MISS``.  The hub of a bucket is its class with the most company over all its
+   buckets, so the centre of a group of near copies where one exists.
 4. Pairs are estimated jointly by likelihood from the counts of registers that are
    larger, smaller and equal and from both set sizes.  A pair is dropped only when the
    threshold and everything above it is less likely than the best estimate by
-   a factor of exp(``EVIDENCE``).
-5. What is left is verified on the full sets; components of the verified links follow.
-6. A bucket may hold classes of several components: a star does not show
-   that they are unlinked.  Their cross pairs (other component, sizes within the
-   threshold) go through steps 4 and 5 as well, so every pair that shares a bucket is
-   linked through its component or has been tested.  In buckets of more than ``LARGE``
-   unsettled classes only pairs that share another band too are taken: such a pair at
-   the threshold is lost with a probability below 1e-4.
+   a factor of exp(``EVIDENCE``).  The others are verified on the full sets, which are
+   computed once for the classes that share a bucket with another.
+5. Each class is paired with its best hub, links give components; then with its other
+   hubs, where these are in another component.
+6. Buckets that still hold several components are settled exactly, by prefix filtering
+   over the full sets of their classes.  So every pair that shares a bucket is linked through
+   its component or has been excluded or tested, without all pairs of a group.
 
 Cases: null, empty or white-space texts have an empty set, are linked with nothing and
 are kept; fewer words than a shingle are one shingle of all words; rows that repeat a
@@ -36,7 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import cut, drop_ids, read_table
@@ -47,7 +46,8 @@ WORDS = 5
 ROWS = 6
 MISS = 1e-6
 EVIDENCE = 14.0
-LARGE = 256
+#: Bits of the bitmap of candidate ids.
+FILTER_BITS = 1 << 24
 #: SetSketch: base of the spacing, rate of the exponential variables, largest register.
 BASE, RATE, TOP = 1.1, 20.0, 255
 
@@ -172,32 +172,98 @@ def plausible(pairs: DataFrame, reps: DataFrame, similarity: float) -> DataFrame
     return wide.select("a", "b", "na", "nb", "ga", "gb").mapInArrow(run, "a long, b long")
 
 
-def verified(pairs: DataFrame, docs: DataFrame, percent: int, words: int = WORDS) -> DataFrame:
-    """Those ``pairs`` (a, b; written) whose full sets reach the similarity: (a, b)."""
+def id_bits(nodes: DataFrame, position: Column) -> np.ndarray:
+    """A bitmap of ``FILTER_BITS`` bits, set at the position of each node: 2 MB, however many nodes."""
+    at = position + 1
+    rows = (
+        nodes.groupBy(F.bitmap_bucket_number(at).alias("k"))
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("bits"))
+        .collect()
+    )
+    out = np.zeros(FILTER_BITS // 8, np.uint8)
+    for r in rows:
+        out[(r["k"] - 1) * 4096 : r["k"] * 4096] = np.frombuffer(r["bits"], np.uint8)
+    return out
+
+
+def shingle_sets(docs: DataFrame, nodes: DataFrame, words: int = WORDS) -> DataFrame:
+    """``(id, shingles)`` of the documents in ``nodes`` (node; written), written.
+
+    A bitmap of the nodes' hashed ids keeps nearly all other texts from being read
+    twice; the few more that pass it are harmless, and beyond ``FILTER_BITS`` / 8 nodes a
+    join removes them.
+    """
+    place = lambda c: F.pmod(F.xxhash64(c), F.lit(FILTER_BITS))
+    bits = docs.sparkSession.sparkContext.broadcast(id_bits(nodes, place(F.col("node"))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher()
         for batch in batches:
+            at = batch.column(2).to_numpy(zero_copy_only=False)
+            batch = batch.filter(pa.array((bits.value[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1))
+            if batch.num_rows == 0:
+                continue
             ids = batch.column(0)
             for i, j, shingles, offsets in shingle_groups(batch, hasher, words):
                 values = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(shingles.view(np.int64)))
                 yield pa.RecordBatch.from_arrays([ids.slice(i, j - i), values], ["id", "shingles"])
 
-    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-    texts = docs.join(nodes, docs["doc_id"] == nodes["node"], "left_semi")
-    sets = texts.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "id long, shingles array<long>")
-    sets = cut(sets, "shingle-sets")
+    known = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter("doc_id IS NOT NULL")
+    sets = known.withColumn("place", place(F.col("doc_id"))).mapInArrow(run, "id long, shingles array<long>")
+    if nodes.count() > FILTER_BITS // 8:
+        sets = sets.join(nodes, F.col("id") == F.col("node"), "left_semi")
+    return cut(sets, "shingle-sets")
+
+
+def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Those ``pairs`` (a, b) whose full sets reach the similarity: (a, b), written."""
     sa = sets.select(F.col("id").alias("ia"), F.col("shingles").alias("sa"))
     sb = sets.select(F.col("id").alias("ib"), F.col("shingles").alias("sb"))
     both = F.size(F.array_intersect("sa", "sb"))
-    return (
+    return cut(
         pairs.join(sb, F.col("b") == F.col("ib"))
         .join(sa, F.col("a") == F.col("ia"))
         .filter(100 * both >= percent * (F.size("sa") + F.size("sb") - both))
-        .select("a", "b")
+        .select("a", "b"),
+        "links",
     )
 
 
+def prefix_pairs(classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of different components among ``classes`` (rep, own) that may reach the similarity.
+
+    Exact prefix filtering: two sets of sizes x and y at the threshold share at least
+    need = percent / (100 + percent) * (x + y) shingles, so with the shingles of each set
+    ordered by rarity they share one among the first x - need + 1 and y - need + 1.  Near
+    copies below the threshold differ in their rarest shingles and do not meet.
+    """
+    rows = classes.join(sets, F.col("rep") == F.col("id")).select(
+        "rep", "own", F.size("shingles").alias("n"), F.explode("shingles").alias("s")
+    )
+    rows = cut(rows, "unsettled-shingles")
+    spread = rows.groupBy(F.col("s").alias("t")).agg(
+        F.count("*").alias("df"), F.min("own").alias("lo"), F.max("own").alias("hi")
+    )
+    spread = cut(spread, "shingle-spread")
+    order = Window.partitionBy("rep").orderBy("df", "s")
+    ranked = rows.join(spread, F.col("s") == F.col("t")).withColumn("pos", F.row_number().over(order))
+    # positions from 1; the longest prefix is that towards a smallest partner
+    longest = F.col("n") - F.ceil(F.col("n") * percent / 100 - 1e-6) + 1
+    first = ranked.filter((F.col("pos") <= longest) & (F.col("lo") != F.col("hi")))
+    first = cut(first.select("s", "rep", "own", "n", "pos"), "prefixes")
+    x, y = first.toDF("s", "a", "oa", "na", "pa"), first.toDF("sb", "b", "ob", "nb", "pb")
+    need = F.ceil((F.col("na") + F.col("nb")) * percent / (100 + percent) - 1e-6)
+    return x.join(
+        y,
+        (F.col("s") == F.col("sb"))
+        & (F.col("a") > F.col("b"))
+        & (F.col("oa") != F.col("ob"))
+        & (F.col("pa") <= F.col("na") - need + 1)
+        & (F.col("pb") <= F.col("nb") - need + 1)
+        & (100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")),
+    ).select("a", "b").distinct()
+
+
 def near_duplicates(docs: DataFrame, percent: int, words: int = WORDS) -> DataFrame:
     """Per row of ``docs``: doc_id, n_shingles, component_id, kept.
 
@@ -222,54 +288,56 @@ def near_duplicates(docs: DataFrame, percent: int, words: int = WORDS) -> DataFr
         F.sequence(F.lit(0), F.lit(bands - 1)),
         lambda k: F.xxhash64(k, F.substring(F.col("registers"), k * ROWS + 1, F.lit(ROWS))),
     )
-    rows = reps.select("rep", "n_shingles", F.explode(keys).alias("bucket"))
-    buckets = cut(
-        rows.groupBy(F.col("bucket").alias("key")).agg(F.min("rep").alias("hub"), F.count("*").alias("n")).filter("n > 1"),
-        "buckets",
+    rows = reps.select("rep", F.explode(keys).alias("bucket"))
+    shared = cut(rows.groupBy(F.col("bucket").alias("key")).agg(F.count("*").alias("n")).filter("n > 1"), "buckets")
+    found = cut(rows.join(shared, F.col("bucket") == F.col("key")).select("bucket", "n", "rep"), "members")
+    company = cut(found.groupBy(F.col("rep").alias("node")).agg(F.sum("n").alias("weight")), "company")
+    sets = shingle_sets(docs, company.select("node"), words)
+    found = found.join(company, F.col("rep") == F.col("node")).select("bucket", "n", "rep", "weight")
+    found = cut(found, "members")
+    hubs = cut(
+        found.groupBy(F.col("bucket").alias("key")).agg(F.max(F.struct("weight", -F.col("rep"))).alias("top")), "hubs"
+    )
+    members = cut(
+        found.join(hubs, F.col("bucket") == F.col("key")).select(
+            "bucket", "n", "rep", F.col("top.weight").alias("hub_weight"), (-F.col("top.col2")).alias("hub")
+        ),
+        "members",
     )
-    members = cut(rows.join(buckets, F.col("bucket") == F.col("key")).select("bucket", "hub", "n", "rep", "n_shingles"), "members")
 
-    stars = members.filter("rep <> hub").select(F.col("rep").alias("a"), F.col("hub").alias("b")).distinct()
-    links = cut(verified(cut(plausible(stars, reps, similarity), "pairs"), docs, percent, words), "links")
+    stars = members.filter("rep <> hub")
+    best = stars.groupBy(F.col("rep").alias("a")).agg(F.max(F.struct("hub_weight", "hub")).alias("top"))
+    best = best.select("a", F.col("top.hub").alias("b"))
+    links = verified(cut(plausible(best, reps, similarity), "pairs"), sets, percent)
     labels = components(links)
 
-    # cross pairs of the buckets that hold several components
-    own = F.coalesce("label", "rep")
-    placed = cut(members.filter("n > 2").join(labels, F.col("rep") == F.col("node"), "left").withColumn("own", own), "placed")
-    mixed = cut(
+    def component_of(df: DataFrame, node: str, out: str) -> DataFrame:
+        names = labels.select(F.col("node").alias("__node"), "label")
+        return df.join(names, F.col(node) == F.col("__node"), "left").withColumn(
+            out, F.coalesce("label", node)
+        ).drop("__node", "label")
+
+    other = stars.select(F.col("rep").alias("a"), F.col("hub").alias("b")).distinct().join(best, ["a", "b"], "left_anti")
+    apart = component_of(component_of(other, "a", "la"), "b", "lb").filter("la <> lb").select("a", "b")
+    links = cut(links.union(verified(cut(plausible(apart, reps, similarity), "pairs"), sets, percent)), "links")
+    labels = components(links)
+
+    # classes of the buckets that hold several components
+    placed = component_of(members.filter("n > 2").select("bucket", "rep"), "rep", "own")
+    placed = cut(placed, "placed")
+    mixed = (
         placed.groupBy(F.col("bucket").alias("m_bucket"))
-        .agg(F.min("own").alias("lo"), F.max("own").alias("hi"), F.count("*").alias("m"))
+        .agg(F.min("own").alias("lo"), F.max("own").alias("hi"))
         .filter("lo <> hi")
-        .select("m_bucket", "m"),
-        "mixed",
+        .select("m_bucket")
     )
-    left = cut(
-        placed.join(mixed, F.col("bucket") == F.col("m_bucket")).select("bucket", "rep", "n_shingles", "own", "hub", "m"), "unsettled"
-    )
-    if not left.isEmpty():
-        # the sorted list of a class's unsettled large buckets tells whether a pair shares two
-        large = left.filter(F.col("m") > LARGE)
-        small = left.filter(F.col("m") <= LARGE)
-        twice = large.select(F.col("bucket").alias("other"), F.col("rep").alias("r2"))
-        refined = large.join(twice, (F.col("rep") == F.col("r2")) & (F.col("bucket") < F.col("other"))).select(
-            F.xxhash64("bucket", "other").alias("bucket"), "rep", "n_shingles", "own", "hub"
-        )
-        cells = cut(small.select("bucket", "rep", "n_shingles", "own", "hub").union(refined), "cells")
-        x = cells.toDF("bucket", "a", "na", "oa", "hub")
-        y = cells.toDF("bucket_b", "b", "nb", "ob", "hub_b")
-        cross = x.join(
-            y,
-            (F.col("bucket") == F.col("bucket_b"))
-            & (F.col("a") > F.col("b"))
-            & (F.col("oa") != F.col("ob"))
-            & (F.col("b") != F.col("hub"))  # tested as a star
-            & (F.col("na") >= F.col("nb") * similarity - 1e-6)
-            & (F.col("nb") >= F.col("na") * similarity - 1e-6),
-        )
-        cross = cut(plausible(cross.select("a", "b").distinct(), reps, similarity), "cross-pairs")
+    unsettled = placed.join(mixed, F.col("bucket") == F.col("m_bucket"), "left_semi").select("rep", "own").distinct()
+    unsettled = cut(unsettled, "unsettled")
+    if not unsettled.isEmpty():
+        cross = cut(plausible(prefix_pairs(unsettled, sets, percent), reps, similarity), "cross-pairs")
         if not cross.isEmpty():
-            more = verified(cross, docs, percent, words)
-            labels = components(cut(links.union(more), "links"))
+            links = links.union(verified(cross, sets, percent))
+            labels = components(cut(links, "links"))
 
     names = labels.select(F.col("node"), "label")
     by_class = cut(
