@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bitplane, exact_dedup, near_dedup, packing
+from tidemark.llm import bitplane, exact_dedup, near_dedup, packing, pii
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_pii": pii.op1_pii,
     "op2_minhash": near_dedup.op2_minhash,
     "op3_packing": packing.op3_packing,
     "op4_bitplane_ids": bitplane.op4_bitplane_ids,
