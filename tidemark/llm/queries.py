@@ -6,14 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bitplane, exact_dedup, near_dedup, packing, pii
+from tidemark.llm import bitplane, exact_dedup, langid, mixing, near_dedup, packing, pii
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": pii.op1_pii,
     "op2_minhash": near_dedup.op2_minhash,
     "op3_packing": packing.op3_packing,
     "op4_bitplane_ids": bitplane.op4_bitplane_ids,
+    "op6_mixing": mixing.op6_mixing,
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
+    "op10_language": langid.op10_language,
 }
 ORACLE: dict[str, str] = {
     "op9_exact_dedup": exact_dedup.ORACLE,
