@@ -53,11 +53,11 @@ class Hasher:
         self.pow = np.cumprod(np.full(n, self.base, dtype=np.uint64))
         self.inv = np.cumprod(np.full(n, self.inverse, dtype=np.uint64))
 
-    def words(self, data: np.ndarray, breaks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Hash and first byte of each word; a word never crosses a position in ``breaks``."""
+    def words(self, data: np.ndarray, breaks: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Hash, first and last byte of each word; a word never crosses a position in ``breaks``."""
         n = len(data)
         if n == 0:
-            return np.empty(0, np.uint64), np.empty(0, np.int64)
+            return np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
         if n > len(self.pow):
             self._powers(n)
         inside = ~self.space[data]
@@ -72,7 +72,7 @@ class Hasher:
         sums = np.cumsum(self.table[data] * self.pow[:n])
         h = sums[ends]
         h[starts > 0] -= sums[starts[starts > 0] - 1]
-        return mix(h * self.inv[starts]), starts
+        return mix(h * self.inv[starts]), starts, ends
 
 
 def columns(batch: pa.RecordBatch, name: str) -> tuple[np.ndarray, np.ndarray]:
@@ -96,28 +96,50 @@ def groups(offsets: np.ndarray, most: int = GROUP_BYTES) -> Iterator[tuple[int,
         i = j
 
 
-def word_groups(hasher: Hasher, data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """For row ranges [i, j): the hashes of all their words and each row's word offsets."""
+def word_pieces(
+    hasher: Hasher, data: np.ndarray, offsets: np.ndarray
+) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(i, j, bytes, hashes, first bytes, last bytes, word offsets) for row ranges [i, j).
+
+    A row of more than ``GROUP_BYTES`` comes in several pieces, cut at white space.
+    """
     for i, j in groups(offsets):
         lo, hi = int(offsets[i]), int(offsets[j])
-        if j - i == 1 and hi - lo > GROUP_BYTES:
-            parts, at = [], lo
-            while at < hi:
-                to = min(at + GROUP_BYTES, hi)
-                while to < hi:  # up to the next white space, however far
-                    stop = np.flatnonzero(hasher.space[data[to : to + GROUP_BYTES]])
-                    if len(stop):
-                        to += int(stop[0])
-                        break
-                    to = min(to + GROUP_BYTES, hi)
-                parts.append(hasher.words(data[at:to], np.empty(0, np.int64))[0])
-                at = to
-            h = np.concatenate(parts)
-            yield i, j, h, np.array([0, len(h)])
-        else:
+        if j - i > 1 or hi - lo <= GROUP_BYTES:
             rel = offsets[i : j + 1] - lo
-            h, starts = hasher.words(data[lo:hi], rel)
-            yield i, j, h, np.searchsorted(starts, rel)
+            h, starts, ends = hasher.words(data[lo:hi], rel)
+            yield i, j, data[lo:hi], h, starts, ends, np.searchsorted(starts, rel)
+            continue
+        at = lo
+        while at < hi:
+            to = min(at + GROUP_BYTES, hi)
+            while to < hi:  # up to the next white space, however far
+                stop = np.flatnonzero(hasher.space[data[to : to + GROUP_BYTES]])
+                if len(stop):
+                    to += int(stop[0])
+                    break
+                to = min(to + GROUP_BYTES, hi)
+            h, starts, ends = hasher.words(data[at:to], np.empty(0, np.int64))
+            yield i, j, data[at:to], h, starts, ends, np.array([0, len(h)])
+            at = to
+
+
+def word_groups(hasher: Hasher, data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """For row ranges [i, j): the hashes of all their words and each row's word offsets."""
+    long_row, parts = -1, []
+    for i, j, piece, h, _, _, at in word_pieces(hasher, data, offsets):
+        if long_row >= 0 and i != long_row:
+            h_all = np.concatenate(parts)
+            yield long_row, long_row + 1, h_all, np.array([0, len(h_all)])
+            long_row, parts = -1, []
+        if j - i == 1 and int(offsets[j] - offsets[i]) > GROUP_BYTES:
+            long_row = i
+            parts.append(h)
+        else:
+            yield i, j, h, at
+    if long_row >= 0:
+        h_all = np.concatenate(parts)
+        yield long_row, long_row + 1, h_all, np.array([0, len(h_all)])
 
 
 def segment_sum(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
