@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bitplane, exact_dedup, langid, mixing, near_dedup, packing, pii, pitman_yor
+from tidemark.llm import ann, bitplane, exact_dedup, langid, mixing, near_dedup, packing, pii, pitman_yor
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": pii.op1_pii,
@@ -14,6 +14,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_packing": packing.op3_packing,
     "op4_bitplane_ids": bitplane.op4_bitplane_ids,
     "op6_mixing": mixing.op6_mixing,
+    "op7_ann": ann.op7_ann,
     "op8_pitman_yor": pitman_yor.op8_pitman_yor,
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
     "op10_language": langid.op10_language,
