@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import ann, bitplane, exact_dedup, langid, mixing, near_dedup, packing, pii, pitman_yor
+from tidemark.llm import ann, bitplane, exact_dedup, html_extract, langid, mixing, near_dedup, packing, pii, pitman_yor
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": pii.op1_pii,
     "op2_minhash": near_dedup.op2_minhash,
     "op3_packing": packing.op3_packing,
     "op4_bitplane_ids": bitplane.op4_bitplane_ids,
+    "op5_html": html_extract.op5_html,
     "op6_mixing": mixing.op6_mixing,
     "op7_ann": ann.op7_ann,
     "op8_pitman_yor": pitman_yor.op8_pitman_yor,
