@@ -40,6 +40,8 @@ SAMPLE_ROWS, SAMPLE_CHARS, MAX_LANGUAGES = 4000, 4000, 64
 #: Overlapping trigrams repeat evidence; a third of their log likelihood counts.
 TEMPER = 1 / 3
 KAPPA = 20.0
+#: Share of unordered bytes in every language: names, numbers and codes do not refute a language.
+UNORDERED = 0.3
 UND = "und"
 
 
@@ -93,9 +95,10 @@ def fit(docs: DataFrame, text: str = "text", declared: str = "lang", key: str =
         z = np.tile(used, len(used)).astype(np.uint64)
         tri = (np.uint64(x) << np.uint64(16)) | (y << np.uint64(8)) | z
         np.logaddexp.at(unordered, (mix(tri) >> np.uint64(48)).astype(np.int64), p[x] + p[y.astype(int)] + p[z.astype(int)])
-    alpha = 0.02
-    logs = np.log((counts + alpha) / (counts.sum(1, keepdims=True) + alpha * BINS))
-    logs[-1] = np.logaddexp(unordered, math.log(1e-9 / BINS))
+    unordered = np.logaddexp(unordered, math.log(1e-9 / BINS))
+    shares = counts / np.maximum(counts.sum(1, keepdims=True), 1)
+    logs = np.log((1 - UNORDERED) * shares + UNORDERED * np.exp(unordered))
+    logs[-1] = unordered
     return langs, np.hstack([logs, np.zeros((len(langs) + 1, 1))])
 
 
