@@ -25,6 +25,8 @@ QUARANTINE = "QUARANTINE"
 _JAVA_TRIM_CHARS = "".join(chr(i) for i in range(0x21))
 # Long.parseLong accepts an optional sign and decimal digits only.
 _LONG_TEXT = r"^[+-]?[0-9]+$"
+# Double.parseDouble accepts decimals, an exponent, a type suffix, NaN and Infinity (case-sensitive).
+_DOUBLE_TEXT = r"^[+-]?(NaN|Infinity|([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?[fFdD]?)$"
 
 SENSOR_FIELDS = (("id", "string"), ("time_stamp", "bigint"), ("temperature", "double"))
 LOG_FIELDS = (("id", "string"), ("workpiece", "string"), ("time_stamp", "bigint"), ("content", "string"))
@@ -41,6 +43,10 @@ def _typed(text: Column, typ: str) -> tuple[Column, Column]:
     if typ == "bigint":
         ok = text.rlike(_LONG_TEXT)
         return F.when(ok, text.try_cast("bigint")), ok & text.try_cast("bigint").isNotNull()
+    if typ == "double":
+        ok = text.rlike(_DOUBLE_TEXT)
+        v = F.when(ok, F.regexp_replace(text, "[fFdD]$", "").try_cast(typ))
+        return v, ok & v.isNotNull()
     v = text.try_cast(typ)
     return v, v.isNotNull()
 
@@ -58,7 +64,8 @@ def parse_fields(
     input columns carried through (for example ``seq``).
     """
     keep = [c for c in (keep if keep is not None else lines.columns) if c != value]
-    parts = F.split(F.col(value), ",")
+    # Java's split drops trailing empty parts: a line that ends in commas has fewer fields
+    parts = F.split(F.rtrim(F.col(value), F.lit(",")), ",")
     typed, oks = [], []
     for i, (name, typ) in enumerate(fields):
         text = java_trim(F.get(parts, i))

@@ -19,6 +19,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidemark.plans.scan import OrderStats, row_number, scan
 
@@ -161,14 +162,29 @@ def apply_window_function(
     gkeys = [key, "window_start"]
     # An explicit partition count: AQE must not fold Python work into one task.
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    part = df.repartition(n, *gkeys).sortWithinPartitions(*gkeys)
+    # Windows are told apart by text: NULL keys equal each other, long keys stay exact.
+    name = F.concat(F.coalesce(F.concat(F.lit("k"), F.col(key).cast("string")), F.lit("n")), F.lit("|"), F.col("window_start"))
+    part = df.repartition(n, *gkeys).sortWithinPartitions(*gkeys).withColumn("__window", name)
+    integral = df.schema[key].dataType.simpleString() in ("bigint", "int", "smallint", "tinyint")
+    if integral:
+        part = part.withColumn(key, F.col(key).cast("string"))
+    empty = pd.DataFrame(columns=StructType.fromDDL(schema).names)
+
+    def whole(pdf: pd.DataFrame) -> pd.DataFrame:
+        """The frame that the user's function sees."""
+        if integral:
+            values = pdf[key]
+            exact = pd.array([None if v is None else int(v) for v in values], dtype="Int64")
+            pdf = pdf.assign(**{key: exact if values.isna().any() else exact.to_numpy("int64")})
+        return pdf.drop(columns="__window")
 
     def call(pdf: pd.DataFrame) -> pd.DataFrame:
+        window = pdf["__window"].to_numpy()
+        pdf = whole(pdf)
         if not per_window:
             return fn(pdf)
         # rows arrive sorted by (key, window): cut at the change points
-        k, w = pdf[key].to_numpy(), pdf["window_start"].to_numpy()
-        cuts = np.flatnonzero((k[1:] != k[:-1]) | (w[1:] != w[:-1])) + 1
+        cuts = np.flatnonzero(window[1:] != window[:-1]) + 1
         bounds = np.concatenate(([0], cuts, [len(pdf)]))
         frames, records = [], []
         for a, b in zip(bounds[:-1], bounds[1:]):
@@ -181,20 +197,26 @@ def apply_window_function(
                 records.extend(res)
         if records:
             frames.append(pd.DataFrame.from_records(records))
+        frames = [f for f in frames if len(f)]
+        if not frames:
+            return empty
         return pd.concat(frames, ignore_index=True) if len(frames) != 1 else frames[0]
 
     def run(batches):
-        carry = None
+        carry: list[pd.DataFrame] = []  # pieces of the trailing window, joined once it ends
         for b in batches:
-            if carry is not None and len(carry):
-                b = pd.concat([carry, b], ignore_index=True)
             if not len(b):
                 continue
-            tail = (b[key] == b[key].iloc[-1]) & (b["window_start"] == b["window_start"].iloc[-1])
-            done, carry = b[~tail], b[tail]
-            if len(done):
-                yield call(done)
-        if carry is not None and len(carry):
-            yield call(carry)
+            if carry and b["__window"].iloc[0] != carry[-1]["__window"].iloc[-1]:
+                yield call(pd.concat(carry, ignore_index=True))
+                carry = []
+            tail = (b["__window"] == b["__window"].iloc[-1]).to_numpy()
+            if tail.all():
+                carry.append(b)
+                continue
+            yield call(pd.concat([*carry, b[~tail]], ignore_index=True))
+            carry = [b[tail]]
+        if carry:
+            yield call(pd.concat(carry, ignore_index=True))
 
     return part.mapInPandas(run, schema)

@@ -192,7 +192,8 @@ def _write_ttl_input(df, key, routes, ttl_ms, clock, order, ts, row_id, stats):
     flagged = df.withColumns({f"__f{i}": c.cast("boolean") for i, c in enumerate(routes.values())})
     sess = gap_sessions(flagged, key, ttl_ms, clock=clock, order=order, stats=stats)
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    cols = [key, "session", order, clock, ts, row_id] + [f"__f{i}" for i in range(nf)]
+    # the key passes Python as text: pandas would turn a column with NULLs into doubles
+    cols = [F.col(key).cast("string").alias(key), "session", order, clock, ts, row_id] + [f"__f{i}" for i in range(nf)]
     return sess.select(*cols).repartition(n, key, "session").sortWithinPartitions(key, "session", order)
 
 
@@ -235,7 +236,7 @@ def zip_join_write_ttl(
     fields = [f"{s}_{x}" for s in steps for x in ("ts", "event")]
     out_cols = [key, "session", "n_tuple", *fields, "trigger_seq", "trigger_ts", "trigger_event"]
     schema = (
-        f"{key} {key_type}, session bigint, n_tuple bigint, "
+        f"{key} string, session bigint, n_tuple bigint, "
         + ", ".join(f"{f} bigint" for f in fields)
         + ", trigger_seq bigint, trigger_ts bigint, trigger_event bigint"
     )
@@ -249,7 +250,7 @@ def zip_join_write_ttl(
         for rows in _fold(batches, key, order, clock, ts, row_id, nf, ttl_ms, emit):
             yield pd.DataFrame(rows, columns=out_cols)
 
-    return part.mapInPandas(run, schema)
+    return part.mapInPandas(run, schema).withColumn(key, F.col(key).cast(key_type))
 
 
 def pending_sizes_write_ttl(
@@ -270,7 +271,7 @@ def pending_sizes_write_ttl(
     part = _write_ttl_input(df, key, routes, ttl_ms, clock, order, ts, row_id, stats)
     key_type = df.schema[key].dataType.simpleString()
     names = [f"{prefix}{i + 1}" for i in range(nf)]
-    schema = f"{key} {key_type}, session bigint, {row_id} bigint, " + ", ".join(f"{n} bigint" for n in names)
+    schema = f"{key} string, session bigint, {row_id} bigint, " + ", ".join(f"{n} bigint" for n in names)
 
     def emit(rows, fold, hit, k, s, e):
         rows.append((k, s, e, *fold.sizes))
@@ -279,4 +280,4 @@ def pending_sizes_write_ttl(
         for rows in _fold(batches, key, order, clock, ts, row_id, nf, ttl_ms, emit):
             yield pd.DataFrame(rows, columns=[key, "session", row_id, *names])
 
-    return part.mapInPandas(run, schema)
+    return part.mapInPandas(run, schema).withColumn(key, F.col(key).cast(key_type))
