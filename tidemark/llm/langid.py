@@ -162,7 +162,7 @@ def identify(rows: DataFrame, model: tuple[list[str], np.ndarray]) -> DataFrame:
     said = {r["declared_as"]: r for r in scored.groupBy("declared_as").agg(*tally).collect()}  # n + 1 rows at most
     declared = F.array(
         *[
-            F.array(*[F.lit(math.log(((said[d][k] if d in said else 0) + 0.5) / ((every[k] or 0) + 0.5 * (n + 1)))) for k in range(n)])
+            F.array(*[F.lit(math.log(((said[d][f"n{k}"] if d in said else 0) + 0.5) / ((every[k] or 0) + 0.5 * (n + 1)))) for k in range(n)])
             for d in range(n + 1)
         ]
     )
