@@ -17,17 +17,20 @@ pattern of n steps costs n-1 scans and never collects a key or the stream.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.plans.lineage import cut
 from tidemark.plans.ordinal import with_ordinal
 from tidemark.plans.scan import OrderStats, lead_is_balanced, needs_buckets, order_stats, scan
 
 
 # Global chains keep one bucket column across their scans (one shuffle of the rows).
 SHARE_BUCKETS = True
+# Column of the dense order when the given one is ranked first.
+RANK = "__ord"
 
 
 @dataclass(frozen=True)
@@ -82,13 +85,13 @@ def match_sequence(
     fields = list(dict.fromkeys(order + list(payload)))
     if stats is None:
         stats = order_stats(df, order[0])
-    balanced = None
-    if len(order) > 1 and needs_buckets(stats, keyed=bool(keys), df=df):
-        # check the lead once for all steps; rank only if a value is hot
-        balanced = lead_is_balanced(df, order[0], keys, stats)
-        if not balanced:
-            ranked = with_ordinal(df, order, "__ord")
-            return match_sequence(ranked, pattern, ["__ord"], partition_by, payload, order_stats(ranked, "__ord"))
+    buckets = needs_buckets(stats, keyed=bool(keys), df=df)
+    # check the lead once for all steps; rank only if a bucket would overfill a task
+    balanced = order == [RANK] or not buckets or lead_is_balanced(df, order[0], keys, stats, unique=len(order) == 1)
+    if not balanced:
+        ranked = with_ordinal(df, order, RANK)
+        dense = replace(order_stats(ranked, RANK), hot=stats.hot)
+        return match_sequence(ranked, pattern, [RANK], partition_by, payload, dense)
 
     def item(extra: Column | None) -> Column:
         cols = [F.col(c).alias(c) for c in fields]
@@ -99,7 +102,7 @@ def match_sequence(
     cur = df
     nxt: str | None = None
     # a global chain keeps one bucket column so only its first scan shuffles the rows
-    share = "__mb" if SHARE_BUCKETS and not keys and needs_buckets(stats, keyed=False, df=df) else None
+    share = "__mb" if SHARE_BUCKETS and not keys and buckets else None
     for k in range(len(steps) - 1, 0, -1):
         c_k = F.when(steps[k].condition, item(F.col(nxt) if nxt else None))
         name = f"__next{k}"
@@ -108,6 +111,9 @@ def match_sequence(
         if nxt:
             cur = cur.drop(nxt)
         nxt = name
+        if keys and buckets and k > 1:
+            # a bucketed scan reads its input twice: the plan stays linear in the steps
+            cur = cut(cur, "match-step")
     complete = steps[0].condition & F.col(nxt).isNotNull()
     path = [F.col(nxt)]
     for _ in range(len(steps) - 2):

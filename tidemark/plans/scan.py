@@ -25,11 +25,15 @@ which Spark evaluates in linear time.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.plans.lineage import cut
+
 # Upper bound of rows per bucket; each bucket is one bounded window partition.
 DEFAULT_BUCKET_ROWS = 1 << 15
 # Keyed inputs whose largest key provably holds at most this many rows (about
@@ -42,6 +46,9 @@ BROADCAST_MAX_ROWS = 1 << 18
 # Lower bound, so that small inputs do not pay for many tiny buckets.
 MIN_BUCKET_ROWS = 1 << 10
 
+# Marks the rows of hot keys inside a keyed scan.
+HOT = "__hot"
+
 _AGG = {"min": F.min, "max": F.max, "sum": F.sum}
 
 
@@ -57,6 +64,8 @@ class OrderStats:
     lo: int
     hi: int
     n: int
+    #: Keyed bounds only: the keys of more than DIRECT_MAX_ROWS rows, one row each, written.
+    hot: DataFrame | None = None
 
 
 def order_stats(df: DataFrame, col: str) -> OrderStats:
@@ -78,7 +87,8 @@ def keyed_order_stats(df: DataFrame, cols: Sequence[str], key: Sequence[str]) ->
 
     The per-key bound stays valid for any scan partitioned by a superset of
     ``key`` on these rows or a subset of them, so a job decides once whether
-    some key is hot (needs buckets) or every key fits one bounded window.
+    some key is hot (needs buckets) or every key fits one bounded window.  If
+    some are, they are written as ``hot``, so that only they are bucketed.
     """
     per = df.groupBy(*key).agg(
         F.count(F.lit(1)).alias("__c"),
@@ -90,7 +100,11 @@ def keyed_order_stats(df: DataFrame, cols: Sequence[str], key: Sequence[str]) ->
     row = per.agg(*aggs).first()
     n = row["__n"] if row is not None and row["__n"] is not None else 0
     k = row["__k"] if row is not None and row["__k"] is not None else 0
-    return _unpack(row, cols, n), _unpack(row, cols, k)
+    of_key = _unpack(row, cols, k)
+    if k > DIRECT_MAX_ROWS:
+        hot = cut(per.where(F.col("__c") > DIRECT_MAX_ROWS).select(*key), "hot-keys")
+        of_key = {c: replace(st, hot=hot) for c, st in of_key.items()}
+    return _unpack(row, cols, n), of_key
 
 
 def _unpack(row, cols: Sequence[str], n: int) -> dict[str, OrderStats]:
@@ -130,9 +144,9 @@ def scan(
     before the row (``following=False``) or after it (``following=True``),
     including the row itself when ``inclusive``.  Empty frames give NULL for
     min/max and 0 for sum.  ``stats`` may be bounds computed on a superset;
-    ``bucket_rows`` defaults to ``auto_bucket_rows``.  For a composite order
-    whose lead is not unique, ``balanced=True`` skips the hot-bucket check
-    (the caller already ran ``lead_is_balanced``).
+    ``bucket_rows`` defaults to ``auto_bucket_rows``.  ``balanced=True`` skips
+    the hot-bucket check (the caller already ran ``lead_is_balanced``).  Rows of
+    keys outside ``stats.hot`` stay in one bucket per key, without a carry.
 
     ``bucket`` (global orders only) names a bucket column that is kept in the
     output and reused when already present: chained scans over the same order
@@ -143,18 +157,21 @@ def scan(
     keys = list(partition_by)
     if stats is None:
         stats = order_stats(df, order_by[0])
+    if stats.hot is not None and not set(stats.hot.columns) <= set(keys):
+        stats = replace(stats, hot=None)
     if (
-        len(order_by) > 1
-        and balanced is not True
+        balanced is not True
+        and not (bucket is not None and bucket in df.columns)
         and needs_buckets(stats, bucket_rows, keyed=bool(keys), df=df)
-        and not lead_is_balanced(df, order_by[0], keys, stats, bucket_rows)
+        and not lead_is_balanced(df, order_by[0], keys, stats, bucket_rows, unique=len(order_by) == 1)
     ):
-        # some value of the (non-unique) lead fills more than a task: bucket
-        # the composite order on its dense ordinal instead
+        # a busy value of the lead, an outlier that stretches its range or a dense
+        # burst fills more than a task: bucket the order on its dense ordinal instead
         from tidemark.plans.ordinal import with_ordinal
 
         ranked = with_ordinal(df, order_by, "__ord")
-        out = scan(ranked, ["__ord"], aggs, partition_by, following, inclusive, bucket_rows)
+        dense = replace(order_stats(ranked, "__ord"), hot=stats.hot)
+        out = scan(ranked, ["__ord"], aggs, partition_by, following, inclusive, bucket_rows, dense, True, bucket)
         return out.drop("__ord")
     # Keyed inputs whose largest key is small need no buckets: the rows are
     # already spread by key and every window partition is bounded.  A global
@@ -192,21 +209,31 @@ def needs_buckets(
 
 
 def lead_is_balanced(
-    df: DataFrame, lead: str, keys: Sequence[str], stats: OrderStats, bucket_rows: int | None = None
+    df: DataFrame,
+    lead: str,
+    keys: Sequence[str],
+    stats: OrderStats,
+    bucket_rows: int | None = None,
+    unique: bool = False,
 ) -> bool:
     """One small job: does every (key, bucket of ``lead``) stay within one task?
 
-    Buckets of a non-unique lead column are bounded only by how many rows
-    share a value; this measures them with the same width ``scan`` uses.
+    Equal-width buckets are bounded only if the lead is spread evenly and few
+    rows share a value; this measures them with the same width ``scan`` uses.
+    Inputs that fit one task as a whole need no job.  A ``unique`` lead may fill
+    two buckets' worth of rows, whatever the bound of a task.
     """
+    if stats.n <= DIRECT_MAX_ROWS:
+        return True
     if bucket_rows is None:
         bucket_rows = auto_bucket_rows(df, stats.n)
     bucket_rows = max(2, bucket_rows)
+    most = max(DIRECT_MAX_ROWS, 2 * bucket_rows) if unique else DIRECT_MAX_ROWS
     span = stats.hi - stats.lo + 1
     width = max(1, -(-span * bucket_rows // max(1, stats.n)))
     b = F.expr(f"(`{lead}` - {stats.lo}) div {width}")
     row = df.groupBy(*keys, b.alias("__b")).agg(F.count(F.lit(1)).alias("__c")).agg(F.max("__c").alias("m")).first()
-    return row is None or row["m"] is None or row["m"] <= DIRECT_MAX_ROWS
+    return row is None or row["m"] is None or row["m"] <= most
 
 
 def _direction(cols: Sequence[str], following: bool) -> list[Column]:
@@ -242,10 +269,16 @@ def _scan_staged(
     span = stats.hi - stats.lo + 1
     width = max(1, -(-span * bucket_rows // stats.n))
     level = f"__b{depth}"
-    bucketed = df.withColumn(level, F.expr(f"(`{order_by[0]}` - {stats.lo}) div {width}"))
+    place = F.expr(f"(`{order_by[0]}` - {stats.lo}) div {width}")
+    if stats.hot is not None:
+        # only the hot keys are cut; every other key keeps one bucket
+        bucketed = _mark_hot(df, stats.hot).withColumn(level, F.when(F.col(HOT), place).otherwise(F.lit(0)))
+        staged = bucketed.where(HOT)
+    else:
+        bucketed = staged = df.withColumn(level, place)
 
     # Phase 1: per-(key, bucket) aggregate; partial aggregation keeps it cheap.
-    table = bucketed.groupBy(*keys, level).agg(*[_AGG[fns[n]](v).alias(v) for n, v in vin.items()])
+    table = staged.groupBy(*keys, level).agg(*[_AGG[fns[n]](v).alias(v) for n, v in vin.items()])
     n_buckets = (stats.hi - stats.lo) // width + 1
     carried = _scan_staged(
         table,
@@ -279,10 +312,25 @@ def _scan_staged(
             {f"__out_{v}": _finish(fns[n], _AGG[fns[n]](v).over(w)) for n, v in vin.items()}
         )
         .where(F.col(mark) == 1)
-        .drop(mark, level)
+        .drop(mark, level, HOT)
     )
 
 
+def _mark_hot(df: DataFrame, hot: DataFrame) -> DataFrame:
+    """Add ``HOT``: whether the row's key is in ``hot`` (NULL counts as a key).
+
+    A hot key has more than DIRECT_MAX_ROWS rows, so there are few; they are
+    broadcast under a counted bound, else joined.
+    """
+    names = {c: f"__hot_{i}" for i, c in enumerate(hot.columns)}
+    side = hot.select(*[F.col(c).alias(n) for c, n in names.items()], F.lit(True).alias(HOT))
+    if hot.count() <= BROADCAST_MAX_ROWS:
+        side = F.broadcast(side)
+    same = [F.col(c).eqNullSafe(F.col(n)) for c, n in names.items()]
+    marked = df.join(side, reduce(and_, same), "left").drop(*names.values())
+    return marked.withColumn(HOT, F.coalesce(F.col(HOT), F.lit(False)))
+
+
 def _scan_joined(
     df: DataFrame,
     order_by: list[str],
