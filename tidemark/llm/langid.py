@@ -3,9 +3,9 @@
     P(language | all) ~ P(text | language)^TEMPER * P(declared | language) * P(language | host)
 
 * Text: byte trigrams (ASCII letters lower-cased, other ASCII a space), hashed into
-  ``BINS`` bins per language.  The bins are fitted on a bounded sample of labelled rows
-  (``SAMPLE_ROWS`` rows, up to ``SAMPLE_CHARS`` characters each); a class "und" has the
-  bytes of all languages but no order.  Every text is scored whole.
+  ``BINS`` bins per language.  The bins are fitted on all labelled rows, of the ``MAX_LANGUAGES``
+  most frequent labels, by grouped counts; a class "und" has the bytes of all languages
+  but no order.  Every text is counted and scored whole.
 * Declared language (markup or metadata): how often a text of each language carries
   each declaration, counted over all rows, smoothed.
 * Host and address suffix: hierarchically smoothed priors, host to suffix to all,
@@ -29,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,7 +37,8 @@ from tidemark.llm.common import cut, drop_ids, read_table
 from tidemark.llm.textbytes import columns, groups, mix
 
 BINS = 1 << 16
-SAMPLE_ROWS, SAMPLE_CHARS, MAX_LANGUAGES = 4000, 4000, 64
+#: Labels of the model; the model is a table of MAX_LANGUAGES * BINS numbers at most.
+MAX_LANGUAGES = 64
 #: Overlapping trigrams repeat evidence; a third of their log likelihood counts.
 TEMPER = 1 / 3
 KAPPA = 20.0
@@ -66,26 +68,42 @@ def trigram_bins(data: np.ndarray, offsets: np.ndarray, table: np.ndarray) -> tu
     return bins, b
 
 
-def fit(docs: DataFrame, text: str = "text", declared: str = "lang", key: str = "doc_id") -> tuple[list[str], np.ndarray]:
+def bin_counts(labelled: DataFrame, langs: list[str]) -> DataFrame:
+    """``(lang, bin, n)`` of all ``labelled`` (l, t) texts, whole; as language ``len(langs)``, the bytes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table, width = _alphabet(), BINS + 1
+        counts, single = np.zeros(len(langs) * width, np.int64), np.zeros(256, np.int64)
+        for batch in batches:
+            data, offsets = columns(batch, "t")
+            lang = pc.index_in(batch.column(0), value_set=pa.array(langs, batch.column(0).type)).to_numpy(zero_copy_only=False)
+            for i, j in groups(offsets):
+                bins, b = trigram_bins(data[offsets[i] : offsets[j]], offsets[i : j + 1], table)
+                at = np.repeat(lang[i:j].astype(np.int64) * width, np.diff(offsets[i : j + 1])) + bins
+                counts += np.bincount(at, minlength=len(counts))
+                single += np.bincount(b.astype(np.int64), minlength=256)
+        trigrams = counts.reshape(len(langs), width)[:, :BINS]
+        l, k = np.nonzero(trigrams)
+        used = np.flatnonzero(single)
+        arrays = np.concatenate([l, np.full(len(used), len(langs))]), np.concatenate([k, used])
+        n = np.concatenate([trigrams[l, k], single[used]])
+        arrays = [pa.array(arrays[0].astype(np.int32)), pa.array(arrays[1].astype(np.int32)), pa.array(n)]
+        yield pa.RecordBatch.from_arrays(arrays, ["lang", "bin", "n"])
+
+    return labelled.mapInArrow(run, "lang int, bin int, n long").groupBy("lang", "bin").agg(F.sum("n").alias("n"))
+
+
+def fit(docs: DataFrame, text: str = "text", declared: str = "lang") -> tuple[list[str], np.ndarray]:
     """Languages and the log probability of each bin in each of them, "und" last."""
-    labelled = docs.filter(F.col(declared).isNotNull() & F.col(text).isNotNull())
-    sample = (
-        labelled.select(F.col(declared).alias("l"), F.substring(text, 1, SAMPLE_CHARS).alias("t"), F.xxhash64(key).alias("h"))
-        .orderBy("h", "l", "t")
-        .limit(SAMPLE_ROWS)
-        .collect()
-    )
-    seen: dict[str, int] = {}
-    for r in sample:
-        seen[r["l"]] = seen.get(r["l"], 0) + 1
-    langs = sorted(sorted(seen, key=lambda k: (-seen[k], k))[:MAX_LANGUAGES])
+    labelled = docs.select(F.col(declared).alias("l"), F.col(text).alias("t")).filter("l IS NOT NULL AND t IS NOT NULL")
+    by_size = labelled.groupBy("l").count().orderBy(F.desc("count"), "l").limit(MAX_LANGUAGES).collect()
+    langs = sorted(r["l"] for r in by_size)
     table, counts, single = _alphabet(), np.zeros((len(langs) + 1, BINS)), np.ones(256)
-    for r in sample:
-        if r["l"] in langs:
-            data = np.frombuffer(r["t"].encode(), np.uint8)
-            bins, b = trigram_bins(data, np.array([0, len(data)]), table)
-            counts[langs.index(r["l"])] += np.bincount(bins, minlength=BINS + 1)[:BINS]
-            single += np.bincount(b.astype(np.int64), minlength=256)
+    if langs:
+        found = bin_counts(labelled.filter(F.col("l").isin(langs)), langs).toPandas()  # MAX_LANGUAGES * BINS + 256 rows at most
+        of_text = found["lang"] < len(langs)
+        counts[found["lang"][of_text], found["bin"][of_text]] = found["n"][of_text]
+        single[found["bin"][~of_text]] += found["n"][~of_text]
     p = np.log(single / single.sum())
     used = np.unique(table).astype(np.int64)
     unordered = np.full(BINS, -np.inf)
