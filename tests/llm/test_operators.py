@@ -12,7 +12,8 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tidemark.llm import ann, bitplane, exact_dedup, html_extract, langid, mixing, near_dedup, packing, pii, pitman_yor
+from tidemark.llm import ann, bitplane, exact_dedup, html_extract, langid, mixing, near_dedup, packing, pii, pitman_yor, textbytes
+from tidemark.llm.textbytes import Hasher
 from tidemark.llm.tokens import Encoder
 from tidemark.session import scratch_path
 
@@ -294,7 +295,7 @@ def test_unigram_base_and_model(docs, monkeypatch, head):
         assert r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 7 == 2) and r["score"] < 0
 
 
-def test_letter_model_is_a_distribution(empty):
+def test_class_model_is_a_distribution(empty):
     r = np.random.default_rng(5)
     n = np.where(r.random((32, 32, 32)) < 0.05, r.integers(1, 500, (32, 32, 32)), 0).astype(float)
     p, sent = pitman_yor.sample_group(n, np.full(32, 1 / 32), 1)
@@ -302,6 +303,69 @@ def test_letter_model_is_a_distribution(empty):
     assert pitman_yor.score(empty).count() == 0
 
 
+@pytest.mark.parametrize("head", [pitman_yor.HEAD, 3])
+def test_model_scores_equal_brute_force(docs, monkeypatch, head):
+    monkeypatch.setattr(pitman_yor.head_words, "__defaults__", (head,))
+    train, c = [d for d in DOCS if zlib.crc32(str(d[0]).encode()) % 7 != 2], Counter()
+    words = {d[0]: WORD.findall((d[1] or "").translate(LOWER)) for d in DOCS}
+    for d in train:
+        c.update(words[d[0]])
+    rows = docs.filter("crc32(cast(cast(doc_id as string) as binary)) % 7 != 2")
+    model = pitman_yor.fit(rows, pitman_yor.word_counts(rows))
+    assert np.allclose((10**model.grams).reshape(-1, 32).sum(1), 1, atol=1e-4)
+    hashes = Hasher()
+
+    def kind(word):
+        data = np.frombuffer(word.encode(), np.uint8)
+        h, _, ends = hashes.words(data, np.array([0, len(data)]))
+        return int(model.classes.of(data, h.view(np.int64), ends)[0])
+
+    kinds = {w: kind(w) for own in words.values() for w in own}
+    seen, total = {}, 0
+    for w, n in c.items():
+        seen.setdefault(kinds[w], []).append(n)
+    for k, sizes in seen.items():  # known words and the new ones of a class sum to one
+        d, room = model.discount[k], sum(sizes) + pitman_yor.WORD_STRENGTH
+        if k <= pitman_yor.TOP:
+            assert len(sizes) == 1
+        else:
+            assert math.isclose(10 ** model.new[k] + sum(n - d for n in sizes) / room, 1, rel_tol=1e-9)
+    for r in pitman_yor.score(docs).collect():
+        before, want = (0, 0, 0), 0.0
+        for w in [*words[r["doc_id"]], None]:
+            k = kinds[w] if w else 0
+            want += model.grams[(before[2] << 15) | (before[1] << 10) | (before[0] << 5) | k]
+            if k > pitman_yor.TOP:
+                want += math.log10(c[w] - model.discount[k]) - model.room[k] if c[w] else model.new[k]
+            before = (k, *before[:2])
+        total += want
+        assert math.isclose(want, r["score"], rel_tol=1e-6)
+    assert total < 0
+
+
+def test_classes_before_pass_from_piece_to_piece(monkeypatch):
+    text = ["one", "two three, four. " * 30, "", "x" * 300 + " the end", "a b"]
+    data = np.frombuffer("".join(text).encode(), np.uint8)
+    offsets = np.cumsum([0, *map(len, text)])
+
+    def keys():
+        out = {}
+        for i, j, _, _, _, key, off in pitman_yor.class_pieces(Hasher(), pitman_yor.WordClasses(np.empty(0, np.int64)), data, offsets):
+            for k in range(j - i):
+                out.setdefault(i + k, []).extend(key[off[k] : off[k + 1]].tolist())
+        return out
+
+    whole = keys()
+    monkeypatch.setattr(textbytes, "GROUP_BYTES", 40)
+    monkeypatch.setattr(textbytes.groups, "__defaults__", (40,))
+    assert keys() == whole and [len(whole[k]) for k in range(5)] == [2, 91, 1, 4, 3]
+
+
+def test_model_beats_the_unigram_base_on_held_out_texts(spark):
+    got = pitman_yor.op8_pitman_yor(spark, "/root/testdata/sf0.01").filter("held_out").selectExpr("sum(score) s", "sum(base_score) b").first()
+    assert got["s"] > got["b"]
+
+
 def test_exact_dedup_and_persistent_index(spark, docs, empty):
     norm = lambda t: re.sub(r"[ \t-\r]+", " ", t or "")
     first = {}
