@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import ctypes
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.plans.lineage import cut
 
-__all__ = ["cut", "keyed_ordinal", "read_table", "drop_ids"]
+__all__ = ["cut", "keyed_ordinal", "read_table", "releasing", "drop_ids"]
 
 #: Rows that one (key, cell) of ``keyed_ordinal`` should hold, and cells of one prefix-sum window.
 CELL_ROWS = 512
@@ -18,6 +22,23 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def releasing(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """``run`` for ``mapInArrow``, with freed memory given back to the system at its end.
+
+    Spark keeps Python workers between tasks, and the allocators keep what a task freed, so
+    the workers of earlier stages would take memory from the later ones.
+    """
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+        if trim:
+            trim(0)
+
+    return whole
+
+
 def keyed_ordinal(df: DataFrame, key: str, order: list[str], out: str) -> DataFrame:
     """Add ``out``: a dense position from 0 of each row within its ``key``.
 

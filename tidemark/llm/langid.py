@@ -33,7 +33,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import cut, drop_ids, read_table
+from tidemark.llm.common import cut, drop_ids, read_table, releasing
 from tidemark.llm.textbytes import columns, groups, mix
 
 BINS = 1 << 16
@@ -90,7 +90,7 @@ def bin_counts(labelled: DataFrame, langs: list[str]) -> DataFrame:
         arrays = [pa.array(arrays[0].astype(np.int32)), pa.array(arrays[1].astype(np.int32)), pa.array(n)]
         yield pa.RecordBatch.from_arrays(arrays, ["lang", "bin", "n"])
 
-    return labelled.mapInArrow(run, "lang int, bin int, n long").groupBy("lang", "bin").agg(F.sum("n").alias("n"))
+    return labelled.mapInArrow(releasing(run), "lang int, bin int, n long").groupBy("lang", "bin").agg(F.sum("n").alias("n"))
 
 
 def fit(docs: DataFrame, text: str = "text", declared: str = "lang") -> tuple[list[str], np.ndarray]:
@@ -138,7 +138,7 @@ def text_scores(rows: DataFrame, logs: np.ndarray) -> DataFrame:
                 part = batch.slice(i, j - i)
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), part.column(2), lists], ["doc_id", "host", "declared", "ll"])
 
-    return cut(rows.mapInArrow(run, "doc_id long, host string, declared string, ll array<double>"), "text-scores")
+    return cut(rows.mapInArrow(releasing(run), "doc_id long, host string, declared string, ll array<double>"), "text-scores")
 
 
 def suffix(host: Column) -> Column:

@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import cut, drop_ids, read_table
+from tidemark.llm.common import cut, drop_ids, read_table, releasing
 from tidemark.llm.components import components
 from tidemark.llm.textbytes import Hasher, columns, mix, random_odd, segment_sum, word_groups
 
@@ -122,7 +122,7 @@ def sketches(docs: DataFrame, m: int, words: int = WORDS) -> DataFrame:
                     ["doc_id", "n_shingles", "f1", "f2", "registers"],
                 )
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, SKETCHES)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(releasing(run), SKETCHES)
 
 
 def likely(more: np.ndarray, less: np.ndarray, same: np.ndarray, na: np.ndarray, nb: np.ndarray, similarity: float) -> np.ndarray:
@@ -169,7 +169,7 @@ def plausible(pairs: DataFrame, reps: DataFrame, similarity: float) -> DataFrame
     wide = wide.filter(
         (F.col("na") >= F.col("nb") * similarity - 1e-6) & (F.col("nb") >= F.col("na") * similarity - 1e-6)
     )
-    return wide.select("a", "b", "na", "nb", "ga", "gb").mapInArrow(run, "a long, b long")
+    return wide.select("a", "b", "na", "nb", "ga", "gb").mapInArrow(releasing(run), "a long, b long")
 
 
 def id_bits(nodes: DataFrame, position: Column) -> np.ndarray:
@@ -209,7 +209,7 @@ def shingle_sets(docs: DataFrame, nodes: DataFrame, words: int = WORDS) -> DataF
                 yield pa.RecordBatch.from_arrays([ids.slice(i, j - i), values], ["id", "shingles"])
 
     known = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter("doc_id IS NOT NULL")
-    sets = known.withColumn("place", place(F.col("doc_id"))).mapInArrow(run, "id long, shingles array<long>")
+    sets = known.withColumn("place", place(F.col("doc_id"))).mapInArrow(releasing(run), "id long, shingles array<long>")
     if nodes.count() > FILTER_BITS // 8:
         sets = sets.join(nodes, F.col("id") == F.col("node"), "left_semi")
     return cut(sets, "shingle-sets")

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import cut, keyed_ordinal, read_table
+from tidemark.llm.common import cut, keyed_ordinal, read_table, releasing
 from tidemark.llm.tokens import Encoder
 
 CAPACITY = 1024
@@ -69,7 +69,7 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = E
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, PIECES)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(releasing(run), PIECES)
 
 
 def _place(sizes: np.ndarray, capacity: int, new_bins: bool) -> list[list[int]]:
