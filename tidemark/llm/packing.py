@@ -36,6 +36,8 @@ END_ID = 2
 #: Placements that the packing of one multiplicity makes, about.
 STEPS = 200_000
 BYTE_BPE = "byte_bpe_50k.json"
+#: Words of one generation of the encoder's cache, few as packing follows larger stages in the pipeline.
+CACHE_WORDS = 200_000
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -50,7 +52,7 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = E
     """Tokenised documents cut into pieces of at most ``capacity`` ids: PIECES."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, end = Encoder(path, " "), np.array([end_id], "<u4").tobytes()
+        encoder, end = Encoder(path, " ", CACHE_WORDS), np.array([end_id], "<u4").tobytes()
         names = ("doc_id", "piece", "start", "length", "ids_crc32")
         types = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
         for batch in batches:

@@ -28,8 +28,8 @@ class _Words:
     tokens: it always cuts there, and its id marks where the next word's ids begin.
     """
 
-    def __init__(self, tokenizer, lead: str) -> None:
-        self.tokenizer, self.lead = tokenizer, lead
+    def __init__(self, tokenizer, lead: str, most: int) -> None:
+        self.tokenizer, self.lead, self.most = tokenizer, lead, most
         self.encode = getattr(tokenizer, "encode_batch_fast", tokenizer.encode_batch)  # ids without offsets
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
@@ -40,7 +40,7 @@ class _Words:
     def add(self, words: set[str]) -> None:
         import numpy as np
 
-        if len(self.young) > CACHE_WORDS:
+        if len(self.young) > self.most:
             self.old, self.young = self.young, {}
         young, new = self.young, words - self.young.keys()
         known = new & self.old.keys()
@@ -66,14 +66,14 @@ class _Words:
 class Encoder:
     """``ids(text)`` as bytes.  ``lead`` is " " where the tokenizer keeps spaces, else ""."""
 
-    def __init__(self, path: str, lead: str) -> None:
+    def __init__(self, path: str, lead: str, cache_words: int = CACHE_WORDS) -> None:
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
-        self.first, self.rest = _Words(tokenizer, ""), _Words(tokenizer, lead)
+        self.first, self.rest = _Words(tokenizer, "", cache_words), _Words(tokenizer, lead, cache_words)
         self.unsafe = [c + " " for c in _SPACES] if lead else []
         self.safe_space = re.compile(r"(?<=\S) (?=\S)")
 
