@@ -414,3 +414,15 @@ def test_pipeline_stages(spark, docs):
     # copies are gone before the near-copies are compared; components of the rest are the same
     want = {i for i in first.values() if label[i] == i or label[i] not in first.values()}
     assert {r["doc_id"] for r in kept.select("doc_id").collect()} == want
+
+
+def test_schedule_keeps_exact_uneven_weights():
+    for weights, slots in (([1 / 3, 1 / 3, 1 / 3], 3000), ([0.0001, 1 / 3, 0.5], 40_000), ([0.4, *[0.6 / k for k in range(1, 1500)]], 20_000)):
+        ks, seen = mixing.whole_weights(weights), [0] * len(weights)
+        whole = sum(ks)
+        for t, (i, j) in enumerate(mixing.schedule(ks, slots), 1):
+            assert j == seen[i]
+            seen[i] += 1
+            assert abs(seen[i] * whole - ks[i] * t) < whole  # less than one block off, as it gets a slot
+            if t % 1000 == 0:
+                assert all(abs(n * whole - k * t) < whole for n, k in zip(seen, ks))

@@ -1,34 +1,42 @@
-"""Mixing sources to target weights (6): Pfair scheduling, in DataFrame functions only.
+"""Mixing sources to target weights (6): Pfair scheduling, with DataFrame functions.
 
 Rows of a source are dealt into blocks of ``block_rows`` rows in a fixed pseudo-random
-order.  With weights in whole slots k of a frame of F slots, block j (from 0) of a source
-is released at floor(j F / k) and due at ceil((j + 1) F / k).  Earliest deadline first
-among the released blocks meets every deadline, so at any slot each source is less than
-one block from weight * slots.  All deadlines of a frame lie inside it and the next
-frame repeats it: the schedule of one frame (about ``FRAME_SLOTS`` + number of
-sources slots, whatever the input) is folded once, and every block finds its slot by its
-number.  Ordinals come from ``keyed_ordinal``, so a hot source is spread over many tasks.
+order.  With the exact weight w of a source, as a fraction of the sum of all, block j (from 0)
+is released at floor(j / w) and due at ceil((j + 1) / w).  Earliest deadline first among
+the released blocks meets every deadline, so at any slot each source is less than one block
+from weight * slots, however long the schedule and however uneven the weights.  Releases and
+deadlines are whole numbers of any size (a weight is the decimal fraction that it is written
+as), so nothing is rounded.  The driver runs through the slots, one per ``block_rows`` rows,
+and writes them in chunks of ``frame_slots``; every block finds its slot in that table.
+Ordinals come from ``keyed_ordinal``, so a hot source is spread over many tasks.
 
 Target weights are a table (source, weight), or by default each source's share of the
-blocks with none above ``cap`` (at least 1.5 / number of sources).  The mixture is as long as the weights can
-be kept with every row used once: ``selected`` marks its rows, rows beyond it
-keep their place at the end of their source's slots.  A source that has no row left leaves
-its slots empty.
+blocks with none above ``CAP`` (at least 1.5 / number of sources).  Given weights are kept as long as no
+source runs out: ``selected`` marks the rows of that mixture, the blocks beyond it follow,
+source after source.  A source with a weight but without rows leaves its slots empty.
 
 Cases: a null source is a source; rows that repeat a doc_id are rows of their own, their
-order open; sources without a weight are not selected; the text is not read; other columns are ignored; an
-empty table gives an empty result.
+order open; sources without a weight are not selected and have no slot; the text is not
+read; other columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+import heapq
+import math
+from collections.abc import Iterator
+from fractions import Fraction
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import cut, drop_ids, keyed_ordinal, read_table
+from tidemark.session import scratch_path
 
 BLOCK_ROWS = 16
-FRAME_SLOTS = 1000
+#: Slots that the driver holds before it writes them.
+FRAME_SLOTS = 1 << 18
 CAP = 0.25
 
 
@@ -59,65 +67,77 @@ def capped_shares(supply: DataFrame, cap: float = CAP) -> DataFrame:
     return ranked.crossJoin(chosen).select("source", share.alias("weight"))  # one row
 
 
-def frame(targets: DataFrame, frame_slots: int = FRAME_SLOTS) -> DataFrame:
-    """(source, k, slots, j, slot): the slot in the frame of the j-th block of each source."""
-    k = F.greatest(F.lit(1), F.round(F.col("weight") * frame_slots)).cast("long")
-    rows = targets.filter("weight > 0").select(F.struct("source", k.alias("k")).alias("t"))
-    one = rows.agg(F.array_sort(F.collect_list("t")).alias("ts"))  # one entry per source
-    one = one.filter(F.size("ts") > 0).withColumn("slots", F.expr("aggregate(ts, 0L, (a, x) -> a + x.k)"))
-    pick = """array_min(filter(
-        transform(acc.next, (c, i) -> if(
-          c < ts[i].k AND (c * slots) div ts[i].k <= t,
-          named_struct('due', ((c + 1) * slots + ts[i].k - 1) div ts[i].k, 'i', i, 'j', c), NULL)),
-        x -> x IS NOT NULL))"""
-    # the one-entry array names the pick, so that it is found once per slot
-    edf = F.expr(
-        f"""aggregate(sequence(0L, slots - 1),
-          named_struct('next', transform(ts, x -> 0L), 'out', cast(array() AS array<struct<due:bigint,i:int,j:bigint>>)),
-          (acc, t) -> element_at(transform(array({pick}), p -> named_struct(
-            'next', transform(acc.next, (c, i) -> if(i = p.i, c + 1, c)),
-            'out', concat(acc.out, array(p)))), 1),
-          acc -> acc.out)"""
-    )
-    slots = one.select("ts", "slots", F.posexplode(edf).alias("slot", "p"))
-    return slots.select(
-        F.expr("ts[p.i].source").alias("f_source"),
-        F.expr("ts[p.i].k").alias("k"),
-        "slots",
-        F.expr("p.j").alias("j"),
-        F.col("slot").cast("long").alias("in_frame"),
-    )
+def whole_weights(weights: list[float | int]) -> list[int]:
+    """Whole numbers in exactly the same proportions."""
+    exact = [Fraction(repr(w)) for w in weights]
+    unit = math.lcm(*[w.denominator for w in exact]) if exact else 1
+    return [int(w * unit) for w in exact]
+
+
+def schedule(ks: list[int], slots: int) -> Iterator[tuple[int, int]]:
+    """(i, j) of each of the first ``slots`` slots: the j-th block of source i; weights ``ks`` / sum."""
+    whole = sum(ks)
+    released = [(0, i, 0) for i in range(len(ks))]  # a heap
+    ready: list[tuple[int, int, int]] = []
+    for t in range(slots):
+        while released and released[0][0] <= t:
+            _, i, j = heapq.heappop(released)
+            heapq.heappush(ready, (-(-(j + 1) * whole // ks[i]), i, j))
+        _, i, j = heapq.heappop(ready)
+        heapq.heappush(released, ((j + 1) * whole // ks[i], i, j + 1))
+        yield i, j
+
+
+def write_schedule(spark: SparkSession, names: list, ks: list[int], slots: int, frame_slots: int) -> tuple[DataFrame, list[int]]:
+    """``(f_source, j, slot)`` of all slots, written, and the blocks of each source in them."""
+    path, run, taken = scratch_path(spark, "mix-schedule"), schedule(ks, slots), [0] * len(ks)
+    sources = pa.array(names, pa.string())
+    for first in range(0, max(slots, 1), frame_slots):  # one empty chunk if there are no slots
+        part = [x for _, x in zip(range(min(frame_slots, slots - first)), run)]
+        for i, j in part:
+            taken[i] = j + 1
+        table = pa.table(
+            {
+                "f_source": sources.take(pa.array([i for i, _ in part], pa.int64())),
+                "j": pa.array([j for _, j in part], pa.int64()),
+                "slot": pa.array(range(first, first + len(part)), pa.int64()),
+            }
+        )
+        spark.createDataFrame(table).write.mode("append").parquet(path)
+    return spark.read.parquet(path), taken
 
 
 def mix(
-    docs: DataFrame, targets: DataFrame | None = None, block_rows: int = BLOCK_ROWS, frame_slots: int = FRAME_SLOTS, cap: float = CAP
+    docs: DataFrame, targets: DataFrame | None = None, block_rows: int = BLOCK_ROWS, frame_slots: int = FRAME_SLOTS
 ) -> DataFrame:
     """Per row: doc_id, source, block, slot, place (in the block), selected.
 
     Reading by (slot, place) is the mixture.
     """
-    rows = cut(docs.select("doc_id", "source"), "mix-rows")
+    spark = docs.sparkSession
+    rows = cut(docs.select("doc_id", F.col("source").cast("string").alias("source")), "mix-rows")
     ranked = keyed_ordinal(rows, "source", ["doc_id"], "rank")
     ranked = ranked.withColumns({"block": F.floor(F.col("rank") / block_rows), "place": F.pmod("rank", F.lit(block_rows))})
-    supply = rows.groupBy("source").agg(F.ceil(F.count("*") / block_rows).alias("blocks"))
-    supply = cut(supply, "mix-supply")
-    targets = cut(capped_shares(supply, cap) if targets is None else targets.select("source", "weight"), "mix-targets")
-    plan = supply.join(targets.withColumnsRenamed({"source": "w_source"}), F.col("source").eqNullSafe(F.col("w_source")))
-    length = plan.filter("weight > 0").agg(F.min(F.col("blocks") / F.col("weight"))).collect()[0][0] or 0.0
-    quota = F.least(F.col("blocks"), F.ceil(F.col("weight") * length - 1e-6))
-    quotas = plan.select(F.col("source").alias("q_source"), quota.alias("quota"))
-    slots = cut(
-        frame(targets, frame_slots).join(quotas, F.col("f_source").eqNullSafe(F.col("q_source"))), "mix-frame"
-    )
-    # the frame's table has about FRAME_SLOTS rows plus one per source
-    per_source = slots.groupBy(F.col("f_source").alias("s_source")).agg(F.first("k").alias("sk"))
-    numbered = ranked.join(per_source, F.col("source").eqNullSafe(F.col("s_source")), "left")
-    numbered = numbered.withColumn("turn", F.col("block") % F.col("sk"))
-    placed = numbered.join(slots, F.col("source").eqNullSafe(F.col("f_source")) & (F.col("turn") == F.col("j")), "left")
-    slot = F.floor(F.col("block") / F.col("sk")) * F.col("slots") + F.col("in_frame")
-    return placed.select(
-        "doc_id", "source", "block", slot.alias("slot"), "place", F.coalesce(F.col("block") < F.col("quota"), F.lit(False)).alias("selected")
-    )
+    supply = cut(rows.groupBy("source").agg(F.ceil(F.count("*") / block_rows).alias("blocks")), "mix-supply")
+    targets = capped_shares(supply) if targets is None else targets
+    given = targets.select(F.col("source").cast("string").alias("w_source"), "weight").filter("weight > 0")
+    plan = given.join(supply, F.col("source").eqNullSafe(F.col("w_source")), "left")
+    plan = plan.select(F.col("w_source").alias("source"), "blocks", F.col("weight").cast("double").alias("weight"))
+    # one row per source
+    plan = sorted(plan.collect(), key=lambda r: (r["source"] is not None, r["source"] or ""))
+    names, blocks = [r["source"] for r in plan], [r["blocks"] for r in plan]
+    ks = whole_weights([r["weight"] for r in plan])
+    slots = min((b * sum(ks) // k for b, k in zip(blocks, ks) if b is not None), default=0)
+    table, taken = write_schedule(spark, names, ks, slots, frame_slots)
+    after, ends = slots, []
+    for name, b, n in zip(names, blocks, taken):
+        ends.append((name, n, after))
+        after += max((b or 0) - n, 0)
+    ends = spark.createDataFrame(ends, "s_source string, taken long, after long")
+    placed = ranked.join(ends, F.col("source").eqNullSafe(F.col("s_source")), "left")
+    placed = placed.join(table, F.col("source").eqNullSafe(F.col("f_source")) & (F.col("block") == F.col("j")), "left")
+    slot = F.coalesce("slot", F.col("after") + F.col("block") - F.col("taken"))
+    return placed.select("doc_id", "source", "block", slot.alias("slot"), "place", F.col("slot").isNotNull().alias("selected"))
 
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
