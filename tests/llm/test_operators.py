@@ -416,6 +416,22 @@ def test_pipeline_stages(spark, docs):
     assert {r["doc_id"] for r in kept.select("doc_id").collect()} == want
 
 
+def test_mixture_without_targets_keeps_every_row(spark):
+    rows = [(i // 2, "hot" if i % 10 < 8 else "cold") for i in range(2000)] + [(None, "hot"), (None, None)]
+    table = spark.createDataFrame(rows, "doc_id long, source string")
+    assert Counter(map(tuple, mixing.mixture(table).collect())) == Counter(rows)
+    assert all(r["selected"] for r in mixing.mix(table).collect())
+
+
+def test_mixture_keeps_selected_rows_of_a_repeated_doc_id(spark):
+    rows = [(7, "a")] * 300 + [(i, "b") for i in range(100, 200)]
+    table = spark.createDataFrame(rows, "doc_id long, source string")
+    targets = spark.createDataFrame([("a", 0.5), ("b", 0.5)], "source string, weight double")
+    selected = Counter((r["doc_id"], r["source"]) for r in mixing.mix(table, targets).collect() if r["selected"])
+    assert 0 < selected[7, "a"] < 300
+    assert Counter(map(tuple, mixing.mixture(table, targets).collect())) == selected
+
+
 def test_schedule_keeps_exact_uneven_weights():
     for weights, slots in (([1 / 3, 1 / 3, 1 / 3], 3000), ([0.0001, 1 / 3, 0.5], 40_000), ([0.4, *[0.6 / k for k in range(1, 1500)]], 20_000)):
         ks, seen = mixing.whole_weights(weights), [0] * len(weights)
@@ -426,3 +442,14 @@ def test_schedule_keeps_exact_uneven_weights():
             assert abs(seen[i] * whole - ks[i] * t) < whole  # less than one block off, as it gets a slot
             if t % 1000 == 0:
                 assert all(abs(n * whole - k * t) < whole for n, k in zip(seen, ks))
+
+
+def test_mixing_follows_many_uneven_sources(spark):
+    rows = [(i, f"s{s}") for s in range(1200) for i in range(1 + 40 * (s == 3) + s % 3)]
+    table = spark.createDataFrame(rows, "doc_id long, source string")
+    got = mixing.mix(table, block_rows=1, frame_slots=500).collect()
+    size, seen = Counter(s for _, s in rows), Counter()
+    assert sorted(r["slot"] for r in got) == list(range(len(rows)))
+    for n, r in enumerate(sorted(got, key=lambda r: r["slot"]), 1):
+        seen[r["source"]] += 1
+        assert n % 50 or all(abs(seen[s] * len(rows) - k * n) < len(rows) for s, k in size.items())

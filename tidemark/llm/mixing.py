@@ -11,7 +11,7 @@ and writes them in chunks of ``frame_slots``; every block finds its slot in that
 Ordinals come from ``keyed_ordinal``, so a hot source is spread over many tasks.
 
 Target weights are a table (source, weight), or by default each source's share of the
-blocks with none above ``CAP`` (at least 1.5 / number of sources).  Given weights are kept as long as no
+blocks, with which the mixture holds every row once.  Given weights are kept as long as no
 source runs out: ``selected`` marks the rows of that mixture, the blocks beyond it follow,
 source after source.  A source with a weight but without rows leaves its slots empty.
 
@@ -31,40 +31,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import cut, drop_ids, keyed_ordinal, read_table
+from tidemark.llm.common import cut, keyed_ordinal, read_table
 from tidemark.session import scratch_path
 
 BLOCK_ROWS = 16
 #: Slots that the driver holds before it writes them.
 FRAME_SLOTS = 1 << 18
-CAP = 0.25
-
-
-def capped_shares(supply: DataFrame, cap: float = CAP) -> DataFrame:
-    """(source, weight) from ``supply`` (source, blocks): shares of the whole, none above ``cap``.
-
-    The k largest sources are capped, k the fewest for which the next one fits under the cap.
-    """
-    order = F.desc("blocks"), F.asc_nulls_first("source")
-    ranked = supply.select(
-        "source",
-        "blocks",
-        F.row_number().over(Window.orderBy(*order)).alias("k"),
-        F.sum("blocks").over(Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)).alias("run"),
-        F.coalesce(F.lead("blocks").over(Window.orderBy(*order)), F.lit(0)).alias("next"),
-    )
-    whole = ranked.agg(F.sum("blocks").alias("total"), F.max("blocks").alias("most"), F.count("*").alias("sources"))
-    whole = whole.withColumn("cap", F.least(F.lit(1.0), F.greatest(F.lit(cap), 1.5 / F.col("sources"))))
-    tries = (
-        ranked.crossJoin(whole)  # one row
-        .filter("k * cap < 1 AND run < total")
-        .selectExpr("k", "next", "cap", "(total - run) / (1 - k * cap) AS length")
-        .union(whole.selectExpr("0", "most", "cap", "cast(total AS double)"))
-        .filter("next <= cap * length + 1e-9")
-    )
-    chosen = tries.agg(F.min(F.struct("k", "length", "cap")).alias("c")).select("c.*").withColumnRenamed("k", "capped")
-    share = F.when(F.col("k") <= F.col("capped"), F.col("cap")).otherwise(F.col("blocks") / F.col("length"))
-    return ranked.crossJoin(chosen).select("source", share.alias("weight"))  # one row
 
 
 def whole_weights(weights: list[float | int]) -> list[int]:
@@ -119,10 +91,12 @@ def mix(
     ranked = keyed_ordinal(rows, "source", ["doc_id"], "rank")
     ranked = ranked.withColumns({"block": F.floor(F.col("rank") / block_rows), "place": F.pmod("rank", F.lit(block_rows))})
     supply = cut(rows.groupBy("source").agg(F.ceil(F.count("*") / block_rows).alias("blocks")), "mix-supply")
-    targets = capped_shares(supply) if targets is None else targets
-    given = targets.select(F.col("source").cast("string").alias("w_source"), "weight").filter("weight > 0")
-    plan = given.join(supply, F.col("source").eqNullSafe(F.col("w_source")), "left")
-    plan = plan.select(F.col("w_source").alias("source"), "blocks", F.col("weight").cast("double").alias("weight"))
+    if targets is None:
+        plan = supply.withColumn("weight", F.col("blocks"))
+    else:
+        given = targets.select(F.col("source").cast("string").alias("w_source"), "weight").filter("weight > 0")
+        plan = given.join(supply, F.col("source").eqNullSafe(F.col("w_source")), "left")
+        plan = plan.select(F.col("w_source").alias("source"), "blocks", F.col("weight").cast("double").alias("weight"))
     # one row per source
     plan = sorted(plan.collect(), key=lambda r: (r["source"] is not None, r["source"] or ""))
     names, blocks = [r["source"] for r in plan], [r["blocks"] for r in plan]
@@ -144,7 +118,19 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(read_table(spark, sf_dir, "documents"))
 
 
-def mixture(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that belong to the mixture at its target weights (a null doc_id stays)."""
-    verdict = mix(docs).filter(~F.col("selected") & F.col("doc_id").isNotNull())
-    return drop_ids(docs, cut(verdict.select("doc_id").distinct(), "beyond-mixture"))
+def mixture(docs: DataFrame, targets: DataFrame | None = None) -> DataFrame:
+    """The rows of ``docs`` that belong to the mixture: all of them without ``targets``.
+
+    Rows of one doc_id and source are counted: as many of them stay as are selected.
+    """
+    tally = mix(docs, targets).groupBy(F.col("source").alias("g_source"), F.col("doc_id").alias("g_id"))
+    tally = tally.agg(F.sum(F.col("selected").cast("long")).alias("keep"), F.count("*").alias("n"))
+    beyond = cut(tally.filter("keep < n"), "beyond-mixture")
+    if beyond.isEmpty():
+        return docs
+    on = docs["source"].cast("string").eqNullSafe(F.col("g_source")) & docs["doc_id"].eqNullSafe(F.col("g_id"))
+    whole = docs.join(beyond, on, "left_anti")
+    # rows are numbered only where some rows of a doc_id stay, the block border of a source
+    split = docs.join(beyond.filter("keep > 0"), on)
+    numbered = split.withColumn("__at", F.row_number().over(Window.partitionBy("g_source", "g_id").orderBy("g_id")))
+    return whole.unionByName(numbered.filter("__at <= keep").select(docs.columns))
