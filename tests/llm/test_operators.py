@@ -453,3 +453,14 @@ def test_mixing_follows_many_uneven_sources(spark):
     for n, r in enumerate(sorted(got, key=lambda r: r["slot"]), 1):
         seen[r["source"]] += 1
         assert n % 50 or all(abs(seen[s] * len(rows) - k * n) < len(rows) for s, k in size.items())
+
+
+def test_pii_terms_of_rare_entities_far_away(spark):
+    common = " ".join(["every text says these plain words again"] * 60)
+    rows = [(0, f"Quillfeather {common} ann@x.example and {common} quillfeather"), (1, f"10.1.2.3 {common} Ostrander")]
+    rows += [(2, f"Ostrander {common} 10.1.2.3"), (3, "vexley@y.example")] + [(10 + i, f"{common} and more") for i in range(60)]
+    rows += [(100, None)]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    out = {r["doc_id"]: r["text"] for r in pii.sanitised(table).collect()}
+    assert out[0] == f"* {common} [EMAIL] and {common} *" and out[3] == "[EMAIL]"
+    assert out[1] == f"[IP] {common} *" and out[2] == f"* {common} [IP]" and out[10] == rows[4][1]

@@ -1,19 +1,23 @@
 """PII (1): information-theoretic sanitisation, in DataFrame functions only.
 
 Base entities (email, ip, card, phone) are found by pattern in every whole text.  How
-strongly a term near an entity gives it away is estimated from the corpus: with D
-documents, df(e) those with entity e, df(t) those with term t and df(e, t) those where
-t stands within ``CONTEXT`` characters of e,
+strongly a term gives an entity of its document away is estimated from the corpus: with D
+documents, df(e) those with entity e, df(t) those with term t and df(e, t) those with both,
+anywhere in the text,
 
     information of e     IC(e)     = log2(D / df(e))
-    disclosure by t      PMI(e; t) = log2(D df(e, t) / (df(e) df(t))), at most IC(e)
+    disclosure by t      PMI(e; t) = log2(P(e | t) D / df(e))
+                         P(e | t)  = (df(e, t) + PSEUDO df(e) / D) / (df(t) + PSEUDO)
 
-A term that carries at least ``REMOVE`` of the entity's information is removed beside
-it, one with at least ``GENERALISE`` is generalised to its shape; both need ``SUPPORT``
-documents and an entity of more than one bit.  df(t) counts all documents.
+``PSEUDO`` documents at the entity's own rate smooth small counts, so an entity or a term
+of one document is judged like any other, with less certainty.  A term that carries at
+least ``REMOVE`` of the entity's information is removed wherever it stands in the
+document, one with at least ``GENERALISE`` is generalised to its shape; the entity must
+have more than one bit.  A term is a run of letters outside the base entities.
 
-All counts are map-side aggregates keyed by value or by 64-bit word hash, so a value or
-word in a third of the rows costs one row per task; texts are never shuffled.
+All counts are map-side aggregates keyed by 64-bit hashes, so a value or word in a third of
+the rows costs one row per task; texts are never shuffled.  The pairs of a document are its
+distinct entities times its distinct terms.
 
 Cases: null and empty texts have no spans; rows that repeat a doc_id are reported each;
 a null doc_id is reported like others; positions count code points; other columns are
@@ -40,10 +44,11 @@ PATTERNS = {
 #: What a text must hold for its kind to be looked for at all.
 NEEDS = {"email": "@", "ip": ".", "card": None, "phone": "+"}
 
-CONTEXT = 48
 TERM = r"\p{L}{3,}"
-SUPPORT = 3
+PSEUDO = 1.0
 REMOVE, GENERALISE = 0.95, 0.75
+#: Words whose places are added up at once: appending to long arrays costs the square.
+FOLD = 256
 
 SPAN = "struct<s:int,kind:int,e:int,v:string>"
 
@@ -89,74 +94,81 @@ def base_spans(text: str) -> Column:
     return F.expr(f"array_sort(concat({', '.join(parts)}))")
 
 
-def _near(side: str) -> str:
-    """SQL: whole terms within CONTEXT characters of span x, with places in the text."""
-    lo = f"greatest(x.s - {CONTEXT}, 0)"
-    if side == "before":
-        at, ctx = lo, f"substring(t, {lo} + 1, x.s - {lo})"
-        whole = f"(y.s > 0 OR {lo} = 0)"
-    else:
-        at, ctx = "x.e", f"substring(t, x.e + 1, {CONTEXT})"
-        whole = f"(y.e < {CONTEXT} OR x.e + {CONTEXT} >= n)"
-    return f"""transform(filter({_matches(ctx, TERM, 4)}, y -> {whole}),
-      y -> named_struct('entity', concat_ws(':', x.kind, lower(x.v)), 'term', lower(y.v),
-                        's', cast({at} + y.s AS int), 'e', cast({at} + y.e AS int)))"""
+def _words(text: str) -> str:
+    """SQL: all terms of ``text``, (w, s, e) with the hash of the lower-cased term, in two levels of ``FOLD``."""
+    quoted = "r'" + TERM + "'"
+    word = "struct<w:bigint,s:int,e:int>"
+    return f"""element_at(transform(
+      array(arrays_zip(split({text}, {quoted}, -1), regexp_extract_all({text}, {quoted}, 0))),
+      z -> aggregate(
+        transform(sequence(0, (size(z) - 1) div {FOLD}), c -> aggregate(
+          slice(z, cast(c * {FOLD} + 1 AS int), {FOLD}),
+          named_struct('at', 0, 'out', cast(array() AS array<{word}>)),
+          (acc, x) -> named_struct(
+            'at', acc.at + length(x.`0`) + coalesce(length(x.`1`), 0),
+            'out', if(x.`1` IS NULL, acc.out, concat(acc.out, array(named_struct(
+              'w', xxhash64(lower(x.`1`)), 's', acc.at + length(x.`0`), 'e', acc.at + length(x.`0`) + length(x.`1`)))))))),
+        named_struct('at', 0, 'out', cast(array() AS array<array<{word}>>)),
+        (acc, part) -> named_struct('at', acc.at + part.at, 'out', concat(acc.out, array(
+          transform(part.out, y -> named_struct('w', y.w, 's', acc.at + y.s, 'e', acc.at + y.e))))),
+        acc -> flatten(acc.out))), 1)"""
 
 
 def found_spans(docs: DataFrame) -> DataFrame:
-    """``(doc_id, th, base, near)`` of every row, written: base spans and the terms near them.
+    """``(doc_id, th, base, ents, words, hidden)`` of every row, written.
 
-    ``th`` is a hash of the text that tells rows of one doc_id apart.
+    Base spans, hashes of the distinct entities, all terms outside the spans with their
+    places, and hashes of the words that stand inside spans only; a text without base
+    spans has none of them.  ``th`` is a hash of the text that tells rows of one doc_id apart.
     """
-    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("t")).withColumn("n", F.length("t"))
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("t"))
     texts = texts.withColumn("base", base_spans("t"))
-    near = F.expr(f"flatten(transform(base, x -> concat({_near('before')}, {_near('after')})))")
-    free = F.expr("filter(near, y -> NOT exists(base, b -> b.s < y.e AND y.s < b.e))")
-    out = texts.select("doc_id", F.xxhash64("t").alias("th"), "base", near.alias("near"))
-    return cut(out.withColumn("near", free), "pii-base")
+    ents = F.array_distinct(F.transform("base", lambda b: F.xxhash64(F.concat_ws(":", b["kind"], F.lower(b["v"])))))
+    every = F.expr(f"if(size(base) = 0, NULL, {_words('t')})")
+    out = texts.select("doc_id", F.xxhash64("t").alias("th"), "base", ents.alias("ents"), every.alias("every"))
+    out = out.withColumn("words", F.expr("filter(every, y -> NOT exists(base, b -> b.s < y.e AND y.s < b.e))"))
+    hidden = F.array_except(F.col("every.w"), F.col("words.w"))
+    return cut(out.select("doc_id", "th", "base", "ents", "words", hidden.alias("hidden")), "pii-base")
 
 
 def disclosing(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """``(entity, term, kind)``: terms that give an entity away; kind is an index of KINDS. Written."""
+    """``(doc_id, th, w, kind)``: the terms of each document that give an entity of it away; kind is an index of KINDS. Written."""
     n_docs = docs.count()
-    entities = F.array_distinct(F.transform("base", lambda b: F.concat_ws(":", b["kind"], F.lower(b["v"]))))
-    df_e = found.select(F.explode(entities).alias("ent")).groupBy("ent").agg(F.count("*").alias("df_e"))
-    pairs = F.array_distinct(F.transform("near", lambda y: F.struct(y["entity"].alias("entity"), y["term"].alias("term"))))
-    df_et = (
-        found.select(F.explode(pairs).alias("p"))
-        .groupBy(F.col("p.entity").alias("entity"), F.col("p.term").alias("term"))
-        .agg(F.count("*").alias("df_et"))
-        .filter(F.col("df_et") >= SUPPORT)
-    )
-    df_et = cut(df_et, "pii-pairs")
-    words = F.array_distinct(F.expr(f"transform(regexp_extract_all(lower(text), r'{TERM}', 0), w -> xxhash64(w))"))
-    df_t = docs.select(F.explode(words).alias("w")).groupBy("w").agg(F.count("*").alias("df_t"))
-    df_t = df_t.filter(F.col("df_t") >= SUPPORT)
+    df_e = found.select(F.explode("ents").alias("ent")).groupBy("ent").agg(F.count("*").alias("df_e"))
+    terms = found.select("doc_id", "th", "ents", F.explode(F.array_distinct(F.col("words.w"))).alias("w"))
+    pairs = terms.select("doc_id", "th", "w", F.explode("ents").alias("e"))
+    df_et = cut(pairs.groupBy("e", "w").agg(F.count("*").alias("df_et")), "pii-pairs")
+    words = F.array_distinct(F.expr(f"transform(regexp_extract_all(text, r'{TERM}', 0), w -> xxhash64(lower(w)))"))
+    df_t = docs.select(F.explode(words).alias("t_w"), F.lit(1).alias("n"))
+    df_t = df_t.unionAll(found.select(F.explode("hidden"), F.lit(-1)))
+    df_t = df_t.groupBy("t_w").agg(F.sum("n").alias("df_t"))
     scored = (
-        df_et.join(df_t, F.xxhash64("term") == F.col("w"))
-        .join(cut(df_e, "pii-entities"), F.col("entity") == F.col("ent"))
-        .withColumn("ic", F.log2(F.lit(float(n_docs)) / F.col("df_e")))
-        .withColumn("pmi", F.log2(F.lit(float(n_docs)) * F.col("df_et") / (F.col("df_e") * F.col("df_t"))))
+        df_et.join(df_t, F.col("w") == F.col("t_w"))
+        .join(cut(df_e, "pii-entities"), F.col("e") == F.col("ent"))
+        .withColumn("rate", F.col("df_e") / F.lit(float(n_docs)))
+        .withColumn("ic", -F.log2("rate"))
+        .withColumn("pmi", F.log2((F.col("df_et") + PSEUDO * F.col("rate")) / (F.col("df_t") + PSEUDO) / F.col("rate")))
         .filter((F.col("ic") > 1) & (F.col("pmi") >= GENERALISE * F.col("ic")))
     )
     kind = F.when(F.col("pmi") >= REMOVE * F.col("ic"), KINDS.index("removed")).otherwise(KINDS.index("generalised"))
-    return cut(scored.select(F.col("entity").alias("d_entity"), F.col("term").alias("d_term"), kind.alias("d_kind")), "pii-terms")
+    scored = cut(scored.select(F.col("e").alias("d_e"), F.col("w").alias("d_w"), kind.alias("kind")), "pii-terms")
+    # a term that gives two entities away is taken once, at its stricter (smaller) kind
+    own = pairs.join(scored, (F.col("e") == F.col("d_e")) & (F.col("w") == F.col("d_w")))
+    return cut(own.groupBy("doc_id", "th", "w").agg(F.min("kind").alias("kind")), "pii-disclosing")
 
 
 def spans(docs: DataFrame) -> DataFrame:
     """``(doc_id, th, base, spans)`` of every row; spans holds base and disclosing ones, sorted."""
     found = found_spans(docs)
-    terms = disclosing(docs, found)
-    near = found.select("doc_id", "th", F.explode("near").alias("y"))
-    hits = near.join(terms, (F.col("y.entity") == F.col("d_entity")) & (F.col("y.term") == F.col("d_term")))
-    span = F.struct(F.col("y.s").alias("s"), F.col("d_kind").alias("kind"), F.col("y.e").alias("e"), F.lit("").alias("v"))
-    by_doc = hits.groupBy(F.col("doc_id").alias("h_id"), F.col("th").alias("h_th")).agg(F.collect_set(span).alias("own"))
-    by_doc = cut(by_doc, "pii-hits")
-    # a term beside two entities is taken once, at its stricter (smaller) kind
-    strict = F.expr("filter(own, y -> NOT exists(own, z -> z.s = y.s AND z.kind < y.kind))")
+    terms = disclosing(docs, found).withColumnsRenamed({"doc_id": "d_id", "th": "d_th"})
+    places = found.select("doc_id", "th", F.explode("words").alias("y"))
+    same = F.col("doc_id").eqNullSafe(F.col("d_id")) & (F.col("th") == F.col("d_th")) & (F.col("y.w") == F.col("w"))
+    span = F.struct(F.col("y.s").alias("s"), F.col("kind"), F.col("y.e").alias("e"), F.lit("").alias("v"))
+    by_doc = places.join(terms, same).groupBy(F.col("doc_id").alias("h_id"), F.col("th").alias("h_th"))
+    by_doc = cut(by_doc.agg(F.collect_set(span).alias("own")), "pii-hits")
     joined = found.join(by_doc, F.col("doc_id").eqNullSafe(F.col("h_id")) & (F.col("th") == F.col("h_th")), "left")
     none = F.expr(f"cast(array() AS array<{SPAN}>)")
-    return joined.select("doc_id", "th", "base", F.array_sort(F.concat("base", F.coalesce(strict, none))).alias("spans"))
+    return joined.select("doc_id", "th", "base", F.array_sort(F.concat("base", F.coalesce("own", none))).alias("spans"))
 
 
 def sanitised(docs: DataFrame) -> DataFrame:
