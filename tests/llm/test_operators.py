@@ -464,3 +464,20 @@ def test_pii_terms_of_rare_entities_far_away(spark):
     out = {r["doc_id"]: r["text"] for r in pii.sanitised(table).collect()}
     assert out[0] == f"* {common} [EMAIL] and {common} *" and out[3] == "[EMAIL]"
     assert out[1] == f"[IP] {common} *" and out[2] == f"* {common} [IP]" and out[10] == rows[4][1]
+
+
+def test_language_models_every_label(spark):
+    r, rows = random.Random(8), []
+    for k in range(70):  # the later labels are the rarer ones, each in letters of its own
+        letters = [chr(0x4E00 + 40 * k + i) for i in range(12)]
+        words = ["".join(r.choice(letters) for _ in range(4)) for _ in range(8)]
+        rows += [(100 * k + i, " ".join(r.choice(words) for _ in range(60)), f"l{k:02}", "h.example") for i in range(3 if k < 64 else 2)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    want = {i: l for i, _, l, _ in rows}
+    results = []
+    for most in (langid.BLOCK_LANGUAGES, 9, 1000):
+        got = langid.identify(langid.evidence(table), langid.fit(table, most=most)).collect()
+        assert {g["doc_id"]: g["lang"] for g in got} == want and all(g["kept"] for g in got)
+        results.append(sorted((g["doc_id"], round(g["confidence"], 9)) for g in got))
+    assert results[0] == results[1] == results[2]
+    assert langid.known_language(table).count() == len(rows)
