@@ -6,6 +6,8 @@ Per micro-batch the key's live lists are loaded once, the batch's events are
 folded in arrival order, and the lists are written back once: survivors are
 rewritten with ``put`` only when a pop happened (which renews their TTL, like
 the reference's rewrite on pop); otherwise new elements are only appended.
+With ``idle`` every event renews all of the key's state, as a TTL refreshed on
+read does: it expires only after a gap without any event of the key.
 Spark's TTL is processing time at micro-batch granularity.
 """
 
@@ -22,7 +24,8 @@ _ITEM = "ts long, event_id long, seq long"
 
 class FifoZipProcessor(StatefulProcessor):
     def __init__(self, steps: Sequence[str], ttl_ms: int | None = None, content: str = "content",
-                 ts: str = "time_stamp", order: str = "seq", row_id: str = "event_id"):
+                 ts: str = "time_stamp", order: str = "seq", row_id: str = "event_id", idle: bool = False):
+        self.idle = idle
         self.steps, self.ttl_ms = list(steps), ttl_ms
         self.content, self.ts, self.order, self.row_id = content, ts, order, row_id
 
@@ -52,24 +55,26 @@ class FifoZipProcessor(StatefulProcessor):
                 rec["trigger_ts"], rec["trigger_event"] = int(t), int(e)
                 out.append(rec)
         for k, state in enumerate(self.lists):
-            if popped:
+            if popped or self.idle:
                 if live[k]:
                     state.put(live[k])
                 else:
                     state.clear()
             elif added[k]:
                 state.appendList(added[k])
-        if out:
+        if out or (self.idle and n):
             self.emitted.update((n,))
+        if out:
             yield pd.DataFrame(out)
 
     def close(self) -> None:
         pass
 
 
-def zip_stream(events: DataFrame, key: str, steps: Sequence[str], ttl_ms: int | None = None) -> DataFrame:
+def zip_stream(events: DataFrame, key: str, steps: Sequence[str], ttl_ms: int | None = None, idle: bool = False) -> DataFrame:
     """Apply the processor per key of a streaming DataFrame (append mode).
 
+    ``ttl_ms`` counts from the last write of a list, with ``idle`` from the key's last event.
     Needs ``spark.sql.streaming.stateStore.providerClass`` set to the RocksDB
     provider (several state variables per key), as ``session.local_session`` does.
     """
@@ -81,5 +86,5 @@ def zip_stream(events: DataFrame, key: str, steps: Sequence[str], ttl_ms: int |
     mode = "ProcessingTime" if ttl_ms else "None"
     events = events.withColumn(key, events[key].cast("string"))
     return events.groupBy(key).transformWithStateInPandas(
-        FifoZipProcessor(steps, ttl_ms), outputStructType=schema, outputMode="Append", timeMode=mode
+        FifoZipProcessor(steps, ttl_ms, idle=idle), outputStructType=schema, outputMode="Append", timeMode=mode
     )
