@@ -6,7 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import ann, bitplane, exact_dedup, html_extract, langid, mixing, near_dedup, packing, pii, pitman_yor
+from tidemark.llm import (
+    ann,
+    bitplane,
+    bpe,
+    exact_dedup,
+    html_extract,
+    langid,
+    mixing,
+    near_dedup,
+    packing,
+    pii,
+    pitman_yor,
+    token_align,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": pii.op1_pii,
@@ -19,6 +32,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pitman_yor": pitman_yor.op8_pitman_yor,
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
     "op10_language": langid.op10_language,
+    "op11_bpe": bpe.op11_bpe,
+    "op12_alignment": token_align.op12_alignment,
 }
 ORACLE: dict[str, str] = {
     "op9_exact_dedup": exact_dedup.ORACLE,
