@@ -1,6 +1,7 @@
 """The bucketed scan equals a brute-force sequential scan, also with a hot key."""
 
 import random
+from operator import add, xor
 
 import pandas as pd
 import pytest
@@ -27,9 +28,9 @@ def _brute(rows, keyed, following, inclusive, fn):
         acc = None
         for s, v in zip(g["seq"], g["v"]):
             before = acc
-            acc = v if acc is None else (min(acc, v) if fn == "min" else max(acc, v) if fn == "max" else acc + v)
+            acc = v if acc is None else {"min": min, "max": max, "sum": add, "xor": xor}[fn](acc, v)
             res = acc if inclusive else before
-            if fn == "sum" and res is None:
+            if fn in ("sum", "xor") and res is None:
                 res = 0
             out[s] = res
     return out
@@ -38,7 +39,7 @@ def _brute(rows, keyed, following, inclusive, fn):
 @pytest.mark.parametrize("keyed", [True, False])
 @pytest.mark.parametrize("following", [False, True])
 @pytest.mark.parametrize("inclusive", [False, True])
-@pytest.mark.parametrize("fn", ["min", "max", "sum"])
+@pytest.mark.parametrize("fn", ["min", "max", "sum", "xor"])
 def test_scan_matches_brute_force(spark, keyed, following, inclusive, fn):
     rows = _data()
     df = spark.createDataFrame(rows, "k string, seq long, v long")
@@ -77,7 +78,7 @@ def test_scan_is_independent_of_partitioning(spark):
 
 @pytest.mark.parametrize("following", [False, True])
 @pytest.mark.parametrize("inclusive", [False, True])
-@pytest.mark.parametrize("fn", ["min", "max", "sum"])
+@pytest.mark.parametrize("fn", ["min", "max", "sum", "xor"])
 def test_chained_global_scans_sharing_a_bucket_column(spark, following, inclusive, fn):
     rows = _data(n=2000, seed=13)
     df = spark.createDataFrame(rows, "k string, seq long, v long")

@@ -17,8 +17,8 @@ Step 4 uses a union rather than a join, so the big side is shuffled exactly
 once and a NULL partition key behaves like any other key, as in ``groupBy``.
 
 Only associative aggregates are supported: ``min``, ``max`` (also on structs,
-which gives "first / last row satisfying p") and ``sum`` (counts are sums of
-0/1 flags).  Suffix scans run over the reversed order with a preceding frame,
+which gives "first / last row satisfying p"), ``sum`` (counts are sums of
+0/1 flags) and ``xor`` (fingerprints of prefixes).  Suffix scans run over the reversed order with a preceding frame,
 which Spark evaluates in linear time.
 """
 
@@ -49,7 +49,7 @@ MIN_BUCKET_ROWS = 1 << 10
 # Marks the rows of hot keys inside a keyed scan.
 HOT = "__hot"
 
-_AGG = {"min": F.min, "max": F.max, "sum": F.sum}
+_AGG = {"min": F.min, "max": F.max, "sum": F.sum, "xor": F.bit_xor}
 
 
 @dataclass(frozen=True)
@@ -143,7 +143,7 @@ def scan(
     is ``fn(expr)`` over the rows of the same ``partition_by`` key that come
     before the row (``following=False``) or after it (``following=True``),
     including the row itself when ``inclusive``.  Empty frames give NULL for
-    min/max and 0 for sum.  ``stats`` may be bounds computed on a superset;
+    min/max and 0 for sum and xor.  ``stats`` may be bounds computed on a superset;
     ``bucket_rows`` defaults to ``auto_bucket_rows``.  ``balanced=True`` skips
     the hot-bucket check (the caller already ran ``lead_is_balanced``).  Rows of
     keys outside ``stats.hot`` stay in one bucket per key, without a carry.
@@ -377,11 +377,12 @@ def _combine(fn: str, a: Column, b: Column) -> Column:
         return F.greatest(a, b)
     if fn == "min":
         return F.least(a, b)
-    return F.coalesce(a, F.lit(0)) + F.coalesce(b, F.lit(0))
+    a, b = F.coalesce(a, F.lit(0)), F.coalesce(b, F.lit(0))
+    return a.bitwiseXOR(b) if fn == "xor" else a + b
 
 
 def _finish(fn: str, c: Column) -> Column:
-    return F.coalesce(c, F.lit(0)) if fn == "sum" else c
+    return F.coalesce(c, F.lit(0)) if fn in ("sum", "xor") else c
 
 
 def row_number(
