@@ -1,93 +1,100 @@
-"""Streaming sequence matching in event-time order (C1-C7 on streams).
-
-Rows are buffered per key in ``ListState`` and an event-time timer is set at
-each row's time.  When the watermark passes, the ready rows are drained in
-(event time, arrival) order and advance the key's partial matches: a partial
-waiting for step k takes the first later row satisfying step k (relaxed
-contiguity) and every row satisfying step 1 starts a new partial.  Spark drops
-rows at or behind the watermark before they reach the processor, which is the
-late-row rule of the batch form (``sequence.drop_late``).
-
-Step conditions are Column expressions evaluated by Spark into a bitmask
-column before the processor, so the Python side only folds integers.
+"""Streaming sequence matching per key in event-time order (C1-C7 on streams).
+
+Rows wait in a map state by event time until the watermark passes them; the timer of a time
+reads the rows of that time only (C7).  They advance the key's partial matches in (event time,
+``order``): a partial waiting for step k takes the first later row that satisfies step k
+(relaxed contiguity), and every row that satisfies step 1 starts a new partial.
+
+All partials that wait for the same step go on together, so they are one linked list, known by
+its head.  A row that satisfies their step becomes a node above the whole list and joins the
+next list: an event costs the same whether one or a hundred thousand partials wait (C3, C5).
+When the last step is met, the tree below its node is walked, one leaf per completed match.
+
+Step conditions are Column expressions that Spark evaluates into a bitmask before.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.types import StructType
 
 from tidemark.operators.sequence import SequencePattern
 from tidemark.plans.watermark import WatermarkSpec, event_ts
 
-_EVENT = "ts long, seq long, event_id long, mask int"
-
 
 class SequenceMatchProcessor(StatefulProcessor):
-    def __init__(self, n_steps: int):
-        self.n = n_steps
+    """``order`` are the names of the order columns behind the event time, ``payload`` those kept."""
+
+    def __init__(self, names: Sequence[str], order: Sequence[str], payload: Sequence[str], types: Sequence[str]):
+        self.names, self.order, self.payload, self.types = list(names), list(order), list(payload), list(types)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.buffer = handle.getListState("buffer", _EVENT)
-        fields = ", ".join(f"ts{i} long, ev{i} long" for i in range(self.n))
-        self.partials = handle.getListState("partials", f"stage int, {fields}")
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(rows), ignore_index=True)
-        items = [
-            (int(t), int(q), int(e), int(m))
-            for t, q, e, m in zip(batch["ts"], batch["seq"], batch["event_id"], batch["mask"])
-        ]
-        self.buffer.appendList(items)
-        for t in sorted({i[0] for i in items}):
-            self.handle.registerTimer(t)
+        kept = ", ".join(f"p{i} {t}" for i, t in enumerate(self.types))
+        orders = ", ".join(f"o{i} long" for i in range(len(self.order)))
+        self.buffer = handle.getMapState("buffer", "ts long", f"rows array<struct<mask int, {orders}, {kept}>>")
+        self.nodes = handle.getMapState("nodes", "id long", f"below long, beside long, {kept}")
+        heads = ", ".join(f"h{k} long" for k in range(1, len(self.names)))
+        self.heads = handle.getValueState("heads", f"{heads}, last long")
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        new: dict[int, list[tuple]] = {}
+        for r in rows:
+            item = (r["mask"], *(r[f"o{i}"] for i in range(len(self.order))), *(r[f"p{i}"] for i in range(len(self.types))))
+            new.setdefault(r["ts"], []).append(item)
+        for ts, items in new.items():
+            held = self.buffer.getValue((ts,)) if self.buffer.containsKey((ts,)) else None
+            if held is None:
+                self.handle.registerTimer(ts)
+            self.buffer.updateValue((ts,), ([tuple(x) for x in held[0]] + items if held else items,))
         return iter([])
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        wm = timerValues.getCurrentWatermarkInMs()
-        held = [tuple(x) for x in self.buffer.get()] if self.buffer.exists() else []
-        ready = sorted((x for x in held if x[0] <= wm), key=lambda x: (x[0], x[1]))
-        if not ready:
-            return iter([])
-        rest = [x for x in held if x[0] > wm]
-        if rest:
-            self.buffer.put(rest)
-        else:
-            self.buffer.clear()
-        partials = [list(p) for p in self.partials.get()] if self.partials.exists() else []
-        done = []
-        for ts, _, ev, mask in ready:
-            still = []
-            for p in partials:
-                k = p[0]
-                if mask >> k & 1:
-                    p[1 + 2 * k], p[2 + 2 * k] = ts, ev
-                    p[0] = k + 1
-                    if p[0] == self.n:
-                        done.append(p)
-                        continue
-                still.append(p)
-            partials = still
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        ts = expiredTimerInfo.getExpiryTimeInMs()
+        held = self.buffer.getValue((ts,))
+        self.buffer.removeKey((ts,))
+        n = len(self.names)
+        heads = list(self.heads.get()) if self.heads.exists() else [0] * n
+        head, last = [0, *heads[:-1]], heads[-1]  # head[k]: partials that wait for step k (from 0)
+        width = 1 + len(self.order)
+        for x in sorted((tuple(x) for x in held[0]), key=lambda x: x[1:width]):
+            mask, item = x[0], x[width:]
+            for k in range(n - 1, 0, -1):  # later steps first: a row advances a partial once
+                if mask >> k & 1 and head[k]:
+                    if k == n - 1:
+                        yield from self._matches(key, head[k], item)
+                    else:
+                        last += 1
+                        self.nodes.updateValue((last,), (head[k], head[k + 1], *item))
+                        head[k + 1] = last
+                    head[k] = 0
             if mask & 1:
-                p = [1] + [None] * (2 * self.n)
-                p[1], p[2] = ts, ev
-                partials.append(p)
-        if partials:
-            self.partials.put([tuple(p) for p in partials])
-        elif self.partials.exists():
-            self.partials.clear()
-        if not done:
-            return iter([])
-        out = {"key": [key[0]] * len(done)}
-        for i in range(self.n):
-            out[f"ts{i}"] = [p[1 + 2 * i] for p in done]
-            out[f"ev{i}"] = [p[2 + 2 * i] for p in done]
-        return iter([pd.DataFrame(out)])
+                last += 1
+                self.nodes.updateValue((last,), (0, head[1], *item))
+                head[1] = last
+        if any(head):
+            self.heads.update((*head[1:], last))
+        else:
+            self.heads.clear()
+
+    def _matches(self, key, at: int, final: tuple) -> Iterator[Row]:
+        """One match per leaf below the list ``at``; the nodes are done with."""
+        todo = [(at, (final,))]
+        while todo:
+            at, path = todo.pop()
+            below, beside, *item = self.nodes.getValue((at,))
+            self.nodes.removeKey((at,))
+            if beside:
+                todo.append((beside, path))
+            path = (tuple(item), *path)
+            if below:
+                todo.append((below, path))
+            else:
+                yield Row(key=key[0], **{f"s{k}_{i}": v for k, item in enumerate(path) for i, v in enumerate(item)})
 
     def close(self) -> None:
         pass
@@ -97,27 +104,40 @@ def match_stream(
     events: DataFrame,
     pattern: SequencePattern,
     key: str,
-    spec: WatermarkSpec,
+    spec: WatermarkSpec | None = None,
     ts: str = "time_stamp",
-    order: str = "seq",
+    order: Sequence[str] | str = "seq",
     row_id: str = "event_id",
+    payload: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Keyed streaming matches: ``key, <step>_ts, <step>_event`` per completed match."""
+    """Keyed streaming matches: ``key, <step>_<payload>...`` per completed match.
+
+    With ``spec`` the stream gets its watermark here, and Spark drops the rows at or behind it;
+    without, ``events`` has one already and late rows were dropped by their stamps.  The payload
+    is the row's time and id (``<step>_ts, <step>_event``) unless named.
+    """
+    order = [order] if isinstance(order, str) else list(order)
+    named = list(payload) if payload is not None else [ts, row_id]
     mask = sum((F.when(s.condition, F.lit(1 << i)).otherwise(F.lit(0)) for i, s in enumerate(pattern.steps)), F.lit(0))
     staged = events.select(
-        F.col(key).cast("string").alias(key),
-        F.col(ts).alias("ts"),
-        F.col(order).alias("seq"),
-        F.col(row_id).alias("event_id"),
-        mask.cast("int").alias("mask"),
-        event_ts(ts).alias("event_ts"),
-    ).withWatermark("event_ts", spec.streaming_delay)
-    n = len(pattern.steps)
-    schema = "key string, " + ", ".join(f"ts{i} long, ev{i} long" for i in range(n))
-    out = staged.groupBy(key).transformWithStateInPandas(
-        SequenceMatchProcessor(n), outputStructType=schema, outputMode="Append", timeMode="EventTime"
+        F.col(key).alias("key"), F.col(ts).cast("long").alias("ts"), mask.cast("int").alias("mask"),
+        *[F.col(c).cast("long").alias(f"o{i}") for i, c in enumerate(order)],
+        *[F.col(c).alias(f"p{i}") for i, c in enumerate(named)],
+        *([event_ts(ts).alias("event_ts")] if spec else []),
+    )
+    if spec:
+        staged = staged.withWatermark("event_ts", spec.streaming_delay)
+    types = [events.schema[c].dataType.simpleString() for c in named]
+    names = [s.name for s in pattern.steps]
+    schema = f"key {events.schema[key].dataType.simpleString()}" + "".join(
+        f", s{k}_{i} {t}" for k in range(len(names)) for i, t in enumerate(types)
+    )
+    out = staged.groupBy("key").transformWithState(
+        SequenceMatchProcessor(names, order, named, types), outputStructType=StructType.fromDDL(schema),
+        outputMode="Append", timeMode="EventTime",
+    )
+    labels = ["ts", "event"] if payload is None else named
+    return out.select(
+        F.col("key").alias(key),
+        *[F.col(f"s{k}_{i}").alias(f"{n}_{c}") for k, n in enumerate(names) for i, c in enumerate(labels)],
     )
-    cols = [F.col("key").alias(key)]
-    for i, s in enumerate(pattern.steps):
-        cols += [F.col(f"ts{i}").alias(f"{s.name}_ts"), F.col(f"ev{i}").alias(f"{s.name}_event")]
-    return out.select(*cols)
