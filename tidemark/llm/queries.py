@@ -18,6 +18,7 @@ from tidemark.llm import (
     packing,
     pii,
     pitman_yor,
+    prefix_trie,
     token_align,
 )
 
@@ -34,7 +35,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_language": langid.op10_language,
     "op11_bpe": bpe.op11_bpe,
     "op12_alignment": token_align.op12_alignment,
+    "op13_prefix_trie": prefix_trie.op13_prefix_trie,
 }
 ORACLE: dict[str, str] = {
     "op9_exact_dedup": exact_dedup.ORACLE,
+    "op13_prefix_trie": prefix_trie.ORACLE,
 }
