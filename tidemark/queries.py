@@ -498,14 +498,54 @@ def zip_join_idle_ttl(spark, sf_dir):
     return out.select("workpiece", F.col("session").cast("bigint").alias("session"), *ZIP_COLS[1:])
 
 
-@query("zip_join_write_ttl")
+def _write_ttl_sql(select: str, where: str) -> str:
+    """Oracle of the write TTL: the lists of every key, event by event, as a recursive query."""
+    n = range(1, len(STEPS) + 1)
+    item = "STRUCT(w BIGINT, ts BIGINT, ev BIGINT)[]"
+    fold = lambda f, sep=", ": sep.join(f(k) for k in n)
+    same = "e.session = f.session"
+    return (
+        "WITH RECURSIVE " + LOG_CTE + ",\n" + CLOCK_CTE + ",\n"
+        + f"""g AS (SELECT *, CASE WHEN lag(clock_ms) OVER w IS NULL OR clock_ms - lag(clock_ms) OVER w >= {WRITE_TTL_MS} THEN 1 ELSE 0 END
+  AS new_session FROM clocked WINDOW w AS (PARTITION BY workpiece ORDER BY seq)),
+ev AS (SELECT workpiece, seq, clock_ms, time_stamp, event_id, content, row_number() OVER w AS rn, sum(new_session) OVER w AS session
+  FROM g WINDOW w AS (PARTITION BY workpiece ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+fold AS (
+  SELECT DISTINCT workpiece, 0::BIGINT AS rn, 0::HUGEINT AS session, 0::BIGINT AS n_tuple, NULL::BIGINT AS renewed, false AS hit,
+    {fold(lambda k: f"[]::{item} AS l{k}, NULL::STRUCT(w BIGINT, ts BIGINT, ev BIGINT) AS h{k}, 0::BIGINT AS n{k}")},
+    NULL::BIGINT AS trigger_seq, NULL::BIGINT AS trigger_ts, NULL::BIGINT AS trigger_event FROM ev
+  UNION ALL
+  SELECT workpiece, rn, session, CASE WHEN hit THEN n_tuple + 1 ELSE n_tuple END, CASE WHEN hit THEN clock_ms ELSE renewed END, hit,
+    {fold(lambda k: f"CASE WHEN hit THEN m{k}[2:] ELSE m{k} END, m{k}[1], len(m{k})")}, seq, time_stamp, event_id
+  FROM (SELECT *, {fold(lambda k: f"len(m{k}) > 0", " AND ")} AS hit
+    FROM (SELECT e.*, CASE WHEN {same} THEN f.n_tuple ELSE 0 END AS n_tuple, CASE WHEN {same} THEN f.renewed END AS renewed,
+      {fold(lambda k: f"list_filter(list_concat(CASE WHEN {same} THEN f.l{k} ELSE []::{item} END, CASE WHEN contains(e.content, '{STEPS[k - 1]}') THEN [struct_pack(w := e.clock_ms, ts := e.time_stamp, ev := e.event_id)] ELSE []::{item} END), lambda x: greatest(x.w, CASE WHEN {same} THEN coalesce(f.renewed, x.w) ELSE x.w END) + {WRITE_TTL_MS} > e.clock_ms) AS m{k}")}
+      FROM fold f JOIN ev e ON e.workpiece = f.workpiece AND e.rn = f.rn + 1)))
+SELECT {select} FROM fold WHERE {where}"""
+    )
+
+
+@query(
+    "zip_join_write_ttl",
+    _write_ttl_sql(
+        "workpiece, session::BIGINT AS session, n_tuple, "
+        + ", ".join(f"h{k + 1}.ts AS {s}_ts, h{k + 1}.ev AS {s}_event" for k, s in enumerate(STEPS))
+        + ", trigger_seq, trigger_ts, trigger_event",
+        "hit",
+    ),
+)
 def zip_join_write_ttl(spark, sf_dir):
     st = _stats(spark, sf_dir)
     clocked = running_max(_log(spark, sf_dir), ts="time_stamp", out="clock_ms", stats=st["seq"])
     return Z.zip_join_write_ttl(clocked, "workpiece", Z.contains_routes(STEPS), WRITE_TTL_MS, stats=st.keyed["seq"])
 
 
-@query("zip_pending_sizes_write_ttl")
+@query(
+    "zip_pending_sizes_write_ttl",
+    _write_ttl_sql(
+        "workpiece, trigger_event AS event_id, " + ", ".join(f"n{k + 1}" for k in range(len(STEPS))), "rn > 0"
+    ),
+)
 def zip_pending_sizes_write_ttl(spark, sf_dir):
     """List sizes per event as the TTL job prints them (write TTL, expired elements invisible)."""
     st = _stats(spark, sf_dir)
