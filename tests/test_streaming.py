@@ -226,31 +226,3 @@ def test_exact_lateness_on_a_union_of_sources(spark):
     want = {r["seq"]: (r["wm_ms"], r["label"]) for r in batch.collect()}
     assert got == want
     assert want[7][1] == "too_late"  # station 1 at 3 s after both stations passed 9 s / 20 s
-
-
-@pytest.mark.parametrize("idle", [False, True])
-def test_idle_ttl_renews_lists_that_are_only_read(idle):
-    import pandas as pd
-
-    class State:
-        def __init__(self, items):
-            self.items, self.writes = items, 0
-
-        def exists(self):
-            return bool(self.items)
-
-        def get(self):
-            return self.items
-
-        def put(self, items):
-            self.items, self.writes = items, self.writes + 1
-
-        update = appendList = put
-
-    zipper = ST.FifoZipProcessor(["a", "b"], 1000, idle=idle)
-    zipper.lists, zipper.emitted = [State([(1, 1, 1)]), State([])], State((3,))
-    zipper.lists[1].clear = lambda: None
-    event = pd.DataFrame({"content": ["no step"], "time_stamp": [5], "seq": [2], "event_id": [2]})
-    assert list(zipper.handleInputRows(("k",), iter([event]), None)) == []
-    assert zipper.lists[0].items == [(1, 1, 1)] and zipper.emitted.items == (3,)
-    assert zipper.lists[0].writes == zipper.emitted.writes == int(idle)

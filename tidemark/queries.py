@@ -712,7 +712,7 @@ def sink_bucket_counts(spark, sf_dir):
     """Lines written into hourly bucket directories with size rolling, counted back (K3, K4, K6)."""
     lines = K.with_bucket(E.sensor_lines(spark, sf_dir, keep_ts=True), F.col("ts"))
     path = scratch_path(spark, "buckets")
-    K.write_text_buckets(lines, path, "bucket", max_records=K.records_per_file(lines), tiebreak="event_id")
+    K.write_text_buckets(lines, path, "bucket")
     back = spark.read.schema("value string, bucket string").text(path)
     return back.groupBy("bucket").agg(F.count(F.lit(1)).alias("n_rows"))
 
@@ -813,3 +813,24 @@ def batch_cogroup(spark, sf_dir):
         {"n_lines": F.count(F.lit(1)), "sum_qty": F.sum("l_quantity")},
     )
     return out.withColumns({"total_price": F.round("total_price", 6), "sum_qty": F.round("sum_qty", 6)})
+
+
+def _totals(key, orders, lines):
+    """A user function over both sides of a key: counts and sums, NULL for an absent side."""
+
+    def side(rows, value):
+        n, total = 0, 0.0
+        for row in rows:
+            n, total = n + 1, total + row[value]
+        return (n, round(total, 6)) if n else (None, None)
+
+    yield key, *side(orders, "o_totalprice"), *side(lines, "l_quantity")
+
+
+@query("batch_cogroup_apply", ORACLE["batch_cogroup"])
+def batch_cogroup_apply(spark, sf_dir):
+    """Co-group with a user function that iterates over both sides."""
+    o = E.table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    li = E.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_quantity")
+    schema = "key long, n_orders long, total_price double, n_lines long, sum_qty double"
+    return B.cogroup_apply(o, li, "o_orderkey", "l_orderkey", _totals, schema)

@@ -16,6 +16,8 @@ from pyspark.sql.streaming import DataStreamWriter
 BUCKET_FORMAT = "yyyy-MM-dd--HH"
 ROLL_INTERVAL = "2 minutes"
 MAX_PART_BYTES = 10 * 1024 * 1024
+#: Bytes that a row counts as where nothing is known about its length.
+ROW_BYTES = 64
 
 
 def with_bucket(df: DataFrame, ts: Column | None = None, out: str = "bucket") -> DataFrame:
@@ -24,27 +26,31 @@ def with_bucket(df: DataFrame, ts: Column | None = None, out: str = "bucket") ->
     return df.withColumn(out, F.date_format(t, BUCKET_FORMAT))
 
 
-def records_per_file(df: DataFrame, value: str = "value", max_bytes: int = MAX_PART_BYTES) -> int:
-    """K6 size roll: 10 MiB divided by the mean encoded row size (one aggregate job)."""
-    mean = df.agg(F.avg(F.octet_length(F.col(value)) + F.lit(1)).alias("m")).first()["m"]
-    return max(1, int(max_bytes // mean)) if mean else 1_000_000
+def records_per_file(df: DataFrame | None = None, value: str = "value", max_bytes: int = MAX_PART_BYTES,
+                     row_bytes: int = ROW_BYTES) -> int:
+    """K6 size roll: rows of at most ``max_bytes``.
+
+    Without ``df`` a row counts as ``row_bytes`` (an upper estimate, no pass over the data);
+    with it, as the mean of its encoded rows (one aggregate job).
+    """
+    mean = row_bytes
+    if df is not None:
+        mean = df.agg(F.avg(F.octet_length(F.col(value)) + F.lit(1)).alias("m")).first()["m"] or row_bytes
+    return max(1, int(max_bytes // mean))
 
 
 def write_text_buckets(df: DataFrame, path: str, bucket: str | None = "bucket", value: str = "value",
-                       max_records: int | None = None, tiebreak: str | None = None) -> None:
-    """Batch form of the bucketed row-text sink (K3-K5); ``bucket=None`` is one global bucket.
+                       max_records: int | None = None) -> None:
+    """Batch form of the bucketed row-text sink (K3-K6); ``bucket=None`` is one global bucket.
 
-    With ``tiebreak`` (a unique row id) rows are range-partitioned on
-    ``(bucket, tiebreak)`` first: every task writes a contiguous run of buckets
-    (few files), and a hot bucket is split over several tasks by the sampled
-    range bounds instead of landing in one.
+    One pass over the input: rows are rebalanced by bucket, so a task writes few buckets, and
+    adaptive execution splits a bucket that is larger than a task by the sizes it has shuffled.
+    Files roll at ``max_records`` rows (default: MAX_PART_BYTES of ROW_BYTES rows).
     """
-    if bucket and tiebreak:
-        n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        df = df.repartitionByRange(n, bucket, tiebreak)
+    if bucket:
+        df = df.hint("rebalance", bucket)
     w = df.select(value, *([bucket] if bucket else [])).write.mode("append")
-    if max_records:
-        w = w.option("maxRecordsPerFile", str(max_records))
+    w = w.option("maxRecordsPerFile", str(max_records or records_per_file()))
     if bucket:
         w = w.partitionBy(bucket)
     w.text(path)
@@ -54,7 +60,8 @@ def text_file_sink(
     df: DataFrame, path: str, checkpoint: str, bucket: str | None = "bucket", value: str = "value",
     max_records: int | None = None, trigger: str = ROLL_INTERVAL,
 ) -> DataStreamWriter:
-    """Streaming row-text sink: one roll per micro-batch (age/inactivity = trigger)."""
+    """Streaming row-text sink: one roll per micro-batch (age/inactivity = trigger), and a roll by
+    size within it (K6): ``max_records`` rows, by default MAX_PART_BYTES of ROW_BYTES rows."""
     w = (
         df.select(value, *([bucket] if bucket else []))
         .writeStream.format("text")
@@ -63,8 +70,7 @@ def text_file_sink(
         .outputMode("append")
         .trigger(processingTime=trigger)
     )
-    if max_records:
-        w = w.option("maxRecordsPerFile", str(max_records))
+    w = w.option("maxRecordsPerFile", str(max_records or records_per_file()))
     if bucket:
         w = w.partitionBy(bucket)
     return w
