@@ -26,6 +26,15 @@ LOG = "seq long, event_id long, workpiece string, station int, time_stamp long,
 SPEC = bounded_out_of_orderness(3000)
 
 
+@pytest.fixture(autouse=True)
+def few_partitions(spark):
+    """Every batch of a stateful query opens a state store and a worker per partition."""
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
 class Counted:
     """Map, value and timer state that counts how often it is read and written."""
 

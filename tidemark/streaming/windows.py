@@ -230,7 +230,7 @@ class PaneProcessor(StatefulProcessor):
         for r in sorted(waiting, key=lambda r: r[self.order]):
             late += 1
             l_total, l_low, l_high = self._add(l_total, l_low, l_high, r[self.value])
-            whole = None if l_total is None else (total or 0.0) + l_total
+            whole = (total or 0.0) + (l_total or 0.0)
             yield self._pane(key, late, r[self.row_id], n + late, whole, pick(min, low, l_low), pick(max, high, l_high))
         self.state.update((n, total, low, high, late, l_total, l_low, l_high, fired))
         if not known:
