@@ -12,7 +12,8 @@ round per rank that occurs in it, each over the whole word.  Its pairs are kept
 instead, with links to the symbols before and after, and a round visits only the places of
 one rank: a merge never makes a pair of a lower rank, which ``Merges`` checks when it loads.
 
-Words repeat, so a task keeps the ids of the words it has met, up to ``CACHE_BYTES``.
+Words repeat, so a task keeps the ids of the words it has met, up to ``CACHE_BYTES``: first
+of what lies between single spaces, then, for what is new there, of the words within.
 Long texts are cut into pieces before a white space that follows another character; a word
 always begins there.  Nothing is shuffled: the operator is one pass over the texts.
 
@@ -26,7 +27,9 @@ from __future__ import annotations
 
 import hashlib
 import heapq
+import itertools
 import json
+import re
 import sys
 import unicodedata
 from collections.abc import Iterator
@@ -35,6 +38,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType
 
 from tidemark.llm.common import read_table, releasing
 from tidemark.llm.packing import BYTE_BPE, tokenizer_path
@@ -233,16 +237,35 @@ def ragged(pool: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndar
     return pool[np.repeat(starts - (ends - lengths), lengths) + np.arange(total)]
 
 
-class _Index(dict):
-    """word -> its number; words met for the first time are listed in ``fresh``."""
+class _Ids:
+    """Keys and their ids; keys met for the first time are numbered at once and learnt later."""
+
+    class _Index(dict):
+        def __missing__(self, key) -> int:
+            number = self[key] = len(self)
+            self.fresh.append(key)
+            return number
 
     def __init__(self) -> None:
-        self.fresh: list = []
+        self.index = self._Index()
+        self.index.fresh = []
+        self.pool, self.start, self.count = np.empty(0, np.int32), np.empty(0, np.int64), np.empty(0, np.int64)
+
+    def numbers(self, keys: list) -> np.ndarray:
+        return np.fromiter(map(self.index.__getitem__, keys), np.int64, len(keys))
+
+    def take(self) -> list:
+        fresh, self.index.fresh = self.index.fresh, []
+        return fresh
+
+    def add(self, ids: np.ndarray, counts: np.ndarray) -> None:
+        """The ids of the keys last taken, in their order."""
+        self.start = np.concatenate([self.start, len(self.pool) + np.cumsum(counts) - counts])
+        self.pool = np.concatenate([self.pool, ids.astype(np.int32)])
+        self.count = np.concatenate([self.count, counts])
 
-    def __missing__(self, word) -> int:
-        number = self[word] = len(self)
-        self.fresh.append(word)
-        return number
+    def gather(self, numbers: np.ndarray) -> np.ndarray:
+        return ragged(self.pool, self.start[numbers], self.count[numbers])
 
 
 class ByteBpe:
@@ -257,16 +280,14 @@ class ByteBpe:
         self.merges = Merges(path)
         self.words = regex.compile(WORD_PATTERN).findall
         self.cut = regex.compile(CUT_PATTERN)
+        self.unsafe = re.compile(r"\s ")
         self.unsettled = regex.compile(f"[{unsettled}]").search if unsettled else lambda text: None
         self.specials = {} if plain_specials else self.merges.special
         self.split = regex.compile("(" + "|".join(map(regex.escape, self.specials)) + ")").split if self.specials else None
         self._forget()
 
     def _forget(self) -> None:
-        self.index = _Index()
-        self.ids, self.starts, self.counts = [], [], []  # parts, as words are met
-        self.pool = self.start = self.count = np.empty(0, np.int64)
-        self.held = 0
+        self.chunks, self.parts, self.held = _Ids(), _Ids(), 0
 
     def pieces(self, text: str) -> Iterator[str]:
         """The text in pieces that begin where a word begins."""
@@ -287,40 +308,55 @@ class ByteBpe:
         own = ByteLevel(add_prefix_space=False, use_regex=True)
         return [text[a:b] for _, (a, b) in own.pre_tokenize_str(text)]
 
-    def _words(self, text: str) -> list:
-        """Words as text; special tokens as their ids."""
+    def _chunks(self, text: str) -> list:
+        """Keys of the text's chunks: a string stands for a space and itself, ``(word,)`` for the
+        word alone, a number for a special token.
+
+        A word begins at each space behind another character than white space; only a text
+        where white space comes before a space is cut by the pattern itself.
+        """
+        if self.unsafe.search(text):
+            return [(w,) for w in self._cut(text)]
+        first, *rest = text.split(" ")
+        return [(first,), *rest] if first else rest
+
+    def _keys(self, text: str) -> list:
         if self.split is None or not any(s in text for s in self.specials):
-            return self._cut(text)
+            return self._chunks(text)
         out = []
         for k, part in enumerate(self.split(text)):
-            out += [self.specials[part]] if k % 2 else self._cut(part)
+            out += [self.specials[part]] if k % 2 else self._chunks(part)
         return out
 
     def _learn(self) -> None:
-        """Encode the words met since the last time."""
-        fresh, self.index.fresh = self.index.fresh, []
+        """Encode the chunks met since the last time."""
+        fresh = self.chunks.take()
         if not fresh:
             return
-        special = [k for k, w in enumerate(fresh) if isinstance(w, int)]
-        data = [b"" if isinstance(w, int) else w.encode() for w in fresh]
+        cut = [[k] if isinstance(k, int) else self._cut(k[0] if isinstance(k, tuple) else " " + k) for k in fresh]
+        numbers = self.parts.numbers(list(itertools.chain.from_iterable(cut)))
+        words = self.parts.take()
+        data = [b"" if isinstance(w, int) else w.encode() for w in words]
         ids, counts = self.merges.encode_words(data)
-        for k in special:  # few: each special token once
-            ids = np.insert(ids, int(counts[:k].sum()), fresh[k])
+        for k in [k for k, w in enumerate(words) if isinstance(w, int)]:  # each special token once
+            ids = np.insert(ids, int(counts[:k].sum()), words[k])
             counts[k] = 1
-        base = len(self.pool)
-        self.pool = np.concatenate([self.pool, ids]).astype(np.int32)
-        self.count = np.concatenate([self.count, counts])
-        self.start = np.concatenate([self.start, base + np.cumsum(counts) - counts])
-        self.held += 4 * len(ids) + sum(map(len, data)) + 150 * len(data)
+        self.parts.add(ids, counts)
+        sizes = np.array([len(c) for c in cut])
+        of_words = self.parts.count[numbers]
+        ends = np.concatenate([[0], np.cumsum(of_words)])[np.cumsum(sizes)]
+        ids = self.parts.gather(numbers)
+        self.chunks.add(ids, np.diff(ends, prepend=0))
+        self.held += 4 * len(ids) + sum(len(k) if isinstance(k, str) else 8 for k in fresh) + 150 * (len(fresh) + len(words))
 
     def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
         """The ids of each text, in order."""
-        group: list[tuple[list, bool]] = []  # (words of a piece, whether the text ends with it)
+        group: list[tuple[list, bool]] = []  # (chunks of a piece, whether the text ends with it)
         chars, kept = 0, []
         for text in texts:
             parts = list(self.pieces(text))
             for k, part in enumerate(parts):
-                group.append((self._words(part), k + 1 == len(parts)))
+                group.append((self._keys(part), k + 1 == len(parts)))
                 chars += len(part)
                 if chars >= GROUP_CHARS:
                     yield from self._flush(group, kept)
@@ -330,10 +366,10 @@ class ByteBpe:
     def _flush(self, group: list[tuple[list, bool]], kept: list[np.ndarray]) -> Iterator[np.ndarray]:
         if self.held > CACHE_BYTES:
             self._forget()
-        at = [np.fromiter(map(self.index.__getitem__, words), np.int64, len(words)) for words, _ in group]
+        at = [self.chunks.numbers(keys) for keys, _ in group]
         self._learn()
         for numbers, (_, last) in zip(at, group):
-            kept.append(ragged(self.pool, self.start[numbers], self.count[numbers]))
+            kept.append(self.chunks.gather(numbers))
             if last:
                 yield np.concatenate(kept) if len(kept) > 1 else kept[0]
                 kept.clear()
@@ -345,7 +381,7 @@ class ByteBpe:
 def encode_documents(docs: DataFrame, path: str, text: str = "text", out: str = "ids") -> DataFrame:
     """``docs`` with ``out``: the ids (array of int) of each whole text."""
     unsettled = unsettled_letters()
-    schema = docs.drop(out).schema.add(out, "array<int>")
+    schema = docs.drop(out).schema.add(out, ArrayType(IntegerType()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = ByteBpe(path, unsettled)

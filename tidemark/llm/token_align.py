@@ -22,6 +22,7 @@ whole; other columns are ignored; an empty table gives an empty result.
 from __future__ import annotations
 
 import hashlib
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,7 +31,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.bpe import ByteBpe, Merges, ragged, unsettled_letters
+from tidemark.llm.bpe import CACHE_BYTES, ByteBpe, Merges, _Ids, ragged, unsettled_letters
 from tidemark.llm.common import cut, read_table, releasing
 from tidemark.llm.packing import BYTE_BPE, tokenizer_path
 
@@ -132,6 +133,7 @@ class Aligner:
         self.pool_b = np.frombuffer(b"".join(bytes_b), np.uint8)
         self.start_b = np.cumsum(self.length_b) - self.length_b
         names_a, names_b = ([str(i) for i in range(n)] for n in (len(self.length_a), len(self.length_b)))
+        self.words, self.words_held = _Ids(), 0
         text = lambda lead, names: np.array([lead + x for x in names], object)
         self.text_a = text("", names_a), text(";", names_a), text(",", names_a)
         self.text_b = text("|", names_b), text(",", names_b)
@@ -156,7 +158,7 @@ class Aligner:
         per_text = [self.lanes(t) if t else [] for t in texts]
         lanes = [lane for part in per_text for lane in part]
         ids_a = list(self.a.encode([" " + lane for lane in lanes]))
-        ids_b = [np.array(x, np.int64) for x in self.b.encode(lanes, num_threads=1)] if lanes else []
+        ids_b = self._pieces(lanes)
         whole, at = [], 0
         for t, part in zip(texts, per_text):
             mine = slice(at, at + len(part))
@@ -174,6 +176,22 @@ class Aligner:
             out.append((flat_a[a0:a1], flat_b[b0:b1], link_a[x:y] - a0, link_b[x:y] - b0))
         return out
 
+    def _pieces(self, lanes: list[str]) -> list[np.ndarray]:
+        """B's ids of each lane.  No piece goes on behind a space that follows another character,
+        so a lane of single spaces is put together from its words, each encoded once."""
+        if self.words_held > CACHE_BYTES:
+            self.words, self.words_held = _Ids(), 0
+        whole = [not lane or "  " in lane or "▁" in lane or lane[0] == " " or lane[-1] == " " for lane in lanes]
+        at = [np.empty(0, np.int64) if w else self.words.numbers(lane.split(" ")) for lane, w in zip(lanes, whole)]
+        fresh = self.words.take()
+        if fresh:
+            ids = self.b.encode(fresh, num_threads=1)
+            flat = np.fromiter(itertools.chain.from_iterable(ids), np.int64)
+            self.words.add(flat, np.array([len(x) for x in ids], np.int64))
+            self.words_held += 4 * len(flat) + sum(map(len, fresh)) + 150 * len(fresh)
+        rest = iter(self.b.encode([lane for lane, w in zip(lanes, whole) if w], num_threads=1) if any(whole) else [])
+        return [np.array(next(rest), np.int64) if w else self.words.gather(n) for w, n in zip(whole, at)]
+
     def _same(self, text: str, a: list[np.ndarray], b: list[np.ndarray]) -> bool:
         data = (" " + text).encode()
         b = np.concatenate(b)
