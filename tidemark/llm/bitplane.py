@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import cut, read_table
 from tidemark.llm.packing import END_ID, tokenizer_path
-from tidemark.llm.tokens import Encoder
+from tidemark.llm.tokens import LOWER_PARTS, shared_encoder
 from tidemark.session import scratch_path
 
 WORD_BPE = "word_bpe_49k.json"
@@ -49,23 +49,21 @@ def to_planes(ids: np.ndarray) -> list[bytes]:
     raw = np.ascontiguousarray(ids, dtype="<u4").view(np.uint8).reshape(-1, 4)
     planes = []
     for k in range(4):
-        if not raw[:, k].any():
-            planes += [b""] * 8
-            continue
-        bits = np.unpackbits(np.ascontiguousarray(raw[:, k])[:, None], axis=1, bitorder="little")
-        for row in np.packbits(bits.T, axis=1, bitorder="little"):
-            planes.append(row.tobytes() if row.any() else b"")
+        column = np.ascontiguousarray(raw[:, k])
+        used = int(np.bitwise_or.reduce(column)) if len(column) else 0
+        for b in range(8):
+            planes.append(np.packbits(column & (1 << b), bitorder="little").tobytes() if used >> b & 1 else b"")
     return planes
 
 
 def from_planes(planes: list[bytes], n: int) -> np.ndarray:
     raw = np.zeros((n, 4), np.uint8)
     for k in range(4):
-        if any(planes[8 * k : 8 * k + 8]):
-            width = -(-n // 8)
-            rows = [np.frombuffer(p, np.uint8) if p else np.zeros(width, np.uint8) for p in planes[8 * k : 8 * k + 8]]
-            bits = np.unpackbits(np.stack(rows), axis=1, bitorder="little")[:, :n]
-            raw[:, k] = np.packbits(bits.T, axis=1, bitorder="little")[:, 0]
+        column = np.zeros(n, np.uint8)
+        for b, plane in enumerate(planes[8 * k : 8 * k + 8]):
+            if plane:
+                column |= np.unpackbits(np.frombuffer(plane, np.uint8), count=n, bitorder="little") << np.uint8(b)
+        raw[:, k] = column
     return raw.reshape(-1).view("<u4")
 
 
@@ -154,16 +152,16 @@ class ShardReader:
         return data[start - first * CHUNK_IDS :][:n]
 
 
-def write_ids(docs: DataFrame, folder: str, path: str, end_id: int = END_ID, lead: str = "") -> DataFrame:
+def write_ids(docs: DataFrame, folder: str, path: str, end_id: int = END_ID, lead: str = "", parts: str = "") -> DataFrame:
     """Encode and write ``docs`` below ``folder``; the manifest (MANIFEST), written by Spark.
 
-    ``path`` is the tokenizer file, ``lead`` as in ``Encoder``.
+    ``path`` is the tokenizer file, ``lead`` and ``parts`` as in ``Encoder``.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        encoder, end, writer = Encoder(path, lead), np.array([end_id], "<u4").tobytes(), None
+        encoder, end, writer = shared_encoder(path, lead, parts), np.array([end_id], "<u4").tobytes(), None
         shard = TaskContext.get().partitionId()
         name = f"{folder}/ids-{shard:06d}-{uuid.uuid4().hex}.bp"
         for batch in batches:
@@ -231,7 +229,7 @@ def read_documents(manifest: DataFrame) -> DataFrame:
 
 def op4_bitplane_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
-    manifest = write_ids(docs, scratch_path(spark, "ids"), tokenizer_path(WORD_BPE))
+    manifest = write_ids(docs, scratch_path(spark, "ids"), tokenizer_path(WORD_BPE), parts=LOWER_PARTS)
     # one row per file: where each shard starts in the whole
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     base = manifest.select(F.col("shard").alias("s"), F.coalesce(F.sum("n_ids").over(before), F.lit(0)).alias("base"))

@@ -10,13 +10,19 @@ from __future__ import annotations
 
 import itertools
 import re
+import sys
 from collections.abc import Iterator
 
 #: Words of one generation of a task's cache; two generations are kept.
 CACHE_WORDS = 400_000
+#: The same for the encoder that a worker keeps between tasks.
+SHARED_WORDS = 300_000
 #: Characters of a text that are cut into words at a time.
 PIECE_CHARS = 1 << 21
 
+#: The words that a lower-casing tokenizer keeps of a lower-case ASCII text.
+LOWER_PARTS = r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9\s]+"
+
 #: White space of Unicode.
 _SPACES = [c for c in map(chr, range(0x3001)) if c.isspace()]
 
@@ -63,17 +69,50 @@ class _Words:
                     start = end + 1
 
 
+class _Parted(_Words):
+    """Words of a tokenizer that lower-cases: put together from the ids of their parts.
+
+    Only ASCII words are cut, where the tokenizer's own pattern cuts them too.
+    """
+
+    def __init__(self, tokenizer, pattern: str, most: int) -> None:
+        super().__init__(tokenizer, "", most)
+        self.parts = _Words(tokenizer, "", most)
+        self.cut = re.compile(pattern).findall
+
+    def add(self, words: set[str]) -> None:
+        if len(self.young) > self.most:
+            self.old, self.young = self.young, {}
+        young, new = self.young, words - self.young.keys()
+        known = new & self.old.keys()
+        young.update(zip(known, map(self.old.__getitem__, known)))
+        new = list(new - known)
+        cut = [self.cut(w) if w.isascii() and w == w.lower() and "<|" not in w else [w] for w in new]
+        self.parts.add(set(itertools.chain.from_iterable(cut)))
+        ids = self.parts.young
+        young.update((w, ids[c[0]] if len(c) == 1 else b"".join([ids[p] for p in c])) for w, c in zip(new, cut))
+
+
 class Encoder:
-    """``ids(text)`` as bytes.  ``lead`` is " " where the tokenizer keeps spaces, else ""."""
+    """``ids(text)`` as bytes.  ``lead`` is " " where the tokenizer keeps spaces, else "".
+
+    ``parts`` names the words that a tokenizer keeps of lower-case ASCII text, for one that
+    lower-cases and drops white space: texts are then lower-cased first (A-Z; the tokenizer
+    does the rest), so fewer distinct words are met, and these share their parts.
+    """
 
-    def __init__(self, path: str, lead: str, cache_words: int = CACHE_WORDS) -> None:
+    def __init__(self, path: str, lead: str, cache_words: int = CACHE_WORDS, parts: str = "") -> None:
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
-        self.first, self.rest = _Words(tokenizer, "", cache_words), _Words(tokenizer, lead, cache_words)
+        self.lower = bool(parts)
+        if parts:
+            self.first = self.rest = _Parted(tokenizer, parts, cache_words)
+        else:
+            self.first, self.rest = _Words(tokenizer, "", cache_words), _Words(tokenizer, lead, cache_words)
         self.unsafe = [c + " " for c in _SPACES] if lead else []
         self.safe_space = re.compile(r"(?<=\S) (?=\S)")
 
@@ -102,6 +141,8 @@ class Encoder:
         """Ids of each text.  Texts are taken in groups of about ``PIECE_CHARS`` characters."""
         group, chars = [], 0
         for text in texts:
+            if self.lower and "<|" not in text:  # special tokens are known by their case
+                text = text.encode().lower().decode()  # A-Z only
             group.append(text)
             chars += len(text)
             if chars >= PIECE_CHARS:
@@ -114,8 +155,13 @@ class Encoder:
             yield self._one(self._pieces(texts[0]))
             return
         cut = [list(self._pieces(t)) for t in texts]
-        self.first.add({p[0][0] for p in cut})
-        self.rest.add(set().union(*itertools.chain.from_iterable(cut)))
+        words = set().union(*itertools.chain.from_iterable(cut))
+        first = {p[0][0] for p in cut}
+        if self.first is self.rest:
+            words |= first
+        else:
+            self.first.add(first)
+        self.rest.add(words)
         for p in cut:
             rest = itertools.chain(p[0][1:], *p[1:])
             yield b"".join([self.first.young[p[0][0]], *map(self.rest.young.__getitem__, rest)])
@@ -130,3 +176,17 @@ class Encoder:
             self.rest.add(set(words))
             out.append(b"".join(map(self.rest.young.__getitem__, words)))
         return b"".join(out)
+
+
+def shared_encoder(path: str, lead: str, parts: str = "") -> Encoder:
+    """One encoder per Python worker: Spark runs many tasks in one, and their words repeat.
+
+    The library's code ships with each task, so its own modules are new in each; the encoder
+    is held by ``sys``, which is the worker's.
+    """
+    held = sys.__dict__.setdefault("_tidemark_encoder", {})
+    key = path, lead, parts
+    if key not in held:
+        held.clear()
+        held[key] = Encoder(path, lead, SHARED_WORDS, parts)
+    return held[key]
