@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tidemark.plans.lineage import cut
 
-__all__ = ["cut", "keyed_ordinal", "read_table", "releasing", "drop_ids"]
+__all__ = ["cut", "keyed_ordinal", "read_table", "releasing"]
 
 #: Rows that one (key, cell) of ``keyed_ordinal`` should hold, and cells of one prefix-sum window.
 CELL_ROWS = 512
@@ -77,8 +77,3 @@ def keyed_ordinal(df: DataFrame, key: str, order: list[str], out: str) -> DataFr
         .drop("__h", "__cell", "__k", "__n", "__bk", "__bc", "__base", "__rn")
     )
 
-
-def drop_ids(docs: DataFrame, dropped: DataFrame) -> DataFrame:
-    """``docs`` without the rows whose doc_id is in ``dropped`` (one column doc_id, never null)."""
-    gone = dropped.select(F.col("doc_id").alias("__gone_id"))
-    return docs.join(gone, docs["doc_id"] == gone["__gone_id"], "left_anti")

@@ -32,7 +32,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import cut, drop_ids, read_table, releasing
+from tidemark.llm.common import cut, read_table, releasing
 from tidemark.llm.textbytes import columns, groups, mix
 
 BINS = 1 << 16
@@ -242,6 +242,13 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def known_language(docs: DataFrame) -> DataFrame:
-    """``docs`` without the documents that language ID rejects (a null doc_id stays)."""
-    verdict = identify(evidence(docs), fit(docs)).filter(~F.col("kept") & F.col("doc_id").isNotNull())
-    return drop_ids(docs, cut(verdict.select("doc_id").distinct(), "no-language"))
+    """``docs`` without the documents that language ID rejects (a null doc_id stays).
+
+    Rows are judged one by one, known by a hash of all that was judged, so
+    another text of a rejected row's doc_id stays.
+    """
+    row = F.xxhash64("doc_id", F.lit("|"), "source", F.lit("|"), "lang", F.lit("|"), "text")
+    judged = evidence(docs.withColumn("doc_id", F.when(F.col("doc_id").isNotNull(), row)))
+    verdict = identify(judged, fit(docs)).filter(~F.col("kept") & F.col("doc_id").isNotNull())
+    gone = cut(verdict.select(F.col("doc_id").alias("__gone")).distinct(), "no-language")
+    return docs.join(gone, F.when(docs["doc_id"].isNotNull(), row) == F.col("__gone"), "left_anti")

@@ -23,7 +23,8 @@
 
 Cases: null, empty or white-space texts have an empty set, are linked with nothing and
 are kept; fewer words than a shingle are one shingle of all words; rows that repeat a
-doc_id with one text are one document each, and kept together; a null doc_id
+doc_id with one text are one document each, and kept together; other texts of a doc_id are
+documents of their own, linked and dropped apart from the first; a null doc_id
 takes no part in linking and comes back with a null component and kept = true; other
 columns are ignored; an empty table gives an empty result.
 """
@@ -38,9 +39,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import cut, drop_ids, read_table, releasing
+from tidemark.llm.common import cut, read_table, releasing
 from tidemark.llm.components import components
 from tidemark.llm.textbytes import Hasher, columns, mix, random_odd, segment_sum, word_groups
+from tidemark.plans.ordinal import with_ordinal
 
 WORDS = 5
 ROWS = 6
@@ -264,12 +266,52 @@ def prefix_pairs(classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame
     ).select("a", "b").distinct()
 
 
+def with_own_ids(docs: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """``docs`` with ``__own_id``, one number per doc_id and text, and the doc_ids of the new numbers.
+
+    A doc_id's first text (by hash) keeps the doc_id; further texts get numbers above all doc_ids,
+    so the smallest number of a group is a doc_id wherever one of its texts is a first one.  Mostly
+    no doc_id has two texts: then nothing is joined and the second value is None.
+    """
+    keyed = docs.withColumn("__own_id", F.col("doc_id").cast("long"))
+    th = F.xxhash64(F.coalesce("text", F.lit("")))
+    texts = docs.select(F.col("doc_id").cast("long").alias("of"), th.alias("th")).filter("of IS NOT NULL")
+    firsts = texts.groupBy("of").agg(F.min("th").alias("lo"), F.max("th").alias("hi")).filter("lo <> hi")
+    firsts = cut(firsts.select("of", "lo"), "repeated-ids")
+    if firsts.isEmpty():
+        return keyed, None
+    more = texts.join(firsts, "of").filter("th <> lo").select("of", "th").distinct()
+    top = texts.agg(F.max("of").alias("top")).first()["top"]
+    more = cut(with_ordinal(cut(more, "further-texts"), ["of", "th"], "at"), "further-texts")
+    more = cut(more.select("of", "th", (F.col("at") + F.lit(top + 1)).cast("long").alias("new_id")), "own-ids")
+    joined = keyed.join(
+        more.select(F.col("of").alias("__of"), F.col("th").alias("__th"), F.col("new_id").alias("__new")),
+        (F.col("__own_id") == F.col("__of")) & (th == F.col("__th")),
+        "left",
+    )
+    keyed = joined.withColumn("__own_id", F.coalesce("__new", "__own_id")).drop("__of", "__th", "__new")
+    return keyed, more.select("new_id", "of")
+
+
 def near_duplicates(docs: DataFrame, percent: int, words: int = WORDS) -> DataFrame:
     """Per row of ``docs``: doc_id, n_shingles, component_id, kept.
 
     Documents are linked at a Jaccard similarity of ``percent`` / 100 of their sets of
-    ``words``-word shingles.
+    ``words``-word shingles.  Different texts of one doc_id are documents of their own; a
+    component of such texts alone is named by the doc_id of one of them.
     """
+    keyed, new_ids = with_own_ids(docs)
+    found = components_of(keyed.select(F.col("__own_id").alias("doc_id"), "text"), percent, words)
+    if new_ids is None:
+        return found
+    named = new_ids.select(F.col("new_id").alias("__new"), F.col("of").alias("__of"))
+    for c in ("doc_id", "component_id"):
+        found = found.join(named, F.col(c) == F.col("__new"), "left").withColumn(c, F.coalesce("__of", c)).drop("__new", "__of")
+    return found
+
+
+def components_of(docs: DataFrame, percent: int, words: int = WORDS) -> DataFrame:
+    """``near_duplicates`` of documents whose doc_id stands for one text."""
     similarity = percent / 100
     bands = bands_for(similarity)
     sketch = cut(sketches(docs, bands * ROWS, words), "sketches")
@@ -362,8 +404,10 @@ def near_duplicates(docs: DataFrame, percent: int, words: int = WORDS) -> DataFr
 
 def one_of_each(docs: DataFrame, percent: int = 80) -> DataFrame:
     """``docs`` with one document of each component (the smallest doc_id)."""
-    verdict = cut(near_duplicates(docs, percent).filter(~F.col("kept")).select("doc_id").distinct(), "near-copies")
-    return drop_ids(docs, verdict)
+    keyed, _ = with_own_ids(docs)
+    found = components_of(keyed.select(F.col("__own_id").alias("doc_id"), "text"), percent)
+    gone = cut(found.filter(~F.col("kept")).select(F.col("doc_id").alias("__gone")).distinct(), "near-copies")
+    return keyed.join(gone, F.col("__own_id") == F.col("__gone"), "left_anti").drop("__own_id")
 
 
 def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
