@@ -102,3 +102,31 @@ def test_labels_partition_the_input(spark):
     lab = J.window_job(sensor_block(spark, B1 + B2), bounded_out_of_orderness(5 * S), 5 * S, 1 * S)
     counts = {r["label"]: r["n"] for r in lab.groupBy("label").agg(F.count("*").alias("n")).collect()}
     assert sum(counts.values()) == len(B1 + B2)
+
+
+def test_window_function_over_an_iterator_of_rows(spark):
+    """A hot window, a NULL key, a long key and a window without output; batches of 50 rows."""
+    big = 2**53 + 1
+    rows = [(big, 1, i, 1000 - i) for i in range(900)] + [(None, 1, 2000 + i, i) for i in range(3)] + [(big + 1, 1, 3000, 5), (7, 2, 9, 9)]
+    df = spark.createDataFrame([(k, w * 10, w * 10 + 10, s, t) for k, w, s, t in rows],
+                               "k long, window_start long, window_end long, seq long, time_stamp long").repartition(4)
+
+    def fn(key, start, end, rows):
+        if key == 7:
+            return
+        n, last, ordered = 0, None, True
+        for r in rows:
+            ordered = ordered and (last is None or last <= (r["time_stamp"], r["seq"]))
+            n, last = n + 1, (r["time_stamp"], r["seq"])
+        yield key, start, end, n, ordered
+
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "50")
+    try:
+        out = W.apply_window_rows(df, "k", fn, "k long, s long, e long, n long, ok boolean", [])
+        got = {r["k"]: tuple(r)[1:] for r in out.collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert got == {big: (10, 20, 900, True), None: (10, 20, 3, True), big + 1: (10, 20, 1, True)}
+    first = W.apply_window_rows(df, "k", lambda k, s, e, rows: [(next(iter(rows))["seq"],)], "seq long", [])
+    assert sorted(r["seq"] for r in first.collect()) == [9, 899, 2000, 3000]
+    assert W.apply_window_rows(df.limit(0), "k", fn, "k long, s long, e long, n long, ok boolean", []).count() == 0

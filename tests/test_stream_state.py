@@ -137,8 +137,14 @@ def test_ordered_folder_replays_in_order_and_is_written_once(spark):
     writer = stream.writeStream.foreachBatch(lambda b, i: seen.append(sorted(r["seq"] for r in b.collect())))
     replay.run_available(writer, tempfile.mkdtemp(prefix="tm-ck-"))
     assert len(seen) == 3 and [x for batch in seen for x in batch] == sorted(r["seq"] for r in df.collect())
-    assert replay.write_ordered(df.limit(3), "seq", out, 1, after_ms=last) > last
+    assert replay.write_ordered(df.limit(3), "seq", out, 1, after_ms=last) == last
     assert spark.read.parquet(out).count() == 1000  # the folder in place stays
+    # what is being written is hidden from a stream that runs already
+    df.limit(5).write.parquet(out.replace("rows", "") + ".staging-more")
+    above = replay.read_ordered(spark, out.removesuffix("/rows"), "seq long", 100)
+    n = []
+    replay.run_available(above.writeStream.foreachBatch(lambda b, i: n.append(b.count())), tempfile.mkdtemp(prefix="tm-ck-"))
+    assert sum(n) == 1000
 
 
 def test_stamps_equal_the_batch_and_a_repeated_batch_changes_nothing(spark):

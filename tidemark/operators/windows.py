@@ -13,11 +13,13 @@ aggregations shuffle, on (key, window) with map-side partial aggregation.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+import itertools
+from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -220,3 +222,46 @@ def apply_window_function(
             yield call(pd.concat(carry, ignore_index=True))
 
     return part.mapInPandas(run, schema)
+
+
+def apply_window_rows(
+    df: DataFrame,
+    key: str,
+    fn: Callable[[object, int, int, Iterable[Row]], Iterable[tuple]],
+    schema: str,
+    cols: Sequence[str],
+    ts: str = "time_stamp",
+    order: str = "seq",
+    batch_rows: int = 10_000,
+) -> DataFrame:
+    """User window function over an iterator of rows (W2, W3); same contract as on a stream.
+
+    ``fn(key, window_start, window_end, rows)`` is called once per (key, window) and yields tuples
+    of ``schema``; ``rows`` holds ``cols`` (and the two order columns) by (event time, arrival), to
+    be read once.  Rows come from Arrow batches that Spark has shuffled by (key, window) and
+    sorted, so a task holds one batch, however large a window is; the number of tasks is left to
+    adaptive execution.  NULL keys are one key; a window whose function yields nothing is absent.
+    """
+    cols = list(dict.fromkeys([*cols, ts, order]))
+    # windows are told apart by text: NULL is a key, and long keys stay exact
+    name = F.concat(F.coalesce(F.concat(F.lit("k"), F.col(key).cast("string")), F.lit("n")), F.lit("|"), F.col("window_start"))
+    heads = [name.alias("__window"), F.col(key).alias("__key"), F.col("window_start").alias("__start"), F.col("window_end").alias("__end")]
+    part = df.select(*heads, *cols).repartition("__window").sortWithinPartitions("__window", ts, order)
+    out = StructType.fromDDL(schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark.sql.pandas.types import to_arrow_schema
+
+        wanted, make, found = to_arrow_schema(out), Row(*cols), []
+        rows = (r for b in batches for r in zip(*(c.to_pylist() for c in b.columns)))
+        for _, window in itertools.groupby(rows, key=lambda r: r[0]):
+            first = next(window)
+            whole = itertools.chain([first], window)
+            for values in fn(*first[1:4], (make(*r[4:]) for r in whole)):
+                found.append(dict(zip(wanted.names, values)))
+                if len(found) >= batch_rows:
+                    yield pa.RecordBatch.from_pylist(found, wanted)
+                    found = []
+        yield pa.RecordBatch.from_pylist(found, wanted)
+
+    return part.mapInArrow(run, out)

@@ -336,6 +336,25 @@ def win_apply_udf_batched(spark, sf_dir):
     )
 
 
+def _spread_rows(key, start, end, rows):
+    """The same user function over an iterator of rows in event-time order."""
+    n, low, high, first = 0, None, None, None
+    for r in rows:
+        first = r["event_id"] if n == 0 else first
+        n, t = n + 1, r["temperature"]
+        low, high = (t, t) if low is None else (min(low, t), max(high, t))
+    yield key, start, end, n, round(high - low, 6), first
+
+
+SPREAD = "id string, window_start bigint, window_end bigint, n_rows bigint, spread double, first_event bigint"
+
+
+@query("win_apply_rows", ORACLE["win_apply_udf"])
+def win_apply_rows(spark, sf_dir):
+    rows = W.emitted_rows(_labelled(spark, sf_dir, bounded_out_of_orderness(DELAY_MS), SIZE_MS, 0))
+    return W.apply_window_rows(rows, "id", _spread_rows, SPREAD, ["event_id", "temperature"])
+
+
 # ---------------------------------------------------------------- M3: routing, union, zip join, TTL
 from tidemark.operators import zipjoin as Z  # noqa: E402
 from tidemark.plans.lineage import cut  # noqa: E402

@@ -78,22 +78,11 @@ def stream_refire_panes(spark, sf_dir):
     return collected(spark, panes).withColumn("sum_value", F.round("sum_value", 6))
 
 
-def _spread(key, start, end, rows):
-    """The user window function of ``win_apply_udf``, over an iterator of sorted rows."""
-    n, low, high, first = 0, None, None, None
-    for r in rows:
-        first = r["event_id"] if n == 0 else first
-        n, t = n + 1, r["temperature"]
-        low, high = (t, t) if low is None else (min(low, t), max(high, t))
-    yield key, start, end, n, round(high - low, 6), first
-
-
 @Q.query("stream_apply_udf", Q.ORACLE["win_apply_udf"])
 def stream_apply_udf(spark, sf_dir):
     """A user window function on a stream (W2, UF2, UF3)."""
-    schema = "id string, window_start long, window_end long, n_rows long, spread double, first_event long"
     stamped = _sensor(spark, sf_dir, Q.DELAY_MS)
-    return collected(spark, SW.apply_window_stream(stamped, "id", Q.SIZE_MS, _spread, schema, ["event_id", "temperature"]))
+    return collected(spark, SW.apply_window_stream(stamped, "id", Q.SIZE_MS, Q._spread_rows, Q.SPREAD, ["event_id", "temperature"]))
 
 
 @Q.query("stream_zip_idle_ttl", Q.ORACLE["zip_join_idle_ttl"])

@@ -35,12 +35,16 @@ def write_ordered(df: DataFrame, order: str, path: str, files: int | None = None
     """Write ``df`` as a folder of files that are contiguous and ascending in ``order``.
 
     Files get modification times above ``after_ms`` and ascending; the largest is returned.
-    ``files`` is the number of ranges (by default Spark's, merged by size).  An attempt that
-    was cut off leaves only a staging folder; a folder that exists already is not written again.
+    ``files`` is the number of ranges (by default Spark's, merged by size).  A folder that exists
+    already is not written again; an attempt that was cut off leaves a hidden folder, which
+    readers skip and the next attempt overwrites.
     """
     spark = df.sparkSession
+    if exists(spark, path):
+        return after_ms
     ranged = df.repartitionByRange(files, order) if files else df.repartitionByRange(order)
-    staging = f"{path}.staging"
+    parent, name = path.rstrip("/").rsplit("/", 1)
+    staging = f"{parent}/.staging-{name}"
     ranged.sortWithinPartitions(order).write.mode("overwrite").parquet(staging)
     fs, at = _file_system(spark, staging)
     listed = [s for s in fs.listStatus(at) if s.getPath().getName().startswith("part-")]
@@ -49,8 +53,7 @@ def write_ordered(df: DataFrame, order: str, path: str, files: int | None = None
         last += 1
         fs.setTimes(status.getPath(), last, -1)
     _, target = _file_system(spark, path)
-    fs.mkdirs(target.getParent())
-    if not fs.rename(at, target) and not fs.exists(target):
+    if not fs.rename(at, target):
         raise OSError(f"could not put {path} in place")
     return last
 
