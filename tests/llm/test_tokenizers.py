@@ -8,7 +8,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from tidemark.llm import bpe, token_align
+from tidemark.llm import bpe, merges, token_align
 from tidemark.llm.packing import BYTE_BPE, tokenizer_path
 
 A, B = tokenizer_path(BYTE_BPE), tokenizer_path(token_align.PIECE_BPE)
@@ -56,7 +56,7 @@ def test_every_character_equals_the_library(own, library):
 
 def test_long_words_by_rank_equal_rounds(own, library):
     words = ["".join(R.choices("etaoinshrdlu", k=9000)), "a" * 7001, "ab" * 4000, "é" * 3000, "ha" * 1500 + "h" * 1501]
-    assert own.merges.ordered and all(len(w) > bpe.LONG_BYTES for w in words)
+    assert own.merges.ordered and all(len(w) > merges.LONG_BYTES for w in words)
     for w in words:
         data = w.encode()
         ids = np.concatenate([i for _, i in own.merges._rounds([data], np.array([0]))])
@@ -95,7 +95,7 @@ def test_op11_digests_and_documents(spark, library):
 def brute_links(library, model, text):
     """Tokens and links of one text by its sets of byte ends."""
     library.encode_special_tokens = True
-    bytes_a, bytes_b = bpe.Merges(A).token_bytes if not CACHE else CACHE[0], token_align.piece_bytes(model) if not CACHE else CACHE[1]
+    bytes_a, bytes_b = merges.Merges(A).token_bytes if not CACHE else CACHE[0], token_align.piece_bytes(model) if not CACHE else CACHE[1]
     CACHE[:] = [bytes_a, bytes_b]
     a = library.encode(" " + text, add_special_tokens=False).ids
     b = model.encode(text)

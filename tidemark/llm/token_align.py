@@ -31,8 +31,9 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.bpe import CACHE_BYTES, ByteBpe, Merges, _Ids, ragged, unsettled_letters
+from tidemark.llm.bpe import CACHE_BYTES, ByteBpe, _Ids, unsettled_letters
 from tidemark.llm.common import cut, read_table, releasing
+from tidemark.llm.merges import Merges, ragged
 from tidemark.llm.packing import BYTE_BPE, tokenizer_path
 
 PIECE_BPE = "piece_bpe_32k.model"

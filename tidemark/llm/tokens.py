@@ -13,6 +13,8 @@ import re
 import sys
 from collections.abc import Iterator
 
+from tidemark.llm.merges import Merges
+
 #: Words of one generation of a task's cache; two generations are kept.
 CACHE_WORDS = 400_000
 #: The same for the encoder that a worker keeps between tasks.
@@ -20,8 +22,10 @@ SHARED_WORDS = 300_000
 #: Characters of a text that are cut into words at a time.
 PIECE_CHARS = 1 << 21
 
-#: The words that a lower-casing tokenizer keeps of a lower-case ASCII text.
-LOWER_PARTS = r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9\s]+"
+#: The words that a lower-casing tokenizer keeps of a lower-case text of ``PLAIN``
+#: characters: ASCII and the letters of Latin-1 with marks, which no normal form changes.
+LOWER_PARTS = r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ\s]+"
+PLAIN = r"[!-~À-ÖØ-öø-ÿ]*"
 
 #: White space of Unicode.
 _SPACES = [c for c in map(chr, range(0x3001)) if c.isspace()]
@@ -44,14 +48,17 @@ class _Words:
         self.mark_id, self.mark = next(((i, t.content) for i, t in special.items()), (-1, ""))
 
     def add(self, words: set[str]) -> None:
-        import numpy as np
-
         if len(self.young) > self.most:
             self.old, self.young = self.young, {}
-        young, new = self.young, words - self.young.keys()
+        new = words - self.young.keys()
         known = new & self.old.keys()
-        young.update(zip(known, map(self.old.__getitem__, known)))
-        new = list(new - known)
+        self.young.update(zip(known, map(self.old.__getitem__, known)))
+        self.learn(list(new - known))
+
+    def learn(self, new: list[str]) -> None:
+        import numpy as np
+
+        young = self.young
         if not self.mark or any(c in text for text in [" ".join(new)] for c in self.contents):
             alone = [w for w in new if not self.mark or any(c in w for c in self.contents)]
             for w in alone:
@@ -69,34 +76,49 @@ class _Words:
                     start = end + 1
 
 
+class _Merged(_Words):
+    """Parts of words -> ids as in ``_Words``; new ones are merged together in one flat array."""
+
+    def __init__(self, path: str, most: int) -> None:
+        self.merges, self.most = Merges(path), most
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def learn(self, new: list[str]) -> None:
+        ids, counts = self.merges.encode_words([w.encode() for w in new])
+        data, at = ids.astype("<u4").tobytes(), 0
+        for w, n in zip(new, (4 * counts).tolist()):
+            self.young[w] = data[at : at + n]
+            at += n
+
+
 class _Parted(_Words):
     """Words of a tokenizer that lower-cases: put together from the ids of their parts.
 
-    Only ASCII words are cut, where the tokenizer's own pattern cuts them too.
+    Only words of ``PLAIN`` characters are cut, where the tokenizer's own pattern cuts them too;
+    the tokenizer itself encodes the others.
     """
 
-    def __init__(self, tokenizer, pattern: str, most: int) -> None:
+    def __init__(self, tokenizer, path: str, pattern: str, most: int) -> None:
         super().__init__(tokenizer, "", most)
-        self.parts = _Words(tokenizer, "", most)
-        self.cut = re.compile(pattern).findall
-
-    def add(self, words: set[str]) -> None:
-        if len(self.young) > self.most:
-            self.old, self.young = self.young, {}
-        young, new = self.young, words - self.young.keys()
-        known = new & self.old.keys()
-        young.update(zip(known, map(self.old.__getitem__, known)))
-        new = list(new - known)
-        cut = [self.cut(w) if w.isascii() and w == w.lower() and "<|" not in w else [w] for w in new]
+        self.parts = _Merged(path, most)
+        self.cut, self.plain = re.compile(pattern).findall, re.compile(PLAIN).fullmatch
+
+    def learn(self, new: list[str]) -> None:
+        plain, other = [], []
+        for w in new:
+            (plain if self.plain(w) and "<|" not in w else other).append(w)
+        super().learn(other)
+        cut = [self.cut(w.lower()) for w in plain]
         self.parts.add(set(itertools.chain.from_iterable(cut)))
         ids = self.parts.young
-        young.update((w, ids[c[0]] if len(c) == 1 else b"".join([ids[p] for p in c])) for w, c in zip(new, cut))
+        self.young.update((w, ids[c[0]] if len(c) == 1 else b"".join([ids[p] for p in c])) for w, c in zip(plain, cut))
 
 
 class Encoder:
     """``ids(text)`` as bytes.  ``lead`` is " " where the tokenizer keeps spaces, else "".
 
-    ``parts`` names the words that a tokenizer keeps of lower-case ASCII text, for one that
+    ``parts`` names the words that a tokenizer keeps of lower-case plain text, for one that
     lower-cases and drops white space: texts are then lower-cased first (A-Z; the tokenizer
     does the rest), so fewer distinct words are met, and these share their parts.
     """
@@ -110,7 +132,7 @@ class Encoder:
         tokenizer = Tokenizer.from_file(path)
         self.lower = bool(parts)
         if parts:
-            self.first = self.rest = _Parted(tokenizer, parts, cache_words)
+            self.first = self.rest = _Parted(tokenizer, path, parts, cache_words)
         else:
             self.first, self.rest = _Words(tokenizer, "", cache_words), _Words(tokenizer, lead, cache_words)
         self.unsafe = [c + " " for c in _SPACES] if lead else []
