@@ -48,11 +48,11 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
+def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = END_ID, cache_words: int = CACHE_WORDS) -> DataFrame:
     """Tokenised documents cut into pieces of at most ``capacity`` ids: PIECES."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, end = Encoder(path, " ", CACHE_WORDS), np.array([end_id], "<u4").tobytes()
+        encoder, end = Encoder(path, " ", cache_words), np.array([end_id], "<u4").tobytes()
         names = ("doc_id", "piece", "start", "length", "ids_crc32")
         types = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
         for batch in batches:
@@ -199,6 +199,6 @@ def pack(items: DataFrame, capacity: int = CAPACITY, steps: int = STEPS) -> Data
     return shared.select(columns).unionByName(own.select(columns))
 
 
-def op3_packing(spark: SparkSession, sf_dir: str, docs: DataFrame | None = None) -> DataFrame:
+def op3_packing(spark: SparkSession, sf_dir: str, docs: DataFrame | None = None, cache_words: int = CACHE_WORDS) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents") if docs is None else docs
-    return pack(cut(pieces(docs, tokenizer_path(BYTE_BPE)), "pieces"))
+    return pack(cut(pieces(docs, tokenizer_path(BYTE_BPE), cache_words=cache_words), "pieces"))
