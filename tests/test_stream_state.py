@@ -193,6 +193,22 @@ def test_zip_and_sizes_with_write_expiry_equal_batch(spark):
     )
 
 
+def test_stateful_streams_run_in_a_session_with_the_default_state_store(spark):
+    old = spark.conf.get(replay.PROVIDER)
+    default = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+    spark.conf.set(replay.PROVIDER, default)
+    try:
+        rows = [(i, i, "wp", 1 + i % 2, 1000 + i, s) for i, s in enumerate(STEPS)]
+        tuples = ST.zip_stream(stamped(spark, log(spark, rows)), "workpiece", STEPS, 9000, idle=True, clock="clock_ms")
+        assert sorted_rows(collected(spark, tuples), "workpiece", "n_tuple", "trigger_event") == [("wp", 1, 3)]
+        assert spark.conf.get(replay.PROVIDER) == default  # the caller's session has its own setting back
+    finally:
+        spark.conf.set(replay.PROVIDER, old)
+    with pytest.raises(ValueError), replay.state_store(spark):
+        raise ValueError
+    assert spark.conf.get(replay.PROVIDER) == old
+
+
 @pytest.mark.parametrize("ttl_ms, n", [(2000, 0), (600_000, 1)])
 def test_a_gap_in_processing_time_expires_a_running_stream(spark, ttl_ms, n):
     """Two runs of one query with a pause between: its lists are empty after a longer one than the TTL."""

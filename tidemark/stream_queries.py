@@ -32,7 +32,7 @@ def stamped_replay(spark: SparkSession, rows: DataFrame, spec: WatermarkSpec, st
     replay.write_ordered(rows, order, f"{out}/source", REPLAY_FILES)
     stamper = stamping.WatermarkStamper(f"{out}/stamped", spec, order=order, stream=stream, streams=streams)
     source = replay.read_ordered(spark, f"{out}/source", rows.schema, PER_TRIGGER)
-    replay.run_available(source.writeStream.foreachBatch(stamper), f"{out}/stamping")
+    replay.run_available(source.writeStream.foreachBatch(stamper), f"{out}/stamping", spark)
     stamper.end(spark, rows.schema)
     return stamper.rows(spark, rows.schema)
 
@@ -41,7 +41,7 @@ def collected(spark: SparkSession, stream: DataFrame) -> DataFrame:
     """Everything that a stream returns until its input ends."""
     out = scratch_path(spark, "stream-out")
     writer = stream.writeStream.format("parquet").option("path", f"{out}/rows").outputMode("append")
-    replay.run_available(writer, f"{out}/checkpoint")
+    replay.run_available(writer, f"{out}/checkpoint", spark)
     return spark.read.schema(stream.schema).parquet(f"{out}/rows")
 
 
@@ -49,7 +49,7 @@ def matched(spark: SparkSession, stream: DataFrame, pattern: C.SequencePattern,
     """Non-keyed matches of a stream until its input ends."""
     out = scratch_path(spark, "stream-match")
     fold = GlobalPattern(f"{out}/state", pattern, stream.schema, order, payload, before, after)
-    replay.run_available(stream.writeStream.foreachBatch(fold), f"{out}/checkpoint")
+    replay.run_available(stream.writeStream.foreachBatch(fold), f"{out}/checkpoint", spark)
     fold.end(spark, fold.last_batch(spark))
     return fold.matches(spark)
 

@@ -8,12 +8,19 @@ folder in place by one rename, so a reader sees all of its files or none, and
 
 from __future__ import annotations
 
+import threading
 import time
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter
 from pyspark.sql.types import StructType
 
+PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+_STATE = "org.apache.spark.sql.execution.streaming.state"
+_STARTING = threading.Lock()
+
 
 def _file_system(spark: SparkSession, path: str):
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -68,7 +75,33 @@ def read_ordered(spark: SparkSession, path: str, schema: StructType | str, files
     )
 
 
-def run_available(writer: DataStreamWriter, checkpoint: str) -> None:
-    """Run a query over all that is available, to its end; raises what the query raises."""
-    query = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+@contextmanager
+def state_store(spark: SparkSession) -> Iterator[None]:
+    """Queries that start inside get a state store that can hold several state variables per key.
+
+    Spark's default one holds a single variable.  A query copies the settings of its session when it
+    starts, so the session has its own back afterwards; a provider of the caller's choice stays.
+    """
+    with _STARTING:
+        own = spark.conf.get(PROVIDER, None)
+        if own not in (None, f"{_STATE}.HDFSBackedStateStoreProvider"):
+            yield
+            return
+        spark.conf.set(PROVIDER, f"{_STATE}.RocksDBStateStoreProvider")
+        try:
+            yield
+        finally:
+            if own is None:
+                spark.conf.unset(PROVIDER)
+            else:
+                spark.conf.set(PROVIDER, own)
+
+
+def run_available(writer: DataStreamWriter, checkpoint: str, spark: SparkSession | None = None) -> None:
+    """Run a query over all that is available, to its end; raises what the query raises.
+
+    ``spark`` is the session of the stream, by default the active one.
+    """
+    with state_store(spark or SparkSession.active()):
+        query = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()

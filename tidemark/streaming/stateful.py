@@ -183,7 +183,7 @@ def zip_stream(events: DataFrame, key: str, steps: Sequence[str], ttl_ms: int |
 
     ``ttl_ms`` counts from the last write or pop, with ``idle`` from the key's last event.  With
     ``clock`` the stream needs a watermark (``stamped_stream`` has it).  Needs the RocksDB state
-    store provider (map state and timers), as ``session.local_session`` sets it.
+    store provider (map state and timers), as ``replay.run_available`` and ``session.local_session`` set it.
     """
     processor = _processor(events, steps, ttl_ms=ttl_ms, idle=idle, clock=clock, item_cols=item_cols, carry=carry,
                            keep_sessions=keep_sessions, ts=ts, order=order, row_id=row_id)
