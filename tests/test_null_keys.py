@@ -43,6 +43,17 @@ def test_window_function_may_emit_nothing(spark):
     assert apply_window_function(df, "k", lambda pdf: pd.DataFrame(columns=["k", "n"]), "k long, n long").count() == 0
 
 
+@pytest.mark.parametrize("kind", ["long", "string"])
+def test_window_function_over_arrays_sees_the_same_windows(spark, kind):
+    rows = [(None if i % 3 == 0 else BIG, 10 * (i % 2), i) for i in range(40)]
+    df = spark.createDataFrame(rows, "k long, window_start long, v long").withColumn("k", F.col("k").cast(kind)).repartition(3)
+    fn = lambda w: {"k": None if pd.isna(k := list(w["k"])[0]) else k, "n": len(w["v"]), "v": int(sum(w["v"]))}
+    schema = f"k {kind}, n long, v long"
+    got = apply_window_function(df, "k", lambda w: fn(w) if isinstance(w, dict) else None, schema, arrays=True)
+    assert sorted(map(str, got.collect())) == sorted(map(str, apply_window_function(df, "k", fn, schema).collect()))
+    assert got.count() == 4
+
+
 def test_trailing_empty_fields_are_missing(spark):
     lines = spark.createDataFrame([("ws, wp1, 1000,",), ("ws, wp1, 1000, x",), ("ws, wp1, 1000, ,",)], "value string")
     rows, bad = parse_log_lines(lines, mode=QUARANTINE)

@@ -144,9 +144,10 @@ def sorted_window_rows(
 def apply_window_function(
     df: DataFrame,
     key: str,
-    fn: Callable[[pd.DataFrame], pd.DataFrame | dict | list],
+    fn: Callable[[pd.DataFrame | dict[str, np.ndarray]], pd.DataFrame | dict | list],
     schema: str,
     per_window: bool = True,
+    arrays: bool = False,
 ) -> DataFrame:
     """Arbitrary user window function (W2, W3): ``fn`` sees whole windows as pandas.
 
@@ -158,8 +159,10 @@ def apply_window_function(
     reference's ``WindowFunction.apply`` contract); otherwise it receives
     batches of complete windows and may vectorise across them.  A per-window
     function may return a DataFrame, one record (a dict) or a list of records;
-    records are assembled into one frame per Arrow batch, which avoids building
-    a pandas frame per window.
+    records are assembled into one frame per Arrow batch.  A pandas frame per
+    window costs more than most functions where windows hold few rows: with
+    ``arrays`` a per-window function gets its window as a dict of numpy arrays,
+    one per column, instead.
     """
     gkeys = [key, "window_start"]
     # An explicit partition count: AQE must not fold Python work into one task.
@@ -189,8 +192,9 @@ def apply_window_function(
         cuts = np.flatnonzero(window[1:] != window[:-1]) + 1
         bounds = np.concatenate(([0], cuts, [len(pdf)]))
         frames, records = [], []
-        for a, b in zip(bounds[:-1], bounds[1:]):
-            res = fn(pdf.iloc[a:b])
+        whole_cols = {c: pdf[c].to_numpy() for c in pdf.columns} if arrays else {}
+        for a, b in itertools.pairwise(bounds.tolist()):
+            res = fn({c: v[a:b] for c, v in whole_cols.items()} if arrays else pdf.iloc[a:b])
             if isinstance(res, pd.DataFrame):
                 frames.append(res)
             elif isinstance(res, dict):

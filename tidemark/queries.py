@@ -281,17 +281,17 @@ def win_sorted_rows(spark, sf_dir):
                       "event_id", "time_stamp", "temperature")
 
 
-def _spread_fn(pdf: pd.DataFrame) -> dict:
+def _spread_fn(window: dict[str, np.ndarray]) -> dict:
     """Example user window function: size, temperature spread, earliest row."""
-    temp = pdf["temperature"].to_numpy()
-    first = np.lexsort((pdf["seq"].to_numpy(), pdf["time_stamp"].to_numpy()))[0]
+    temp = window["temperature"]
+    first = np.lexsort((window["seq"], window["time_stamp"]))[0]
     return {
-        "id": pdf["id"].iat[0],
-        "window_start": int(pdf["window_start"].iat[0]),
-        "window_end": int(pdf["window_end"].iat[0]),
-        "n_rows": len(pdf),
+        "id": window["id"][0],
+        "window_start": int(window["window_start"][0]),
+        "window_end": int(window["window_end"][0]),
+        "n_rows": len(temp),
         "spread": round(float(temp.max() - temp.min()), 6),
-        "first_event": int(pdf["event_id"].iat[first]),
+        "first_event": int(window["event_id"][first]),
     }
 
 
@@ -310,6 +310,7 @@ def win_apply_udf(spark, sf_dir):
         "id",
         _spread_fn,
         "id string, window_start bigint, window_end bigint, n_rows bigint, spread double, first_event bigint",
+        arrays=True,
     )
 
 
