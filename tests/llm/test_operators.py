@@ -423,6 +423,26 @@ def test_mixture_without_targets_keeps_every_row(spark):
     assert all(r["selected"] for r in mixing.mix(table).collect())
 
 
+def test_packed_sequences_follow_the_mixture(spark):
+    rows = [(i // 2, f"word {i} " * (i % 40), "hot" if i % 10 < 8 else "cold", "x") for i in range(600)] + [(None, None, None, "x")]
+    table = spark.createDataFrame(rows, "doc_id long, text string, source string, slot string").repartition(3)
+    mixed = corpus_pipeline.mix(spark, table, "")
+    assert Counter(tuple(r)[:4] for r in mixed.collect()) == Counter(rows)
+    slots = {(r["mix_slot"], r["mix_place"]): r["source"] for r in mixed.collect()}
+    assert len(slots) == len(rows)
+    got = corpus_pipeline.pack(spark, mixed, "").collect()
+    assert {(r["mix_slot"], r["mix_place"]) for r in got} == set(slots)
+    first, held = {}, Counter()
+    for r in got:
+        at = (r["mix_slot"], r["mix_place"])
+        first[r["sequence_id"]] = min(first.get(r["sequence_id"], at), at)
+        held[r["sequence_id"]] += r["length"]
+    assert sorted(first) == list(range(len(first))) and len(first) > 5 and max(held.values()) <= 1024
+    assert [first[k] for k in sorted(first)] == sorted(first.values())  # sequences start in the order of the schedule
+    plain = corpus_pipeline.packing.op3_packing(spark, "", mixed).collect()
+    assert len({r["sequence_id"] for r in plain}) == len(first)  # no sequence more than without
+
+
 def test_mixture_keeps_selected_rows_of_a_repeated_doc_id(spark):
     rows = [(7, "a")] * 300 + [(i, "b") for i in range(100, 200)]
     table = spark.createDataFrame(rows, "doc_id long, source string")

@@ -35,6 +35,8 @@ from tidemark.llm.common import cut, keyed_ordinal, read_table
 from tidemark.session import scratch_path
 
 BLOCK_ROWS = 16
+#: Columns of a scheduled row: its slot and its place in the slot's block.
+MIX_ORDER = ("mix_slot", "mix_place")
 #: Slots that the driver holds before it writes them.
 FRAME_SLOTS = 1 << 18
 
@@ -80,14 +82,16 @@ def write_schedule(spark: SparkSession, names: list, ks: list[int], slots: int,
 
 
 def mix(
-    docs: DataFrame, targets: DataFrame | None = None, block_rows: int = BLOCK_ROWS, frame_slots: int = FRAME_SLOTS
+    docs: DataFrame, targets: DataFrame | None = None, block_rows: int = BLOCK_ROWS, frame_slots: int = FRAME_SLOTS,
+    whole: bool = False,
 ) -> DataFrame:
-    """Per row: doc_id, source, block, slot, place (in the block), selected.
+    """Per row: doc_id, source, block, slot, place (in the block), selected; with ``whole`` also ``row``, all its columns.
 
     Reading by (slot, place) is the mixture.
     """
     spark = docs.sparkSession
-    rows = cut(docs.select("doc_id", F.col("source").cast("string").alias("source")), "mix-rows")
+    row = [F.struct(*docs.columns).alias("row")] if whole else []
+    rows = cut(docs.select("doc_id", F.col("source").cast("string").alias("source"), *row), "mix-rows")
     ranked = keyed_ordinal(rows, "source", ["doc_id"], "rank")
     ranked = ranked.withColumns({"block": F.floor(F.col("rank") / block_rows), "place": F.pmod("rank", F.lit(block_rows))})
     supply = cut(rows.groupBy("source").agg(F.ceil(F.count("*") / block_rows).alias("blocks")), "mix-supply")
@@ -111,7 +115,8 @@ def mix(
     placed = ranked.join(ends, F.col("source").eqNullSafe(F.col("s_source")), "left")
     placed = placed.join(table, F.col("source").eqNullSafe(F.col("f_source")) & (F.col("block") == F.col("j")), "left")
     slot = F.coalesce("slot", F.col("after") + F.col("block") - F.col("taken"))
-    return placed.select("doc_id", "source", "block", slot.alias("slot"), "place", F.col("slot").isNotNull().alias("selected"))
+    selected = F.col("slot").isNotNull().alias("selected")
+    return placed.select("doc_id", "source", "block", slot.alias("slot"), "place", selected, *(["row"] if whole else []))
 
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -134,3 +139,9 @@ def mixture(docs: DataFrame, targets: DataFrame | None = None) -> DataFrame:
     split = docs.join(beyond.filter("keep > 0"), on)
     numbered = split.withColumn("__at", F.row_number().over(Window.partitionBy("g_source", "g_id").orderBy("g_id")))
     return whole.unionByName(numbered.filter("__at <= keep").select(docs.columns))
+
+
+def scheduled(docs: DataFrame, targets: DataFrame | None = None) -> DataFrame:
+    """The rows of the mixture, whole, with their places in it: ``MIX_ORDER`` is the order to read them in."""
+    rows = mix(docs, targets, whole=True).filter("selected")
+    return rows.select("row.*", *[F.col(c).alias(m) for c, m in zip(("slot", "place"), MIX_ORDER)])

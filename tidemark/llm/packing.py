@@ -20,8 +20,9 @@ packed once each; an empty table gives an empty result; other columns are ignore
 
 from __future__ import annotations
 
+import itertools
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +31,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import cut, keyed_ordinal, read_table, releasing
 from tidemark.llm.tokens import Encoder
+from tidemark.plans.ordinal import with_ordinal
 
 CAPACITY = 1024
 END_ID = 2
@@ -48,22 +50,25 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = END_ID, cache_words: int = CACHE_WORDS) -> DataFrame:
-    """Tokenised documents cut into pieces of at most ``capacity`` ids: PIECES."""
+def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = END_ID, cache_words: int = CACHE_WORDS,
+           order: Sequence[str] = ()) -> DataFrame:
+    """Tokenised documents cut into pieces of at most ``capacity`` ids: PIECES, then the document's ``order`` columns (long)."""
+    order = list(order)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, end = Encoder(path, " ", cache_words), np.array([end_id], "<u4").tobytes()
-        names = ("doc_id", "piece", "start", "length", "ids_crc32")
-        types = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
+        names = ("doc_id", "piece", "start", "length", "ids_crc32", *order)
+        types = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), *[pa.int64()] * len(order))
         for batch in batches:
             texts = (t or "" for t in batch.column(1).to_pylist())
             out: list[tuple] = []
-            for doc_id, ids in zip(batch.column(0).to_pylist(), encoder.ids(texts)):
+            carried = zip(*(batch.column(2 + i).to_pylist() for i in range(len(order)))) if order else itertools.repeat(())
+            for doc_id, own, ids in zip(batch.column(0).to_pylist(), carried, encoder.ids(texts)):
                 ids += end
                 n = len(ids) // 4
                 at, to, k = 0, n % capacity or min(n, capacity), 0
                 while at < n:
-                    out.append((doc_id, k, at, to - at, zlib.crc32(memoryview(ids)[4 * at : 4 * to])))
+                    out.append((doc_id, k, at, to - at, zlib.crc32(memoryview(ids)[4 * at : 4 * to]), *own))
                     at, to, k = to, to + capacity, k + 1
                 if len(out) >= 50_000:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names)
@@ -71,7 +76,8 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = E
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(releasing(run), PIECES)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *[F.col(c).cast("long").alias(c) for c in order])
+    return rows.mapInArrow(releasing(run), PIECES + "".join(f", {c} long" for c in order))
 
 
 def _place(sizes: np.ndarray, capacity: int, new_bins: bool) -> list[list[int]]:
@@ -164,8 +170,11 @@ def places(histogram: dict[int, int], capacity: int = CAPACITY, steps: int = STE
     return {k: np.array(v, dtype=np.int64) for k, v in out.items()}, levels, sequences
 
 
-def pack(items: DataFrame, capacity: int = CAPACITY, steps: int = STEPS) -> DataFrame:
-    """``items`` (PIECES, written) with ``sequence_id`` and ``offset``."""
+def pack(items: DataFrame, capacity: int = CAPACITY, steps: int = STEPS, order: Sequence[str] = ()) -> DataFrame:
+    """``items`` (PIECES, written) with ``sequence_id`` and ``offset``, then the ``order`` columns.
+
+    With ``order``, sequences are numbered by the first of their pieces in that order.
+    """
     spark = items.sparkSession
     sizes = items.groupBy("length").count().collect()  # at most ``capacity`` rows
     short = {r["length"]: r["count"] for r in sizes if r["length"] < capacity}
@@ -195,10 +204,22 @@ def pack(items: DataFrame, capacity: int = CAPACITY, steps: int = STEPS) -> Data
         .join(place, (F.col("length") == F.col("p_size")) & (F.col("__chunk") == F.col("p_chunk")))
         .withColumn("sequence_id", F.col("first") + F.col("__inside"))
     )
-    columns = ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
-    return shared.select(columns).unionByName(own.select(columns))
+    columns = ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset", *order]
+    packed = shared.select(columns).unionByName(own.select(columns))
+    return in_order(packed, order) if order else packed
+
+
+def in_order(packed: DataFrame, order: Sequence[str]) -> DataFrame:
+    """``packed`` with its sequences numbered from 0 by the first of their pieces in ``order``."""
+    packed = cut(packed, "packed")
+    firsts = packed.groupBy(F.col("sequence_id").alias("__s")).agg(F.min(F.struct(*order)).alias("__first"))
+    firsts = firsts.select("__s", *[F.col("__first")[c].alias(f"__{c}") for c in order])
+    numbered = with_ordinal(firsts, [*[f"__{c}" for c in order], "__s"], "__number").select("__s", "__number")
+    moved = packed.join(numbered, F.col("sequence_id") == F.col("__s"))
+    return moved.withColumn("sequence_id", F.col("__number")).select(packed.columns)
 
 
-def op3_packing(spark: SparkSession, sf_dir: str, docs: DataFrame | None = None, cache_words: int = CACHE_WORDS) -> DataFrame:
+def op3_packing(spark: SparkSession, sf_dir: str, docs: DataFrame | None = None, cache_words: int = CACHE_WORDS,
+                order: Sequence[str] = ()) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents") if docs is None else docs
-    return pack(cut(pieces(docs, tokenizer_path(BYTE_BPE), cache_words=cache_words), "pieces"))
+    return pack(cut(pieces(docs, tokenizer_path(BYTE_BPE), cache_words=cache_words, order=order), "pieces"), order=order)
