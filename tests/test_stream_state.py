@@ -9,6 +9,7 @@ from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from tidemark import jobs as J
+from tidemark import stream_queries
 from tidemark.operators import sequence as C
 from tidemark.operators import windows as W
 from tidemark.operators import zipjoin as Z
@@ -164,6 +165,24 @@ def test_stamps_equal_the_batch_and_a_repeated_batch_changes_nothing(spark):
     assert all(by_seq[a]["after_ms"] == by_seq[b]["wm_ms"] for a, b in zip(order, order[1:]))
 
 
+def test_a_batch_of_a_query_takes_the_files_that_its_bytes_hold(spark, tmp_path, monkeypatch):
+    """Stamping writes several files a batch; a query on small ones runs a batch, not one per file."""
+    events = spark.range(300).selectExpr(
+        "id AS event_id", "timestamp_millis(id * 1000) AS ts", "id % 7 AS user_id", "'view' AS event_type", "1.0 AS value", "'' AS props"
+    )
+    events.write.parquet(str(tmp_path / "events.parquet"))
+    seen = {}
+    for most in (1, stream_queries.BATCH_BYTES):
+        monkeypatch.setattr(stream_queries, "BATCH_BYTES", most)
+        batches = seen.setdefault(most, [])
+        stream = stream_queries._log(spark, str(tmp_path))
+        writer = stream.writeStream.foreachBatch(lambda b, i, into=batches: into.append(sorted(r["event_id"] for r in b.collect())))
+        replay.run_available(writer, tempfile.mkdtemp(prefix="tm-ck-"))
+    few, many = (sorted(seen[k], key=len)[::-1] for k in sorted(seen, reverse=True))
+    assert len([b for b in few if b]) == 1 and len([b for b in many if b]) > 2
+    assert sorted(sum(many, [])) == few[0] == list(range(300))
+
+
 # ---------------------------------------------------------------- zip by position, expiry
 @pytest.mark.parametrize("seed", [2, 3])
 def test_zip_with_idle_expiry_on_the_event_clock_equals_batch(spark, seed):

@@ -23,18 +23,21 @@ from tidemark.streaming.global_pattern import GlobalPattern
 
 #: Files of a replayed folder, and how many of them a micro-batch takes.
 REPLAY_FILES, PER_TRIGGER = 6, 2
+#: Bytes of stamped files in a micro-batch of a query.  Stamping writes as many files as there are tasks;
+#: a batch of each would cost its start (tens of jobs of the non-keyed pattern) for a few thousand rows.
+BATCH_BYTES = 64 << 20
 
 
 def stamped_replay(spark: SparkSession, rows: DataFrame, spec: WatermarkSpec, stream: str | None = None, streams=(),
-                   order: str = "seq") -> DataFrame:
-    """``rows`` replayed in ``order``, stamped, as a stream that ends."""
+                   order: str = "seq", batch_bytes: int | None = None) -> DataFrame:
+    """``rows`` replayed in ``order``, stamped, as a stream that ends; a batch is a file, or ``batch_bytes`` of them."""
     out = scratch_path(spark, "stream")
     replay.write_ordered(rows, order, f"{out}/source", REPLAY_FILES)
     stamper = stamping.WatermarkStamper(f"{out}/stamped", spec, order=order, stream=stream, streams=streams)
     source = replay.read_ordered(spark, f"{out}/source", rows.schema, PER_TRIGGER)
     replay.run_available(source.writeStream.foreachBatch(stamper), f"{out}/stamping", spark)
     stamper.end(spark, rows.schema)
-    return stamper.rows(spark, rows.schema)
+    return stamper.rows(spark, rows.schema, bytes_per_trigger=batch_bytes)
 
 
 def collected(spark: SparkSession, stream: DataFrame) -> DataFrame:
@@ -56,12 +59,13 @@ def matched(spark: SparkSession, stream: DataFrame, pattern: C.SequencePattern,
 
 def _sensor(spark: SparkSession, sf_dir: str, delay_ms: int) -> DataFrame:
     rows = Q._sensor(spark, sf_dir)
-    return stamped_replay(spark, rows, bounded_out_of_orderness(delay_ms))
+    return stamped_replay(spark, rows, bounded_out_of_orderness(delay_ms), batch_bytes=BATCH_BYTES)
 
 
 def _log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stamped_replay(
-        spark, Q._log(spark, sf_dir), bounded_out_of_orderness(Q.LOG_DELAY_MS), stream="station", streams=[1, 2]
+        spark, Q._log(spark, sf_dir), bounded_out_of_orderness(Q.LOG_DELAY_MS), stream="station", streams=[1, 2],
+        batch_bytes=BATCH_BYTES,
     )
 
 

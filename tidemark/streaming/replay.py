@@ -65,14 +65,14 @@ def write_ordered(df: DataFrame, order: str, path: str, files: int | None = None
     return last
 
 
-def read_ordered(spark: SparkSession, path: str, schema: StructType | str, files_per_trigger: int = 1) -> DataFrame:
-    """Stream of an ordered folder (or of a folder of such folders)."""
-    return (
-        spark.readStream.schema(schema)
-        .option("maxFilesPerTrigger", str(files_per_trigger))
-        .option("recursiveFileLookup", "true")
-        .parquet(path)
-    )
+def read_ordered(spark: SparkSession, path: str, schema: StructType | str, files_per_trigger: int = 1,
+                 bytes_per_trigger: int | None = None) -> DataFrame:
+    """Stream of an ordered folder (or of a folder of such folders).
+
+    A micro-batch takes ``files_per_trigger`` files or, if given, as many as ``bytes_per_trigger`` hold.
+    """
+    most = {"maxFilesPerTrigger": files_per_trigger} if bytes_per_trigger is None else {"maxBytesPerTrigger": bytes_per_trigger}
+    return spark.readStream.schema(schema).options(**most).option("recursiveFileLookup", "true").parquet(path)
 
 
 @contextmanager

@@ -120,8 +120,9 @@ class WatermarkStamper:
         )
         write_ordered(last, "after_ms", f"{self.out}/rows/end", 1, after_ms=int(time.time() * 1000) + 1000)
 
-    def rows(self, spark: SparkSession, schema: StructType, files_per_trigger: int = 1) -> DataFrame:
-        return stamped_stream(spark, f"{self.out}/rows", schema, files_per_trigger)
+    def rows(self, spark: SparkSession, schema: StructType, files_per_trigger: int = 1,
+             bytes_per_trigger: int | None = None) -> DataFrame:
+        return stamped_stream(spark, f"{self.out}/rows", schema, files_per_trigger, bytes_per_trigger)
 
 
 def stamped_schema(schema: StructType) -> StructType:
@@ -131,9 +132,10 @@ def stamped_schema(schema: StructType) -> StructType:
     return out
 
 
-def stamped_stream(spark: SparkSession, path: str, schema: StructType, files_per_trigger: int = 1) -> DataFrame:
+def stamped_stream(spark: SparkSession, path: str, schema: StructType, files_per_trigger: int = 1,
+                   bytes_per_trigger: int | None = None) -> DataFrame:
     """Stamped rows as a stream whose watermark is their exact one; ``schema`` without stamps."""
-    raw = read_ordered(spark, path, stamped_schema(schema), files_per_trigger)
+    raw = read_ordered(spark, path, stamped_schema(schema), files_per_trigger, bytes_per_trigger)
     timed = raw.withColumn(_AFTER, event_ts(F.coalesce("after_ms", F.lit(0)))).withWatermark(_AFTER, "0 seconds")
     # Spark moves filters on other columns before ``withWatermark``, and rows that are filtered
     # there would not count for the watermark: so every column reads the time column.  The
