@@ -3,12 +3,14 @@
 import random
 import tempfile
 import time
+from collections import Counter
 
 import pytest
 from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from tidemark import jobs as J
+from tidemark import queries as Q
 from tidemark import stream_queries
 from tidemark.operators import sequence as C
 from tidemark.operators import windows as W
@@ -228,6 +230,33 @@ def test_stateful_streams_run_in_a_session_with_the_default_state_store(spark):
     assert spark.conf.get(replay.PROVIDER) == old
 
 
+@pytest.mark.parametrize("name, batch", [
+    ("stream_sorted_rows", "win_sorted_rows"),
+    ("stream_refire_panes", "win_refire_panes"),
+    ("stream_apply_udf", "win_apply_udf"),
+    ("stream_zip_idle_ttl", "zip_join_idle_ttl"),
+    ("stream_match_keyed", "seq_match_late_dropped"),
+    ("stream_process_tracking", "process_tracking"),
+    ("stream_process_tracking_keyed", "process_tracking"),
+])
+def test_stream_queries_run_in_a_session_with_the_default_state_store(spark, tmp_path, name, batch):
+    events = spark.range(240).selectExpr(
+        "id AS event_id", "timestamp_millis(1700000000000 + id * 600000 - (id % 7) * 900000) AS ts", "id DIV 4 % 3 AS user_id",
+        "element_at(array('view', 'click', 'cart', 'purchase', 'signup'), cast(1 + id % 5 AS int)) AS event_type",
+        "cast(id % 11 AS double) AS value", "cast(NULL AS string) AS props",
+    )
+    events.coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    old = spark.conf.get(replay.PROVIDER)
+    spark.conf.unset(replay.PROVIDER)
+    try:
+        got = Q.QUERIES[name](spark, str(tmp_path))
+        want = Q.QUERIES[batch](spark, str(tmp_path))
+        assert got.columns == want.columns and want.count() > 0
+        assert Counter(map(tuple, got.collect())) == Counter(map(tuple, want.collect()))
+    finally:
+        spark.conf.set(replay.PROVIDER, old)
+
+
 @pytest.mark.parametrize("ttl_ms, n", [(2000, 0), (600_000, 1)])
 def test_a_gap_in_processing_time_expires_a_running_stream(spark, ttl_ms, n):
     """Two runs of one query with a pause between: its lists are empty after a longer one than the TTL."""
