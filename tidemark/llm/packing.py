@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import cut, keyed_ordinal, read_table, releasing
-from tidemark.llm.tokens import Encoder
+from tidemark.llm.tokens import SPACED_PARTS, Encoder
 from tidemark.plans.ordinal import with_ordinal
 
 CAPACITY = 1024
@@ -56,7 +56,7 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = E
     order = list(order)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, end = Encoder(path, " ", cache_words), np.array([end_id], "<u4").tobytes()
+        encoder, end = Encoder(path, " ", cache_words, spaced=SPACED_PARTS), np.array([end_id], "<u4").tobytes()
         names = ("doc_id", "piece", "start", "length", "ids_crc32", *order)
         types = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), *[pa.int64()] * len(order))
         for batch in batches:

@@ -2,8 +2,10 @@
 
 Words repeat, so a task encodes each distinct one once.  A text is cut only where
 the tokenizer itself always cuts: at a single space after a character that is not
-white space (the space belongs to what follows).  Ids are exactly those of encoding
-the text at once; ``tests/llm`` holds that on random texts.
+white space (the space belongs to what follows).  Texts of plain characters are cut
+by the tokenizer's own pattern instead, so words share their parts whatever stands
+around them.  Ids are exactly those of encoding the text at once; ``tests/llm`` holds
+that on random texts.
 """
 
 from __future__ import annotations
@@ -26,6 +28,12 @@ PIECE_CHARS = 1 << 21
 #: characters: ASCII and the letters of Latin-1 with marks, which no normal form changes.
 LOWER_PARTS = r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ\s]+"
 PLAIN = r"[!-~À-ÖØ-öø-ÿ]*"
+#: Texts of such words and white space.
+PLAIN_TEXT = r"[\t\n\r -~À-ÖØ-öø-ÿ]*"
+#: Fixed value: the parts of a plain text for a tokenizer that keeps cases and white space (GPT-2's pattern).
+SPACED_PARTS = (
+    r" ?[A-Za-zÀ-ÖØ-öø-ÿ]+|'(?:s|t|re|ve|m|ll|d)| ?[0-9]+| ?[^\sA-Za-z0-9À-ÖØ-öø-ÿ]+|\s+(?!\S)|\s+"
+)
 
 #: White space of Unicode.
 _SPACES = [c for c in map(chr, range(0x3001)) if c.isspace()]
@@ -120,10 +128,11 @@ class Encoder:
 
     ``parts`` names the words that a tokenizer keeps of lower-case plain text, for one that
     lower-cases and drops white space: texts are then lower-cased first (A-Z; the tokenizer
-    does the rest), so fewer distinct words are met, and these share their parts.
+    does the rest), so fewer distinct words are met, and these share their parts.  ``spaced``
+    names the parts of plain text for a byte-level tokenizer that keeps cases and white space.
     """
 
-    def __init__(self, path: str, lead: str, cache_words: int = CACHE_WORDS, parts: str = "") -> None:
+    def __init__(self, path: str, lead: str, cache_words: int = CACHE_WORDS, parts: str = "", spaced: str = "") -> None:
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -135,6 +144,8 @@ class Encoder:
             self.first = self.rest = _Parted(tokenizer, path, parts, cache_words)
         else:
             self.first, self.rest = _Words(tokenizer, "", cache_words), _Words(tokenizer, lead, cache_words)
+        self.cut, self.plain = re.compile(parts or spaced).findall, re.compile(PLAIN_TEXT).fullmatch
+        self.parts = self.first.parts if parts else _Merged(path, cache_words) if spaced else None
         self.unsafe = [c + " " for c in _SPACES] if lead else []
         self.safe_space = re.compile(r"(?<=\S) (?=\S)")
 
@@ -176,6 +187,23 @@ class Encoder:
         if len(texts) == 1:
             yield self._one(self._pieces(texts[0]))
             return
+        by_parts = [k for k, t in enumerate(texts) if self._by_parts(t)] if self.parts else []
+        if by_parts:
+            parts = [self.cut(texts[k].lower() if self.lower else texts[k]) for k in by_parts]
+            self.parts.add(set().union(*parts))
+            known = self.parts.young.__getitem__
+            done = {k: b"".join(map(known, p)) for k, p in zip(by_parts, parts)}
+            others = self._by_words([t for k, t in enumerate(texts) if k not in done])
+            yield from (done[k] if k in done else next(others) for k in range(len(texts)))
+            return
+        yield from self._by_words(texts)
+
+    def _by_parts(self, text: str) -> bool:
+        return len(text) <= PIECE_CHARS and "<|" not in text and self.plain(text) is not None
+
+    def _by_words(self, texts: list[str]) -> Iterator[bytes]:
+        if not texts:
+            return
         cut = [list(self._pieces(t)) for t in texts]
         words = set().union(*itertools.chain.from_iterable(cut))
         first = {p[0][0] for p in cut}
