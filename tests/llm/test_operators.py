@@ -443,6 +443,19 @@ def test_packed_sequences_follow_the_mixture(spark):
     assert len({r["sequence_id"] for r in plain}) == len(first)  # no sequence more than without
 
 
+@pytest.mark.parametrize("copies", [1, 3])
+def test_schedule_moves_texts_once(spark, monkeypatch, copies):
+    rows = [(i // copies, f"text {i}", "hot" if i % 9 < 7 else "cold") for i in range(900)] + [(None, "n", "hot"), (5, None, None)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    written, cut = [], mixing.cut
+    monkeypatch.setattr(mixing, "cut", lambda df, name="cut": written.append(df.schema) or cut(df, name))
+    got = mixing.scheduled(table)
+    assert written and not any("text" in schema.simpleString() for schema in written)
+    assert Counter(tuple(r)[:3] for r in got.collect()) == Counter(rows)
+    want = Counter((r["slot"], r["place"], r["source"]) for r in mixing.mix(table).collect())
+    assert Counter((r["mix_slot"], r["mix_place"], r["source"]) for r in got.collect()) == want
+
+
 def test_mixture_keeps_selected_rows_of_a_repeated_doc_id(spark):
     rows = [(7, "a")] * 300 + [(i, "b") for i in range(100, 200)]
     table = spark.createDataFrame(rows, "doc_id long, source string")

@@ -83,15 +83,13 @@ def write_schedule(spark: SparkSession, names: list, ks: list[int], slots: int,
 
 def mix(
     docs: DataFrame, targets: DataFrame | None = None, block_rows: int = BLOCK_ROWS, frame_slots: int = FRAME_SLOTS,
-    whole: bool = False,
 ) -> DataFrame:
-    """Per row: doc_id, source, block, slot, place (in the block), selected; with ``whole`` also ``row``, all its columns.
+    """Per row: doc_id, source, block, slot, place (in the block), selected.
 
     Reading by (slot, place) is the mixture.
     """
     spark = docs.sparkSession
-    row = [F.struct(*docs.columns).alias("row")] if whole else []
-    rows = cut(docs.select("doc_id", F.col("source").cast("string").alias("source"), *row), "mix-rows")
+    rows = cut(docs.select("doc_id", F.col("source").cast("string").alias("source")), "mix-rows")
     ranked = keyed_ordinal(rows, "source", ["doc_id"], "rank")
     ranked = ranked.withColumns({"block": F.floor(F.col("rank") / block_rows), "place": F.pmod("rank", F.lit(block_rows))})
     supply = cut(rows.groupBy("source").agg(F.ceil(F.count("*") / block_rows).alias("blocks")), "mix-supply")
@@ -116,7 +114,7 @@ def mix(
     placed = placed.join(table, F.col("source").eqNullSafe(F.col("f_source")) & (F.col("block") == F.col("j")), "left")
     slot = F.coalesce("slot", F.col("after") + F.col("block") - F.col("taken"))
     selected = F.col("slot").isNotNull().alias("selected")
-    return placed.select("doc_id", "source", "block", slot.alias("slot"), "place", selected, *(["row"] if whole else []))
+    return placed.select("doc_id", "source", "block", slot.alias("slot"), "place", selected)
 
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -142,6 +140,22 @@ def mixture(docs: DataFrame, targets: DataFrame | None = None) -> DataFrame:
 
 
 def scheduled(docs: DataFrame, targets: DataFrame | None = None) -> DataFrame:
-    """The rows of the mixture, whole, with their places in it: ``MIX_ORDER`` is the order to read them in."""
-    rows = mix(docs, targets, whole=True).filter("selected")
-    return rows.select("row.*", *[F.col(c).alias(m) for c, m in zip(("slot", "place"), MIX_ORDER)])
+    """The rows of the mixture, whole, with their places in it: ``MIX_ORDER`` is the order to read them in.
+
+    The schedule is made of keys and sources alone, so the texts move once, in the join with their
+    places.  Rows of one doc_id and source take its places in any order; they are numbered for that.
+    """
+    key = lambda df: F.struct(F.col("doc_id"), df["source"].cast("string").alias("source"))  # noqa: E731  (nulls are equal in it)
+    places = mix(docs, targets).filter("selected")
+    places = places.select(key(places).alias("__key"), *[F.col(c).alias(m) for c, m in zip(("slot", "place"), MIX_ORDER)])
+    places = cut(places, "mix-places")
+    kept = [docs[c] for c in docs.columns]
+    keyed = docs.select(*kept, key(docs).alias("__key"))
+    repeated = cut(docs.select(key(docs).alias("__r")).groupBy("__r").count().filter("count > 1").select("__r"), "mix-repeated")
+    if repeated.isEmpty():
+        return keyed.join(places, "__key").drop("__key")
+    twice = lambda df, how: df.join(repeated, F.col("__key") == F.col("__r"), how)
+    number = lambda df, *by: df.withColumn("__at", F.row_number().over(Window.partitionBy("__key").orderBy(*by)))
+    split = number(twice(keyed, "left_semi"), "__key").join(number(twice(places, "left_semi"), *MIX_ORDER), ["__key", "__at"])
+    once = twice(keyed, "left_anti").join(places, "__key")
+    return once.unionByName(split.drop("__at")).drop("__key")
