@@ -2,6 +2,7 @@
 
 import itertools
 import random
+import re
 
 import numpy as np
 import pytest
@@ -9,6 +10,7 @@ import pytest
 import corpus_pipeline
 from tidemark.llm import bitplane, exact_dedup, langid, near_dedup, packing
 from tidemark.llm.bitplane import from_planes, to_planes
+from tidemark.llm.common import cut, split_by_ids
 from tidemark.llm.packing import tokenizer_path
 from tidemark.llm.tokens import LOWER_PARTS, SPACED_PARTS, Encoder
 from tidemark.session import scratch_path
@@ -51,6 +53,38 @@ def test_near_dedup_links_texts_and_not_ids(docs):
     assert pairs(kept) == rows_without((5, "alpha  beta"), (8, LONG + " more"), (7, LONG))
 
 
+def test_rows_are_split_by_ids(spark):
+    table = spark.range(20_000).selectExpr("IF(id % 1000 = 7, NULL, id) AS id", "'t' AS text")
+    for ids, extra in ((range(0, 3000, 3), 0), ([*range(0, 3000, 3), None], 20), ([], 0)):
+        wanted = cut(spark.createDataFrame([(i,) for i in ids], "k long"))
+        some, others = split_by_ids(table, "id", wanted)
+        hit = {i for i in ids if i is None or i % 1000 != 7}
+        rest = [r["id"] for r in others.collect()]
+        assert some.columns == table.columns and not hit & set(rest) and hit <= {r["id"] for r in some.collect()}
+        assert some.count() + len(rest) == 20_000 and some.count() <= len(ids) + extra + 200
+
+
+@pytest.mark.parametrize("stage", [exact_dedup, near_dedup])
+def test_rows_that_stay_are_not_shuffled(spark, monkeypatch, stage):
+    texts = [" ".join(f"w{k}x{j}" for j in range(9)) for k in range(300)] + [" ".join(f"w5x{j}" for j in range(9)) + " " * k for k in (0, 1)]
+    table = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string")
+    parts, split = [], stage.split_by_ids
+    monkeypatch.setattr(stage, "split_by_ids", lambda *a: parts.append(split(*a)) or parts[-1])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        if stage is exact_dedup:
+            kept = exact_dedup.first_copies(table, exact_dedup.DigestIndex(spark, scratch_path(spark, "digest-index")))
+        else:
+            kept = near_dedup.one_of_each(table, 80)
+        assert {r["doc_id"] for r in kept.collect()} == set(range(302 if stage is exact_dedup else 300)) - {300}
+        ((some, others),) = parts
+        assert some.count() <= 4 and others.count() >= 298
+        plan = spark._jvm.PythonSQLUtils.explainString(others._jdf.queryExecution(), "formatted")
+        assert "BroadcastHashJoin" in plan and not re.search(r"\) Exchange\nInput[^\n]*text", plan)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_language_rejects_rows_and_not_ids(spark):
     clean = ["the cat sat on the mat and the dog ran over the hill to the river bank again"] * 6
     rows = [(k, t + f" {k}", "en", "s", 0, "x") for k, t in enumerate(clean)]

@@ -11,11 +11,13 @@ from pyspark.sql import functions as F
 
 from tidemark.plans.lineage import cut
 
-__all__ = ["cut", "keyed_ordinal", "read_table", "releasing"]
+__all__ = ["cut", "keyed_ordinal", "read_table", "releasing", "split_by_ids"]
 
 #: Rows that one (key, cell) of ``keyed_ordinal`` should hold, and cells of one prefix-sum window.
 CELL_ROWS = 512
 CELL_STEP = 1024
+#: Bits of the bitmap of ``split_by_ids``: the least and the most (128 KB and 16 MB), and bits an id in between.
+LEAST_BITS, MOST_BITS, BITS_AN_ID = 1 << 20, 1 << 27, 16
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,6 +41,27 @@ def releasing(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]
     return whole
 
 
+def split_by_ids(df: DataFrame, column: str, ids: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``df`` in two: rows whose ``column`` may be among ``ids`` (one column, written), and the others.
+
+    A bitmap of the hashed ids is broadcast, so no row is shuffled, however wide it is; about
+    one in ``BITS_AN_ID`` of the other rows is in the first part too (more beyond
+    ``MOST_BITS`` / ``BITS_AN_ID`` ids), so an exact join has to follow there.  Null counts as an id.
+    """
+    bits = LEAST_BITS
+    while bits < min(BITS_AN_ID * ids.count(), MOST_BITS):
+        bits *= 2
+    place = lambda c: F.pmod(F.xxhash64(c), F.lit(bits)) + 1  # noqa: E731  (bitmap buckets begin at 1)
+    maps = ids.select(place(F.col(ids.columns[0])).alias("p")).groupBy(F.bitmap_bucket_number("p").alias("__bucket"))
+    maps = maps.agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("__bits"))  # 4 KB a row, ``bits`` in all
+    marked = df.withColumn("__place", place(F.col(column)))
+    marked = marked.join(F.broadcast(maps), F.bitmap_bucket_number("__place") == F.col("__bucket"), "left")
+    at = F.bitmap_bit_position("__place").cast("int")
+    byte = F.conv(F.hex(F.substring("__bits", (F.shiftright(at, 3) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    hit = F.coalesce(F.getbit(byte, at.bitwiseAND(F.lit(7))) == 1, F.lit(False))
+    return marked.filter(hit).select(df.columns), marked.filter(~hit).select(df.columns)
+
+
 def keyed_ordinal(df: DataFrame, key: str, order: list[str], out: str) -> DataFrame:
     """Add ``out``: a dense position from 0 of each row within its ``key``.
 

@@ -23,7 +23,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import cut, read_table
+from tidemark.llm.common import cut, read_table, split_by_ids
 from tidemark.session import scratch_path
 
 #: White space that normalisation collapses (fixed value).
@@ -110,18 +110,20 @@ def exact_duplicates(docs: DataFrame, index: DigestIndex) -> DataFrame:
 def first_copies(docs: DataFrame, index: DigestIndex) -> DataFrame:
     """``docs`` without the rows that exact dedup drops, each known by its doc_id and text.
 
-    Another text of a dropped row's doc_id stays.
+    Another text of a dropped row's doc_id stays.  Only rows whose doc_id may be a dropped one's
+    are joined, so nearly all texts stay where they are.
     """
     verdict = exact_duplicates(docs, index).filter(~F.col("kept")).select("doc_id", "text_sha256")
     verdict = cut(verdict.distinct().withColumn("text_sha256", F.unhex("text_sha256")), "copies")
+    some, others = split_by_ids(docs, "doc_id", verdict.select("doc_id"))
     gone = verdict.filter("doc_id IS NOT NULL").select(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__gone"))
     # the digest is no join key: it is computed for the rows whose doc_id is found
-    same = F.array_contains(F.array("__gone"), digest(docs["text"]))
-    kept = docs.join(gone, (docs["doc_id"] == gone["__id"]) & same, "left_anti")
-    if verdict.filter("doc_id IS NULL").isEmpty():
-        return kept
-    gone = verdict.filter("doc_id IS NULL").select(F.col("text_sha256").alias("__gone"))  # they have a kept twin
-    return kept.join(gone, kept["doc_id"].isNull() & (digest(kept["text"]) == gone["__gone"]), "left_anti")
+    same = F.array_contains(F.array("__gone"), digest(some["text"]))
+    kept = some.join(gone, (some["doc_id"] == gone["__id"]) & same, "left_anti")
+    if not verdict.filter("doc_id IS NULL").isEmpty():
+        gone = verdict.filter("doc_id IS NULL").select(F.col("text_sha256").alias("__gone"))  # they have a kept twin
+        kept = kept.join(gone, kept["doc_id"].isNull() & (digest(kept["text"]) == gone["__gone"]), "left_anti")
+    return others.unionByName(kept)
 
 
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -148,7 +148,8 @@ def scheduled(docs: DataFrame, targets: DataFrame | None = None) -> DataFrame:
     key = lambda df: F.struct(F.col("doc_id"), df["source"].cast("string").alias("source"))  # noqa: E731  (nulls are equal in it)
     places = mix(docs, targets).filter("selected")
     places = places.select(key(places).alias("__key"), *[F.col(c).alias(m) for c, m in zip(("slot", "place"), MIX_ORDER)])
-    places = cut(places, "mix-places")
+    # as many rows as there are texts, so never broadcast
+    places = cut(places, "mix-places").hint("merge")
     kept = [docs[c] for c in docs.columns]
     keyed = docs.select(*kept, key(docs).alias("__key"))
     repeated = cut(docs.select(key(docs).alias("__r")).groupBy("__r").count().filter("count > 1").select("__r"), "mix-repeated")

@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import cut, read_table, releasing
+from tidemark.llm.common import cut, read_table, releasing, split_by_ids
 from tidemark.llm.components import components
 from tidemark.llm.textbytes import Hasher, columns, mix, random_odd, segment_sum, word_groups
 from tidemark.plans.ordinal import with_ordinal
@@ -407,7 +407,8 @@ def one_of_each(docs: DataFrame, percent: int = 80) -> DataFrame:
     keyed, _ = with_own_ids(docs)
     found = components_of(keyed.select(F.col("__own_id").alias("doc_id"), "text"), percent)
     gone = cut(found.filter(~F.col("kept")).select(F.col("doc_id").alias("__gone")).distinct(), "near-copies")
-    return keyed.join(gone, F.col("__own_id") == F.col("__gone"), "left_anti").drop("__own_id")
+    some, others = split_by_ids(keyed, "__own_id", gone)
+    return others.unionByName(some.join(gone, F.col("__own_id") == F.col("__gone"), "left_anti")).drop("__own_id")
 
 
 def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
