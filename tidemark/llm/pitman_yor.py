@@ -50,7 +50,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import cut, read_table
+from tidemark.llm import word_contexts
+from tidemark.llm.common import cut, read_table, releasing
+from tidemark.llm.seating import seat
 from tidemark.llm.textbytes import Hasher, columns, segment_sum, word_pieces
 
 CLASSES, BITS = 32, 5
@@ -174,30 +176,6 @@ def class_counts(rows: DataFrame, classes: WordClasses) -> DataFrame:
     return cut(counted.groupBy("key").agg(F.sum("n").alias("n")), "lm-grams")
 
 
-def seat(n: np.ndarray, strength: np.ndarray, d: float, rng: np.random.Generator) -> np.ndarray:
-    """Tables that ``n`` customers of each dish take, one after the other.
-
-    A new table has weight ``strength``, the taken ones customers - d * tables.  From
-    the 64th customer on, blocks of an eighth of those seated draw their new
-    tables at once.
-    """
-    out = np.zeros(n.shape)
-    at = np.flatnonzero(n)
-    n, strength = n.ravel()[at], np.broadcast_to(strength, n.shape).ravel()[at]
-    seated, tables = np.ones(len(at)), np.ones(len(at))
-    while True:
-        go = seated < n
-        if not go.all():  # those that are done leave
-            out.ravel()[at[~go]] = tables[~go]
-            at, n, strength, seated, tables = at[go], n[go], strength[go], seated[go], tables[go]
-        if not len(at):
-            return out
-        block = np.minimum(n - seated, np.where(seated >= 64, np.floor(seated / 8), 1))
-        p = strength / (strength + np.maximum(seated - d * tables, 1e-9))
-        tables += rng.binomial(block.astype(np.int64), np.clip(p, 0, 1))
-        seated += block
-
-
 def predictive(n: np.ndarray, t: np.ndarray, parent: np.ndarray, level: int) -> np.ndarray:
     """P(dish) in each restaurant (last axis: dishes) given its customers, tables and parent."""
     d, theta = DISCOUNT[level], STRENGTH[level]
@@ -272,8 +250,8 @@ def sample_model(counts: DataFrame) -> np.ndarray:
     return model.reshape(-1)
 
 
-def head_words(counts: DataFrame, most: int = HEAD) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes (sorted) and counts of the most frequent words, ``most`` at most."""
+def head_words(counts: DataFrame, most: int = HEAD) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes (sorted), counts and classes by last byte of the most frequent words, ``most`` at most."""
     words = counts.filter(F.col("kind") != END)
     level = F.floor(F.log2("n") * 8).cast("int")
     by_level = {r["level"]: r["count"] for r in words.groupBy(level.alias("level")).count().collect()}  # 8 * 63 rows at most
@@ -284,11 +262,11 @@ def head_words(counts: DataFrame, most: int = HEAD) -> tuple[np.ndarray, np.ndar
             break
         least = k
     if least is None:
-        return np.empty(0, np.int64), np.empty(0, np.int64)
-    rows = words.filter(level >= least).select("key", "n").toArrow()  # 16 bytes a row, no row objects
-    keys, n = rows["key"].to_numpy(), rows["n"].to_numpy()
+        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int32)
+    rows = words.filter(level >= least).select("key", "n", "kind").toArrow()  # 20 bytes a row, no row objects
+    keys, n, kind = (rows[c].to_numpy() for c in ("key", "n", "kind"))
     order = np.argsort(keys)
-    return keys[order], n[order]
+    return keys[order], n[order], kind[order]
 
 
 class Model(NamedTuple):
@@ -322,17 +300,17 @@ def fit(rows: DataFrame, counts: DataFrame) -> Model:
 
 
 RARE = "array<struct<key:long,n:long,kind:int>>"
-SCORED = f"row long, part int, doc_id long, held_out boolean, n_words long, known long, base double, score double, rare {RARE}"
+SCORED = f"row long, part int, own long, doc_id long, held_out boolean, n_words long, known long, base double, score double, rare {RARE}"
 
 
-def score_texts(rows: DataFrame, model: Model, head: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """SCORED of the words of each of ``rows`` (doc_id, held_out, text), written.
+def score_texts(rows: DataFrame, model: Model, head: tuple[np.ndarray, np.ndarray, np.ndarray]) -> DataFrame:
+    """SCORED of the words of each of ``rows`` (own, doc_id, held_out, text), written.
 
     ``score`` holds the classes of all words and of the end, and the known words of the
     head; ``rare`` the words beyond the head.  A very long text gives several rows of one
     ``row``, numbered by ``part``.
     """
-    shared = rows.sparkSession.sparkContext.broadcast((model, *head))
+    shared = rows.sparkSession.sparkContext.broadcast((model, *head[:2]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -376,24 +354,77 @@ def score_texts(rows: DataFrame, model: Model, head: tuple[np.ndarray, np.ndarra
                         pa.array(part_of[i:j].copy()),
                         part.column(0),
                         part.column(1),
+                        part.column(2),
                         pa.array(np.diff(at)),
                         pa.array(segment_sum(known.astype(np.int64), at)),
                         pa.array(segment_sum(np.log10(count + 1.0), at)),
                         pa.array(segment_sum(score, at) + segment_sum(model.grams[letters], off)),
                         pa.ListArray.from_arrays(pa.array(rare_at, pa.int32()), struct),
                     ],
-                    ["row", "part", "doc_id", "held_out", "n_words", "known", "base", "score", "rare"],
+                    ["row", "part", "own", "doc_id", "held_out", "n_words", "known", "base", "score", "rare"],
                 )
                 part_of[i:j] += 1
             first_row += batch.num_rows
 
-    return cut(rows.select("doc_id", "held_out", "text").mapInArrow(run, SCORED), "lm-scores")
+    return cut(rows.select("own", "doc_id", "held_out", "text").mapInArrow(run, SCORED), "lm-scores")
 
 
-def score(docs: DataFrame, folds: int = 7, out_fold: int = 2) -> DataFrame:
-    """Per row: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
+def dishes(model: Model, head: tuple[np.ndarray, np.ndarray, np.ndarray]) -> word_contexts.Dishes:
+    """What restaurants of word contexts serve, and its log10 probability in its class.
+
+    The first ``CLASSES`` dishes stand for classes: the end and the top words themselves, of
+    the others all words beyond the head, new ones included; then come the words of the head.
+    """
+    keys, n, kinds = head
+    word, kind = np.zeros(CLASSES + len(keys)), np.concatenate([np.arange(CLASSES), kinds]).astype(np.int64)
+    p = np.maximum(n - model.discount[kinds], 1e-300) / 10 ** model.room[kinds]
+    p[np.isin(keys, model.classes.keys)] = 0.0  # they have a class of their own
+    tail = 1 - np.bincount(kinds, p, CLASSES)
+    word[TOP + 1 : CLASSES] = np.log10(np.maximum(tail[TOP + 1 :], 1e-300))
+    by_count = np.argsort(-n, kind="stable")
+    rank = np.empty(len(keys), np.int64)
+    rank[by_count] = np.arange(len(keys))
+    word[CLASSES:] = np.log10(np.where(p > 0, p, 1.0))[by_count]
+    kind[CLASSES:] = kinds[by_count]
+    return word_contexts.Dishes(keys, rank, kind, word)
+
+
+def context_events(rows: DataFrame, model: Model, served: word_contexts.Dishes, parts: int) -> DataFrame:
+    """``word_contexts.PACKED`` events of ``rows`` (own, held_out, text), for ``parts`` parts of the contexts."""
+    shared = rows.sparkSession.sparkContext.broadcast((model.classes, served.keys, served.rank))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        hasher, (classes, head_keys, ranks) = Hasher(), shared.value
+        chunk = word_contexts.Chunk(TaskContext.get().partitionId() << 36, parts)
+        for batch in batches:
+            data, offsets = columns(batch, "text")
+            own, held = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1))
+            piece, before = 0, (0, 0)  # of a row that comes in several pieces
+            for i, j, h, kinds, at, key, off in class_pieces(hasher, classes, data, offsets):
+                close = off[-1] > len(h)
+                rank, in_head = np.zeros(len(h), np.int64), np.zeros(len(h), bool)
+                if len(head_keys):
+                    found = np.minimum(np.searchsorted(head_keys, h), len(head_keys) - 1)
+                    rank, in_head = ranks[found], head_keys[found] == h
+                code = word_contexts.codes(h, in_head, rank)
+                word, dish = np.zeros((2, off[-1]), np.int64)  # the end is 0 in both
+                place = np.arange(len(h)) + close * np.repeat(np.arange(j - i), np.diff(at))
+                word[place], dish[place] = code, np.where(in_head & (kinds > TOP), CLASSES + rank, kinds)
+                yield from chunk.add(own[i:j], held[i:j], piece, word, dish, key >> BITS, off, before)
+                piece, before = (0, (0, 0)) if close else (piece + 1, (*code[:-3:-1].tolist(), *before)[:2])
+        yield from chunk.flush()
+
+    return rows.select("own", "held_out", "text").mapInArrow(releasing(run), word_contexts.PACKED)
+
+
+def class_scores(docs: DataFrame, folds: int = 7, out_fold: int = 2) -> tuple[DataFrame, DataFrame, Model, tuple, int]:
+    """Per row own (a hash of doc_id and text), doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score
+    by the model of classes; the rows (own, doc_id, held_out, text), the model, the head and the training tokens."""
     fold = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % folds
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (fold == out_fold).alias("held_out"), "text")
+    own = F.xxhash64("doc_id", "text").alias("own")
+    rows = docs.select(own, F.col("doc_id").cast("long").alias("doc_id"), (fold == out_fold).alias("held_out"), "text")
     counts = word_counts(rows.filter("NOT held_out"))
     ends = F.col("kind") == END
     totals = {r["end"]: r for r in counts.groupBy(ends.alias("end")).agg(F.sum("n").alias("n"), F.count("*").alias("v")).collect()}
@@ -401,7 +432,8 @@ def score(docs: DataFrame, folds: int = 7, out_fold: int = 2) -> DataFrame:
     train_docs = of(True, "n")
     tokens, distinct = of(False, "n") + train_docs, of(False, "v") + int(train_docs > 0)
     model = fit(rows.filter("NOT held_out"), counts)
-    scored = score_texts(rows, model, head_words(counts))
+    head = head_words(counts)
+    scored = score_texts(rows, model, head)
 
     rare = scored.select("row", "part", F.explode("rare").alias("r")).select(
         "row", "part", F.col("r.key").alias("k"), F.col("r.n").alias("times"), F.col("r.kind").alias("rare_kind")
@@ -422,6 +454,7 @@ def score(docs: DataFrame, folds: int = 7, out_fold: int = 2) -> DataFrame:
     whole = scored.join(found, (F.col("row") == F.col("r_row")) & (F.col("part") == F.col("r_part")), "left").select(
         "row",
         "part",
+        "own",
         "doc_id",
         "held_out",
         "n_words",
@@ -434,10 +467,11 @@ def score(docs: DataFrame, folds: int = 7, out_fold: int = 2) -> DataFrame:
     if not long_rows.isEmpty():
         split = whole.join(long_rows, F.col("row") == F.col("l_row"), "left_semi")
         sums = [F.sum(c).alias(c) for c in ("n_words", "known", "base", "score")]
-        added = split.groupBy("row").agg(F.first("doc_id").alias("doc_id"), F.first("held_out").alias("held_out"), *sums)
+        added = split.groupBy("row").agg(*[F.first(c).alias(c) for c in ("own", "doc_id", "held_out")], *sums)
         whole = whole.join(long_rows, F.col("row") == F.col("l_row"), "left_anti").drop("part").unionByName(added)
     end_known = int(train_docs > 0)
-    return whole.select(
+    result = whole.select(
+        "own",
         "doc_id",
         "held_out",
         (F.col("n_words") + 1).alias("n_tokens"),
@@ -448,7 +482,30 @@ def score(docs: DataFrame, folds: int = 7, out_fold: int = 2) -> DataFrame:
         ).alias("base_score"),
         "score",
     )
+    return result, rows, model, head, tokens
+
+
+def score(docs: DataFrame, folds: int = 7, out_fold: int = 2) -> DataFrame:
+    """Per row: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score by the model of classes alone."""
+    return class_scores(docs, folds, out_fold)[0].drop("own")
+
+
+def score_in_context(docs: DataFrame, folds: int = 7, out_fold: int = 2, events: int = word_contexts.EVENTS) -> DataFrame:
+    """As ``score``, by the whole model: what the restaurants of word contexts add to the classes' score.
+
+    ``events``: about how many events one task seats.  The classes' score comes along as ``class_score``.
+    """
+    found, rows, model, head, tokens = class_scores(docs, folds, out_fold)
+    found = found.withColumn("class_score", F.col("score"))
+    if not tokens:  # no context has customers
+        return found.drop("own")
+    served = dishes(model, head)
+    parts = math.ceil(tokens * folds / max(folds - 1, 1) / events)
+    gained = word_contexts.gains(context_events(rows, model, served, parts), served, model.grams, BITS)
+    gained = gained.select(F.col("own").alias("__own"), "gain")
+    found = found.join(cut(gained, "lm-gains"), F.col("own") == F.col("__own"), "left")
+    return found.withColumn("score", F.col("score") + F.coalesce("gain", F.lit(0.0))).drop("own", "__own", "gain")
 
 
 def op8_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return score(read_table(spark, sf_dir, "documents"))
+    return score_in_context(read_table(spark, sf_dir, "documents"))
