@@ -93,7 +93,10 @@ def from_planes(data: np.ndarray, n: int) -> np.ndarray:
 
 def codes(h: np.ndarray, in_head: np.ndarray, rank: np.ndarray) -> np.ndarray:
     """A number for each word, by its rank in the head or its hash; 0 is the end."""
-    return np.where(in_head, rank + 1, HASHED | (mix(h.view(np.uint64) * _ODD[2]) >> np.uint64(16)).view(np.int64))
+    out = rank + 1
+    other = ~in_head
+    out[other] = HASHED | (mix(h[other].view(np.uint64) * _ODD[2]) >> np.uint64(16)).view(np.int64)
+    return out
 
 
 def unpacked_events(data: bytes) -> tuple[np.ndarray, ...]:
@@ -205,35 +208,45 @@ def seated_gains(group, child, dish, held, base, seed: int) -> np.ndarray:
     _, up_room = numbered(group[up_at])
     base = base[up_at]
     n = np.bincount(of, ~held).astype(float)
-    d, up_d = discount(n), discount(np.bincount(up, n > 0, len(up_at)))
-    customers = np.bincount(room, n)
+    up_first = np.bincount(up, n > 0, len(up_at))
+    d, up_d = discount(n), discount(up_first)
+    rooms = STRENGTH + np.bincount(room, n)
     # only dishes of several customers can have another number of tables than of customers
-    some, up_some = np.flatnonzero(n > 1), np.flatnonzero(np.bincount(up, n) > 1)
+    most = np.bincount(up, n, len(up_at))
+    some, up_some = np.flatnonzero(n > 1), np.flatnonzero(most > 1)
     place = np.zeros(len(up_at), np.int64)
     place[up_some] = np.arange(len(up_some))
     of_some, room_some, up_room_some = place[up[some]], room[some], up_room[up_some]
-    tables, up_n = np.minimum(n, 1), np.bincount(up, n > 0, len(up_at))
-    up_tables = np.minimum(up_n, 1)
+    n_some, base_some = n[some], base[up_some]
+    tables, up_n, up_tables = np.minimum(n, 1), up_first, np.minimum(up_first, 1)
     sent = np.bincount(up, n == 1, len(up_at))[up_some]  # by dishes of one customer
-    fixed, up_fixed = np.bincount(room, n == 1), np.bincount(up_room, np.where(np.bincount(up, n) == 1, 1, 0))
+    fixed, up_fixed = np.bincount(room, n == 1), np.bincount(up_room, most == 1)
     add = lambda rest, rooms, x: rest + np.bincount(rooms, x, len(rest))
-    mean, parent_some = np.zeros(len(n)), None
+    # where the tables of a room are fixed, P is linear in its parent's
+    loose = np.zeros(len(fixed), bool)
+    loose[room_some] = True
+    loose = np.flatnonzero(loose[room])
+    n_loose, room_loose, up_loose = n[loose], room[loose], up[loose]
+    parents, mean_loose = np.zeros(len(up_at)), np.zeros(len(loose))
+    up_weight = STRENGTH + up_d * add(up_fixed, up_room_some, up_tables[up_some])
     for sweep in range(BURN_IN + SAMPLES):
-        up_weight = STRENGTH + up_d * add(up_fixed, up_room_some, up_tables[up_some])
-        up_room_n = STRENGTH + add(up_fixed, up_room_some, up_n[up_some])
-        parent_some = np.maximum(up_n[up_some] - up_d * up_tables[up_some], 0) + up_weight[up_room_some] * base[up_some]
-        parent_some /= up_room_n[up_room_some]
+        parent = np.maximum(up_n[up_some] - up_d * up_tables[up_some], 0) + up_weight[up_room_some] * base_some
+        parent /= (STRENGTH + add(up_fixed, up_room_some, up_n[up_some]))[up_room_some]
         weight = STRENGTH + d * add(fixed, room_some, tables[some])
-        tables[some] = seat(n[some], weight[room_some] * parent_some[of_some], d, rng)
+        tables[some] = seat(n_some, weight[room_some] * parent[of_some], d, rng)
         up_n[up_some] = sent + np.bincount(of_some, tables[some], len(up_some))
-        up_tables[up_some] = seat(up_n[up_some], up_weight[up_room_some] * base[up_some], up_d, rng)
+        up_tables[up_some] = seat(up_n[up_some], up_weight[up_room_some] * base_some, up_d, rng)
+        up_weight = STRENGTH + up_d * add(up_fixed, up_room_some, up_tables[up_some])
         if sweep >= BURN_IN:
-            up_weight = STRENGTH + up_d * add(up_fixed, up_room_some, up_tables[up_some])
-            up_room_n = STRENGTH + add(up_fixed, up_room_some, up_n[up_some])
-            parent = (np.maximum(up_n - up_d * up_tables, 0) + up_weight[up_room] * base) / up_room_n[up_room]
-            weight = STRENGTH + d * add(fixed, room_some, tables[some])
-            mean += (np.maximum(n - d * tables, 0) + weight[room] * parent[up]) / (STRENGTH + customers)[room]
-    return np.log10(mean / SAMPLES / base[up])[of]
+            up_rooms = STRENGTH + add(up_fixed, up_room_some, up_n[up_some])
+            parent = (np.maximum(up_n - up_d * up_tables, 0) + up_weight[up_room] * base) / up_rooms[up_room]
+            parents += parent
+            weight = (STRENGTH + d * add(fixed, room_some, tables[some])) / rooms
+            mean_loose += np.maximum(n_loose - d * tables[loose], 0) / rooms[room_loose] + weight[room_loose] * parent[up_loose]
+    weight = (STRENGTH + d * fixed) / rooms
+    mean = np.maximum(n - d * tables, 0) / rooms[room] + weight[room] * (parents / SAMPLES)[up]
+    mean[loose] = mean_loose / SAMPLES
+    return np.log10(mean / base[up])[of]
 
 
 def gains(events: DataFrame, served: Dishes, grams: np.ndarray, bits: int) -> DataFrame:
@@ -250,10 +263,9 @@ def gains(events: DataFrame, served: Dishes, grams: np.ndarray, bits: int) -> Da
             base = 10 ** (grams[kinds << bits | kind[dish]] + word[dish])
             gain, at = seated_gains(group, child, dish, held, base, part[0]), 0
             for chunk, x in own:
-                rows, of = np.unique(x[5], return_inverse=True)
-                sums = np.bincount(of, gain[at : at + len(of)])
-                at += len(of)
-                out.append((chunk, OF_GAINS, packed([sums, planes(np.diff(rows.astype(np.int64), prepend=0), 2)], GAIN_FIELDS)))
+                sums, rows = np.bincount(x[5], gain[at : at + len(x[5])]), np.flatnonzero(np.bincount(x[5]))
+                at += len(x[5])
+                out.append((chunk, OF_GAINS, packed([sums[rows], planes(np.diff(rows, prepend=0), 2)], GAIN_FIELDS)))
         types = (pa.int64(), pa.int32(), pa.binary())
         return pa.table([pa.array(c, t) for c, t in zip(zip(*out), types)], ["chunk", "kind", "data"])
 
