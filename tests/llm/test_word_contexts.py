@@ -140,3 +140,33 @@ def test_events_of_long_rows_and_small_chunks(monkeypatch):
     monkeypatch.setattr(textbytes, "GROUP_BYTES", 40)
     monkeypatch.setattr(textbytes.groups, "__defaults__", (40,))
     assert found(1) == whole and found(3) == whole
+
+
+@pytest.mark.parametrize("n", [0, 1, 16, 5000])
+def test_places_of_hashes_among_keys(n):
+    r = np.random.default_rng(n)
+    low, high = np.iinfo(np.int64).min, np.iinfo(np.int64).max
+    close = r.integers(1 << 40, (1 << 40) + 3 * n + 1, n)  # all in one range of hashes
+    for keys in (r.integers(low, high, n), close, np.concatenate([[low, -1, 0, high], close])):
+        keys = np.unique(keys)
+        h = np.concatenate([keys, keys + 1, keys - 1, r.integers(low, high, 3000), [low, -1, 0, 1, high]])
+        place, found = textbytes.Places(keys).find(h)
+        assert (found == np.isin(h, keys)).all()
+        assert (keys[place[found]] == h[found]).all() and (not len(keys) or place.max() < len(keys))
+        assert not len(textbytes.Places(keys).find(h[:0])[0])
+
+
+@pytest.mark.parametrize("held", [1, 7, 400_000])
+def test_words_are_counted_whatever_a_task_holds(spark, monkeypatch, held):
+    """Groups of texts are added up in arrays; a task passes on what is above its bound."""
+    monkeypatch.setattr(pitman_yor, "HELD", held)
+    monkeypatch.setattr(textbytes.groups, "__defaults__", (40,))
+    texts = ["Ba ba bo", None, "", " \n", "bo " * 30, "bi\tBI bu ba", "bu"]
+    rows = spark.createDataFrame([(t,) for t in texts], "text string").coalesce(1)
+    words = [w for t in texts for w in (t or "").lower().split()]
+    got = {r["key"]: r["n"] for r in pitman_yor.word_counts(rows).collect() if r["kind"] != pitman_yor.END}
+    data = np.frombuffer(" ".join(sorted(set(words))).encode(), np.uint8)
+    keys = Hasher().words(data, np.empty(0, np.int64))[0].view(np.int64).tolist()
+    assert got == {k: words.count(w) for k, w in zip(keys, sorted(set(words)))}
+    kind, key, n = pitman_yor.summed(np.array([5, 6, 5]), np.array([9, -3, 9]), np.array([4, 2, 1]))
+    assert (kind.tolist(), key.tolist(), n.tolist()) == ([6, 5], [-3, 9], [2, 5])

@@ -53,7 +53,7 @@ from pyspark.sql import functions as F
 from tidemark.llm import word_contexts
 from tidemark.llm.common import cut, read_table, releasing
 from tidemark.llm.seating import seat
-from tidemark.llm.textbytes import Hasher, columns, segment_sum, word_pieces
+from tidemark.llm.textbytes import Hasher, Places, columns, segment_sum, word_pieces
 
 CLASSES, BITS = 32, 5
 END, TOP = 0, 16
@@ -78,6 +78,7 @@ class WordClasses:
     def __init__(self, top: np.ndarray) -> None:
         order = np.argsort(top)
         self.keys, self.ids = top[order], order + 1
+        self.places = Places(self.keys)
         self.by_byte = np.full(256, OTHER, np.int64)
         self.by_byte[128:] = HIGH
         for k, letters in enumerate(ENDINGS):
@@ -86,10 +87,8 @@ class WordClasses:
 
     def of(self, data: np.ndarray, h: np.ndarray, ends: np.ndarray) -> np.ndarray:
         out = self.by_byte[data[ends]]
-        if len(self.keys):
-            place = np.minimum(np.searchsorted(self.keys, h), len(self.keys) - 1)
-            own = self.keys[place] == h
-            out[own] = self.ids[place[own]]
+        place, own = self.places.find(h)
+        out[own] = self.ids[place[own]]
         return out
 
 
@@ -127,30 +126,44 @@ def class_pieces(hasher: Hasher, classes: WordClasses, data: np.ndarray, offsets
             before = [*kinds[:-4:-1].tolist(), *(before or [END] * 3)][:3]
 
 
+def summed(kind: np.ndarray, key: np.ndarray, n: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
+    """Kind and sum of ``n`` (by default, the number) of each distinct key."""
+    order = np.argsort(key)
+    ranked = key[order]
+    starts = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]])[: len(key)])
+    if n is None:
+        total = np.diff(starts, append=len(key))
+    else:
+        total = np.add.reduceat(n[order], starts) if len(key) else n
+    return kind[order[starts]], ranked[starts], total
+
+
 def word_counts(rows: DataFrame) -> DataFrame:
     """``(kind, key, n)`` of ``rows`` (text), written: words by hash with the class of their last byte, and the ends."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, by_ending, docs, times = Hasher(), WordClasses(np.empty(0, np.int64)), 0, {}
+        hasher, by_ending, docs = Hasher(), WordClasses(np.empty(0, np.int64)), 0
+        parts, held = [], 0  # kinds, words and their numbers of groups of texts
 
-        def found() -> pa.RecordBatch:
-            kind, key = [k for k, _ in times.values()], pa.array(times.keys(), pa.int64())
-            arrays = [pa.array(kind, pa.int32()), key, pa.array([n for _, n in times.values()], pa.int64())]
+        def found(kind: np.ndarray, key: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+            arrays = [pa.array(kind, pa.int32()), pa.array(key, pa.int64()), pa.array(n, pa.int64())]
             return pa.RecordBatch.from_arrays(arrays, ["kind", "key", "n"])
 
         for batch in batches:
             data, offsets = columns(batch, "text")
             docs += batch.num_rows
             for _, _, piece, h, _, ends, _ in word_pieces(hasher, data, offsets):
-                kinds = by_ending.of(piece, h, ends)
-                key, first, n = np.unique(h.view(np.int64), return_index=True, return_counts=True)
-                for k, kind, c in zip(key.tolist(), kinds[first].tolist(), n.tolist()):
-                    times[k] = (kind, times[k][1] + c if k in times else c)
-                if len(times) > HELD:
-                    yield found()
-                    times = {}
-        if times:
-            yield found()
+                h = h.view(np.int64)
+                parts.append(summed(by_ending.of(piece, h, ends), h))
+                held += len(parts[-1][1])
+                if held > 2 * HELD:
+                    parts = [summed(*map(np.concatenate, zip(*parts)))]
+                    held = len(parts[0][1])
+                    if held > HELD:
+                        yield found(*parts[0])
+                        parts, held = [], 0
+        if held:
+            yield found(*summed(*map(np.concatenate, zip(*parts))))
         if docs:
             arrays = [pa.array([END], pa.int32()), pa.array([0], pa.int64()), pa.array([docs])]
             yield pa.RecordBatch.from_arrays(arrays, ["kind", "key", "n"])
@@ -317,33 +330,30 @@ def score_texts(rows: DataFrame, model: Model, head: tuple[np.ndarray, np.ndarra
 
         hasher, first_row = Hasher(), TaskContext.get().partitionId() << 36
         model, head_keys, head_counts = shared.value
+        head = Places(head_keys)
         for batch in batches:
             data, offsets = columns(batch, "text")
             part_of = np.zeros(batch.num_rows, np.int32)
             for i, j, h, kinds, at, letters, off in class_pieces(hasher, model.classes, data, offsets):
+                place, known = head.find(h)
                 count = np.zeros(len(h), np.int64)
-                if len(head_keys):
-                    place = np.minimum(np.searchsorted(head_keys, h), len(head_keys) - 1)
-                    count = np.where(head_keys[place] == h, head_counts[place], 0)
-                known = count > 0
+                count[known] = head_counts[place[known]]
                 own = kinds <= TOP  # the only dish of its class
                 score = np.where(own, 0.0, np.log10(np.where(known, count - model.discount[kinds], 1.0)) - model.room[kinds])
                 score[~known] = 0.0
-                rare_at, keys, times, rare_kinds = [0], [], [], []
+                # the distinct words beyond the head of each row, ascending
                 miss = np.flatnonzero(~known)
-                cuts = np.searchsorted(miss, at)
-                for k in range(j - i):
-                    some = miss[cuts[k] : cuts[k + 1]]
-                    u, where, c = np.unique(h[some], return_index=True, return_counts=True)
-                    keys.append(u)
-                    times.append(c)
-                    rare_kinds.append(kinds[some[where]])
-                    rare_at.append(rare_at[-1] + len(u))
+                of_row = np.searchsorted(at, miss, "right") - 1
+                order = np.lexsort((h[miss], of_row))
+                miss, of_row = miss[order], of_row[order]
+                new = np.concatenate([[True], (h[miss][1:] != h[miss][:-1]) | (of_row[1:] != of_row[:-1])])[: len(miss)]
+                starts = np.flatnonzero(new)
+                rare_at = np.searchsorted(of_row[starts], np.arange(j - i + 1))
                 struct = pa.StructArray.from_arrays(
                     [
-                        pa.array(np.concatenate(keys).astype(np.int64)),
-                        pa.array(np.concatenate(times).astype(np.int64)),
-                        pa.array(np.concatenate(rare_kinds).astype(np.int32)),
+                        pa.array(h[miss[starts]]),
+                        pa.array(np.diff(starts, append=len(miss))),
+                        pa.array(kinds[miss[starts]].astype(np.int32)),
                     ],
                     ["key", "n", "kind"],
                 )
@@ -397,6 +407,7 @@ def context_events(rows: DataFrame, model: Model, served: word_contexts.Dishes,
         from pyspark import TaskContext
 
         hasher, (classes, head_keys, ranks) = Hasher(), shared.value
+        head = Places(head_keys)
         chunk = word_contexts.Chunk(TaskContext.get().partitionId() << 36, parts)
         for batch in batches:
             data, offsets = columns(batch, "text")
@@ -404,10 +415,8 @@ def context_events(rows: DataFrame, model: Model, served: word_contexts.Dishes,
             piece, before = 0, (0, 0)  # of a row that comes in several pieces
             for i, j, h, kinds, at, key, off in class_pieces(hasher, classes, data, offsets):
                 close = off[-1] > len(h)
-                rank, in_head = np.zeros(len(h), np.int64), np.zeros(len(h), bool)
-                if len(head_keys):
-                    found = np.minimum(np.searchsorted(head_keys, h), len(head_keys) - 1)
-                    rank, in_head = ranks[found], head_keys[found] == h
+                found, in_head = head.find(h)
+                rank = ranks[found] if len(ranks) else np.zeros(len(h), np.int64)
                 code = word_contexts.codes(h, in_head, rank)
                 word, dish = np.zeros((2, off[-1]), np.int64)  # the end is 0 in both
                 place = np.arange(len(h)) + close * np.repeat(np.arange(j - i), np.diff(at))

@@ -75,6 +75,38 @@ class Hasher:
         return mix(h * self.inv[starts]), starts, ends
 
 
+class Places:
+    """Places of hashes among ``keys`` (int64, distinct, sorted), found by their high bits.
+
+    About one key to a range of hashes, whatever their number, so a search reads a few entries.
+    """
+
+    def __init__(self, keys: np.ndarray) -> None:
+        self.keys = np.append(keys, keys[-1:])  # one more, for hashes above the last range with a key
+        bits = max(len(keys).bit_length(), 10)
+        self.shift = np.uint64(64 - bits)
+        n = np.bincount(self._range(keys), minlength=1 << bits)
+        self.first = np.concatenate([[0], np.cumsum(n)]).astype(np.int32)
+        self.several = n > 1
+
+    def _range(self, h: np.ndarray) -> np.ndarray:
+        return ((h.view(np.uint64) ^ np.uint64(1 << 63)) >> self.shift).view(np.int64)  # in the order of signed numbers
+
+    def find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The place of each of ``h`` (int64), and whether it is a key; the place of others is any."""
+        if not len(self.keys):
+            return np.zeros(len(h), np.int32), np.zeros(len(h), bool)
+        at = self._range(h)
+        place = self.first[at]
+        found = self.keys[place] == h
+        left = np.flatnonzero(self.several[at] & ~found)
+        while len(left):
+            place[left] += 1
+            found[left] = self.keys[place[left]] == h[left]
+            left = left[~found[left] & (place[left] + 1 < self.first[at[left] + 1])]
+        return np.minimum(place, len(self.keys) - 2), found
+
+
 def columns(batch: pa.RecordBatch, name: str) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes and offsets of a string column; null reads as empty."""
     col = pc.fill_null(batch.column(batch.schema.get_field_index(name)), "").cast(pa.large_string())
