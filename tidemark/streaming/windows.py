@@ -31,6 +31,7 @@ from pyspark.sql.types import StructType
 
 from tidemark.operators import windows as W
 from tidemark.plans.watermark import WatermarkSpec, event_ts
+from tidemark.streaming.shared import transform_with_state
 from tidemark.streaming.stamping import WatermarkStamper
 
 #: Time slices of a window's rows; a window that fires holds one slice in memory.
@@ -161,10 +162,8 @@ def apply_window_stream(stamped: DataFrame, key: str, size_ms: int, fn: Callable
     kept = W.emitted_rows(labelled).select(key, "window_start", *cols)
     types = ", ".join(f"{c} {kept.schema[c].dataType.simpleString()}" for c in cols)
     out = StructType.fromDDL(schema)
-    return kept.groupBy(key, "window_start").transformWithState(
-        WindowProcessor(fn, out.names, cols, types, ts, order, size_ms, slices), outputStructType=out,
-        outputMode="Append", timeMode="EventTime",
-    )
+    processor = WindowProcessor(fn, out.names, cols, types, ts, order, size_ms, slices)
+    return transform_with_state(kept, [key, "window_start"], processor, out, "EventTime")
 
 
 def _positions(row_id: str, value: str, ts: str) -> Callable[..., Iterator[tuple]]:
