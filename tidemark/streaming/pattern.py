@@ -20,10 +20,10 @@ from collections.abc import Iterator, Sequence
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import StructType
 
 from tidemark.operators.sequence import SequencePattern
 from tidemark.plans.watermark import WatermarkSpec, event_ts
+from tidemark.streaming.shared import transform_with_state
 
 
 class SequenceMatchProcessor(StatefulProcessor):
@@ -132,10 +132,7 @@ def match_stream(
     schema = f"key {events.schema[key].dataType.simpleString()}" + "".join(
         f", s{k}_{i} {t}" for k in range(len(names)) for i, t in enumerate(types)
     )
-    out = staged.groupBy("key").transformWithState(
-        SequenceMatchProcessor(names, order, named, types), outputStructType=StructType.fromDDL(schema),
-        outputMode="Append", timeMode="EventTime",
-    )
+    out = transform_with_state(staged, ["key"], SequenceMatchProcessor(names, order, named, types), schema, "EventTime")
     labels = ["ts", "event"] if payload is None else named
     return out.select(
         F.col("key").alias(key),
