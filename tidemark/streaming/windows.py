@@ -259,10 +259,8 @@ def refire_panes_stream(stamped: DataFrame, key: str, value: str, size_ms: int,
         f"{key} {of[key]}, window_start long, window_end long, pane long, fired_by {of[row_id]}, n_rows long, "
         "sum_value double, min_value double, max_value double"
     )
-    return kept.groupBy(key, "window_start").transformWithState(
-        PaneProcessor(key, size_ms, lateness_ms, value, order, row_id), outputStructType=StructType.fromDDL(schema),
-        outputMode="Append", timeMode="EventTime",
-    )
+    processor = PaneProcessor(key, size_ms, lateness_ms, value, order, row_id)
+    return transform_with_state(kept, [key, "window_start"], processor, schema, "EventTime")
 
 
 def late_rows_stream(stamped: DataFrame, size_ms: int, lateness_ms: int, ts: str = "time_stamp") -> DataFrame:
