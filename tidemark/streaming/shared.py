@@ -13,6 +13,8 @@ every key of a share, with a handle whose states and timers live in Python:
   own, entry by entry: a hot key's elements that an event does not look at are not touched.
 * Spark holds one timer per share, at the earliest of its keys' timers; when it is due, the pages
   with due timers are read and each key's timers run in ascending order.
+* Plain columns travel as data frames, not cell by cell; a bit mask says which values are NULL, so
+  integers stay exact and NaN is not NULL.  ``inner`` gets each row as a mapping by column name.
 
 Rows of a share within a micro-batch are held in memory (as those of a key are by the processors
 that sort them): bound them by the source's rate.
@@ -25,14 +27,18 @@ import pickle
 import zlib
 from collections.abc import Iterator, Sequence
 
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import (
     BinaryType,
     BooleanType,
     DateType,
     DecimalType,
+    FractionalType,
     IntegralType,
     StringType,
     StructType,
@@ -50,6 +56,17 @@ _SHARE = "__share"
 _EXACT = (StringType, IntegralType, BooleanType, BinaryType, DateType, DecimalType, TimestampNTZType)
 
 
+_NULLS = "nulls"
+#: Rows of a data frame that is returned.
+FRAME_ROWS = 10_000
+
+
+def _plain(schema: StructType) -> bool:
+    """Whether all columns have types that data frames hold exactly."""
+    kinds = (IntegralType, FractionalType, BooleanType, StringType)
+    return len(schema) < 63 and all(isinstance(f.dataType, kinds) and not isinstance(f.dataType, DecimalType) for f in schema)
+
+
 def _dumps(value) -> bytes:
     return pickle.dumps(value, pickle.HIGHEST_PROTOCOL)
 
@@ -254,13 +271,9 @@ class SharedProcessor(StatefulProcessor):
                     self._store(at, {k: v for k, v in kept.items() if self._page(k) == at})
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        of: dict[tuple, list[Row]] = {}
-        at = None
+        of: dict[tuple, list] = {}
         for r in rows:
-            if at is None:
-                at = [r.__fields__.index(k) for k in self.keys]
-            values = tuple(r)
-            of.setdefault(tuple(values[i] for i in at), []).append(r)
+            of.setdefault(tuple([r[k] for k in self.keys]), []).append(r)
         self._open()
         pages: dict[int, list[tuple]] = {}
         for k in of:
@@ -321,13 +334,72 @@ class ProcessingTimeShared(SharedProcessor):
         return timerValues.getCurrentProcessingTimeInMs()
 
 
+class FrameProcessor(StatefulProcessor):
+    """``shared`` between data frames: columns ``names`` and the NULL mask in, ``out`` out."""
+
+    def __init__(self, shared: SharedProcessor, names: Sequence[str], out: StructType):
+        self.shared, self.names, self.out, self.frame_rows = shared, list(names), out, FRAME_ROWS
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.shared.init(handle)
+
+    def _rows(self, frames: Iterator[pd.DataFrame]) -> Iterator[dict]:
+        for frame in frames:
+            cols = [frame[f"c{i}"].tolist() for i in range(len(self.names))]
+            nulls = frame[_NULLS].to_numpy()
+            for i, values in enumerate(cols):
+                for at in (nulls >> i & 1).nonzero()[0].tolist():
+                    values[at] = None
+            for values in zip(*cols):
+                yield dict(zip(self.names, values))
+
+    def _frames(self, rows: Iterator[Row]) -> Iterator[pd.DataFrame]:
+        held, at = [], None
+        for r in rows:
+            at = at or [r.__fields__.index(f.name) for f in self.out]
+            held.append(tuple(r))
+            if len(held) >= self.frame_rows:
+                yield self._frame(held, at)
+                held = []
+        if held:
+            yield self._frame(held, at)
+
+    def _frame(self, rows: list[tuple], at: list[int]) -> pd.DataFrame:
+        cols = list(zip(*rows))
+        arrays = {f.name: pa.array(cols[i], to_arrow_type(f.dataType)) for i, f in zip(at, self.out)}
+        return pd.DataFrame({n: pd.Series(pd.arrays.ArrowExtensionArray(a)) for n, a in arrays.items()})
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        return self._frames(self.shared.handleInputRows(key, self._rows(rows), timerValues))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        return self._frames(self.shared.handleExpiredTimer(key, timerValues, expiredTimerInfo))
+
+    def close(self) -> None:
+        self.shared.close()
+
+
+def _framed(rows: DataFrame) -> DataFrame:
+    """``rows`` as columns ``c0``, ``c1``, ... without NULL, and the mask of what was NULL."""
+    mask, cols = F.lit(0).cast("long"), []
+    for i, f in enumerate(rows.schema):
+        c = F.col(f.name)
+        zero = F.lit("") if isinstance(f.dataType, StringType) else F.lit(0).cast(f.dataType)
+        mask = mask.bitwiseOR(F.when(c.isNull(), F.lit(1 << i).cast("long")).otherwise(F.lit(0).cast("long")))
+        cols.append(F.coalesce(c, zero).alias(f"c{i}"))
+    return rows.select(*cols, mask.alias(_NULLS))
+
+
 def transform_with_state(rows: DataFrame, keys: Sequence[str], processor: StatefulProcessor, schema: StructType | str,
                          time_mode: str) -> DataFrame:
     """``rows.groupBy(*keys).transformWithState(processor)`` in append mode, with shared rows of state."""
     out = StructType.fromDDL(schema) if isinstance(schema, str) else schema
-    if all(isinstance(rows.schema[k].dataType, _EXACT) for k in keys):
-        kind = ProcessingTimeShared if time_mode == "ProcessingTime" else EventTimeShared
-        processor = kind(processor, keys)
-        rows = rows.withColumn(_SHARE, F.pmod(F.hash(*keys), F.lit(SHARES)))
-        keys = [_SHARE]
-    return rows.groupBy(*keys).transformWithState(processor, outputStructType=out, outputMode="Append", timeMode=time_mode)
+    kw = {"outputStructType": out, "outputMode": "Append", "timeMode": time_mode}
+    if not all(isinstance(rows.schema[k].dataType, _EXACT) for k in keys):
+        return rows.groupBy(*keys).transformWithState(processor, **kw)
+    processor = (ProcessingTimeShared if time_mode == "ProcessingTime" else EventTimeShared)(processor, keys)
+    share = F.pmod(F.hash(*keys), F.lit(SHARES)).alias(_SHARE)
+    if not (_plain(rows.schema) and _plain(out)):
+        return rows.select("*", share).groupBy(_SHARE).transformWithState(processor, **kw)
+    framed = _framed(rows.select("*", share)).withColumnRenamed(f"c{len(rows.columns)}", _SHARE)
+    return framed.groupBy(_SHARE).transformWithStateInPandas(FrameProcessor(processor, rows.columns, out), **kw)

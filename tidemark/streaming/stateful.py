@@ -23,7 +23,8 @@ from collections.abc import Iterator, Sequence
 
 from pyspark.sql import DataFrame, Row
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import StructType
+
+from tidemark.streaming.shared import transform_with_state
 
 
 class FifoZipProcessor(StatefulProcessor):
@@ -170,10 +171,7 @@ def _processor(events: DataFrame, steps: Sequence[str], **kw) -> FifoZipProcesso
 
 def _apply(events: DataFrame, key: str, processor: FifoZipProcessor, schema: str) -> DataFrame:
     mode = "None" if processor.ttl_ms is None else "EventTime" if processor.clock else "ProcessingTime"
-    out = events.groupBy(key).transformWithState(
-        processor, outputStructType=StructType.fromDDL(schema), outputMode="Append", timeMode=mode
-    )
-    return out.withColumnRenamed("key", key)
+    return transform_with_state(events, [key], processor, schema, mode).withColumnRenamed("key", key)
 
 
 def zip_stream(events: DataFrame, key: str, steps: Sequence[str], ttl_ms: int | None = None, idle: bool = False,
