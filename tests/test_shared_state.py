@@ -181,3 +181,25 @@ def test_streams_with_keys_that_are_null_equal_the_batch(spark, bounds):
     want = sorted_rows(C.match_sequence(C.drop_late(batch), pattern(), partition_by=["workpiece"]), *cols)
     got = SP.match_stream(C.drop_late(stream), pattern(), "workpiece", payload=["time_stamp", "event_id"])
     assert want and sorted_rows(collected(spark, got), *cols) == want
+
+
+def test_values_travel_exactly(spark):
+    """Integers above 2**53 beside NULL, NaN that is not NULL, texts that are empty or NULL."""
+    values = [float("nan"), None, -0.0, 1.5, float("inf")]
+    rows = [
+        (i, 2**62 + i if i % 4 else None, [None, "", "a"][i % 3], 1_000_000 + 10 * i, values[i % 5], 2**60 + i if i % 2 else None)
+        for i in range(60)
+    ]
+    df = spark.createDataFrame(rows, "seq long, event_id long, id string, time_stamp long, temperature double, more long")
+    stream = SW.sorted_rows_stream(stamped_replay(spark, df, SPEC), "id", 10_000)
+    got = collected(spark, stream).select("event_id", "id", "time_stamp", "temperature").collect()
+    assert sorted(map(repr, map(tuple, got))) == sorted(repr((r[1], r[2], r[3], r[4])) for r in rows)
+    assert shared._plain(df.schema) and not shared._plain(df.withColumn("x", F.array("seq")).schema)
+
+
+def test_columns_that_frames_do_not_hold_travel_as_rows(spark):
+    df = spark.createDataFrame(
+        [(i, i, "wp", 1, 1000 + i, s) for i, s in enumerate(STEPS)], "seq long, event_id long, workpiece string, station int, time_stamp long, content string"
+    ).withColumn("event_id", F.array("event_id"))
+    tuples = ST.zip_stream(stamped(spark, df), "workpiece", STEPS, 9000, idle=True, clock="clock_ms")
+    assert [tuple(r) for r in collected(spark, tuples).select("workpiece", "n_tuple", "trigger_event").collect()] == [("wp", 1, [3])]
